@@ -143,12 +143,16 @@ class KeyedTable:
         self._publish(base, {bucket: [generation] for bucket in buckets})
         return self._count(generation, buckets)
 
-    def upsert(self, batch: DataFrame) -> int:
+    def upsert(self, batch: DataFrame, scope: str = "table") -> int:
         """Delete every row with a key of the batch, then insert the batch.
 
         Rows of the batch that share a key all stay, as in a delete followed by
-        an insert. NULL keys match nothing. Returns the rows inserted.
+        an insert. NULL keys match nothing. ``scope="batch_buckets"`` looks for
+        old rows only in the buckets of the batch, for keys that cannot change
+        their bucket. Returns the rows inserted.
         """
+        if scope not in ("table", "batch_buckets"):
+            raise ValueError(f"unknown scope {scope!r}")
         base = self.version()
         live = self.live(base)
         generation, buckets = self._write(self._bucketed(batch))
@@ -156,7 +160,8 @@ class KeyedTable:
         batch_keys = broadcast_if_small(inserted.select(*self.keys).distinct())
 
         # Key columns only: which buckets hold a row that must go?
-        hits = self._open(live).select(*self.keys, BUCKET)
+        searched = live if scope == "table" else {b: live[b] for b in buckets if b in live}
+        hits = self._open(searched).select(*self.keys, BUCKET)
         hits = hits.join(batch_keys, self.keys, "left_semi").select(BUCKET).distinct()
         touched = {_bucket_name(row[0]) for row in hits.collect()}
         if touched:
