@@ -21,21 +21,44 @@ from logtide.schemas import AMOUNT, AMOUNT_RAW
 
 FACT_KEY = ["transaction_hash", "log_index"]
 
-_KEYS = "transaction_hash string, log_index bigint, date_key int, block_number bigint"
-FCT_MINT_SCHEMA = T.StructType.fromDDL(
-    f"{_KEYS}, contract_address string, minting_address string, "
-    f"minted_amount {AMOUNT.simpleString()}, dbt_loaded_at timestamp"
+_TYPES = {
+    "transaction_hash": T.StringType(),
+    "log_index": T.LongType(),
+    "date_key": T.IntegerType(),
+    "block_number": T.LongType(),
+    "block_hash": T.StringType(),
+    "contract_address": T.StringType(),
+    "from_address": T.StringType(),
+    "to_address": T.StringType(),
+    "minting_address": T.StringType(),
+    "burned_from_address": T.StringType(),
+    "amount_raw": AMOUNT_RAW,
+    "amount": AMOUNT,
+    "minted_amount": AMOUNT,
+    "burned_amount": AMOUNT,
+    "event_name": T.StringType(),
+    "transaction_index": T.LongType(),
+    "dbt_loaded_at": T.TimestampType(),
+}
+
+
+def _schema(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[name]) for name in names])
+
+
+FCT_MINT_SCHEMA = _schema(
+    "transaction_hash", "log_index", "date_key", "block_number", "contract_address",
+    "minting_address", "minted_amount", "dbt_loaded_at",
 )
-FCT_BURN_SCHEMA = T.StructType.fromDDL(
-    f"{_KEYS}, block_hash string, contract_address string, burned_from_address string, "
-    f"amount_raw {AMOUNT_RAW.simpleString()}, burned_amount {AMOUNT.simpleString()}, "
-    "event_name string, transaction_index bigint, dbt_loaded_at timestamp"
+FCT_BURN_SCHEMA = _schema(
+    "transaction_hash", "log_index", "date_key", "block_number", "block_hash",
+    "contract_address", "burned_from_address", "amount_raw", "burned_amount", "event_name",
+    "transaction_index", "dbt_loaded_at",
 )
-FCT_TRANSFER_SCHEMA = T.StructType.fromDDL(
-    f"{_KEYS}, block_hash string, contract_address string, from_address string, "
-    f"to_address string, amount_raw {AMOUNT_RAW.simpleString()}, "
-    f"amount {AMOUNT.simpleString()}, event_name string, transaction_index bigint, "
-    "dbt_loaded_at timestamp"
+FCT_TRANSFER_SCHEMA = _schema(
+    "transaction_hash", "log_index", "date_key", "block_number", "block_hash",
+    "contract_address", "from_address", "to_address", "amount_raw", "amount", "event_name",
+    "transaction_index", "dbt_loaded_at",
 )
 
 

@@ -144,7 +144,7 @@ def range_stamped_write(
         F.count(F.lit(1)).alias("row_count"),
     ).write.parquet(draft)
     extent = seen.get
-    if not extent["row_count"]:
+    if not extent.get("row_count"):
         return None
     name = stamped_name(prefix, extent["from_block"], extent["to_block"], day)
     if storage.exists(spark, f"{folder}/{name}"):

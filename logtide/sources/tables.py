@@ -18,7 +18,7 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,21 +107,25 @@ class KeyedTable:
 
     # --- writing -----------------------------------------------------------
 
-    def _write(self, rows: DataFrame) -> tuple[str, list[str]]:
-        """Write rows as a new generation; its id and the buckets it holds.
+    def _write(self, rows: DataFrame) -> tuple[str, list[str], int]:
+        """Write rows as a new generation: its id, its buckets, its row count.
 
         The rebalance hint lets adaptive execution cut a bucket that holds most
-        of the batch into several tasks and join the small ones.
+        of the batch into several tasks and join the small ones. Rows are counted
+        in the writing tasks themselves.
         """
         generation = f"g{uuid.uuid4().hex}"
         path = f"{self.root}/data/generation={generation}"
+        written = Observation()
         rows = rows.select(*self.schema.fieldNames(), BUCKET).hint("rebalance", BUCKET)
+        rows = rows.observe(written, F.count(F.lit(1)).alias("row_count"))
         if self.sort_by:
             rows = rows.sortWithinPartitions(BUCKET, *self.sort_by)
         rows.write.partitionBy(BUCKET).parquet(path)
         prefix = f"{BUCKET}="
         names = storage.list_names(self.spark, path)
-        return generation, [n[len(prefix):] for n in names if n.startswith(prefix)]
+        buckets = [n[len(prefix):] for n in names if n.startswith(prefix)]
+        return generation, buckets, written.get["row_count"] if buckets else 0
 
     def _bucketed(self, batch: DataFrame) -> DataFrame:
         return check_schema(batch, self.schema).withColumn(BUCKET, self.bucket.cast("long"))
@@ -130,18 +134,18 @@ class KeyedTable:
         """Add rows without looking at keys; the rows added."""
         base = self.version()
         live = self.live(base)
-        generation, buckets = self._write(self._bucketed(batch))
+        generation, buckets, added = self._write(self._bucketed(batch))
         for bucket in buckets:
             live.setdefault(bucket, []).append(generation)
         self._publish(base, live)
-        return self._count(generation, buckets)
+        return added
 
     def replace(self, batch: DataFrame) -> int:
         """Make the batch the whole table; the rows written."""
         base = self.version()
-        generation, buckets = self._write(self._bucketed(batch))
+        generation, buckets, written = self._write(self._bucketed(batch))
         self._publish(base, {bucket: [generation] for bucket in buckets})
-        return self._count(generation, buckets)
+        return written
 
     def upsert(self, batch: DataFrame, scope: str = "table") -> int:
         """Delete every row with a key of the batch, then insert the batch.
@@ -155,27 +159,33 @@ class KeyedTable:
             raise ValueError(f"unknown scope {scope!r}")
         base = self.version()
         live = self.live(base)
-        generation, buckets = self._write(self._bucketed(batch))
-        inserted = self._open({b: [generation] for b in buckets})
-        batch_keys = broadcast_if_small(inserted.select(*self.keys).distinct())
-
-        # Key columns only: which buckets hold a row that must go?
+        generation, buckets, added = self._write(self._bucketed(batch))
         searched = live if scope == "table" else {b: live[b] for b in buckets if b in live}
-        hits = self._open(searched).select(*self.keys, BUCKET)
-        hits = hits.join(batch_keys, self.keys, "left_semi").select(BUCKET).distinct()
-        touched = {_bucket_name(row[0]) for row in hits.collect()}
-        if touched:
-            kept = self._open({b: live[b] for b in touched})
-            kept = kept.join(batch_keys, self.keys, "left_anti")
-            survivors, filled = self._write(kept)
-            for bucket in touched:
-                live.pop(bucket)
-            for bucket in filled:
-                live[bucket] = [survivors]
+        if searched and added:
+            batch_keys = self._open({b: [generation] for b in buckets}).select(*self.keys)
+            live = self._without(live, searched, broadcast_if_small(batch_keys.distinct()))
         for bucket in buckets:
             live.setdefault(bucket, []).append(generation)
         self._publish(base, live)
-        return self._count(generation, buckets)
+        return added
+
+    def _without(
+        self, live: dict[str, list[str]], searched: dict[str, list[str]], keys: DataFrame
+    ) -> dict[str, list[str]]:
+        """``live`` with the given keys taken out of the searched buckets.
+
+        Key columns alone tell which buckets hold such rows; only those are
+        rewritten.
+        """
+        hits = self._open(searched).select(*self.keys, BUCKET)
+        hits = hits.join(keys, self.keys, "left_semi").select(BUCKET).distinct()
+        touched = {_bucket_name(row[0]) for row in hits.collect()}
+        if not touched:
+            return live
+        kept = self._open({b: live[b] for b in touched}).join(keys, self.keys, "left_anti")
+        survivors, filled, _ = self._write(kept)
+        untouched = {b: generations for b, generations in live.items() if b not in touched}
+        return {**untouched, **{b: [survivors] for b in filled}}
 
     def insert_absent(self, batch: DataFrame) -> int:
         """Insert the rows whose key is not in the table; the rows inserted.
@@ -195,14 +205,14 @@ class KeyedTable:
                 fresh = rows.join(known, self.keys, "left_anti")
             else:
                 fresh = rows
-            generation, buckets = self._write(fresh)
+            generation, buckets, added = self._write(fresh)
         finally:
             rows.unpersist()
         for bucket in buckets:
             live.setdefault(bucket, []).append(generation)
         if buckets:
             self._publish(base, live)
-        return self._count(generation, buckets)
+        return added
 
     def compact(self) -> int:
         """Merge buckets that are spread over several generations; how many."""
@@ -210,15 +220,11 @@ class KeyedTable:
         live = self.live(base)
         spread = {b: g for b, g in live.items() if len(g) > 1}
         if spread:
-            generation, buckets = self._write(self._open(spread))
+            generation, buckets, _ = self._write(self._open(spread))
             live.update({bucket: [generation] for bucket in buckets})
             self._publish(base, live)
         return len(spread)
 
-    def _count(self, generation: str, buckets: list[str]) -> int:
-        """Rows of a generation, from the Parquet footers."""
-        return self._open({b: [generation] for b in buckets}).count() if buckets else 0
-
 
 def _bucket_name(value: int | None) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
