@@ -19,6 +19,9 @@ def l2_norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity; 0 where either vector has no length."""
+    """Cosine similarity; 0 where either vector has no length.
+
+    Rounded to 12 places, so that equal vectors tie exactly.
+    """
     norms = l2_norm(a) * l2_norm(b)
-    return F.when(norms == 0, F.lit(0.0)).otherwise(dot(a, b) / norms)
+    return F.when(norms == 0, F.lit(0.0)).otherwise(F.round(dot(a, b) / norms, 12))

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from logtide.constants import SEARCH_LIMIT
 from logtide.functions.vectors import cosine
@@ -99,7 +100,7 @@ def _one_pass(
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     unit = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
     shared = corpus.sparkSession.sparkContext.broadcast((unit, [row[0] for row in rows]))
-    query_name, row_name, _ = schema.fieldNames()
+    arrow_schema = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, query_ids = shared.value
@@ -113,9 +114,9 @@ def _one_pass(
             best = _merge_best(best, _cosines(queries, block), ids, k)
         for query, (scores, ids) in zip(query_ids, best):
             if len(scores):
-                yield pa.RecordBatch.from_pydict(
-                    {query_name: [query] * len(scores), row_name: ids.tolist(), "score": scores}
-                )
+                columns = [[query] * len(scores), ids.tolist(), scores.tolist()]
+                arrays = [pa.array(c, f.type) for c, f in zip(columns, arrow_schema)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
 
     vectors = corpus.select(row_id, vector).where(F.col(vector).isNotNull())
     return vectors.mapInArrow(run, schema)

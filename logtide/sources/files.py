@@ -232,15 +232,18 @@ def doc_catalog(metadata: DataFrame) -> DataFrame:
     return metadata.withColumn("file_size", megabytes_text(F.col("file_size")))
 
 
-def read_doc_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON file per document below ``path``; unreadable files give no row."""
+def read_doc_metadata(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Document metadata below ``path``: one JSON file per document, or JSON lines.
+
+    Unreadable records give no row.
+    """
     schema = (
         "title string, id string, language string, file_path string, "
         "file_size long, created_at string"
     )
     return (
         spark.read.schema(schema)
-        .option("multiLine", "true")
+        .option("multiLine", multi_line)
         .option("mode", "DROPMALFORMED")
         .option("recursiveFileLookup", "true")
         .json(path)

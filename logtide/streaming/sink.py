@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,6 +36,10 @@ def sink_table(spark: SparkSession, root: str) -> KeyedTable:
     return KeyedTable(spark, f"{root}/transfers", TRANSFER_SINK, ["id"], bucket, ["block_number"])
 
 
+class DrainLimit(Exception):
+    """A bounded drain has had enough."""
+
+
 @dataclass
 class TransferSink:
     """Handles one micro-batch: the first message of an id wins, for good.
@@ -48,8 +54,15 @@ class TransferSink:
     run_ts: datetime | str | None = None
     order: tuple[str, ...] = ("partition", "offset")
     batches: list[dict] = field(default_factory=list)
+    enough: Callable[[], bool] | None = None
+    stopped: bool = False
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
+        if self.enough is not None and self.enough():
+            # Ends the query before this batch did anything, so that it comes
+            # again, whole, in the next run.
+            self.stopped = True
+            raise DrainLimit(f"limit reached before batch {batch_id}")
         decoded = decode_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             is_good = F.col(ERROR).isNull()
@@ -81,10 +94,6 @@ class TransferSink:
     def _write_side(self, rows: DataFrame, name: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
 
-    @property
-    def consumed(self) -> int:
-        return sum(batch["consumed"] for batch in self.batches)
-
 
 def insert_first(
     table: KeyedTable,
@@ -117,25 +126,24 @@ def drain(
 ) -> dict:
     """Consume what is there, up to a number of messages or a time, and report.
 
-    The source's own batch limit sets the step: the stop takes effect between
-    batches. What is left waits for the next run with the same checkpoint.
+    The source's own batch limit sets the step: a batch that has started is
+    finished, and the limits are looked at before the next. What is left waits
+    for the next run with the same checkpoint.
     """
     began = time.monotonic()
     already = len(sink.batches)
-    query = start(messages, sink, checkpoint)
-    failure = None
-    while query.isActive:
-        done = sum(b["consumed"] for b in sink.batches[already:])
+
+    def enough() -> bool:
+        done = sum(batch["consumed"] for batch in sink.batches[already:])
         late = time.monotonic() - began >= max_seconds
-        if late or (max_messages is not None and done >= max_messages):
-            query.stop()
-        try:
-            query.awaitTermination(0.05)
-        except Exception as error:  # the report carries it
-            failure = str(error)
-            break
-    if query.exception() is not None:
-        failure = str(query.exception())
+        return late or (max_messages is not None and done >= max_messages)
+
+    sink.enough, sink.stopped = enough, False
+    failure = None
+    try:
+        start(messages, sink, checkpoint).awaitTermination()
+    except StreamingQueryException as error:
+        failure = None if sink.stopped else str(error)
     return drain_stats(sink.batches[already:], time.monotonic() - began, failure)
 
 
