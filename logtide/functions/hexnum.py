@@ -16,10 +16,10 @@ DECODE_MODES = ("exact", "low64", "high16")
 _HEX_TEXT = "^[0-9a-f]*$"
 _TWO_POW_48 = 1 << 48
 _TWO_POW_96 = 1 << 96
-# Hex digits whose value always fits a signed 64-bit integer.
-_SHORT_DIGITS = 15
 # 10^38 - 1, the largest decimal(38,0), has 32 hex digits.
 _EXACT_DIGITS = 32
+# A uint256 has at most 78 decimal digits, so no token has more decimals.
+_MAX_DECIMALS = 78
 
 
 def bytes_to_hex(c: Column) -> Column:
@@ -53,31 +53,33 @@ def _digits_to_decimal(digits: Column) -> Column:
     return F.conv(digits, 16, 10).cast("decimal(38,0)")
 
 
+def _digits_to_long(digits: Column) -> Column:
+    """At most twelve digits, through a long: cheaper than parsing a decimal."""
+    return F.conv(digits, 16, 10).cast("bigint").cast("decimal(15,0)")
+
+
 def hex_exact(digits: Column, trusted: bool = False) -> Column:
     """Value of lower-case hex ``digits`` as ``decimal(38,0)``.
 
     NULL for NULL, for text that is not hex, and for values of 10^38 and more.
-    ``trusted`` skips the hex check where the text comes from ``hex()``.
+    ``trusted`` is for digits out of ``hex()`` without leading zeros: they are
+    used as they are. Each input is named as rarely as possible, because a filter
+    on the result repeats the expression for every mention.
     """
-    text = trim_leading_zeros(digits)
-    size = F.length(text)
+    text = digits if trusted else trim_leading_zeros(digits)
     padded = F.lpad(text, _EXACT_DIGITS, "0")
-    high = _digits_to_decimal(F.substring(padded, 1, 8))
-    middle = _digits_to_decimal(F.substring(padded, 9, 12))
-    low = _digits_to_decimal(F.substring(padded, 21, 12))
+    high = _digits_to_long(F.substring(padded, 1, 8))
+    middle = _digits_to_long(F.substring(padded, 9, 12))
+    low = _digits_to_long(F.substring(padded, 21, 12))
     two_48 = F.lit(str(_TWO_POW_48)).cast("decimal(15,0)")
     two_96 = F.lit(str(_TWO_POW_96)).cast("decimal(29,0)")
-    wide = F.try_add(
-        F.try_multiply(high.cast("decimal(10,0)"), two_96).cast("decimal(38,0)"),
-        F.try_multiply(middle.cast("decimal(15,0)"), two_48).cast("decimal(38,0)"),
+    upper = F.try_add(
+        F.try_multiply(high, two_96).cast("decimal(38,0)"),
+        (middle * two_48).cast("decimal(38,0)"),
     )
-    wide = F.try_add(wide, low).cast("decimal(38,0)")
-    value = (
-        F.when(size == 0, F.lit(0).cast("decimal(38,0)"))
-        .when(size <= _SHORT_DIGITS, _digits_to_decimal(text))
-        .when(size <= _EXACT_DIGITS, wide)
-    )
-    return value if trusted else F.when(digits.rlike(_HEX_TEXT), value)
+    value = F.try_add(upper.cast("decimal(38,0)"), low).cast("decimal(38,0)")
+    fits = F.length(text) <= _EXACT_DIGITS
+    return F.when(fits if trusted else fits & digits.rlike(_HEX_TEXT), value)
 
 
 def hex_low64(digits: Column) -> Column:
@@ -97,19 +99,25 @@ def hex_high16(digits: Column) -> Column:
     return F.when(head.rlike("^[0-9a-f]+$"), _digits_to_decimal(head))
 
 
-def decode_amount(event_data: Column, mode: str = "exact", trusted: bool = False) -> Column:
-    """Amount in ``0x…`` event data; empty, NULL and all-zero data count as 0."""
+def amount_digits(event_data: Column) -> Column:
+    """Hex digits of ``0x...`` event data without leading zeros; '' for no data."""
+    return F.coalesce(trim_leading_zeros(substring_from(event_data, 3)), F.lit(""))
+
+
+def amount_value(digits: Column, mode: str = "exact", trusted: bool = False) -> Column:
+    """Amount of ``amount_digits``; no digits count as 0."""
     if mode not in DECODE_MODES:
         raise ValueError(f"unknown decode mode {mode!r}, use one of {DECODE_MODES}")
-    digits = trim_leading_zeros(substring_from(event_data, 3))
-    if mode == "exact":
-        value = hex_exact(digits, trusted=trusted)
-    elif mode == "low64":
-        value = hex_low64(digits)
-    else:
-        value = hex_high16(digits)
-    empty = event_data.isNull() | (F.length(digits) == 0)
-    return F.when(empty, F.lit(0).cast("decimal(38,0)")).otherwise(value)
+    if mode == "low64":
+        return hex_low64(digits)
+    if mode == "high16":
+        return hex_high16(digits)
+    return hex_exact(digits, trusted=trusted)
+
+
+def decode_amount(event_data: Column, mode: str = "exact", trusted: bool = False) -> Column:
+    """Amount in ``0x...`` event data; empty, NULL and all-zero data count as 0."""
+    return amount_value(amount_digits(event_data), mode, trusted)
 
 
 def uint256_to_decimal(hex_text: Column) -> Column:
@@ -117,22 +125,23 @@ def uint256_to_decimal(hex_text: Column) -> Column:
     return hex_exact(strip_hex_prefix(hex_text))
 
 
-def _shift_point(raw: Column, decimals: Column) -> Column:
-    """``raw / 10^decimals`` as text, digit by digit, so nothing is rounded."""
-    sign = F.when(raw < 0, F.lit("-")).otherwise(F.lit(""))
-    digits = F.abs(raw).cast("decimal(38,0)").cast("string")
-    padded = F.lpad(digits, F.greatest(F.length(digits), decimals + 1), F.lit("0"))
-    whole = F.left(padded, F.length(padded) - decimals)
-    fraction = F.right(padded, decimals)
-    return F.concat(sign, whole, F.lit("."), fraction)
-
-
 def token_amount(raw: Column, decimals: int = DEFAULT_TOKEN_DECIMALS) -> Column:
-    """Exact token amount as ``decimal(38,18)`` for one fixed number of decimals."""
-    return _shift_point(raw, F.lit(decimals)).try_cast("decimal(38,18)")
+    """Exact token amount as ``decimal(38,18)`` for one fixed number of decimals.
+
+    The point is set into the digits of the unsigned ``raw``, so nothing is
+    rounded. NULL when the amount does not fit.
+    """
+    width = max(38, decimals + 1)
+    digits = F.lpad(raw.cast("string"), width, "0")
+    return F.overlay(digits, F.lit("."), width - decimals + 1, 0).try_cast("decimal(38,18)")
 
 
 def convert_token_amount(raw: Column, decimals: Column, precision: int = 8) -> Column:
-    """Token amount by each token's own decimals, as ``decimal(28, precision)``."""
-    shifted = _shift_point(raw, decimals.cast("int"))
-    return shifted.try_cast(f"decimal(28,{precision})")
+    """Token amount by each token's own decimals, as ``decimal(28, precision)``.
+
+    Rounds half up; NULL when the amount does not fit.
+    """
+    width = 38 + _MAX_DECIMALS
+    digits = F.lpad(raw.cast("string"), width, "0")
+    point = F.lit(width + 1) - decimals.cast("int")
+    return F.overlay(digits, F.lit("."), point, 0).try_cast(f"decimal(28,{precision})")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -21,53 +22,103 @@ from logtide.functions.text import strip, word_count, words
 EmbedFunction = Callable[[list[str]], list[list[float]]]
 
 
-def chunk_texts(
-    content: Column,
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _last_words(chunk: Column, overlap: int) -> Column:
+    """What the next chunk takes over: one word per five characters of overlap,
+    at most half of the words."""
+    if overlap <= 0:
+        return F.lit("")
+
+    def pick(found: Column) -> Column:
+        half = F.floor(F.size(found) / 2).cast("int")
+        return _bind(
+            F.least(F.lit(overlap // CHARS_PER_OVERLAP_WORD), half),
+            lambda n: F.array_join(F.slice(found, F.size(found) - n + 1, n), " "),
+        )
+
+    return _bind(words(strip(chunk)), pick)
+
+
+def split_paragraphs(content: Column, separator: str = PARAGRAPH_SEPARATOR) -> Column:
+    """Stripped paragraphs of a text, without the empty ones."""
+    parts = F.split(strip(content), re.escape(separator))
+    return F.filter(F.transform(parts, strip), lambda p: p != "")
+
+
+def chunk_paragraphs(
+    paragraphs: str,
     chunk_size: int = CHUNK_SIZE,
     overlap: int = CHUNK_OVERLAP,
     separator: str = PARAGRAPH_SEPARATOR,
 ) -> Column:
-    """Chunks of one text as ``array<string>``, in order.
+    """Chunks of the paragraphs in an array column, as ``array<string>``.
 
-    Paragraphs are added to a chunk while it stays within ``chunk_size``; a
-    longer paragraph stays whole. The next chunk starts with the last words of
-    the one before: one word per five characters of overlap, at most half of
-    that chunk's words.
+    A chunk takes paragraphs while it stays within ``chunk_size``; a longer
+    paragraph stays whole. The next one starts with the last words of the chunk
+    before. The state holds where the open chunk starts and its size; its text is
+    put together once, when it is full.
     """
-    split_at = F.split(strip(content), f"\\Q{separator}\\E")
-    paragraphs = F.filter(F.transform(split_at, strip), lambda p: p != "")
-    start = F.struct(
-        F.lit("").alias("current"), F.array().cast("array<string>").alias("done")
-    )
-
-    def carried_words(chunk: Column) -> Column:
-        if overlap <= 0:
-            return F.lit("")
-        found = words(strip(chunk))
-        wanted = F.least(
-            F.lit(overlap // CHARS_PER_OVERLAP_WORD), F.floor(F.size(found) / 2).cast("int")
+    listed = F.col(paragraphs)
+    gap = len(separator)
+
+    def state(done: Column, lead: Column, first: Column, count: Column, size: Column) -> Column:
+        return F.struct(
+            done.alias("done"),
+            lead.alias("lead"),
+            first.cast("int").alias("first"),
+            count.cast("int").alias("count"),
+            size.cast("int").alias("size"),
         )
-        last = F.slice(found, F.size(found) - wanted + 1, wanted)
-        return F.when(wanted > 0, F.array_join(last, " ")).otherwise("")
-
-    def add(state: Column, paragraph: Column) -> Column:
-        current, done = state["current"], state["done"]
-        full = F.length(current) + F.length(paragraph) + len(separator) > chunk_size
-        lead = (
-            F.when(current == "", F.lit(""))
-            .when(full, F.concat(carried_words(current), F.lit(separator)))
-            .otherwise(F.concat(current, F.lit(separator)))
+
+    def text(s: Column) -> Column:
+        taken = F.slice(listed, s["first"], s["count"])
+        return F.concat(s["lead"], F.array_join(taken, separator))
+
+    def turn_over(s: Column, paragraph: Column) -> Column:
+        def begin(chunk: Column, lead: Column) -> Column:
+            size = F.length(lead) + gap + F.length(paragraph)
+            return state(
+                F.concat(s["done"], F.array(chunk)),
+                F.concat(lead, F.lit(separator)),
+                s["first"] + s["count"],
+                F.lit(1),
+                size,
+            )
+
+        return _bind(
+            text(s),
+            lambda chunk: _bind(_last_words(chunk, overlap), lambda lead: begin(chunk, lead)),
         )
-        finished = F.when(
-            (current != "") & full, F.concat(done, F.array(current))
-        ).otherwise(done)
-        return F.struct(F.concat(lead, paragraph).alias("current"), finished.alias("done"))
 
-    def close(state: Column) -> Column:
-        current, done = state["current"], state["done"]
-        return F.when(current == "", done).otherwise(F.concat(done, F.array(current)))
+    def add(s: Column, paragraph: Column) -> Column:
+        grown = s["size"] + gap + F.length(paragraph)
+        return (
+            F.when(
+                s["count"] == 0,
+                state(s["done"], s["lead"], F.lit(1), F.lit(1), F.length(paragraph)),
+            )
+            .when(
+                grown <= chunk_size,
+                state(s["done"], s["lead"], s["first"], s["count"] + 1, grown),
+            )
+            .otherwise(turn_over(s, paragraph))
+        )
 
-    return F.transform(F.aggregate(paragraphs, start, add, close), strip)
+    start = state(
+        F.array().cast("array<string>"), F.lit(""), F.lit(1), F.lit(0), F.lit(0)
+    )
+    return F.aggregate(
+        listed,
+        start,
+        add,
+        lambda s: F.when(s["count"] == 0, s["done"]).otherwise(
+            F.concat(s["done"], F.array(text(s)))
+        ),
+    )
 
 
 def chunk_documents(
@@ -84,13 +135,20 @@ def chunk_documents(
     (title, language, stage) go along.
     """
     carried = [c for c in documents.columns if c not in (id_column, content)]
-    texts = chunk_texts(F.col(content), chunk_size, overlap, separator)
-    exploded = documents.select(
+    split = documents.select(
         F.col(id_column).alias("document_id"),
         *carried,
-        F.posexplode(texts).alias("chunk_no", "content"),
+        split_paragraphs(F.col(content), separator).alias("paragraphs"),
+    )
+    cut = split.select(
+        "document_id",
+        *carried,
+        F.posexplode(chunk_paragraphs("paragraphs", chunk_size, overlap, separator)).alias(
+            "chunk_no", "chunk"
+        ),
     )
-    return exploded.select(
+    stripped = cut.withColumn("content", strip(F.col("chunk")))
+    return stripped.select(
         F.concat_ws("_", "document_id", "chunk_no").alias("chunk_id"),
         "document_id",
         *carried,

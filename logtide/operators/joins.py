@@ -24,10 +24,12 @@ def _row_bytes(df: DataFrame):
 
 def fits_broadcast(
     df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> bool:
     """Measure ``df``; at most ``max_rows + 1`` rows are looked at."""
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     sized = df.select(_row_bytes(df).alias("size")).limit(max_rows + 1)
     rows, size = sized.agg(F.count("*"), F.sum("size")).first()
     return rows <= max_rows and (size or 0) <= max_bytes

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from logtide.constants import DEFAULT_TOKEN_DECIMALS, TRANSFER_EVENT
 from logtide.functions.hexnum import (
+    amount_digits,
+    amount_value,
     convert_token_amount,
-    decode_amount,
-    substring_from,
     token_amount,
     topic_to_address,
-    trim_leading_zeros,
 )
 from logtide.operators.joins import lookup_join
 from logtide.plans.staging import LINEAGE, int_event, stg_open_logs
@@ -59,8 +58,8 @@ def int_all_transfer(
     have ``amount_overflow`` set and keep all digits in ``amount_hex``.
     """
     transfers = event_logs(logs, signatures, TRANSFER_EVENT, data_encoding)
-    event_data = F.col("event_data")
-    decoded = transfers.select(
+    # Digits, value and amount one after the other: each is computed once.
+    digits = transfers.select(
         "transaction_hash",
         "log_index",
         "block_number",
@@ -68,13 +67,13 @@ def int_all_transfer(
         "contract_address",
         topic_to_address(F.col("topic1")).alias("from_address"),
         topic_to_address(F.col("topic2")).alias("to_address"),
-        decode_amount(event_data, mode, trusted=True).alias("amount_raw"),
+        amount_digits(F.col("event_data")).alias("amount_hex"),
         "event_name",
         "transaction_index",
-        trim_leading_zeros(substring_from(event_data, 3)).alias("amount_hex"),
         *[c for c in LINEAGE if c in transfers.columns],
     )
-    return decoded.select(
+    valued = digits.withColumn("amount_raw", amount_value(F.col("amount_hex"), mode, trusted=True))
+    return valued.select(
         "transaction_hash",
         "log_index",
         "block_number",
@@ -88,7 +87,7 @@ def int_all_transfer(
         "transaction_index",
         "amount_hex",
         F.col("amount_raw").isNull().alias("amount_overflow"),
-        *[c for c in LINEAGE if c in decoded.columns],
+        *[c for c in LINEAGE if c in valued.columns],
     )
 
 

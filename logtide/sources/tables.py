@@ -3,7 +3,7 @@
 A table is a folder of immutable Parquet *generations*, each partitioned by a
 bucket of the rows (a block range, or a key hash)::
 
-    data/generation=<id>/bucket=<n>/part-….parquet
+    data/generation=<id>/bucket=<n>/part-....parquet
     versions/<number>.json        which generations are live, per bucket
 
 A write adds one generation and publishes the next version file. Rows are only

@@ -23,7 +23,8 @@ def decode_messages(messages: DataFrame, text: str = "value") -> DataFrame:
     value counts as malformed instead of being ignored.
     """
     listed = F.concat(F.lit("["), F.col(text), F.lit("]"))
-    parsed = F.from_json(listed, "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    strict = {"allowSingleQuotes": "false"}
+    parsed = F.from_json(listed, "array<map<string,string>>", strict)
     others = [c for c in messages.columns if c != text]
     rows = messages.select(*others, F.col(text).alias("raw"), parsed.alias("parsed"))
     rows = rows.withColumn(
@@ -34,13 +35,12 @@ def decode_messages(messages: DataFrame, text: str = "value") -> DataFrame:
     names = F.map_keys(fields)
     expected = F.array(*[F.lit(name) for name in FIELDS])
     block = fields["block_number"].try_cast("bigint")
-    is_json = (F.trim("raw") != "") & F.get_json_object(
-        F.concat(F.lit("["), F.col("raw"), F.lit("]")), "$"
-    ).isNotNull()
-    is_single = is_json & F.coalesce(F.size("parsed") <= 1, F.lit(True))
+    # Any one JSON value, looked at only where there is no object.
+    values = F.from_json(F.concat(F.lit("["), "raw", F.lit("]")), "array<string>", strict)
+    one_value = F.coalesce(F.size(values) == 1, F.lit(False))
     null_value = F.exists(F.array(*[fields[name] for name in FIELDS]), lambda v: v.isNull())
     error = (
-        F.when(fields.isNull() & ~F.coalesce(is_single, F.lit(False)), "malformed_json")
+        F.when(fields.isNull() & ~one_value, "malformed_json")
         .when(fields.isNull(), "not_an_object")
         .when(F.size(F.array_except(expected, names)) > 0, "missing_field")
         .when(F.size(names) != len(FIELDS), "unexpected_field")

@@ -1,0 +1,153 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from logtide.functions.columns import megabytes_text, with_optional_column
+from logtide.sources import files, storage
+from logtide.sources.connectors import KafkaSettings, PostgresSettings, SnowflakeSettings
+from tests.helpers import log, logs, signatures, tuples
+
+
+def blocks(spark, *numbers):
+    return logs(spark, [log(0, block=n) for n in numbers])
+
+
+def test_read_table_by_ending(spark, run_dir):
+    signatures(spark).write.csv(f"{run_dir}/a.csv", header=True)
+    signatures(spark).write.parquet(f"{run_dir}/a.parquet")
+    assert files.read_table(spark, f"{run_dir}/a.csv").count() == 1
+    assert files.read_table(spark, f"{run_dir}/a.parquet").count() == 1
+    with pytest.raises(ValueError):
+        files.read_table(spark, f"{run_dir}/a.xlsx")
+
+
+def test_signatures_with_commas_survive_csv(spark, run_dir):
+    rows = [("0x1", 'Quote"d', "Q(address,uint256)"), ("0x2", "Plain", "P()")]
+    signatures(spark, rows).write.csv(run_dir, header=True, escape='"')
+    assert tuples(files.scan_signatures(spark, run_dir)) == sorted(rows, key=str)
+
+
+def test_stamped_names(spark, run_dir):
+    written = files.range_stamped_write(blocks(spark, 7, 3, 9), run_dir, "open_logs", date(2024, 1, 5))
+    assert written["path"].endswith("/open_logs_240105_3_9.parquet") and written["row_count"] == 3
+    plain = files.range_stamped_write(blocks(spark, 20), run_dir, "open_logs")
+    assert plain["path"].endswith("/open_logs_20_20.parquet")
+    assert files.range_stamped_write(blocks(spark), run_dir, "open_logs") is None
+    with pytest.raises(FileExistsError):
+        files.range_stamped_write(blocks(spark, 20), run_dir, "open_logs")
+    found = tuples(files.file_inventory(spark, run_dir, "open_logs"))
+    assert found == [
+        ("open_logs_20_20.parquet", None, 20, 20), ("open_logs_240105_3_9.parquet", "240105", 3, 9)
+    ]
+    assert files.latest_fetched_block(spark, run_dir, "open_logs") == 20
+    assert files.next_start_block(spark, run_dir, "open_logs") == 21
+    assert files.next_start_block(spark, run_dir, "open_logs", 5) == 5
+
+
+def test_inventory_of_files_and_of_nothing(spark, run_dir):
+    for name in ("logs_240102_10_30.parquet", "logs_240103_5_20.parquet", "logs_240103_1_9.parquet",
+                 "logs_x.parquet", "logs_extra_1_2.parquet", "other_240109_1_99.parquet"):
+        storage.publish_text(spark, f"{run_dir}/{name}", "x")
+    inventory = files.file_inventory(spark, run_dir, "logs")
+    assert inventory.count() == 3
+    assert files.latest_file(inventory).first().file == "logs_240103_5_20.parquet"
+    empty = files.file_inventory(spark, run_dir, "none")
+    assert empty.count() == 0 and files.latest_file(empty).count() == 0
+    assert files.latest_fetched_block(spark, f"{run_dir}/nowhere", "logs") is None
+    with pytest.raises(ValueError):
+        files.next_start_block(spark, run_dir, "none")
+
+
+def test_poll_takes_whole_blocks(spark):
+    df = logs(spark, [log(i, block=b) for b in (1, 2, 3) for i in range(4)])
+    assert files.poll_after(df, None, 2).count() == 4
+    assert files.poll_after(df, 1, 5).count() == 8
+    assert files.poll_after(df, 3, 5).count() == 0
+    seen, last = 0, None
+    while True:
+        batch = files.poll_after(df, last, 3)
+        if batch.isEmpty():
+            break
+        seen += batch.count()
+        last = batch.agg(F.max("block_number")).first()[0]
+    assert seen == 12
+
+
+def test_block_range_is_inclusive(spark):
+    df = blocks(spark, 1, 2, 3, 4)
+    assert files.block_range(df, 2, 3).count() == 2
+    assert files.block_range(df, 3).count() == 2
+    assert files.block_range(df, to_block=1).count() == 1
+    assert files.block_range(df).count() == 4
+
+
+def responses(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def test_json_records(spark):
+    text = (
+        '{"data":{"transfers":[{"id":"a","blockNumber":5,"timestamp":"t","contractAddress":"c",'
+        '"from":"f","to":"g","value":"9"},{"id":"b","blockNumber":6}]}}'
+    )
+    found = files.rename_indexer_fields(files.json_records(responses(spark, text), "transfers"))
+    assert tuples(found)[0] == ("a", 5, "t", "c", "f", "g", "9")
+    assert files.json_records(responses(spark, '{"data":{"transfers":[]}}'), "transfers").count() == 0
+    for bad in ('{"data":{"other":[]}}', '{"errors":[{"message":"no"}],"data":null}', "{"):
+        with pytest.raises(Exception, match="not found in response|with errors"):
+            files.json_records(responses(spark, bad), "transfers").collect()
+
+
+def test_encoded_messages_have_all_fields(spark):
+    df = spark.createDataFrame([("1", None)], "id string, value string")
+    assert tuples(files.encode_messages(df)) == [("1", '{"id":"1","value":null}')]
+
+
+def test_megabytes_match_python_formatting(spark):
+    sizes = [0, 1, 5242, 5243, 131072, 393216, 655360, 1048576, 10**9, 123456789012]
+    rows = spark.createDataFrame([(s,) for s in sizes], "s long").select(
+        "s", megabytes_text(F.col("s")).alias("m")
+    )
+    assert all(r.m == f"{r.s / (1024 * 1024):.2f} MB" for r in rows.collect())
+
+
+def test_optional_column(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    assert with_optional_column(df, "A", 5).columns == ["a"]
+    assert with_optional_column(df, "b", 5, "int").first().b == 5
+
+
+def test_doc_metadata_one_file_each(spark, run_dir):
+    storage.publish_text(spark, f"{run_dir}/a/metadata.json", '{\n"id": "1",\n"file_size": 1572864}')
+    storage.publish_text(spark, f"{run_dir}/b/metadata.json", "{ broken")
+    found = files.doc_catalog(files.read_doc_metadata(spark, run_dir))
+    assert tuples(found.select("id", "file_size")) == [("1", "1.50 MB")]
+
+
+def test_kafka_options(monkeypatch):
+    monkeypatch.setenv("KAFKA_TOPIC", "transfers")
+    monkeypatch.setenv("KAFKA_MAX_RECORDS", "500")
+    settings = KafkaSettings.from_env()
+    source = settings.source_options()
+    assert source["startingOffsets"] == "earliest" and source["maxOffsetsPerTrigger"] == "500"
+    assert settings.sink_options()["kafka.acks"] == "all" and settings.batch_size == 100
+
+
+def test_jdbc_options(monkeypatch):
+    for name in ("HOST", "DB", "USER", "PASSWORD"):
+        monkeypatch.setenv(f"POSTGRES_{name}", name.lower())
+    settings = PostgresSettings.from_env()
+    options = settings.options("raw.logs", "block_number", (1, 900), 8)
+    assert options["url"] == "jdbc:postgresql://host:5432/db" and options["numPartitions"] == "8"
+    with pytest.raises(ValueError):
+        settings.options("raw.logs", "block_number")
+    monkeypatch.delenv("POSTGRES_DB")
+    with pytest.raises(ValueError):
+        PostgresSettings.from_env()
+
+
+def test_snowflake_options():
+    settings = SnowflakeSettings("acct", "u", "/k", "w", "d", "r")
+    options = settings.options("raw", "logs", "KEY")
+    assert options["sfURL"].startswith("acct.") and options["dbtable"] == "logs"
