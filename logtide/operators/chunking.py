@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,6 +18,7 @@ from logtide.constants import (
     PARAGRAPH_SEPARATOR,
 )
 from logtide.functions.text import strip, word_count, words
+from logtide.operators.joins import lookup_join
 
 EmbedFunction = Callable[[list[str]], list[list[float]]]
 
@@ -159,8 +160,12 @@ def chunk_documents(
 
 
 def resume_chunks(chunks: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Chunks whose id is not loaded yet."""
-    return chunks.join(loaded.select("chunk_id"), "chunk_id", "left_anti")
+    """Chunks whose id is not loaded yet.
+
+    Loaded ids that were measured small are broadcast, so that chunk texts are
+    not shuffled for the comparison.
+    """
+    return lookup_join(chunks, loaded.select("chunk_id").distinct(), "chunk_id", "left_anti")
 
 
 def embed_chunks(
@@ -168,21 +173,20 @@ def embed_chunks(
 ) -> DataFrame:
     """Chunks with a ``vector`` from the caller's batch function.
 
-    ``embed`` gets up to ``batch_size`` texts per call, inside the tasks.
+    ``embed`` gets up to ``batch_size`` texts per call, inside the tasks; only
+    texts and vectors pass between Spark and Python. The function is marked as
+    not deterministic, so that Spark calls a costly model once per chunk.
     """
-    schema = T.StructType(
-        [*chunks.schema.fields, T.StructField("vector", T.ArrayType(T.FloatType()))]
-    )
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = frame["content"].tolist()
-            vectors: list[list[float]] = []
-            for at in range(0, len(texts), batch_size):
-                vectors.extend(embed(texts[at : at + batch_size]))
-            yield frame.assign(vector=vectors)
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def run(texts: pd.Series) -> pd.Series:
+        listed = texts.tolist()
+        vectors: list[list[float]] = []
+        for at in range(0, len(listed), batch_size):
+            vectors.extend(embed(listed[at : at + batch_size]))
+        return pd.Series(vectors, dtype=object)
 
-    return chunks.mapInPandas(run, schema)
+    return chunks.withColumn("vector", run.asNondeterministic()(F.col("content")))
 
 
 def load_results(documents: DataFrame, chunks: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 500_000
+BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
@@ -27,11 +27,10 @@ def fits_broadcast(
     max_rows: int | None = None,
     max_bytes: int | None = None,
 ) -> bool:
-    """Measure ``df``; at most ``max_rows + 1`` rows are looked at."""
+    """Measure ``df``: its rows and bytes are summed in the tasks that read it."""
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    sized = df.select(_row_bytes(df).alias("size")).limit(max_rows + 1)
-    rows, size = sized.agg(F.count("*"), F.sum("size")).first()
+    rows, size = df.agg(F.count("*"), F.sum(_row_bytes(df))).first()
     return rows <= max_rows and (size or 0) <= max_bytes
 
 

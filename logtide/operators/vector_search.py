@@ -39,18 +39,27 @@ def vector_top_k(
     k: int = SEARCH_LIMIT,
     where: Column | None = None,
     vector: str = "vector",
-    tie: str = "chunk_id",
+    row_id: str = "chunk_id",
 ) -> DataFrame:
     """The ``k`` rows closest to one query, best first, with their ``score``.
 
-    The filter is applied before scoring. Each task keeps its own best ``k``, so
-    only those leave it.
+    The filter comes before scoring. A first pass reads only ids and vectors and
+    brings the ``k`` best ids to the driver; texts and other payload are then
+    read for those rows alone.
     """
     if where is not None:
         corpus = corpus.where(where)
+    schema = _hit_schema(T.StructField("query_id", T.IntegerType()), corpus.schema[row_id])
+    best = [F.col("score").desc(), F.col(row_id).asc()]
+    hits = _one_pass(corpus, [(0, query)], k, vector, row_id, schema).orderBy(*best).limit(k)
+    ids = [row[0] for row in hits.select(row_id).collect()]
+    found = corpus.where(F.col(row_id).isin(ids)) if ids else corpus.limit(0)
     literal = F.array(*[F.lit(float(x)) for x in query])
-    scored = corpus.withColumn("score", cosine(F.col(vector), literal))
-    return scored.orderBy(F.col("score").desc(), F.col(tie).asc()).limit(k)
+    return found.withColumn("score", cosine(F.col(vector), literal)).orderBy(*best).limit(k)
+
+
+def _hit_schema(query_id: T.StructField, row_id: T.StructField) -> T.StructType:
+    return T.StructType([query_id, row_id, T.StructField("score", T.DoubleType())])
 
 
 def vector_top_k_batch(
@@ -68,22 +77,16 @@ def vector_top_k_batch(
     they are taken in several passes over the corpus; none is left out.
     """
     total, size = queries.agg(F.count("*"), F.max(F.size(vector))).first()
-    empty_schema = T.StructType(
-        [
-            queries.schema[query_id],
-            corpus.schema[row_id],
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
+    schema = _hit_schema(queries.schema[query_id], corpus.schema[row_id])
     if not total:
-        return corpus.sparkSession.createDataFrame([], empty_schema).withColumn("rank", F.lit(0))
+        return corpus.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
     passes = -(-total * size // numbers_per_pass)
     part = F.pmod(F.xxhash64(query_id), F.lit(passes))
     found = []
     for number in range(passes):
         rows = queries.where(part == number).select(query_id, vector).collect()
         if rows:
-            found.append(_one_pass(corpus, rows, k, vector, row_id, empty_schema))
+            found.append(_one_pass(corpus, rows, k, vector, row_id, schema))
     best = Window.partitionBy(query_id).orderBy(F.col("score").desc(), F.col(row_id).asc())
     return (
         reduce(DataFrame.unionByName, found)

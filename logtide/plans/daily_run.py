@@ -52,8 +52,7 @@ def load_new_files(raw: KeyedTable, folder: str, prefix: str) -> int:
 
 
 def refresh_facts(
-    spark: SparkSession,
-    logs: DataFrame,
+    raw: KeyedTable,
     signatures: DataFrame,
     root: str,
     run_ts: datetime | str,
@@ -61,15 +60,20 @@ def refresh_facts(
 ) -> dict[str, int]:
     """Bring the three facts up to date; the rows inserted into each.
 
+    Only raw buckets that reach past the oldest fact are opened.
+
     The new transfers are decoded once and written to the shared folder, so that
     three facts read three projections of a small table and a lost executor costs
     no second decode.
     """
+    spark = raw.spark
     tables = {name: fact_table(spark, root, name, blocks_per_bucket) for name in FACTS}
     starts = [start_after(table) for table in tables.values()]
     oldest = None if None in starts else min(starts)
+    first_bucket = None if oldest is None else (oldest + 1) // blocks_per_bucket
+    new_logs = newer_than(raw.read(from_bucket=first_bucket), oldest)
     decoded = new_run_dir(spark, "transfers")
-    int_all_transfer(newer_than(logs, oldest), signatures).write.parquet(decoded)
+    int_all_transfer(new_logs, signatures).write.parquet(decoded)
     transfers = spark.read.parquet(decoded)
     return {
         name: refresh_fact(table, name, transfers, run_ts) for name, table in tables.items()
@@ -125,7 +129,7 @@ def run(
     loaded = load_new_files(raw, folder, prefix)
     if not loaded:
         return {"status": "no_data", "loaded": 0, "facts": {name: 0 for name in FACTS}}
-    facts = refresh_facts(spark, raw.read(), signatures, root, run_ts, blocks_per_bucket)
+    facts = refresh_facts(raw, signatures, root, run_ts, blocks_per_bucket)
     events = dim_event(signatures)
     events.write.mode("overwrite").parquet(f"{root}/mart/dim_event")
     report = quality_suite(spark, root, signatures, blocks_per_bucket)

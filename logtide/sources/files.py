@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logtide.constants import POLL_LIMIT
 from logtide.functions.columns import megabytes_text
 from logtide.schemas import EVENT_SIGNATURES, INDEXER_FIELDS, INDEXER_RECORD, RAW_LOGS
 from logtide.sources import storage
 
+POLL_SLOTS = 1000
 # Fixed format: prefix[_yymmdd]_<from block>_<to block>.parquet
 _STAMP = r"(?:_(\d{6}))?_(\d+)_(\d+)\.parquet"
 
@@ -90,8 +92,32 @@ def block_range(
     return df
 
 
+def block_of_row(df: DataFrame, number: int, column: str = "block_number") -> int | None:
+    """The block that holds the ``number``-th row in block order; the last block
+    when there are fewer rows, None when there are none.
+
+    Rows are counted in at most ``POLL_SLOTS`` equal slots of the block range,
+    and the slot that holds the row is looked at again, until it is one block.
+    Neither sorting nor a single task ever sees the rows.
+    """
+    low, high, rows = df.agg(F.min(column), F.max(column), F.count(column)).first()
+    if not rows or rows <= number:
+        return high
+    before = 0
+    while low < high:
+        width = -(-(high - low + 1) // POLL_SLOTS)
+        slot = F.floor((F.col(column) - low) / width).alias("slot")
+        counted = df.where(F.col(column).between(low, high)).groupBy(slot).count()
+        for at, count in sorted(tuple(row) for row in counted.collect()):
+            if before + count >= number:
+                low, high = low + at * width, min(high, low + (at + 1) * width - 1)
+                break
+            before += count
+    return low
+
+
 def poll_after(
-    df: DataFrame, last_block: int | None, limit: int, column: str = "block_number"
+    df: DataFrame, last_block: int | None, limit: int = POLL_LIMIT, column: str = "block_number"
 ) -> DataFrame:
     """The next rows after ``last_block``: about ``limit``, but whole blocks only.
 
@@ -99,10 +125,8 @@ def poll_after(
     end; a poll that goes on from its largest block misses nothing.
     """
     newer = df if last_block is None else df.where(F.col(column) > last_block)
-    cut = newer.select(column).orderBy(column).limit(limit).agg(F.max(column)).first()[0]
-    if cut is None:
-        return newer.limit(0)
-    return newer.where(F.col(column) <= cut)
+    cut = block_of_row(newer, limit, column)
+    return newer.limit(0) if cut is None else newer.where(F.col(column) <= cut)
 
 
 def latest_record(df: DataFrame, column: str = "block_number", tie: str = "id") -> DataFrame:

@@ -89,8 +89,12 @@ class KeyedTable:
         reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(*stored.fieldNames())
 
-    def read(self, version: int | None = None) -> DataFrame:
-        return self._open(self.live(version)).select(*self.schema.fieldNames())
+    def read(self, version: int | None = None, from_bucket: int | None = None) -> DataFrame:
+        """All rows, or those of the buckets from ``from_bucket`` on."""
+        live = self.live(version)
+        if from_bucket is not None:
+            live = {b: g for b, g in live.items() if _is_number(b) and int(b) >= from_bucket}
+        return self._open(live).select(*self.schema.fieldNames())
 
     def high_water(self, column: str) -> int:
         """Largest value of a column that grows with the bucket, 0 when empty.
@@ -98,7 +102,7 @@ class KeyedTable:
         Only the last bucket is read.
         """
         live = self.live()
-        numbered = [b for b in live if b.lstrip("-").isdigit()]
+        numbered = [b for b in live if _is_number(b)]
         if not numbered:
             return 0
         last = max(numbered, key=int)
@@ -163,7 +167,7 @@ class KeyedTable:
         searched = live if scope == "table" else {b: live[b] for b in buckets if b in live}
         if searched and added:
             batch_keys = self._open({b: [generation] for b in buckets}).select(*self.keys)
-            live = self._without(live, searched, broadcast_if_small(batch_keys.distinct()))
+            live = self._without(live, searched, batch_keys.distinct())
         for bucket in buckets:
             live.setdefault(bucket, []).append(generation)
         self._publish(base, live)
@@ -174,19 +178,32 @@ class KeyedTable:
     ) -> dict[str, list[str]]:
         """``live`` with the given keys taken out of the searched buckets.
 
-        Key columns alone tell which buckets hold such rows; only those are
-        rewritten.
+        Key columns alone tell which buckets may hold such rows; only those are
+        rewritten, by comparing the keys themselves.
         """
-        hits = self._open(searched).select(*self.keys, BUCKET)
-        hits = hits.join(keys, self.keys, "left_semi").select(BUCKET).distinct()
+        hits = self._candidates(searched, keys).select(BUCKET).distinct()
         touched = {_bucket_name(row[0]) for row in hits.collect()}
         if not touched:
             return live
-        kept = self._open({b: live[b] for b in touched}).join(keys, self.keys, "left_anti")
+        kept = self._open({b: live[b] for b in touched})
+        kept = kept.join(broadcast_if_small(keys), self.keys, "left_anti")
         survivors, filled, _ = self._write(kept)
         untouched = {b: generations for b, generations in live.items() if b not in touched}
         return {**untouched, **{b: [survivors] for b in filled}}
 
+    def _candidates(self, live: dict[str, list[str]], keys: DataFrame) -> DataFrame:
+        """Keys and buckets of the rows whose key hash is among those of ``keys``.
+
+        Eight bytes per key make a broadcast of millions of keys small, and a
+        shuffle, where there are more, narrow. Different keys may share a hash,
+        so this is a superset.
+        """
+        key_hash = F.xxhash64(*self.keys).alias("key_hash")
+        wanted = broadcast_if_small(keys.select(key_hash).distinct())
+        return self._open(live).select(*self.keys, BUCKET, key_hash).join(
+            wanted, "key_hash", "left_semi"
+        )
+
     def insert_absent(self, batch: DataFrame) -> int:
         """Insert the rows whose key is not in the table; the rows inserted.
 
@@ -197,11 +214,10 @@ class KeyedTable:
         rows = self._bucketed(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if live:
-                # The table's keys are filtered down to those of the batch first,
-                # so the table is scanned for its key columns but not shuffled.
-                batch_keys = broadcast_if_small(rows.select(*self.keys))
-                known = self._open(live).select(*self.keys)
-                known = known.join(batch_keys, self.keys, "left_semi")
+                # The table's keys are filtered down to those like the batch's
+                # first, so the table is scanned for its key columns but not
+                # shuffled.
+                known = self._candidates(live, rows.select(*self.keys)).select(*self.keys)
                 fresh = rows.join(known, self.keys, "left_anti")
             else:
                 fresh = rows
@@ -226,5 +242,9 @@ class KeyedTable:
         return len(spread)
 
 
+def _is_number(bucket: str) -> bool:
+    return bucket.lstrip("-").isdigit()
+
+
 def _bucket_name(value: int | None) -> str:
     return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)

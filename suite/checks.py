@@ -12,7 +12,7 @@ from logtide.plans.marts import FACTS, dim_event, fct_transfer
 from logtide.session import new_run_dir
 from suite.common import EV, RUN_TS, signatures, table, transfers
 
-BLOCKS_PER_BUCKET = 250
+BLOCKS_PER_BUCKET = 500
 
 
 def dq_not_null(spark, sf):

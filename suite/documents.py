@@ -85,10 +85,12 @@ def embed_chunks(spark, sf):
 
 
 def search_documents(spark, sf):
-    """English chunks closest to a question."""
-    embedded = chunking.embed_chunks(_chunks(spark, sf), letter_counts)
+    """English chunks closest to a question, from a stored collection."""
+    path = new_run_dir(spark, "collection")
+    chunking.embed_chunks(_chunks(spark, sf), letter_counts).write.parquet(path)
+    collection = spark.read.parquet(path)
     wanted = vector_search.search_filter(language="en")
-    hits = vector_search.vector_top_k(embedded, letter_counts([QUESTION])[0], 5, wanted)
+    hits = vector_search.vector_top_k(collection, letter_counts([QUESTION])[0], 5, wanted)
     return hits.select(F.round("score", 6).alias("score"), "document_id", "title", "chunk_id", "char_count")
 
 
@@ -104,7 +106,7 @@ def _question_vector(spark, sf):
 
 def vector_top_k(spark, sf):
     hits = vector_search.vector_top_k(
-        _vectors(spark, sf), _question_vector(spark, sf), 10, tie="vec_id"
+        _vectors(spark, sf), _question_vector(spark, sf), 10, row_id="vec_id"
     )
     return hits.select("vec_id", "stage", F.round("score", 6).alias("score"))
 
@@ -115,7 +117,7 @@ def vector_top_k_filtered(spark, sf):
         _question_vector(spark, sf),
         10,
         vector_search.search_filter(stages=[1, 2, 3]),
-        tie="vec_id",
+        row_id="vec_id",
     )
     return hits.select("vec_id", "stage", F.round("score", 6).alias("score"))
 

@@ -31,7 +31,7 @@ from suite.common import (
 )
 
 KEY = ["block_number", "log_index"]
-BLOCKS_PER_BUCKET = 250
+BLOCKS_PER_BUCKET = 500
 
 
 def _last_block(spark, sf) -> int:

@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 import pytest
@@ -74,6 +75,16 @@ def test_poll_takes_whole_blocks(spark):
     assert seen == 12
 
 
+def test_block_of_row_matches_sorting(spark, monkeypatch):
+    monkeypatch.setattr(files, "POLL_SLOTS", 3)
+    rng = random.Random(8)
+    numbers = sorted(rng.choice([rng.randint(-50, 10**9), 77, 78]) for _ in range(200))
+    df = spark.createDataFrame([(n,) for n in numbers], "block_number long")
+    for n in (1, 2, 50, 99, 120, 199, 200, 500):
+        assert files.block_of_row(df, n) == numbers[min(n, 200) - 1]
+    assert files.block_of_row(df.limit(0), 5) is None
+
+
 def test_block_range_is_inclusive(spark):
     df = blocks(spark, 1, 2, 3, 4)
     assert files.block_range(df, 2, 3).count() == 2
