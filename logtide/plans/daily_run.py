@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,9 +77,15 @@ def refresh_facts(
     decoded = new_run_dir(spark, "transfers")
     int_all_transfer(new_logs, signatures).write.parquet(decoded)
     transfers = spark.read.parquet(decoded)
-    return {
-        name: refresh_fact(table, name, transfers, run_ts) for name, table in tables.items()
-    }
+    # The facts do not depend on each other; side by side they fill the cluster.
+    with ThreadPoolExecutor(len(tables)) as pool:
+        jobs = {
+            name: pool.submit(
+                inheritable_thread_target(spark)(refresh_fact), table, name, transfers, run_ts
+            )
+            for name, table in tables.items()
+        }
+        return {name: job.result() for name, job in jobs.items()}
 
 
 def quality_suite(

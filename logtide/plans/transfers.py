@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.constants import DEFAULT_TOKEN_DECIMALS, TRANSFER_EVENT
+from logtide.constants import DEFAULT_TOKEN_DECIMALS, TOPIC_LENGTH, TRANSFER_EVENT
 from logtide.functions.hexnum import (
     amount_digits,
     amount_value,
@@ -16,7 +14,7 @@ from logtide.functions.hexnum import (
     topic_to_address,
 )
 from logtide.operators.joins import lookup_join
-from logtide.plans.staging import LINEAGE, int_event, stg_open_logs
+from logtide.plans.staging import LINEAGE, int_event, log_columns
 
 MAX_LITERAL_TOPICS = 1000
 
@@ -26,23 +24,23 @@ def event_logs(
 ) -> DataFrame:
     """Staged logs of one event that no reorganisation removed, with its name.
 
-    One event has few topics, so they become literals on the raw binary column
-    and the scan skips row groups without them; a filter on hex text could not
-    reach it. The join on the text stays, so the result is the same either way.
+    Signatures and logs meet on the raw topic bytes: one event has few topics, so
+    they also become literals, and the scan skips row groups without them. Hex
+    text could not be pushed down. Staged topics are whole bytes in lower-case
+    hex, so no other signature text could match.
     """
+    topic = F.col("topic0_hash")
     topics = (
         int_event(signatures)
-        .where(F.col("event_name") == event_name)
-        .select(F.col("topic0_hash").alias("topic0"), "event_name")
+        .where((F.col("event_name") == event_name) & topic.rlike("^0x([0-9a-f]{2})*$"))
+        .select(F.unhex(F.substring(topic, 3, TOPIC_LENGTH)).alias("topic0"), "event_name")
     )
     live = logs.where(F.col("removed") == F.lit(False))
     found = topics.select("topic0").distinct().limit(MAX_LITERAL_TOPICS + 1).collect()
     if len(found) <= MAX_LITERAL_TOPICS:
-        # Staged topics are whole bytes in lower-case hex; no other text can match.
-        whole_bytes = [r.topic0 for r in found if re.fullmatch("0x(?:[0-9a-f]{2})*", r.topic0 or "")]
-        live = live.where(F.col("topic0").isin([bytearray.fromhex(t[2:]) for t in whole_bytes]))
-    staged = stg_open_logs(live, data_encoding)
-    return lookup_join(staged, topics, "topic0")
+        live = live.where(F.col("topic0").isin([row.topic0 for row in found]))
+    named = lookup_join(live, topics, "topic0")
+    return named.select(*log_columns(logs, data_encoding), "event_name")
 
 
 def int_all_transfer(

@@ -60,17 +60,17 @@ def json_records(
             T.StructField("data", T.StructType([T.StructField(table, T.ArrayType(record))])),
         ]
     )
-    parsed = F.from_json(F.col(text), body)
-    rows = parsed["data"][table]
+    parsed = responses.select(F.from_json(text, body).alias("response"))
+    errors, rows = F.col("response.errors"), F.col(f"response.data.{table}")
     checked = (
         F.when(
-            parsed["errors"].isNotNull(),
-            F.raise_error(F.concat(F.lit("response with errors: "), parsed["errors"])),
+            errors.isNotNull(),
+            F.raise_error(F.concat(F.lit("response with errors: "), errors)),
         )
         .when(rows.isNull(), F.raise_error(F.lit(f"table '{table}' not found in response")))
         .otherwise(rows)
     )
-    return responses.select(F.explode(checked).alias("record")).select("record.*")
+    return parsed.select(F.inline(checked))
 
 
 def rename_indexer_fields(records: DataFrame) -> DataFrame:
