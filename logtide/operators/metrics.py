@@ -25,6 +25,21 @@ class SemanticModel:
     facts: dict[str, str]
     time_dimensions: dict[str, str] = field(default_factory=dict)
 
+    @classmethod
+    def from_spec(cls, spec: dict) -> SemanticModel:
+        """From a table entry of a semantic-model file: lists of name and expr."""
+
+        def named(kind: str) -> dict[str, str]:
+            entries = spec.get(kind, [])
+            return {e["name"].lower(): str(e.get("expr", e["name"])).lower() for e in entries}
+
+        return cls(
+            name=spec["name"].lower(),
+            dimensions=named("dimensions"),
+            facts=named("facts"),
+            time_dimensions=named("time_dimensions"),
+        )
+
     def dimension(self, name: str) -> Column:
         known = {**self.dimensions, **self.time_dimensions}
         return F.expr(known[self._check(name, known)]).alias(name)

@@ -23,6 +23,7 @@ from logtide.plans.marts import FACT_KEY, FACTS, dim_event
 from logtide.plans.transfers import int_all_transfer
 from logtide.schemas import RAW_LOGS
 from logtide.sources.files import file_inventory, scan_logs
+from logtide.sources.storage import layer_path
 from logtide.sources.tables import KeyedTable, block_buckets
 from logtide.session import new_run_dir
 
@@ -32,7 +33,12 @@ def raw_table(
 ) -> KeyedTable:
     bucket = block_buckets(blocks_per_bucket)
     return KeyedTable(
-        spark, f"{root}/raw/open_logs", RAW_LOGS, LOG_KEY, bucket, ["block_number", "log_index"]
+        spark,
+        layer_path(root, "open_logs", "raw"),
+        RAW_LOGS,
+        LOG_KEY,
+        bucket,
+        ["block_number", "log_index"],
     )
 
 
@@ -139,7 +145,7 @@ def run(
         return {"status": "no_data", "loaded": 0, "facts": {name: 0 for name in FACTS}}
     facts = refresh_facts(raw, signatures, root, run_ts, blocks_per_bucket)
     events = dim_event(signatures)
-    events.write.mode("overwrite").parquet(f"{root}/mart/dim_event")
+    events.write.mode("overwrite").parquet(layer_path(root, "dim_event", "mart"))
     report = quality_suite(spark, root, signatures, blocks_per_bucket)
     failed = [row.asDict() for row in report.where(F.col("failed_rows") > 0).collect()]
     return {

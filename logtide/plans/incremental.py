@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.plans.marts import FACT_KEY, FACTS
+from logtide.sources.storage import layer_path
 from logtide.sources.tables import KeyedTable, block_buckets
 
 BLOCKS_PER_BUCKET = 100_000
@@ -19,7 +20,7 @@ def fact_table(
     """The stored fact ``name`` below ``root``, bucketed and sorted by block."""
     schema = FACTS[name][1]
     bucket = block_buckets(blocks_per_bucket)
-    return KeyedTable(spark, f"{root}/mart/{name}", schema, FACT_KEY, bucket, ["block_number"])
+    return KeyedTable(spark, layer_path(root, name, "mart"), schema, FACT_KEY, bucket, ["block_number"])
 
 
 def start_after(table: KeyedTable, lookback_blocks: int = 0) -> int | None:

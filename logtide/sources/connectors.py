@@ -54,6 +54,10 @@ class KafkaSettings:
             "kafka.acks": "all",
         }
 
+    def send(self, messages: DataFrame) -> None:
+        """Write one batch of keyed messages to the topic."""
+        messages.write.format("kafka").options(**self.sink_options()).save()
+
 
 def kafka_stream(spark: SparkSession, settings: KafkaSettings) -> DataFrame:
     """Messages as text with the offsets that order copies of a key."""

@@ -16,6 +16,11 @@ def _resolve(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def layer_path(root: str, table: str, layer: str | None = None, default: str = "main") -> str:
+    """Folder of a table: below its layer (raw, staging, mart), else the default."""
+    return f"{root.rstrip('/')}/{(layer or default).strip()}/{table}"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _resolve(spark, path)
     return fs.exists(target)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from logtide.constants import CHUNK_OVERLAP, CHUNK_SIZE, SPACE_CHARS
 from logtide.functions.text import content_id
 from logtide.operators import chunking, vector_search
+from logtide.plans import knowledge
 from logtide.session import new_run_dir
 from logtide.sources import files
 from suite.common import table
@@ -84,14 +85,34 @@ def embed_chunks(spark, sf):
     )
 
 
+def _collection(spark, sf, name):
+    """All documents in a collection: the English ones first, then the rest."""
+    documents = _documents(spark, sf)
+    collection = knowledge.collection_table(spark, new_run_dir(spark, name), buckets=8)
+    english = documents.where("language = 'en'")
+    knowledge.load_collection(collection, english, letter_counts, separator=SEPARATOR)
+    results = knowledge.load_collection(collection, documents, letter_counts, separator=SEPARATOR)
+    return collection.read(), results
+
+
+def load_collection(spark, sf):
+    """What the second load did with each document, and what is stored of it."""
+    stored, results = _collection(spark, sf, "load")
+    held = stored.groupBy("document_id").agg(
+        F.count("*").alias("stored_chunks"),
+        F.count_distinct("chunk_id").alias("stored_ids"),
+        F.sum(F.aggregate("vector", F.lit(0.0), lambda t, x: t + x)).cast("long").alias("letters"),
+    )
+    return results.join(held, "document_id")
+
+
 def search_documents(spark, sf):
     """English chunks closest to a question, from a stored collection."""
-    path = new_run_dir(spark, "collection")
-    chunking.embed_chunks(_chunks(spark, sf), letter_counts).write.parquet(path)
-    collection = spark.read.parquet(path)
-    wanted = vector_search.search_filter(language="en")
-    hits = vector_search.vector_top_k(collection, letter_counts([QUESTION])[0], 5, wanted)
-    return hits.select(F.round("score", 6).alias("score"), "document_id", "title", "chunk_id", "char_count")
+    stored, _ = _collection(spark, sf, "search")
+    hits = knowledge.search_text(stored, QUESTION, letter_counts, 5, language="en")
+    return hits.select(
+        F.round("score", 6).alias("score"), "document_id", "document_title", "chunk_id", "char_count"
+    )
 
 
 def _vectors(spark, sf):
@@ -139,6 +160,7 @@ QUERIES = {
     "resume_chunks": resume_chunks,
     "load_summary": load_summary,
     "embed_chunks": embed_chunks,
+    "load_collection": load_collection,
     "search_documents": search_documents,
     "vector_top_k": vector_top_k,
     "vector_top_k_filtered": vector_top_k_filtered,
@@ -219,12 +241,20 @@ ORACLES = {
           count(*) FILTER (language = 'en') AS total_chunks_skipped FROM chunks""",
     "embed_chunks": f"""WITH RECURSIVE {_chunk_sql()} SELECT chunk_id, document_id, language,
         title, char_count, word_count, {_COUNTS} AS vector FROM chunks""",
+    "load_collection": f"""WITH RECURSIVE {_chunk_sql()}, counted AS (
+          SELECT document_id, language, list_sum({_LETTER_VECTOR}) AS letters FROM chunks)
+        SELECT document_id, true AS success, count(*) AS total_chunks,
+          count(*) FILTER (language <> 'en') AS processed_chunks,
+          count(*) FILTER (language = 'en') AS skipped_chunks,
+          count(*) AS stored_chunks, count(*) AS stored_ids,
+          CAST(sum(letters) AS BIGINT) AS letters FROM counted GROUP BY document_id""",
     "search_documents": f"""WITH RECURSIVE {_chunk_sql("lang = 'en'")}, counted AS MATERIALIZED (
           SELECT *, {_LETTER_VECTOR} AS v FROM chunks),
         scored AS (
           SELECT *, CASE WHEN list_sum(v) = 0 THEN 0
             ELSE list_cosine_similarity(v, {_QUESTION_VECTOR}) END AS s FROM counted)
-        SELECT round(s, 6) AS score, document_id, title, chunk_id, char_count FROM scored
+        SELECT round(s, 6) AS score, document_id, title AS document_title, chunk_id, char_count
+        FROM scored
         ORDER BY round(s, 12) DESC, chunk_id LIMIT 5""",
     "vector_top_k": f"""SELECT vec_id, label AS stage, round({_SCORE}, 6) AS score
         FROM embeddings ORDER BY {_SCORE} DESC, vec_id LIMIT 10""",

@@ -16,7 +16,7 @@ from logtide.schemas import INDEXER_FIELDS
 from logtide.session import new_run_dir
 from logtide.sources import files
 from logtide.sources.event_fixture import transfer_events
-from logtide.streaming import messages, sink
+from logtide.streaming import messages, producer, sink
 from suite.common import EV, RUN_TS, SECOND_RUN_TS, as_text, logs
 from suite.loads import RECORD
 
@@ -45,6 +45,20 @@ def encode_messages(spark, sf):
     return encoded.select("key", back.alias("m")).select("key", "m.*")
 
 
+def produce_messages(spark, sf):
+    """All events sent in polls of a fifth of them, starting from nothing."""
+    base, events = new_run_dir(spark, "produced"), _events(spark, sf)
+
+    def send(batch):
+        batch.write.mode("append").json(base)
+
+    producer.produce(events, send, limit=-(-events.count() // 5))
+    sent = spark.read.schema("key string, value string").json(base)
+    return sent.groupBy("key").agg(
+        F.count("*").alias("times_sent"), F.md5(F.max("value")).alias("message_md5")
+    )
+
+
 def _sent(spark, sf) -> DataFrame:
     """All events as messages: errors are cut short, sign-ups lack their value,
     every 11th is a list and every 13th has one field too many."""
@@ -161,6 +175,7 @@ def stream_drain(spark, sf):
 QUERIES = {
     "json_records": json_records,
     "encode_messages": encode_messages,
+    "produce_messages": produce_messages,
     "stream_decode": stream_decode,
     "stream_dead_letter": stream_dead_letter,
     "stream_sink": stream_sink,
@@ -187,6 +202,8 @@ ORACLES = {
     "encode_messages": f"""WITH {EV}, {RECORD} SELECT id AS key, id,
         CAST(block_number AS VARCHAR) AS block_number, timestamp, contract_address, from_address,
         to_address, value FROM record""",
+    "produce_messages": f"""WITH {_SENT} SELECT id AS key, CAST(1 AS BIGINT) AS times_sent,
+        md5({_JSON} || ',"value":"' || value || '"}}') AS message_md5 FROM sent""",
     "stream_decode": f"WITH {_SENT} SELECT {_COLUMNS} FROM sent WHERE problem IS NULL",
     "stream_dead_letter": f"""WITH {_SENT}, texts AS (
           SELECT problem, {_JSON} AS head, ',"value":"' || value || '"' AS tail

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from logtide.constants import SPACE_CHARS
 from logtide.functions import text
 from logtide.operators import chunking, vector_search
+from logtide.plans import knowledge
 from tests.helpers import plan, tuples
 
 DOCS = "id string, title string, language string, content string"
@@ -101,6 +102,28 @@ def test_resume_embed_and_summary(spark):
     assert tuple(chunking.load_summary(results.limit(0)).first()) == (0, 0, 0, 0, 0)
 
 
+def test_collection_loads_once_and_again(spark, run_dir):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(texts):
+        calls.add(len(texts))
+        return lengths(texts)
+
+    docs = spark.createDataFrame([("a", "t", "en", "one"), ("b", "u", "vi", "three")], DOCS)
+    collection = knowledge.collection_table(spark, run_dir, 2)
+    knowledge.load_collection(collection, docs.where("id = 'a'"), counted)
+    results = knowledge.load_collection(collection, docs, counted)
+    assert calls.value == 2
+    assert tuples(results.select("document_id", "processed_chunks", "skipped_chunks")) == [
+        ("a", 0, 1), ("b", 1, 0)
+    ]
+    changed = docs.withColumn("content", F.concat("content", F.lit("!")))
+    knowledge.load_collection(collection, changed, counted, resume=False)
+    assert tuples(collection.read().select("content")) == [("one!",), ("three!",)]
+    hits = knowledge.search_text(collection.read(), "four", lengths, 1, language="vi")
+    assert hits.columns == knowledge.HIT_COLUMNS and hits.first().document_title == "u"
+
+
 def test_content_id(spark):
     row = spark.createDataFrame([("abc",)], "x string").select(text.content_id(F.col("x")).alias("y")).first()
     assert row.y == "90015098"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from logtide.operators import quality
 from logtide.operators.event_catalog import event_catalog
-from logtide.operators.metrics import MINT_MODEL, metric_query, top_minters
+from logtide.operators.metrics import MINT_MODEL, SemanticModel, metric_query, top_minters
 from logtide.operators.scd2 import scd2_snapshot, start_history
 from tests.helpers import plan, tuples
 
@@ -82,6 +82,18 @@ def test_metric_query(spark):
             metric_query(mint(spark), MINT_MODEL, dimensions, measures or {"n": ("count", "*")})
 
 
+def test_semantic_model_from_a_file_entry(spark):
+    spec = {
+        "name": "FCT_MINT",
+        "dimensions": [{"name": "MINTING_ADDRESS", "expr": "MINTING_ADDRESS"}, {"name": "DATE_KEY"}],
+        "facts": [{"name": "MINTED_AMOUNT", "expr": "MINTED_AMOUNT"}],
+    }
+    model = SemanticModel.from_spec(spec)
+    measures = {"total": ("sum", "minted_amount")}
+    result = metric_query(mint(spark), model, ["date_key"], measures, order_by=["total"], limit=1)
+    assert result.first().total == Decimal("10")
+
+
 def test_metric_overflow_is_null(spark):
     big = mint(spark).withColumn("minted_amount", F.lit("9" * 20).cast("decimal(38,18)"))
     total = metric_query(big, MINT_MODEL, [], {"t": ("sum", "minted_amount")}).first().t

@@ -5,7 +5,7 @@ import pytest
 from logtide.plans import daily_run
 from logtide.session import build_session, new_run_dir, shared_dir
 from logtide.sources import files
-from logtide.streaming import messages, sink
+from logtide.streaming import messages, producer, sink
 from tests.helpers import ZERO, log, logs, signatures, tuples
 
 RUN = "2024-03-01 12:00:00"
@@ -149,6 +149,20 @@ def test_failures_are_reported(spark, stream, monkeypatch):
     assert stats["status"] == "error" and "ZeroDivisionError" in stats["failure"]
 
 
+def test_producer_goes_on_where_it_stopped(spark):
+    rows = [(f"e{b}{i}", b) for b in (1, 2, 5) for i in range(3)]
+    events = spark.createDataFrame(rows, "id string, block_number long")
+    sent = []
+
+    def send(batch):
+        sent.append([r.key for r in batch.collect()])
+
+    assert producer.produce(events, send, limit=2, polls=1) == 1
+    assert producer.produce(events, send, last_block=1, limit=4) == 5
+    assert [len(s) for s in sent] == [3, 6]
+    assert producer.produce(events, send, last_block=5) == 5 and len(sent) == 2
+
+
 def test_daily_run(spark, run_dir):
     folder, root = f"{run_dir}/files", f"{run_dir}/tables"
 
