@@ -137,8 +137,8 @@ def token_rows(logs: DataFrame) -> DataFrame:
     )
 
 
-def transfer_events(logs: DataFrame, events_per_block: int = 10) -> DataFrame:
-    """The speed layer's record of every log."""
+def transfer_events(logs: DataFrame, *extra: Column, events_per_block: int = 10) -> DataFrame:
+    """The speed layer's record of every log, with extra columns of it."""
     topic1, topic2 = bytes_to_hex(F.col("topic1")), bytes_to_hex(F.col("topic2"))
     number = F.col("block_number") * events_per_block + F.col("log_index")
     return logs.select(
@@ -149,4 +149,5 @@ def transfer_events(logs: DataFrame, events_per_block: int = 10) -> DataFrame:
         topic_to_address(topic1).alias("from_address"),
         topic_to_address(topic2).alias("to_address"),
         decode_amount(bytes_to_hex(F.col("data")), trusted=True).cast("string").alias("value"),
+        *extra,
     )

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from logtide.constants import ZERO_ADDRESS
 from logtide.functions.hexnum import bytes_to_hex
 from logtide.operators.dedup import dedup_logs as first_logs
 from logtide.operators.scd2 import scd2_snapshot as next_history
@@ -32,6 +33,7 @@ from suite.common import (
 
 KEY = ["block_number", "log_index"]
 BLOCKS_PER_BUCKET = 500
+LOAD_BUCKETS = 8
 
 
 def _last_block(spark, sf) -> int:
@@ -110,24 +112,26 @@ def _orders(spark, sf):
 def load_append(spark, sf):
     """All orders, then the open ones once more."""
     root, orders = new_run_dir(spark, "append"), _orders(spark, sf)
-    load(orders, root, "append")
-    return load(orders.where("o_orderstatus = 'O'"), root, "append").read()
+    load(orders, root, "append", buckets=LOAD_BUCKETS)
+    again = orders.where("o_orderstatus = 'O'")
+    return load(again, root, "append", buckets=LOAD_BUCKETS).read()
 
 
 def load_replace(spark, sf):
     """All orders, replaced by those that are not open."""
     root, orders = new_run_dir(spark, "replace"), _orders(spark, sf)
-    load(orders, root, "append")
-    return load(orders.where("o_orderstatus <> 'O'"), root, "replace").read()
+    load(orders, root, "append", buckets=LOAD_BUCKETS)
+    others = orders.where("o_orderstatus <> 'O'")
+    return load(others, root, "replace", buckets=LOAD_BUCKETS).read()
 
 
 def load_merge(spark, sf):
     """The orders without the fulfilled ones, merged with all but the pending
     ones at double price: open orders change, fulfilled ones are new."""
     root, orders = new_run_dir(spark, "merge"), _orders(spark, sf)
-    load(orders.where("o_orderstatus <> 'F'"), root, "append", ["o_orderkey"])
+    load(orders.where("o_orderstatus <> 'F'"), root, "append", ["o_orderkey"], buckets=LOAD_BUCKETS)
     doubled = orders.where("o_orderstatus <> 'P'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
-    return load(doubled, root, "merge", ["o_orderkey"]).read()
+    return load(doubled, root, "merge", ["o_orderkey"], buckets=LOAD_BUCKETS).read()
 
 
 def load_lineage(spark, sf):
@@ -153,10 +157,10 @@ def fct_mint_incremental(spark, sf):
 
 
 def insert_if_absent(spark, sf):
-    """Every third event, then all events twice with other values."""
+    """The mints, then all events twice with other values."""
     sink = sink_table(spark, new_run_dir(spark, "absent"))
     events = transfer_events(logs(spark, sf))
-    insert_first(sink, events.where(F.col("id").cast("long") % 3 == 0), run_ts=RUN_TS)
+    insert_first(sink, events.where(F.col("from_address") == ZERO_ADDRESS), run_ts=RUN_TS)
     changed = events.withColumn("value", F.concat("value", F.lit("1")))
     again = events.withColumn("value", F.concat("value", F.lit("2")))
     batch = changed.withColumn("offset", F.lit(1)).unionByName(again.withColumn("offset", F.lit(2)))
@@ -291,8 +295,8 @@ ORACLES = {
     "fct_mint_incremental": f"WITH {EV} {_MINT_RUNS}",
     "insert_if_absent": f"""WITH {EV}, {RECORD} SELECT id, block_number, timestamp,
         contract_address, from_address, to_address,
-        CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN value ELSE value || '1' END AS value,
-        CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN '{RUN_TS}' ELSE '{SECOND_RUN_TS}' END
+        CASE WHEN from_address = '{ZERO_ADDRESS}' THEN value ELSE value || '1' END AS value,
+        CASE WHEN from_address = '{ZERO_ADDRESS}' THEN '{RUN_TS}' ELSE '{SECOND_RUN_TS}' END
           AS created_at FROM record""",
     "dedup_logs": f"""WITH {EV} SELECT block_number, log_index, is_removed AS removed,
         transaction_hash, topic1 FROM ev""",

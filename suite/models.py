@@ -52,10 +52,9 @@ def q_bytes_to_hex(spark, sf):
 
 
 def q_base64_to_hex(spark, sf):
-    """Data as base64 text, with a character that base64 has not in block 0 mod 5."""
-    broken = F.col("block_number") % 5 == 0
+    """Data as base64 text; removed logs have a character that base64 has not."""
     text = F.base64("data")
-    sent = F.when(broken, F.concat(text, F.lit("*"))).otherwise(text)
+    sent = F.when(F.col("removed"), F.concat(text, F.lit("*"))).otherwise(text)
     return logs(spark, sf).select(*KEY, base64_to_hex(sent).alias("event_data"))
 
 
@@ -232,7 +231,7 @@ ORACLES = {
     "bytes_to_hex": f"""WITH {EV} SELECT block_number, log_index, transaction_hash,
         contract_address FROM ev""",
     "base64_to_hex": f"""WITH {EV} SELECT block_number, log_index,
-        CASE WHEN block_number % 5 <> 0 THEN event_data END AS event_data FROM ev""",
+        CASE WHEN NOT is_removed THEN event_data END AS event_data FROM ev""",
     "topic_to_address": f"""WITH {EV} SELECT block_number, log_index, from_address, to_address
         FROM ev""",
     "trim_leading_zeros": f"""WITH {EV} SELECT block_number, log_index,

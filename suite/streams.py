@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logtide.constants import APPROVAL_TOPIC
 from logtide.schemas import INDEXER_FIELDS
 from logtide.session import new_run_dir
 from logtide.sources import files
-from logtide.sources.event_fixture import transfer_events
+from logtide.sources.event_fixture import UNKNOWN_TOPIC, transfer_events
 from logtide.streaming import messages, producer, sink
 from suite.common import EV, RUN_TS, SECOND_RUN_TS, as_text, logs
 from suite.loads import RECORD
@@ -60,23 +61,28 @@ def produce_messages(spark, sf):
 
 
 def _sent(spark, sf) -> DataFrame:
-    """All events as messages: errors are cut short, sign-ups lack their value,
-    every 11th is a list and every 13th has one field too many."""
-    number = F.col("key").cast("long")
-    value = F.col("value")
-    kinds = logs(spark, sf).select(
-        (F.col("block_number") * 10 + F.col("log_index")).cast("string").alias("key"),
-        F.hex(F.substring(F.col("topic0"), 1, 1)).alias("kind"),
+    """All logs as messages: unknown events are cut short, approvals lack their
+    value, mints of one contract are lists, burns of another have one field too
+    many."""
+    raw = logs(spark, sf)
+    zero, contract = F.lit(bytearray(32)), F.lpad(F.hex("address"), 40, "0")
+    kind = (
+        F.when(F.col("topic0") == F.unhex(F.lit(UNKNOWN_TOPIC[2:])), "malformed_json")
+        .when(F.col("topic0") == F.unhex(F.lit(APPROVAL_TOPIC[2:])), "missing_field")
+        .when((F.col("topic1") == zero) & contract.endswith("1"), "not_an_object")
+        .when((F.col("topic2") == zero) & contract.endswith("2"), "unexpected_field")
     )
-    encoded = files.encode_messages(_events(spark, sf)).join(kinds, "key")
+    events = transfer_events(raw, kind.alias("kind"))
+    value = F.col("value")
     text = (
-        F.when(F.col("kind") == "99", value.substr(F.lit(1), F.length(value) - 1))
-        .when(F.col("kind") == "8C", F.regexp_replace(value, ',"value":"[0-9]*"', ""))
-        .when(number % 11 == 0, F.concat(F.lit("["), value, F.lit("]")))
-        .when(number % 13 == 0, F.regexp_replace(value, "}$", ',"chain":"x"}'))
+        F.when(F.col("kind") == "malformed_json", value.substr(F.lit(1), F.length(value) - 1))
+        .when(F.col("kind") == "missing_field", F.regexp_replace(value, ',"value":"[0-9]*"', ""))
+        .when(F.col("kind") == "not_an_object", F.concat(F.lit("["), value, F.lit("]")))
+        .when(F.col("kind") == "unexpected_field", F.regexp_replace(value, "}$", ',"chain":"x"}'))
         .otherwise(value)
     )
-    return encoded.select(text.alias("value"))
+    body = F.to_json(F.struct(*FIELDS), {"ignoreNullFields": "false"})
+    return events.select("kind", body.alias("value")).select(text.alias("value"))
 
 
 def _drained(spark, sf, name):
@@ -190,9 +196,9 @@ _COLUMNS = "id, block_number, timestamp, contract_address, from_address, to_addr
 _SENT = f"""{EV}, {RECORD}, sent AS (
   SELECT *, CASE WHEN event_type = 'error' THEN 'malformed_json'
       WHEN event_type = 'signup' THEN 'missing_field'
-      WHEN event_id % 11 = 0 THEN 'not_an_object'
-      WHEN event_id % 13 = 0 THEN 'unexpected_field' END AS problem
-  FROM (SELECT event_id, event_type, raw FROM ev) e JOIN record ON id = CAST(event_id AS VARCHAR))"""
+      WHEN event_type = 'click' AND user_id % 3 = 0 THEN 'not_an_object'
+      WHEN event_type = 'purchase' AND user_id % 3 = 1 THEN 'unexpected_field' END AS problem
+  FROM (SELECT event_id, event_type, user_id, raw FROM ev) e JOIN record ON id = CAST(event_id AS VARCHAR))"""
 _JSON = """'{"id":"' || id || '","block_number":' || block_number || ',"timestamp":"' || timestamp
   || '","contract_address":"' || contract_address || '","from_address":"' || from_address
   || '","to_address":"' || to_address || '"'"""
