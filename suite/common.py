@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logtide.constants import APPROVAL_TOPIC, TRANSFER_TOPIC
 from logtide.plans.transfers import int_all_transfer
@@ -55,11 +56,17 @@ def transfers(spark: SparkSession, sf_dir: str, mode: str = "exact") -> DataFram
 
 def as_text(df: DataFrame, *columns: str) -> DataFrame:
     """Decimals and timestamps as text, so that comparisons see every digit."""
-    kinds = dict(df.dtypes)
+    types = {f.name: f.dataType for f in df.schema.fields}
     for name in columns:
-        c = F.col(name)
-        is_time = kinds[name].startswith("timestamp")
-        text = F.date_format(c, "yyyy-MM-dd HH:mm:ss") if is_time else c.cast("string")
+        c, kind = F.col(name), types[name]
+        if isinstance(kind, T.TimestampType):
+            text = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif kind.scale:
+            # A plain cast writes small numbers with an exponent outside ANSI mode.
+            whole = "9" * (kind.precision - kind.scale - 1)
+            text = F.trim(F.to_char(c, F.lit(f"{whole}0.{'0' * kind.scale}")))
+        else:
+            text = c.cast("string")
         df = df.withColumn(name, text)
     return df
 
