@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+APART = "row_without_key"
 LOG_KEY = ["transaction_hash", "log_index"]
 
 
@@ -12,12 +15,16 @@ def first_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key by ``order``; ties go to the smallest row.
 
     An aggregate rather than a window: every task reduces its own copies first,
-    so a key that holds a third of the rows is never gathered in one task.
+    so a key that holds a third of the rows is never gathered in one task. Rows
+    with a NULL in the key are no copies of each other; all of them stay.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     candidate = F.struct(*[c for c in order if c not in keys], *rest)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    apart = F.when(no_key, F.monotonically_increasing_id())
     return (
-        df.groupBy(*keys)
+        df.withColumn(APART, apart)
+        .groupBy(*keys, APART)
         .agg(F.min(candidate).alias("first"))
         .select(*keys, "first.*")
         .select(*df.columns)

@@ -159,12 +159,10 @@ class KeyedTable:
         old rows only in the buckets of the batch, for keys that cannot change
         their bucket. Returns the rows inserted.
         """
-        if scope not in ("table", "batch_buckets"):
-            raise ValueError(f"unknown scope {scope!r}")
         base = self.version()
         live = self.live(base)
         generation, buckets, added = self._write(self._bucketed(batch))
-        searched = live if scope == "table" else {b: live[b] for b in buckets if b in live}
+        searched = self._scope(live, scope, buckets)
         if searched and added:
             batch_keys = self._open({b: [generation] for b in buckets}).select(*self.keys)
             live = self._without(live, searched, batch_keys.distinct())
@@ -204,20 +202,33 @@ class KeyedTable:
             wanted, "key_hash", "left_semi"
         )
 
-    def insert_absent(self, batch: DataFrame) -> int:
+    @staticmethod
+    def _scope(
+        live: dict[str, list[str]], scope: str, buckets: Iterable[str]
+    ) -> dict[str, list[str]]:
+        if scope not in ("table", "batch_buckets"):
+            raise ValueError(f"unknown scope {scope!r}")
+        return live if scope == "table" else {b: live[b] for b in buckets if b in live}
+
+    def insert_absent(self, batch: DataFrame, scope: str = "table") -> int:
         """Insert the rows whose key is not in the table; the rows inserted.
 
-        The batch must hold each key once (see ``first_by_key``).
+        The batch must hold each key once (see ``first_by_key``). ``scope`` is
+        that of ``upsert``.
         """
         base = self.version()
         live = self.live(base)
         rows = self._bucketed(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if live:
+            searched = live
+            if live and scope != "table":
+                held = {_bucket_name(r[0]) for r in rows.select(BUCKET).distinct().collect()}
+                searched = self._scope(live, scope, held)
+            if searched:
                 # The table's keys are filtered down to those like the batch's
                 # first, so the table is scanned for its key columns but not
                 # shuffled.
-                known = self._candidates(live, rows.select(*self.keys)).select(*self.keys)
+                known = self._candidates(searched, rows.select(*self.keys)).select(*self.keys)
                 fresh = rows.join(known, self.keys, "left_anti")
             else:
                 fresh = rows

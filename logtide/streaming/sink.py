@@ -28,7 +28,9 @@ from logtide.streaming.messages import (
     large_transfers,
 )
 
-SINK_BLOCKS_PER_BUCKET = 1_000_000
+SINK_BLOCKS_PER_BUCKET = 10_000
+COMPACT_EVERY = 200
+COUNTED = ("consumed", "attempted", "inserted", "errors", "batches")
 
 
 def sink_table(spark: SparkSession, root: str) -> KeyedTable:
@@ -45,7 +47,10 @@ class TransferSink:
     """Handles one micro-batch: the first message of an id wins, for good.
 
     Replaying a batch changes nothing: known ids are skipped, and alerts and dead
-    letters go to a folder named after the batch.
+    letters go to a folder named after the batch. Ids are looked up in the whole
+    table; where an id cannot come with another block, ``scope="batch_buckets"``
+    reads only the blocks of the batch. The small files of many batches are
+    merged every ``compact_every`` batches.
     """
 
     spark: SparkSession
@@ -53,7 +58,9 @@ class TransferSink:
     threshold: int = ALERT_THRESHOLD_TOKENS
     run_ts: datetime | str | None = None
     order: tuple[str, ...] = ("partition", "offset")
-    batches: list[dict] = field(default_factory=list)
+    scope: str = "table"
+    compact_every: int = COMPACT_EVERY
+    totals: dict[str, int] = field(default_factory=lambda: dict.fromkeys(COUNTED, 0))
     enough: Callable[[], bool] | None = None
     stopped: bool = False
 
@@ -78,18 +85,15 @@ class TransferSink:
             if large:
                 alerts = large_transfers(good, self.threshold).select(*FIELDS)
                 self._write_side(alerts, "alerts", batch_id)
-            inserted = insert_first(sink_table(self.spark, self.root), good, self.order, self.run_ts)
+            table = sink_table(self.spark, self.root)
+            inserted = insert_first(table, good, self.order, self.run_ts, self.scope)
         finally:
             decoded.unpersist()
-        self.batches.append(
-            {
-                "batch_id": batch_id,
-                "consumed": consumed,
-                "errors": malformed + rejected,
-                "attempted": consumed - rejected,
-                "inserted": inserted,
-            }
-        )
+        attempted, errors = consumed - rejected, malformed + rejected
+        for name, count in zip(COUNTED, (consumed, attempted, inserted, errors, 1)):
+            self.totals[name] += count
+        if (batch_id + 1) % self.compact_every == 0:
+            table.compact()
 
     def _write_side(self, rows: DataFrame, name: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
@@ -100,11 +104,12 @@ def insert_first(
     transfers: DataFrame,
     order: tuple[str, ...] = (),
     run_ts: datetime | str | None = None,
+    scope: str = "table",
 ) -> int:
     """Insert transfers whose id is new, the first of equal ids; the rows inserted."""
     known_order = [c for c in order if c in transfers.columns]
     first = first_by_key(transfers, ["id"], known_order).select(*FIELDS)
-    return table.insert_absent(first.withColumn("created_at", run_timestamp(run_ts)))
+    return table.insert_absent(first.withColumn("created_at", run_timestamp(run_ts)), scope)
 
 
 def start(
@@ -131,28 +136,23 @@ def drain(
     for the next run with the same checkpoint.
     """
     began = time.monotonic()
-    already = len(sink.batches)
 
     def enough() -> bool:
-        done = sum(batch["consumed"] for batch in sink.batches[already:])
         late = time.monotonic() - began >= max_seconds
-        return late or (max_messages is not None and done >= max_messages)
+        return late or (max_messages is not None and sink.totals["consumed"] >= max_messages)
 
+    sink.totals = dict.fromkeys(COUNTED, 0)
     sink.enough, sink.stopped = enough, False
     failure = None
     try:
         start(messages, sink, checkpoint).awaitTermination()
     except StreamingQueryException as error:
         failure = None if sink.stopped else str(error)
-    return drain_stats(sink.batches[already:], time.monotonic() - began, failure)
+    return drain_stats(sink.totals, time.monotonic() - began, failure)
 
 
-def drain_stats(batches: list[dict], seconds: float = 0.0, failure: str | None = None) -> dict:
-    """Totals over batches; ``partial`` when some messages were bad."""
-    totals = {
-        name: sum(batch[name] for batch in batches)
-        for name in ("consumed", "attempted", "inserted", "errors")
-    }
+def drain_stats(totals: dict[str, int], seconds: float = 0.0, failure: str | None = None) -> dict:
+    """The report of a drain; ``partial`` when some messages were bad."""
     errors = totals["errors"] + (1 if failure else 0)
     if not errors:
         status = "success"
@@ -162,7 +162,7 @@ def drain_stats(batches: list[dict], seconds: float = 0.0, failure: str | None =
         "messages_consumed": totals["consumed"],
         "rows_attempted": totals["attempted"],
         "rows_inserted": totals["inserted"],
-        "batches_processed": len(batches),
+        "batches_processed": totals["batches"],
         "duration_seconds": round(seconds, 2),
         "total_errors": errors,
         "status": status,

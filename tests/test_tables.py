@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,6 +91,38 @@ def test_insert_absent_when_the_batch_is_too_large_to_broadcast(spark, table, mo
     assert table.insert_absent(rows(spark, (2, "x"), (3, "c"))) == 1
 
 
+def test_insert_absent_by_bucket(spark, table):
+    table.insert_absent(rows(spark, (1, "a"), (15, "b")))
+    batch = rows(spark, (1, "x"), (2, "c"), (25, "d"))
+    assert table.insert_absent(batch, scope="batch_buckets") == 2
+    with pytest.raises(ValueError):
+        table.insert_absent(batch, scope="nowhere")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_writes_match_a_plain_list(spark, table, seed):
+    rng, model = random.Random(seed), []
+    for step in range(8):
+        keys = [rng.choice([None, *range(30)]) for _ in range(rng.randint(0, 12))]
+        batch = [(k, f"{step}.{i}") for i, k in enumerate(keys)]
+        action = rng.choice(["append", "upsert", "upsert", "insert_absent", "compact", "replace"])
+        if action == "compact":
+            table.compact()
+            continue
+        if action == "insert_absent":
+            batch = list({k: (k, v) for k, v in batch if k is not None}.values())
+        getattr(table, action)(rows(spark, *batch))
+        gone = {k for k, _ in batch if k is not None}
+        if action == "upsert":
+            model = [r for r in model if r[0] not in gone] + batch
+        elif action == "insert_absent":
+            held = {k for k, _ in model}
+            model += [r for r in batch if r[0] not in held]
+        else:
+            model = (model if action == "append" else []) + batch
+        assert tuples(table.read()) == sorted(model, key=str)
+
+
 def test_compact_changes_no_rows(spark, table):
     for i in range(3):
         table.append(rows(spark, (i, "a"), (i + 100, "b")))
@@ -130,6 +164,11 @@ def test_first_by_key_takes_one_row_per_key(spark):
     assert tuples(first_by_key(df, ["id"], ["offset"])) == [(1, 1, "A"), (2, 5, "z")]
 
 
+def test_rows_without_a_key_stay(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 1, "a"), (3, 1, "b"), (3, 2, "c")], "id int, offset int, v string")
+    assert tuples(first_by_key(df, ["id"], ["offset"])) == [(3, 1, "b"), (None, 1, "a"), (None, 1, "a")]
+
+
 def test_dedup_reduces_before_the_shuffle(spark):
     raw = logs(spark, [log(1, tx=5, block=9)] * 500 + [log(1, tx=5, block=8, removed=True), log(2)])
     deduped = dedup_logs(raw)
