@@ -18,8 +18,6 @@ _TWO_POW_48 = 1 << 48
 _TWO_POW_96 = 1 << 96
 # 10^38 - 1, the largest decimal(38,0), has 32 hex digits.
 _EXACT_DIGITS = 32
-# A uint256 has at most 78 decimal digits, so no token has more decimals.
-_MAX_DECIMALS = 78
 
 
 def bytes_to_hex(c: Column) -> Column:
@@ -67,18 +65,18 @@ def hex_exact(digits: Column, trusted: bool = False) -> Column:
     on the result repeats the expression for every mention.
     """
     text = digits if trusted else trim_leading_zeros(digits)
+    size = F.length(text)
     padded = F.lpad(text, _EXACT_DIGITS, "0")
     high = _digits_to_long(F.substring(padded, 1, 8))
     middle = _digits_to_long(F.substring(padded, 9, 12))
     low = _digits_to_long(F.substring(padded, 21, 12))
     two_48 = F.lit(str(_TWO_POW_48)).cast("decimal(15,0)")
     two_96 = F.lit(str(_TWO_POW_96)).cast("decimal(29,0)")
-    upper = F.try_add(
-        F.try_multiply(high, two_96).cast("decimal(38,0)"),
-        (middle * two_48).cast("decimal(38,0)"),
-    )
-    value = F.try_add(upper.cast("decimal(38,0)"), low).cast("decimal(38,0)")
-    fits = F.length(text) <= _EXACT_DIGITS
+    zero = F.lit(0).cast("decimal(38,0)")
+    # Amounts past 2^96 are rare; the others skip the wide product.
+    top = F.when(size > 24, F.try_multiply(high, two_96).cast("decimal(38,0)")).otherwise(zero)
+    value = F.try_add((middle * two_48 + low).cast("decimal(38,0)"), top).cast("decimal(38,0)")
+    fits = size <= _EXACT_DIGITS
     return F.when(fits if trusted else fits & digits.rlike(_HEX_TEXT), value)
 
 
@@ -128,12 +126,10 @@ def uint256_to_decimal(hex_text: Column) -> Column:
 def token_amount(raw: Column, decimals: int = DEFAULT_TOKEN_DECIMALS) -> Column:
     """Exact token amount as ``decimal(38,18)`` for one fixed number of decimals.
 
-    The point is set into the digits of the unsigned ``raw``, so nothing is
+    The digits get an exponent and are read back, so nothing is divided or
     rounded. NULL when the amount does not fit.
     """
-    width = max(38, decimals + 1)
-    digits = F.lpad(raw.cast("string"), width, "0")
-    return F.overlay(digits, F.lit("."), width - decimals + 1, 0).try_cast("decimal(38,18)")
+    return F.concat(raw.cast("string"), F.lit(f"E-{decimals}")).try_cast("decimal(38,18)")
 
 
 def convert_token_amount(raw: Column, decimals: Column, precision: int = 8) -> Column:
@@ -141,7 +137,5 @@ def convert_token_amount(raw: Column, decimals: Column, precision: int = 8) -> C
 
     Rounds half up; NULL when the amount does not fit.
     """
-    width = 38 + _MAX_DECIMALS
-    digits = F.lpad(raw.cast("string"), width, "0")
-    point = F.lit(width + 1) - decimals.cast("int")
-    return F.overlay(digits, F.lit("."), point, 0).try_cast(f"decimal(28,{precision})")
+    shifted = F.concat(raw.cast("string"), F.lit("E-"), decimals.cast("int").cast("string"))
+    return shifted.try_cast(f"decimal(28,{precision})")
