@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from logtide.constants import ADDRESS_LENGTH, MAX_PLAUSIBLE_BLOCK
 
+# Table, name, and a predicate that holds for failing rows.
+Check = tuple[str, str, Column]
+
 # --- predicates ------------------------------------------------------------
 
 
@@ -70,17 +73,25 @@ def invalid_addresses(df: DataFrame, column: str = "contract_address") -> DataFr
 # --- reports ---------------------------------------------------------------
 
 
-def row_check_report(df: DataFrame, table: str, checks: dict[str, Column]) -> DataFrame:
-    """One row per check with its failing rows, from one scan of ``df``."""
-    names = list(checks)
-    counted = df.agg(*[F.count_if(checks[n]).alias(f"c{i}") for i, n in enumerate(names)])
+def checks_report(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row per check with its failing rows, from one scan of ``df``.
+
+    A check is (table, name, predicate); one pass may serve several tables.
+    """
+    counted = df.agg(*[F.count_if(failing).alias(f"c{i}") for i, (*_, failing) in enumerate(checks)])
     rows = [
-        F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("failed_rows"))
-        for i, n in enumerate(names)
+        F.struct(
+            F.lit(name).alias("check_name"),
+            F.lit(table).alias("table_name"),
+            F.col(f"c{i}").alias("failed_rows"),
+        )
+        for i, (table, name, _) in enumerate(checks)
     ]
-    return counted.select(F.inline(F.array(*rows))).select(
-        "check_name", F.lit(table).alias("table_name"), "failed_rows"
-    )
+    return counted.select(F.inline(F.array(*rows)))
+
+
+def row_check_report(df: DataFrame, table: str, checks: dict[str, Column]) -> DataFrame:
+    return checks_report(df, [(table, name, failing) for name, failing in checks.items()])
 
 
 def unique_report(df: DataFrame, table: str, keys: list[str]) -> DataFrame:

@@ -9,9 +9,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.constants import EVENT_CATEGORIES
-from logtide.operators import quality
 from logtide.operators.dedup import LOG_KEY, dedup_logs
+from logtide.plans.checks import quality_suite
 from logtide.plans.incremental import (
     BLOCKS_PER_BUCKET,
     fact_table,
@@ -19,7 +18,7 @@ from logtide.plans.incremental import (
     refresh_fact,
     start_after,
 )
-from logtide.plans.marts import FACT_KEY, FACTS, dim_event
+from logtide.plans.marts import FACTS, dim_event
 from logtide.plans.transfers import int_all_transfer
 from logtide.schemas import RAW_LOGS
 from logtide.sources.files import file_inventory, scan_logs
@@ -94,37 +93,6 @@ def refresh_facts(
         return {name: job.result() for name, job in jobs.items()}
 
 
-def quality_suite(
-    spark: SparkSession, root: str, signatures: DataFrame,
-    blocks_per_bucket: int = BLOCKS_PER_BUCKET,
-) -> DataFrame:
-    """Failed rows per check over the stored facts and the event dimension."""
-    facts = {n: fact_table(spark, root, n, blocks_per_bucket).read() for n in FACTS}
-    dimension = dim_event(signatures)
-    required = {
-        "fct_mint": [*FACT_KEY, "date_key", "contract_address", "minting_address", "dbt_loaded_at"],
-        "fct_burn": [
-            *FACT_KEY, "date_key", "block_number", "contract_address", "burned_from_address",
-            "dbt_loaded_at",
-        ],
-        "fct_transfer": FACT_KEY,
-    }
-    reports = []
-    for name, fact in facts.items():
-        checks = quality.not_null_checks(required[name])
-        checks["valid_address:contract_address"] = quality.invalid_address("contract_address")
-        checks["block_range:block_number"] = quality.implausible_block("block_number")
-        reports.append(quality.row_check_report(fact, name, checks))
-        reports.append(quality.unique_report(fact, name, FACT_KEY))
-    checks = quality.not_null_checks(["topic0_hash"])
-    checks["accepted_values:event_category"] = quality.not_accepted(
-        "event_category", EVENT_CATEGORIES
-    )
-    reports.append(quality.row_check_report(dimension, "dim_event", checks))
-    reports.append(quality.unique_report(dimension, "dim_event", ["topic0_hash"]))
-    return quality.combine_reports(reports)
-
-
 def run(
     spark: SparkSession,
     folder: str,
@@ -146,7 +114,8 @@ def run(
     facts = refresh_facts(raw, signatures, root, run_ts, blocks_per_bucket)
     events = dim_event(signatures)
     events.write.mode("overwrite").parquet(layer_path(root, "dim_event", "mart"))
-    report = quality_suite(spark, root, signatures, blocks_per_bucket)
+    stored = {name: fact_table(spark, root, name, blocks_per_bucket).read() for name in FACTS}
+    report = quality_suite(raw.read(), signatures, stored)
     failed = [row.asDict() for row in report.where(F.col("failed_rows") > 0).collect()]
     return {
         "status": "failed_checks" if failed else "success",

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from logtide.constants import EVENT_CATEGORIES
 from logtide.operators import quality
-from logtide.plans.daily_run import quality_suite
+from logtide.plans.checks import quality_suite
 from logtide.plans.incremental import fact_table, refresh_fact
 from logtide.plans.marts import FACTS, dim_event, fct_transfer
 from logtide.session import new_run_dir
-from suite.common import EV, RUN_TS, signatures, table, transfers
+from suite.common import EV, RUN_TS, logs, signatures, table, transfers
 
 BLOCKS_PER_BUCKET = 500
 
@@ -74,12 +74,13 @@ def dq_block_range(spark, sf):
 
 
 def dq_report(spark, sf):
-    """The whole suite over freshly built facts and the dimension."""
+    """Every declared check, over raw logs, models and freshly built facts."""
     root = new_run_dir(spark, "checked")
     decoded = transfers(spark, sf)
     for name in FACTS:
         refresh_fact(fact_table(spark, root, name, BLOCKS_PER_BUCKET), name, decoded, RUN_TS)
-    return quality_suite(spark, root, signatures(spark, sf), BLOCKS_PER_BUCKET)
+    stored = {name: fact_table(spark, root, name, BLOCKS_PER_BUCKET).read() for name in FACTS}
+    return quality_suite(logs(spark, sf), signatures(spark, sf), stored)
 
 
 QUERIES = {
@@ -92,48 +93,53 @@ QUERIES = {
     "dq_report": dq_report,
 }
 
+_LOG_COLUMNS = ["transaction_hash", "log_index", "block_number"]
+_FACT_COLUMNS = ["transaction_hash", "log_index", "date_key", "contract_address", "dbt_loaded_at"]
 _REQUIRED = {
-    "fct_mint": (
-        "click", "minting_address",
-        ["date_key", "contract_address", "minting_address", "dbt_loaded_at"],
+    "open_logs": ("ev", [*_LOG_COLUMNS, "address"]),
+    "stg_open_logs": ("ev", [*_LOG_COLUMNS, "contract_address"]),
+    "int_all_transfer": (
+        "transfers", [*_LOG_COLUMNS, "contract_address", "from_address", "to_address"]
     ),
+    "fct_mint": ("transfers WHERE event_type = 'click'", [*_FACT_COLUMNS, "minting_address"]),
     "fct_burn": (
-        "purchase", "burned_from_address",
-        ["date_key", "block_number", "contract_address", "burned_from_address", "dbt_loaded_at"],
+        "transfers WHERE event_type = 'purchase'",
+        [*_FACT_COLUMNS, "block_number", "burned_from_address"],
     ),
-    "fct_transfer": ("view", "", []),
+    "fct_transfer": ("transfers WHERE event_type = 'view'", []),
+    "event_signature": ("part", ["topic0"]),
+    "stg_event_signature": ("part", ["topic0_hash"]),
+    "int_event": ("part", ["topic0_hash"]),
+    "dim_event": ("part", ["topic0_hash"]),
+}
+_COLUMN_SQL = {
+    "date_key": "20240301", "dbt_loaded_at": f"'{RUN_TS}'", "address": "contract_address",
+    "minting_address": "to_address", "burned_from_address": "from_address",
+    "topic0": "p_partkey", "topic0_hash": "p_partkey",
 }
 
 
 def _report_sql() -> str:
-    """Failed rows per check, counted on the events behind each fact."""
-    columns = {
-        "date_key": "20240301", "dbt_loaded_at": f"'{RUN_TS}'",
-        "minting_address": "to_address", "burned_from_address": "from_address",
-    }
+    """Failed rows per check, counted on the rows behind each model."""
     lines = []
-    for fact, (kind, _, extra) in _REQUIRED.items():
-        source = f"FROM transfers WHERE event_type = '{kind}'"
-        for column in ["transaction_hash", "log_index", *extra]:
-            expression = columns.get(column, column)
-            lines.append(
-                f"SELECT 'not_null:{column}', '{fact}', "
-                f"count(*) FILTER ({expression} IS NULL) {source}"
-            )
-        lines.append(
-            f"SELECT 'valid_address:contract_address', '{fact}', count(*) FILTER ("
-            f"length(contract_address) <> 42 OR left(contract_address, 2) <> '0x') {source}"
-        )
-        lines.append(
-            f"SELECT 'block_range:block_number', '{fact}', count(*) FILTER ("
-            f"block_number < 0 OR block_number > 999999999) {source}"
-        )
-        lines.append(
-            f"SELECT 'unique:transaction_hash,log_index', '{fact}', "
-            f"count(*) - count(DISTINCT (transaction_hash, log_index)) {source}"
-        )
-    for check in ("not_null:topic0_hash", "accepted_values:event_category", "unique:topic0_hash"):
-        lines.append(f"SELECT '{check}', 'dim_event', count(*) FILTER (p_partkey IS NULL) FROM part")
+
+    def add(check, model, failed):
+        lines.append(f"SELECT '{check}', '{model}', {failed} FROM {_REQUIRED[model][0]}")
+
+    for model, (_, columns) in _REQUIRED.items():
+        for column in columns:
+            expression = _COLUMN_SQL.get(column, column)
+            add(f"not_null:{column}", model, f"count(*) FILTER ({expression} IS NULL)")
+    add("block_range:block_number", "int_all_transfer",
+        "count(*) FILTER (block_number < 0 OR block_number > 999999999)")
+    for fact in ("fct_mint", "fct_burn", "fct_transfer"):
+        add("valid_address:contract_address", fact,
+            "count(*) FILTER (length(contract_address) <> 42 OR left(contract_address, 2) <> '0x')")
+        add("unique:transaction_hash,log_index", fact,
+            "count(*) - count(DISTINCT (transaction_hash, log_index))")
+    add("accepted_values:event_category", "dim_event", "count(*) FILTER (p_partkey IS NULL)")
+    for model in ("stg_event_signature", "dim_event"):
+        add("unique:topic0_hash", model, "count(*) - count(DISTINCT p_partkey)")
     return " UNION ALL ".join(lines)
 
 

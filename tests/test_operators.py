@@ -10,7 +10,11 @@ from logtide.operators import quality
 from logtide.operators.event_catalog import event_catalog
 from logtide.operators.metrics import MINT_MODEL, SemanticModel, metric_query, top_minters
 from logtide.operators.scd2 import scd2_snapshot, start_history
-from tests.helpers import plan, tuples
+from logtide.constants import TRANSFER_TOPIC
+from logtide.plans.checks import quality_suite
+from logtide.plans.marts import fct_transfer
+from logtide.plans.transfers import int_all_transfer
+from tests.helpers import log, logs, plan, signatures, tuples
 
 T1, T2, T3 = ("2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00")
 ADDRESS = "0x" + "ab" * 20
@@ -33,6 +37,26 @@ def test_row_checks_count_in_one_pass(spark):
     }
 
 
+def test_declared_checks_find_broken_rows(spark):
+    raw = logs(spark, [log(0), log(1, sender=None), log(2, block=2 * 10**9)])
+    raw = raw.withColumn("_dlt_id", F.lit("same"))
+    sigs = signatures(spark, [(TRANSFER_TOPIC, "Transfer", "t"), (None, "Paused", "p()")])
+    decoded = int_all_transfer(raw, sigs)
+    facts = {"fct_transfer": fct_transfer(decoded, T1).withColumn("contract_address", F.lit("0x1"))}
+    report = quality_suite(raw, sigs, facts)
+    failed = {(r.table_name, r.check_name): r.failed_rows for r in report.where("failed_rows > 0").collect()}
+    assert failed == {
+        ("open_logs", "unique:_dlt_id"): 1,
+        ("event_signature", "not_null:topic0"): 1,
+        ("stg_event_signature", "not_null:topic0_hash"): 1,
+        ("int_event", "not_null:topic0_hash"): 1,
+        ("dim_event", "not_null:topic0_hash"): 1,
+        ("int_all_transfer", "not_null:from_address"): 1,
+        ("int_all_transfer", "block_range:block_number"): 1,
+        ("fct_transfer", "valid_address:contract_address"): 2,
+    }
+
+
 def test_empty_table_passes(spark):
     empty = spark.createDataFrame([], "a string")
     report = quality.combine_reports(
