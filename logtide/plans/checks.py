@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from logtide.constants import EVENT_CATEGORIES
 from logtide.operators import quality
 from logtide.plans.marts import FACT_KEY, dim_event
-from logtide.plans.staging import int_event, log_columns, stg_event_signature
+from logtide.plans.staging import (
+    int_event,
+    log_columns,
+    stg_event_signature,
+    stg_open_logs,
+)
 from logtide.plans.transfers import int_all_transfer
 
 # Columns that must not be NULL, by model.
@@ -41,19 +46,18 @@ def _not_null(model: str) -> list[quality.Check]:
 
 def source_report(logs: DataFrame, signatures: DataFrame) -> list[DataFrame]:
     """Raw and staged logs in one pass, and the signatures."""
-    staged = logs.select(
-        F.struct(*logs.columns).alias("raw"), F.struct(*log_columns(logs)).alias("staged")
-    )
-    checks = []
-    for model, side in (("open_logs", "raw"), ("stg_open_logs", "staged")):
-        for column in NOT_NULL[model]:
-            checks.append((model, f"not_null:{column}", F.col(f"{side}.{column}").isNull()))
+    names = stg_open_logs(logs).columns
+    staged = [c.alias(f"staged_{n}") for n, c in zip(names, log_columns(logs))]
+    both = logs.select(*logs.columns, *staged)
+    checks = _not_null("open_logs")
+    for column in NOT_NULL["stg_open_logs"]:
+        checks.append(("stg_open_logs", f"not_null:{column}", F.col(f"staged_{column}").isNull()))
     reports = []
     if "_dlt_id" in logs.columns:
-        checks.append(("open_logs", "not_null:_dlt_id", F.col("raw._dlt_id").isNull()))
+        checks.append(("open_logs", "not_null:_dlt_id", F.col("_dlt_id").isNull()))
         reports.append(quality.unique_report(logs, "open_logs", ["_dlt_id"]))
     reports += [
-        quality.checks_report(staged, checks),
+        quality.checks_report(both, checks),
         quality.checks_report(signatures, _not_null("event_signature")),
         quality.checks_report(stg_event_signature(signatures), _not_null("stg_event_signature")),
         quality.checks_report(int_event(signatures), _not_null("int_event")),

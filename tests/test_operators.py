@@ -11,7 +11,7 @@ from logtide.operators.event_catalog import event_catalog
 from logtide.operators.metrics import MINT_MODEL, SemanticModel, metric_query, top_minters
 from logtide.operators.scd2 import scd2_snapshot, start_history
 from logtide.constants import TRANSFER_TOPIC
-from logtide.plans.checks import quality_suite
+from logtide.plans.checks import quality_suite, source_report
 from logtide.plans.marts import fct_transfer
 from logtide.plans.transfers import int_all_transfer
 from tests.helpers import log, logs, plan, signatures, tuples
@@ -57,6 +57,13 @@ def test_declared_checks_find_broken_rows(spark):
     }
 
 
+def test_source_checks_read_only_their_columns(spark, run_dir):
+    logs(spark, [log()]).write.parquet(run_dir)
+    report = source_report(spark.read.parquet(run_dir), signatures(spark))[0]
+    schema = plan(report).split("ReadSchema: ")[1].split(">")[0]
+    assert "topic1" not in schema and "data" not in schema and "transaction_hash" in schema
+
+
 def test_empty_table_passes(spark):
     empty = spark.createDataFrame([], "a string")
     report = quality.combine_reports(
