@@ -16,7 +16,7 @@ from logtide.plans.staging import (
 )
 from logtide.plans.transfers import int_all_transfer
 
-# Columns that must not be NULL, by model.
+# The columns that must not be NULL, by model.
 NOT_NULL = {
     "open_logs": ["log_index", "transaction_hash", "block_number", "address"],
     "event_signature": ["topic0"],

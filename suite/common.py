@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 from logtide.constants import APPROVAL_TOPIC, TRANSFER_TOPIC
 from logtide.plans.transfers import int_all_transfer
 from logtide.session import new_run_dir
-from logtide.sources.event_fixture import UNKNOWN_TOPIC, log_rows, signature_rows
 from logtide.sources.files import scan_logs, scan_signatures
+from suite.event_fixture import UNKNOWN_TOPIC, log_rows, signature_rows
 
 RUN_TS = "2024-03-01 12:00:00"
 SECOND_RUN_TS = "2024-03-02 12:00:00"

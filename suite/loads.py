@@ -16,7 +16,6 @@ from logtide.plans.incremental import fact_table, refresh_fact
 from logtide.plans.marts import fct_mint
 from logtide.session import new_run_dir
 from logtide.sources import files
-from logtide.sources.event_fixture import transfer_events
 from logtide.sources.loads import load, with_load_lineage
 from logtide.streaming.sink import insert_first, sink_table
 from suite.common import (
@@ -30,6 +29,7 @@ from suite.common import (
     tokens_sql,
     transfers,
 )
+from suite.event_fixture import transfer_events
 
 KEY = ["block_number", "log_index"]
 BLOCKS_PER_BUCKET = 500

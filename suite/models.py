@@ -21,8 +21,8 @@ from logtide.operators.metrics import MINT_MODEL, metric_query, top_minters
 from logtide.plans.marts import dim_event, fct_burn, fct_mint, fct_transfer
 from logtide.plans.staging import stg_event_signature, stg_open_logs
 from logtide.plans.transfers import with_token_amount
-from logtide.sources.event_fixture import abi_rows, token_rows
 from suite.common import EV, RUN_TS, as_text, logs, signatures, table, tokens_sql, transfers
+from suite.event_fixture import abi_rows, token_rows
 
 KEY = ["block_number", "log_index"]
 

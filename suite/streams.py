@@ -16,9 +16,9 @@ from logtide.constants import APPROVAL_TOPIC
 from logtide.schemas import INDEXER_FIELDS
 from logtide.session import new_run_dir
 from logtide.sources import files
-from logtide.sources.event_fixture import UNKNOWN_TOPIC, transfer_events
 from logtide.streaming import messages, producer, sink
 from suite.common import EV, RUN_TS, SECOND_RUN_TS, as_text, logs
+from suite.event_fixture import UNKNOWN_TOPIC, transfer_events
 from suite.loads import RECORD
 
 THRESHOLD_TOKENS = 1000
