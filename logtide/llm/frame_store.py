@@ -80,7 +80,6 @@ class FrameWriter:
             _FOOTER, len(self._frames), _HAS_CHECKSUMS, _FOOTER_MAGIC
         )
         self._out.write(struct.pack(_HEAD, _SEEK_MAGIC, len(table)) + table)
-        self._out.write(struct.pack("<Q", len(directory) + struct.calcsize(_HEAD)))
 
 
 class FrameReader:
@@ -88,19 +87,19 @@ class FrameReader:
 
     def __init__(self, file):
         self._file = file
-        size = file.size()
-        tail = self._at(size - 8 - struct.calcsize(_FOOTER), 8 + struct.calcsize(_FOOTER))
-        n_frames, flags, magic = struct.unpack(_FOOTER, tail[: struct.calcsize(_FOOTER)])
+        footer = struct.calcsize(_FOOTER)
+        footer_at = file.size() - footer
+        n_frames, flags, magic = struct.unpack(_FOOTER, self._at(footer_at, footer))
         if magic != _FOOTER_MAGIC or flags != _HAS_CHECKSUMS:
             raise ValueError("no seek table at the end of the file")
-        (directory_size,) = struct.unpack("<Q", tail[struct.calcsize(_FOOTER) :])
-        table_size = n_frames * _ENTRY.itemsize + struct.calcsize(_FOOTER)
-        table_at = size - 8 - table_size
-        self._frames = np.frombuffer(self._at(table_at, n_frames * _ENTRY.itemsize), _ENTRY)
-        self._starts = np.concatenate([[0], np.cumsum(self._frames["compressed"].astype(np.int64))])
-        at = table_at - struct.calcsize(_HEAD) - directory_size
+        table = n_frames * _ENTRY.itemsize
+        self._frames = np.frombuffer(self._at(footer_at - table, table), _ENTRY)
+        self._starts = np.concatenate([[0], np.cumsum(self._frames["compressed"], dtype=np.int64)])
+        head = struct.calcsize(_HEAD)
+        directory_at = int(self._starts[-1])
+        _, directory = struct.unpack(_HEAD, self._at(directory_at, head))
         self._zstd = zstandard.ZstdDecompressor()
-        raw = self._zstd.decompress(self._at(at + struct.calcsize(_HEAD), directory_size - struct.calcsize(_HEAD)))
+        raw = self._zstd.decompress(self._at(directory_at + head, directory))
         n, self._frame_ids, width = struct.unpack_from(_DIRECTORY, raw)
         self._dtype, begin = np.dtype(f"<u{width}"), struct.calcsize(_DIRECTORY)
         ids = np.frombuffer(raw, "<i8", n, begin).tolist()
@@ -185,7 +184,7 @@ def write_token_files(
             for doc_id, row_fp, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if writer is None:
                     name, n_docs, head = f"tokens-{uuid.uuid4().hex}.zst", 0, (doc_id, row_fp)
-                    stream = filesystem.open_output_stream(f"{root}/.{name}")
+                    stream = filesystem.open_output_stream(f"{root}/.{name}", compression=None)
                     writer = FrameWriter(stream, width)
                 ids = np.concatenate([np.frombuffer(encoder.encode(text), "<u4"), end])
                 writer.add(doc_id, ids)
