@@ -3,10 +3,25 @@ SQL can."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import content_parts, frame_store, length_histogram, rule_ledger, two_fit_packing
+from logtide.llm import (
+    bayes_minhash,
+    content_parts,
+    cover_dedup,
+    fm_decontaminate,
+    frame_store,
+    length_histogram,
+    ordinal_quality,
+    rule_ledger,
+    two_fit_packing,
+    warc_derivatives,
+)
+from logtide.llm.oracles import ORACLES  # noqa: F401
+from logtide.llm.words import arrow_map, keyed, utf8
 from logtide.llm.workspace import Workspace
 
 
@@ -14,6 +29,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def q_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    ratings = ordinal_quality.graded_labels(_table(spark, sf_dir, "labels"))
+    model = ordinal_quality.train(docs, ratings, 3)
+    tails = F.col("tails")
+    return ordinal_quality.score(docs, model).select(
+        "doc_id", "score", "expected_grade",
+        tails[0].alias("p_not_toxic"), tails[1].alias("p_good"), (tails[1] >= 0.5).alias("kept"),
+    )
+
+
 def q_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rule_ledger.ledger(_table(spark, sf_dir, "documents"))
     base = rule_ledger.policy_mask("base-1")
@@ -59,12 +85,74 @@ def q_content_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_decontaminate.find_contamination(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
+    )
+    items = F.array_sort(F.transform("bench_items", lambda i: i.cast("string")))
+    n_hit = F.aggregate(
+        "bench_spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"]
+    )
+    return found.select(
+        "doc_id", F.col("bench_n_words").alias("n_words"), n_hit.alias("n_hit"),
+        F.size("bench_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def q_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "op6")
     pieces = work.saved(two_fit_packing.token_pieces(_table(spark, sf_dir, "documents")), "pieces")
     return two_fit_packing.pack(pieces)
 
 
+def _kept_digest(docs: DataFrame) -> DataFrame:
+    """Word count, removed words and digest of the kept ones; ``spans`` may be null."""
+
+    def digest(batches):
+        for batch in batches:
+            rows = {"n_words": [], "n_removed": [], "kept_sha256": []}
+            for text, spans in zip(utf8(batch.column(2)), batch.column(3).to_pylist(), strict=True):
+                words = text.split() if text else []
+                kept = cover_dedup.kept_words(words, spans) if spans else words
+                rows["n_words"].append(len(words))
+                rows["n_removed"].append(len(words) - len(kept))
+                rows["kept_sha256"].append(hashlib.sha256(b" ".join(kept)).hexdigest())
+            yield rows | {"doc_id": batch.column(0), "row_fp": batch.column(1)}
+
+    return arrow_map(
+        docs.select("doc_id", "row_fp", "text", "spans"), digest,
+        "doc_id long, row_fp long, n_words long, n_removed long, kept_sha256 string",
+    )
+
+
+def q_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = keyed(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    changed = _kept_digest(cover_dedup.repeated_spans(docs, Workspace(spark, "op7")))
+    changed = changed.dropDuplicates(["doc_id", "row_fp"]).select(
+        F.col("doc_id").alias("changed_id"), F.col("row_fp").alias("changed_fp"),
+        F.col("n_removed").alias("gone"), F.col("kept_sha256").alias("left_sha256"),
+    )
+    whole = _kept_digest(docs.withColumn("spans", F.lit(None).cast("array<struct<first:int,last:int>>")))
+    same = F.col("doc_id").eqNullSafe(F.col("changed_id")) & (F.col("row_fp") == F.col("changed_fp"))
+    return whole.join(changed, same, "left").select(
+        "doc_id", "n_words", F.coalesce("gone", "n_removed").alias("n_removed"),
+        F.coalesce("left_sha256", "kept_sha256").alias("kept_sha256"),
+    )
+
+
+def q_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_derivatives.derivatives(warc_derivatives.responses(_table(spark, sf_dir, "pages")))
+
+
+def q_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bayes_minhash.near_duplicates(
+        _table(spark, sf_dir, "documents"), Workspace(spark, "op10"), shingle_words=4
+    )
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def q_frame_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "op8")
     manifest = frame_store.write_token_files(_table(spark, sf_dir, "documents"), work.path("files"))
@@ -72,10 +160,15 @@ def q_frame_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ordinal_quality": q_ordinal_quality,
     "op2_rule_ledger": q_rule_ledger,
     "op3_length_histogram": q_length_histogram,
     "op4_content_parts": q_content_parts,
+    "op5_fm_decontaminate": q_fm_decontaminate,
     "op6_best_two_fit": q_best_two_fit,
+    "op7_cover_dedup": q_cover_dedup,
     "op8_frame_store": q_frame_store,
+    "op9_warc_derivatives": q_warc_derivatives,
+    "op10_bayes_minhash": q_bayes_minhash,
 }
-ORACLES: dict[str, str] = {}
+

@@ -127,8 +127,8 @@ class Rule:
 RULES = [
     Rule(0, "few_words", "n_words", least=20),
     Rule(1, "repeated_words", "n_repeat_words", of="n_words", percent=30),
-    Rule(2, "symbols", "n_symbols", of="word_chars", percent=10),
-    Rule(3, "repeated_lines", "n_dup_lines", of="n_lines", percent=30),
+    Rule(2, "symbols", "n_symbols", of="word_chars", percent=5),
+    Rule(3, "repeated_lines", "n_dup_lines", of="n_lines", percent=50),
     Rule(4, "capitals", "n_capitals", of="word_chars", percent=50),
 ]
 # Versioned policies: the names of the rules each one applies.
@@ -155,11 +155,25 @@ def ledger(
     measured = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), measurements(F.col(f"`{text_col}`")).alias("m")
     )
+    return measured.select(
+        "doc_id",
+        *(F.col("m")[name].alias(name) for name in MEASURES),
+        _failure_bits(F.col("m"), rules or RULES).alias("failure_bits"),
+    )
+
+
+def _failure_bits(measured: Column, rules: list[Rule]) -> Column:
     bits = F.lit(0).cast("long")
-    for rule in rules or RULES:
-        failed = rule.failed(lambda name: F.col("m")[name])
+    for rule in rules:
+        failed = rule.failed(lambda name: measured[name])
         bits = bits.bitwiseOR(F.when(failed, F.lit(1 << rule.bit)).otherwise(0).cast("long"))
-    return measured.select("doc_id", *(F.col("m")[name].alias(name) for name in MEASURES), bits.alias("failure_bits"))
+    return bits
+
+
+def accepted(text: Column, policy: str = DEFAULT_POLICY, rules: list[Rule] | None = None) -> Column:
+    """Verdict of a policy on a text, with all rules evaluated once."""
+    mask = F.lit(policy_mask(policy, rules)).cast("long")
+    return let(measurements(text), lambda m: _failure_bits(m, rules or RULES).bitwiseAND(mask) == 0)
 
 
 def passes(policy: str, rules: list[Rule] | None = None) -> Column:

@@ -2,7 +2,7 @@
 
 The tokenizers library makes every id. A byte-level tokenizer joins text neither
 across the ends of a run of white space nor between words and punctuation, so a
-text is cut there and the ids of each distinct unit are asked for once per Python worker.
+text is cut there and the ids of each distinct unit are asked for once per worker.
 Outside the common alphabets it is cut at white space only, and a text with
 characters on whose kind libraries differ is encoded whole.
 """
@@ -13,10 +13,10 @@ import os
 import re
 import sys
 import types
+from array import array
 
-import numpy as np
-
-MEMO_UNITS = 600_000
+# Entries of either memo; the largest take about 150 bytes each.
+MEMO_UNITS = 1_200_000
 _UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s")
 # Letters, digits and apostrophes between them; white space; other characters.
 _FINE_UNIT = re.compile(
@@ -26,7 +26,6 @@ _WIDE_SPACE = re.compile(r" (?=\s|$)")
 _UNCOMMON = re.compile("[^\x00-\u052f\u2010-\u2027]")
 # White space to Python, but not to the tokenizer's pattern.
 _UNSAFE = re.compile("[\x1c-\x1f﻿᠎]")
-_IDS = np.dtype("<u4")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -35,24 +34,50 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte: printable Latin-1
+    as it is, the other bytes from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + n) for n, b in enumerate(others)}
+
+
 class _Ids(dict):
-    """Id bytes of a unit, asked from the tokenizer the first time."""
+    """Id bytes of a unit, asked from the tokenizer the first time.
+
+    A unit of letters is one word to a byte-level tokenizer, so its model alone
+    is asked; what else there is goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self._model = self.tokenizer.model
+        self._letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
+        self._bare = (
+            self.tokenizer.normalizer is None
+            and isinstance(self._model, BPE)
+            and isinstance(self.tokenizer.pre_tokenizer, ByteLevel)
+            and not self.tokenizer.pre_tokenizer.add_prefix_space
+        )
 
     def __missing__(self, unit: str) -> bytes:
-        ids = self[unit] = self.plain(unit)
+        if self._bare and unit.lstrip(" ").isalpha():
+            word = unit.encode().decode("latin-1").translate(self._letters)
+            ids = array("I", [token.id for token in self._model.tokenize(word)]).tobytes()
+        else:
+            ids = self.plain(unit)
+        self[unit] = ids
         return ids
 
     def plain(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, _IDS).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 class _SpacedIds(dict):
@@ -63,9 +88,12 @@ class _SpacedIds(dict):
         self.units = units
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = b"".join(
-            map(self.units.__getitem__, _FINE_UNIT.findall(" " + piece))
-        )
+        unit = " " + piece
+        if piece.isalpha():
+            ids = self.units[unit]
+        else:
+            ids = b"".join(map(self.units.__getitem__, _FINE_UNIT.findall(unit)))
+        self[piece] = ids
         return ids
 
 
