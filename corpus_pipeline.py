@@ -1 +1,123 @@
-QUERIES, ORACLES = {}, {}
+"""A corpus pipeline over ``documents``, one operator a stage.
+
+Every stage is written as Parquet and read again as the next one's documents. All
+but the last keep the columns of the documents; where a stage shortens a text it
+counts ``n_chars`` anew, and a document left without words goes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from logtide.llm import (
+    bayes_minhash,
+    cover_dedup,
+    fm_decontaminate,
+    rule_ledger,
+    two_fit_packing,
+)
+from logtide.llm.words import arrow_map, utf8
+from logtide.llm.workspace import Workspace
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the default policy, as they are."""
+    return docs.where(rule_ledger.accepted(F.col("text")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    Of rows that are equal in id and text one stays.
+    """
+    found = bayes_minhash.near_duplicates(docs, Workspace(spark, "stage-near"))
+    kept = found.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("row_fp").alias("kept_fp"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (_fingerprint() == F.col("kept_fp"))
+    rows = docs.join(kept.distinct(), same, "left_semi")
+    return rows.withColumn("_row_fp", _fingerprint()).dropDuplicates(["doc_id", "_row_fp"]).drop("_row_fp")
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the word windows that an earlier document has."""
+    found = cover_dedup.repeated_spans(docs, Workspace(spark, "stage-substring"))
+
+    def cut(batches):
+        for batch in batches:
+            texts = zip(utf8(batch.column(2)), batch.column(3).to_pylist(), strict=True)
+            yield {
+                "cut_id": batch.column(0), "cut_fp": batch.column(1),
+                "cut_text": [cover_dedup.without_spans(t, s).decode() for t, s in texts],
+            }
+
+    shorter = arrow_map(found, cut, "cut_id long, cut_fp long, cut_text string")
+    shorter = shorter.dropDuplicates(["cut_id", "cut_fp"])
+    same = F.col("doc_id").eqNullSafe(F.col("cut_id")) & (_fingerprint() == F.col("cut_fp"))
+    joined = docs.join(shorter, same, "left")
+    return _shortened(joined, docs.columns, F.col("cut_text"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of ``benchmark``."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = fm_decontaminate.find_contamination(docs, benchmark, prefix="_bench_")
+    text_at, spans_at = found.columns.index("text"), found.columns.index("_bench_spans")
+
+    def cut(batches):
+        for batch in batches:
+            texts = zip(utf8(batch.column(text_at)), batch.column(spans_at).to_pylist(), strict=True)
+            yield dict(zip(batch.schema.names, batch.columns, strict=True)) | {
+                "_cut": [fm_decontaminate.without_spans(t, s).decode() if s else None for t, s in texts]
+            }
+
+    return _shortened(
+        arrow_map(found, cut, found.select("*", F.lit("").alias("_cut")).schema), docs.columns, F.col("_cut")
+    )
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and place there."""
+    work = Workspace(spark, "stage-packing")
+    return two_fit_packing.pack(work.saved(two_fit_packing.token_pieces(docs), "pieces"))
+
+
+def _fingerprint() -> Column:
+    return F.xxhash64(F.col("text"))
+
+
+def _shortened(rows: DataFrame, columns: list[str], new_text: Column) -> DataFrame:
+    """``columns`` with the new text where there is one, if it still has a word."""
+    text = F.coalesce(new_text, F.col("text"))
+    changed = {"text": text}
+    if "n_chars" in columns:
+        changed["n_chars"] = F.when(
+            new_text.isNotNull(), F.char_length(new_text).cast("long")
+        ).otherwise(F.col("n_chars")).alias("n_chars")
+    still_there = new_text.isNull() | new_text.rlike(r"[^ \t-\r]")
+    return rows.where(still_there).select(
+        *(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in columns)
+    )
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("decontaminate", decontaminate),
+    ("best_fit_packing", best_fit_packing),
+]
+#: Shingle similarity, tokenizer ids and packing are not SQL.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; rows of the last one."""
+    work = Workspace(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = work.saved(stage(spark, docs, sf_dir), name)
+    return docs
+
+
+QUERIES = {"pipeline": run}
+ORACLES = {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
