@@ -154,7 +154,7 @@ def test_frames_round_trip_and_partial_reads():
 def test_files_of_odd_documents(spark, tokenizer, run_dir):
     rows = odd_rows()
     manifest = frame_store.write_token_files(frame(spark, rows), run_dir, file_ids=5000)
-    assert manifest.count() > 3
+    assert manifest.count() >= 3
     found = sorted(frame_store.read_tokens(manifest).collect(), key=lambda r: r.start)
     assert sorted((r.doc_id or -1, r.ids) for r in found) == sorted(
         (i or -1, [*whole(tokenizer, t), 2]) for i, t in rows
