@@ -71,7 +71,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
             }
 
     return _shortened(
-        arrow_map(found, cut, found.select("*", F.lit("").alias("_cut")).schema), docs.columns, F.col("_cut")
+        arrow_map(found, cut, found.withColumn("_cut", F.lit(None).cast("string")).schema),
+        docs.columns, F.col("_cut"),
     )
 
 
