@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,25 +23,33 @@ from logtide.operators.joins import lookup_join
 EmbedFunction = Callable[[list[str]], list[list[float]]]
 
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
-def _last_words(chunk: Column, overlap: int) -> Column:
+def _last_words(chunk: str, overlap: int) -> str:
     """What the next chunk takes over: one word per five characters of overlap,
     at most half of the words."""
     if overlap <= 0:
-        return F.lit("")
-
-    def pick(found: Column) -> Column:
-        half = F.floor(F.size(found) / 2).cast("int")
-        return _bind(
-            F.least(F.lit(overlap // CHARS_PER_OVERLAP_WORD), half),
-            lambda n: F.array_join(F.slice(found, F.size(found) - n + 1, n), " "),
-        )
-
-    return _bind(words(strip(chunk)), pick)
+        return ""
+    found = chunk.split()
+    taken = min(overlap // CHARS_PER_OVERLAP_WORD, len(found) // 2)
+    return " ".join(found[len(found) - taken :])
+
+
+def fold_paragraphs(
+    paragraphs: Iterable[str], chunk_size: int, overlap: int, separator: str
+) -> list[str]:
+    """Chunks of one document's paragraphs, in time linear in its length."""
+    chunks: list[str] = []
+    lead, taken, size, gap = "", [], 0, len(separator)
+    for paragraph in paragraphs:
+        if not taken:
+            taken, size = [paragraph], len(paragraph)
+        elif size + gap + len(paragraph) <= chunk_size:
+            taken.append(paragraph)
+            size += gap + len(paragraph)
+        else:
+            chunks.append(lead + separator.join(taken))
+            lead = _last_words(chunks[-1], overlap) + separator
+            taken, size = [paragraph], len(lead) + len(paragraph)
+    return [*chunks, lead + separator.join(taken)] if taken else chunks
 
 
 def split_paragraphs(content: Column, separator: str = PARAGRAPH_SEPARATOR) -> Column:
@@ -60,66 +68,17 @@ def chunk_paragraphs(
 
     A chunk takes paragraphs while it stays within ``chunk_size``; a longer
     paragraph stays whole. The next one starts with the last words of the chunk
-    before. The state holds where the open chunk starts and its size; its text is
-    put together once, when it is full.
+    before. Every chunk depends on the one before, and SQL functions copy what they
+    have gathered at each step, so documents are folded in Arrow batches.
     """
-    listed = F.col(paragraphs)
-    gap = len(separator)
-
-    def state(done: Column, lead: Column, first: Column, count: Column, size: Column) -> Column:
-        return F.struct(
-            done.alias("done"),
-            lead.alias("lead"),
-            first.cast("int").alias("first"),
-            count.cast("int").alias("count"),
-            size.cast("int").alias("size"),
-        )
 
-    def text(s: Column) -> Column:
-        taken = F.slice(listed, s["first"], s["count"])
-        return F.concat(s["lead"], F.array_join(taken, separator))
-
-    def turn_over(s: Column, paragraph: Column) -> Column:
-        def begin(chunk: Column, lead: Column) -> Column:
-            size = F.length(lead) + gap + F.length(paragraph)
-            return state(
-                F.concat(s["done"], F.array(chunk)),
-                F.concat(lead, F.lit(separator)),
-                s["first"] + s["count"],
-                F.lit(1),
-                size,
-            )
-
-        return _bind(
-            text(s),
-            lambda chunk: _bind(_last_words(chunk, overlap), lambda lead: begin(chunk, lead)),
+    @F.pandas_udf("array<string>")
+    def cut(listed: pd.Series) -> pd.Series:
+        return listed.map(
+            lambda p: None if p is None else fold_paragraphs(p, chunk_size, overlap, separator)
         )
 
-    def add(s: Column, paragraph: Column) -> Column:
-        grown = s["size"] + gap + F.length(paragraph)
-        return (
-            F.when(
-                s["count"] == 0,
-                state(s["done"], s["lead"], F.lit(1), F.lit(1), F.length(paragraph)),
-            )
-            .when(
-                grown <= chunk_size,
-                state(s["done"], s["lead"], s["first"], s["count"] + 1, grown),
-            )
-            .otherwise(turn_over(s, paragraph))
-        )
-
-    start = state(
-        F.array().cast("array<string>"), F.lit(""), F.lit(1), F.lit(0), F.lit(0)
-    )
-    return F.aggregate(
-        listed,
-        start,
-        add,
-        lambda s: F.when(s["count"] == 0, s["done"]).otherwise(
-            F.concat(s["done"], F.array(text(s)))
-        ),
-    )
+    return cut(F.col(paragraphs))
 
 
 def chunk_documents(

@@ -15,8 +15,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from logtide.constants import SEARCH_LIMIT
 from logtide.functions.vectors import cosine
 
-# Query vectors sent to every task in one pass: at most this many numbers (8 MB).
-QUERY_NUMBERS_PER_PASS = 1_000_000
+# Query vectors sent to every task in one pass: at most this many numbers (32 MB).
+QUERY_NUMBERS_PER_PASS = 4_000_000
+# Queries and rows are scored in blocks of at most this many of each.
+QUERY_BLOCK, ROW_BLOCK = 1024, 1024
 
 
 def search_filter(
@@ -99,6 +101,9 @@ def _one_pass(
     corpus: DataFrame, rows: list, k: int, vector: str, row_id: str, schema: T.StructType
 ) -> DataFrame:
     """Best ``k`` rows of each task for a block of queries."""
+    sizes = {len(row[1]) for row in rows}
+    if len(sizes) > 1:
+        raise ValueError(f"queries have vectors of different lengths: {sorted(sizes)}")
     matrix = np.array([row[1] for row in rows], dtype=np.float64)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     unit = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
@@ -111,10 +116,13 @@ def _one_pass(
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            numbers = batch.column(vector).flatten().to_numpy(zero_copy_only=False)
-            block = numbers.astype(np.float64).reshape(batch.num_rows, queries.shape[1])
-            ids = np.array(batch.column(row_id).to_pylist())
-            best = _merge_best(best, _cosines(queries, block), ids, k)
+            block, ids = _vectors(batch, vector, row_id, queries.shape[1])
+            for row in range(0, len(block), ROW_BLOCK):
+                rows = slice(row, row + ROW_BLOCK)
+                for query in range(0, len(queries), QUERY_BLOCK):
+                    some = slice(query, query + QUERY_BLOCK)
+                    scores = _cosines(queries[some], block[rows])
+                    best[some] = _merge_best(best[some], scores, ids[rows], k)
         for query, (scores, ids) in zip(query_ids, best):
             if len(scores):
                 columns = [[query] * len(scores), ids.tolist(), scores.tolist()]
@@ -125,6 +133,21 @@ def _one_pass(
     return vectors.mapInArrow(run, schema)
 
 
+def _vectors(
+    batch: pa.RecordBatch, vector: str, row_id: str, size: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of a batch as a matrix, and their row ids."""
+    ids = np.array(batch.column(row_id).to_pylist())
+    lengths = batch.column(vector).value_lengths().to_numpy(zero_copy_only=False)
+    odd = np.flatnonzero(lengths != size)
+    if len(odd):
+        raise ValueError(
+            f"vector of row {ids[odd[0]]!r} has {lengths[odd[0]]} numbers, the queries have {size}"
+        )
+    numbers = batch.column(vector).flatten().to_numpy(zero_copy_only=False)
+    return numbers.astype(np.float64).reshape(batch.num_rows, size), ids
+
+
 def _cosines(unit_queries: np.ndarray, block: np.ndarray) -> np.ndarray:
     """Scores per query and row; rounded, so that equal vectors tie exactly."""
     lengths = np.linalg.norm(block, axis=1)

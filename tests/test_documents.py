@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -65,6 +66,17 @@ def test_chunks_match_brute_force(spark, size, overlap):
             assert (row.char_count, row.word_count) == (len(chunk), len(chunk.split()))
 
 
+def test_folding_time_grows_with_the_document():
+    def seconds(n):
+        paragraphs = ["word " * 160] * n
+        began = time.perf_counter()
+        assert len(chunking.fold_paragraphs(paragraphs, 1000, 200, "\n\n")) == n
+        return time.perf_counter() - began
+
+    seconds(2000)
+    assert seconds(64_000) < 12 * max(seconds(16_000), 0.02)
+
+
 def test_chunking_does_not_shuffle(spark):
     docs = spark.createDataFrame([("a", "t", "en", "x")], DOCS)
     assert "Exchange" not in plan(chunking.chunk_documents(docs))
@@ -189,3 +201,24 @@ def test_small_corpus_and_zero_query(spark):
     queries = spark.createDataFrame([(1, [0.0] * 8)], "query_id int, vector array<float>")
     assert vector_search.vector_top_k_batch(corpus, queries, 10).count() == len(made)
     assert {r.score for r in vector_search.vector_top_k(corpus, [0.0] * 8, 10).collect()} == {0.0}
+
+
+def test_many_queries_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(vector_search, "ROW_BLOCK", 5)
+    rng = np.random.default_rng(5)
+    corpus, queries = rng.normal(size=(40, 4)), rng.normal(size=(11, 4))
+    found = vector_search.vector_top_k_batch(
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(corpus)], "chunk_id long, vector array<double>"),
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "query_id int, vector array<double>"),
+        k=3,
+    )
+    unit = corpus / np.linalg.norm(corpus, axis=1, keepdims=True)
+    wanted = {(i, r + 1): int(c) for i, q in enumerate(queries) for r, c in enumerate(np.argsort(-(unit @ q))[:3])}
+    assert {(r.query_id, r["rank"]): r.chunk_id for r in found.collect()} == wanted
+
+
+def test_a_vector_of_another_length_is_named(spark):
+    corpus = spark.createDataFrame([("a", [1.0, 2.0]), ("odd", [1.0])], "chunk_id string, vector array<double>")
+    with pytest.raises(Exception, match="odd"):
+        vector_search.vector_top_k(corpus, [1.0, 0.0], 1).collect()
