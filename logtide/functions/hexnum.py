@@ -18,6 +18,9 @@ _TWO_POW_48 = 1 << 48
 _TWO_POW_96 = 1 << 96
 # 10^38 - 1, the largest decimal(38,0), has 32 hex digits.
 _EXACT_DIGITS = 32
+# A 256-bit word as eight 32-bit limbs; totals get a ninth for the carry.
+_LIMBS, _LIMB_DIGITS = 8, 8
+TOTAL_DIGITS = (_LIMBS + 1) * _LIMB_DIGITS
 
 
 def bytes_to_hex(c: Column) -> Column:
@@ -139,3 +142,28 @@ def convert_token_amount(raw: Column, decimals: Column, precision: int = 8) -> C
     """
     shifted = F.concat(raw.cast("string"), F.lit("E-"), decimals.cast("int").cast("string"))
     return shifted.try_cast(f"decimal(28,{precision})")
+
+
+def total_hex(digits: Column) -> Column:
+    """Aggregate: the exact total of hex ``digits`` as ``TOTAL_DIGITS`` hex digits.
+
+    Each 32-bit limb is summed on its own, so no total is out of range, and the
+    fixed width makes the text sort like the number. NULL and '' count as 0.
+    """
+    padded = F.lpad(F.coalesce(digits, F.lit("")), _LIMBS * _LIMB_DIGITS, "0")
+
+    def limb_total(n: int) -> Column:
+        limb = F.substring(padded, n * _LIMB_DIGITS + 1, _LIMB_DIGITS)
+        return F.coalesce(F.sum(F.conv(limb, 16, 10).cast("bigint")), F.lit(0))
+
+    lowest_first = F.array(*[limb_total(n) for n in reversed(range(_LIMBS))], F.lit(0).cast("bigint"))
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.lit("").alias("text"))
+
+    def add(state: Column, limb: Column) -> Column:
+        total = limb + state["carry"]
+        low = F.lpad(F.lower(F.hex(total.bitwiseAND(F.lit(0xFFFFFFFF)))), _LIMB_DIGITS, "0")
+        return F.struct(
+            F.shiftright(total, 32).alias("carry"), F.concat(low, state["text"]).alias("text")
+        )
+
+    return F.aggregate(lowest_first, start, add)["text"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 APART = "row_without_key"
@@ -31,10 +31,25 @@ def first_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     )
 
 
-def dedup_logs(logs: DataFrame) -> DataFrame:
+def newest_first(load_id: str = "_dlt_load_id") -> list[Column]:
+    """Sort keys that put logs of the newest stamped file first: by its date, its
+    last block, then its name. Names without a stamp come last."""
+    stamp = r"(?:_(\d{6}))?_(\d+)_(\d+)\.parquet$"
+    name = F.coalesce(F.col(load_id), F.lit(""))
+    day, last = F.regexp_extract(name, stamp, 1), F.regexp_extract(name, stamp, 3)
+    return [
+        -F.coalesce(F.nullif(day, F.lit("")).cast("long"), F.lit(0)),
+        -F.coalesce(F.nullif(last, F.lit("")).cast("long"), F.lit(-1)),
+        F.xxhash64(name),
+    ]
+
+
+def dedup_logs(logs: DataFrame, newest: list[Column] | None = None) -> DataFrame:
     """One row per (transaction_hash, log_index), for overlapping block ranges.
 
-    Copies that were not removed by a chain reorganisation come first, then the
-    lowest block.
+    Copies go by the sort keys ``newest`` first. Among equal ones, copies that were
+    not removed by a chain reorganisation come first, then the lowest block.
     """
-    return first_by_key(logs, LOG_KEY, ["removed", "block_number"])
+    ranks = {f"rank_{n}": key for n, key in enumerate(newest or [])}
+    ranked = first_by_key(logs.withColumns(ranks) if ranks else logs, LOG_KEY, [*ranks, "removed", "block_number"])
+    return ranked.drop(*ranks)

@@ -7,12 +7,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logtide.functions.hexnum import total_hex
+
 AGGREGATES = {
     "sum": F.try_sum,
     "avg": F.try_avg,
     "min": F.min,
     "max": F.max,
     "count": F.count,
+    "count_if": F.count_if,
+    # Exact at any size: hex digits of fixed width, which sort like the number.
+    "sum_hex": total_hex,
 }
 
 
@@ -65,7 +70,11 @@ MINT_MODEL = SemanticModel(
         )
     },
     time_dimensions={"dbt_loaded_at": "dbt_loaded_at"},
-    facts={"minted_amount": "minted_amount"},
+    facts={
+        "minted_amount": "minted_amount",
+        "amount_hex": "amount_hex",
+        "amount_overflow": "amount_overflow",
+    },
 )
 
 
@@ -82,7 +91,8 @@ def metric_query(
     """Measures by dimensions: ``measures`` maps a name to (aggregate, fact).
 
     Ordered results also go by the dimensions, so that a limit is repeatable.
-    Sums that leave the decimal range are NULL, not an error.
+    Sums that leave the decimal range are NULL, not an error; ``sum_hex`` of the
+    digits has no such range, so rank by it.
     """
     if where is not None:
         df = df.where(where)
@@ -95,12 +105,22 @@ def metric_query(
 
 
 def top_minters(fct_mint: DataFrame, n: int = 3) -> DataFrame:
-    """The addresses that received the largest minted amounts."""
+    """The addresses that received the largest minted amounts.
+
+    They are ranked by their exact totals, ``total_hex``. ``total_minted`` is NULL
+    where the total leaves the decimal range, and does not hold the
+    ``overflow_count`` mints whose own amount does.
+    """
     return metric_query(
         fct_mint,
         MINT_MODEL,
         dimensions=["minting_address"],
-        measures={"total_minted": ("sum", "minted_amount"), "mint_count": ("count", "*")},
-        order_by=["total_minted"],
+        measures={
+            "total_minted": ("sum", "minted_amount"),
+            "total_hex": ("sum_hex", "amount_hex"),
+            "mint_count": ("count", "*"),
+            "overflow_count": ("count_if", "amount_overflow"),
+        },
+        order_by=["total_hex"],
         limit=n,
     )

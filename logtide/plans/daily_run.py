@@ -1,7 +1,14 @@
-"""The daily job: new files -> raw logs -> facts and dimension -> checks."""
+"""The daily job: new files -> raw logs -> facts and dimension -> checks.
+
+The job keeps a record of what is done: the files in the raw table, and the block
+ranges that the facts and the checks have yet to take up. Every step is published
+when it ends and can be repeated, so a run after a failure goes on with what is
+outstanding, whether or not there is a new file.
+"""
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
@@ -9,22 +16,49 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.operators.dedup import LOG_KEY, dedup_logs
+from logtide.operators.dedup import LOG_KEY, dedup_logs, newest_first
+from logtide.operators.joins import broadcast_if_small
 from logtide.plans.checks import quality_suite
 from logtide.plans.incremental import (
     BLOCKS_PER_BUCKET,
+    REORG_BLOCKS,
     fact_table,
-    newer_than,
-    refresh_fact,
-    start_after,
+    near_buckets,
+    replace_blocks,
 )
-from logtide.plans.marts import FACTS, dim_event
+from logtide.plans.marts import DIM_EVENT_SCHEMA, FACTS, dim_event
 from logtide.plans.transfers import int_all_transfer
-from logtide.schemas import RAW_LOGS
+from logtide.schemas import RAW_LOGS, STORED_LOGS
+from logtide.session import new_run_dir
+from logtide.sources import storage
 from logtide.sources.files import file_inventory, scan_logs
+from logtide.sources.loads import with_load_lineage
 from logtide.sources.storage import layer_path
-from logtide.sources.tables import KeyedTable, block_buckets
-from logtide.session import new_run_dir
+from logtide.sources.tables import KeyedTable, block_buckets, hash_buckets
+
+Range = tuple[int, int]
+
+
+class JobRecord:
+    """What the job has done below ``root``, one small file per change."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.folder = spark, f"{root.rstrip('/')}/job"
+        names = storage.list_names(spark, self.folder)
+        self._number = max((int(n[:-5]) for n in names if n.endswith(".json") and n[0] != "."), default=0)
+        done = json.loads(storage.read_text(spark, self._path())) if self._number else {}
+        self.loaded: list[str] = done.get("loaded", [])
+        self.pending: list[Range] = [tuple(r) for r in done.get("pending", [])]
+        self.unchecked: list[Range] = [tuple(r) for r in done.get("unchecked", [])]
+
+    def _path(self) -> str:
+        return f"{self.folder}/{self._number:012d}.json"
+
+    def publish(self) -> None:
+        """Make the record as it is now the latest; fails if another run was faster."""
+        self._number += 1
+        done = {"loaded": self.loaded, "pending": self.pending, "unchecked": self.unchecked}
+        storage.publish_text(self.spark, self._path(), json.dumps(done))
 
 
 def raw_table(
@@ -34,28 +68,70 @@ def raw_table(
     return KeyedTable(
         spark,
         layer_path(root, "open_logs", "raw"),
-        RAW_LOGS,
+        STORED_LOGS,
         LOG_KEY,
         bucket,
         ["block_number", "log_index"],
     )
 
 
-def load_new_files(raw: KeyedTable, folder: str, prefix: str) -> int:
-    """Merge the stamped files that reach past the raw table; the rows loaded.
+def dimension_table(spark: SparkSession, root: str) -> KeyedTable:
+    """The event dimension; readers keep the version they opened."""
+    path = layer_path(root, "dim_event", "mart")
+    return KeyedTable(spark, path, DIM_EVENT_SCHEMA, ["topic0_hash"], hash_buckets(["topic0_hash"], 1))
+
 
-    Ranges may overlap, so the batch is deduplicated and replaces equal keys in
-    the blocks it covers.
+def load_new_files(
+    raw: KeyedTable, folder: str, prefix: str, record: JobRecord,
+    blocks_per_bucket: int = BLOCKS_PER_BUCKET, reorg_blocks: int = REORG_BLOCKS,
+) -> int:
+    """Merge every stamped file that is not on record; the rows written.
+
+    A log may come in several files, also with another block or flag after a
+    reorganisation. The copy of the newest file stays, in whatever order files are
+    loaded; old copies are looked for ``reorg_blocks`` around the files.
     """
-    spark = raw.spark
-    inventory = file_inventory(spark, folder, prefix)
-    if raw.version():
-        inventory = inventory.where(F.col("to_block") > raw.high_water("block_number"))
-    files = [row.file for row in inventory.select("file").toLocalIterator()]
-    if not files:
-        return 0
-    logs = scan_logs(spark, *[f"{folder}/{name}" for name in files])
-    return raw.upsert(dedup_logs(logs.select(*RAW_LOGS.fieldNames())), scope="batch_buckets")
+    known = set(record.loaded)
+    found = file_inventory(raw.spark, folder, prefix).collect()
+    new = {r.file: (r.from_block, r.to_block) for r in found if r.file not in known}
+    written = 0
+    for extent in merged_ranges(list(new.values())):
+        files = sorted(f for f, (a, b) in new.items() if extent[0] <= a and b <= extent[1])
+        written += _load_files(raw, folder, files, near_buckets(*extent, blocks_per_bucket, reorg_blocks))
+        record.loaded = [*record.loaded, *files]
+        record.pending = [*record.pending, extent]
+        record.unchecked = [*record.unchecked, extent]
+        record.publish()
+    return written
+
+
+def _load_files(raw: KeyedTable, folder: str, files: list[str], scope: Range) -> int:
+    # A stamped name may be a file or a folder of part files; it names the load.
+    name = F.regexp_extract("_metadata.file_path", r"/([^/]+_\d+_\d+\.parquet)(?:/|$)", 1)
+    logs = scan_logs(raw.spark, *[f"{folder}/{file}" for file in files])
+    logs = logs.select(*RAW_LOGS.fieldNames(), name.alias("from_file"))
+    batch = with_load_lineage(logs, F.col("from_file"), LOG_KEY).select(*STORED_LOGS.fieldNames())
+    stored = raw.read(from_bucket=scope[0], to_bucket=scope[1])
+    met = stored.join(broadcast_if_small(batch.select(*LOG_KEY).distinct()), LOG_KEY, "left_semi")
+    return raw.upsert(dedup_logs(batch.unionByName(met), newest_first()), scope)
+
+
+def merged_ranges(ranges: list[Range], before: int = 0) -> list[Range]:
+    """Block ranges joined where they meet, each begun ``before`` blocks earlier."""
+    out: list[Range] = []
+    for first, last in sorted((a - before, b) for a, b in ranges):
+        if out and first <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], last))
+        else:
+            out.append((first, last))
+    return out
+
+
+def _logs_of(table: KeyedTable, blocks: Range, blocks_per_bucket: int) -> DataFrame:
+    found = table.read(
+        from_bucket=blocks[0] // blocks_per_bucket, to_bucket=blocks[1] // blocks_per_bucket
+    )
+    return found.where(F.col("block_number").between(*blocks))
 
 
 def refresh_facts(
@@ -63,34 +139,50 @@ def refresh_facts(
     signatures: DataFrame,
     root: str,
     run_ts: datetime | str,
+    blocks: Range,
     blocks_per_bucket: int = BLOCKS_PER_BUCKET,
+    reorg_blocks: int = REORG_BLOCKS,
 ) -> dict[str, int]:
-    """Bring the three facts up to date; the rows inserted into each.
+    """Make the facts agree with the raw logs of a block range; rows inserted.
 
-    Only raw buckets that reach past the oldest fact are opened.
-
-    The new transfers are decoded once and written to the shared folder, so that
-    three facts read three projections of a small table and a lost executor costs
-    no second decode.
+    Only raw buckets of the range are opened, whichever fact has rows there. The
+    transfers are decoded once and written to the shared folder, so that three
+    facts read three projections of a small table and a lost executor costs no
+    second decode; the copy goes when the facts are done.
     """
     spark = raw.spark
-    tables = {name: fact_table(spark, root, name, blocks_per_bucket) for name in FACTS}
-    starts = [start_after(table) for table in tables.values()]
-    oldest = None if None in starts else min(starts)
-    first_bucket = None if oldest is None else (oldest + 1) // blocks_per_bucket
-    new_logs = newer_than(raw.read(from_bucket=first_bucket), oldest)
+    logs = _logs_of(raw, blocks, blocks_per_bucket)
+    scope = near_buckets(*blocks, blocks_per_bucket, reorg_blocks)
     decoded = new_run_dir(spark, "transfers")
-    int_all_transfer(new_logs, signatures).write.parquet(decoded)
+    int_all_transfer(logs, signatures).write.parquet(decoded)
     transfers = spark.read.parquet(decoded)
     # The facts do not depend on each other; side by side they fill the cluster.
-    with ThreadPoolExecutor(len(tables)) as pool:
+    with ThreadPoolExecutor(len(FACTS)) as pool:
         jobs = {
             name: pool.submit(
-                inheritable_thread_target(spark)(refresh_fact), table, name, transfers, run_ts
+                inheritable_thread_target(spark)(replace_blocks),
+                fact_table(spark, root, name, blocks_per_bucket), name, transfers, logs, run_ts, scope,
             )
-            for name, table in tables.items()
+            for name in FACTS
         }
-        return {name: job.result() for name, job in jobs.items()}
+        inserted = {name: job.result() for name, job in jobs.items()}
+    storage.delete(spark, decoded)
+    return inserted
+
+
+def check_blocks(
+    raw: KeyedTable,
+    signatures: DataFrame,
+    root: str,
+    blocks: Range | None = None,
+    blocks_per_bucket: int = BLOCKS_PER_BUCKET,
+) -> DataFrame:
+    """Report of every declared check over a block range, or over everything."""
+    facts = {name: fact_table(raw.spark, root, name, blocks_per_bucket) for name in FACTS}
+    if blocks is None:
+        return quality_suite(raw.read(), signatures, {name: t.read() for name, t in facts.items()})
+    stored = {name: _logs_of(table, blocks, blocks_per_bucket) for name, table in facts.items()}
+    return quality_suite(_logs_of(raw, blocks, blocks_per_bucket), signatures, stored)
 
 
 def run(
@@ -101,22 +193,38 @@ def run(
     root: str,
     run_ts: datetime | str,
     blocks_per_bucket: int = BLOCKS_PER_BUCKET,
+    lookback_blocks: int = 0,
+    reorg_blocks: int = REORG_BLOCKS,
 ) -> dict:
-    """One run of the whole job; any failing step stops it.
+    """One run of the whole job; any failing step stops it, the next run goes on.
 
-    ``status`` is ``no_data`` when no file reaches past what is loaded, else
-    ``success``, or ``failed_checks`` when a quality check found rows.
+    ``status`` is ``no_data`` when there is no new file and nothing outstanding,
+    else ``success``, or ``failed_checks`` when a check found rows in the blocks
+    not yet passed; those stay outstanding. ``lookback_blocks`` builds that many
+    more blocks of the facts again.
     """
     raw = raw_table(spark, root, blocks_per_bucket)
-    loaded = load_new_files(raw, folder, prefix)
-    if not loaded:
-        return {"status": "no_data", "loaded": 0, "facts": {name: 0 for name in FACTS}}
-    facts = refresh_facts(raw, signatures, root, run_ts, blocks_per_bucket)
-    events = dim_event(signatures)
-    events.write.mode("overwrite").parquet(layer_path(root, "dim_event", "mart"))
-    stored = {name: fact_table(spark, root, name, blocks_per_bucket).read() for name in FACTS}
-    report = quality_suite(raw.read(), signatures, stored)
-    failed = [row.asDict() for row in report.where(F.col("failed_rows") > 0).collect()]
+    record = JobRecord(spark, root)
+    loaded = load_new_files(raw, folder, prefix, record, blocks_per_bucket, reorg_blocks)
+    facts = {name: 0 for name in FACTS}
+    if not record.unchecked:
+        return {"status": "no_data", "loaded": 0, "facts": facts}
+    for blocks in merged_ranges(record.pending, lookback_blocks):
+        inserted = refresh_facts(
+            raw, signatures, root, run_ts, blocks, blocks_per_bucket, reorg_blocks
+        )
+        facts = {name: facts[name] + inserted[name] for name in FACTS}
+    if record.pending:
+        dimension_table(spark, root).replace(dim_event(signatures))
+        record.pending = []
+        record.publish()
+    failed = []
+    for blocks in merged_ranges(record.unchecked):
+        report = check_blocks(raw, signatures, root, blocks, blocks_per_bucket)
+        failed += [row.asDict() for row in report.where(F.col("failed_rows") > 0).collect()]
+    if not failed:
+        record.unchecked = []
+        record.publish()
     return {
         "status": "failed_checks" if failed else "success",
         "loaded": loaded,

@@ -36,6 +36,8 @@ _TYPES = {
     "amount": AMOUNT,
     "minted_amount": AMOUNT,
     "burned_amount": AMOUNT,
+    "amount_hex": T.StringType(),
+    "amount_overflow": T.BooleanType(),
     "event_name": T.StringType(),
     "transaction_index": T.LongType(),
     "dbt_loaded_at": T.TimestampType(),
@@ -48,17 +50,26 @@ def _schema(*names: str) -> T.StructType:
 
 FCT_MINT_SCHEMA = _schema(
     "transaction_hash", "log_index", "date_key", "block_number", "contract_address",
-    "minting_address", "minted_amount", "dbt_loaded_at",
+    "minting_address", "minted_amount", "amount_hex", "amount_overflow", "dbt_loaded_at",
 )
 FCT_BURN_SCHEMA = _schema(
     "transaction_hash", "log_index", "date_key", "block_number", "block_hash",
     "contract_address", "burned_from_address", "amount_raw", "burned_amount", "event_name",
-    "transaction_index", "dbt_loaded_at",
+    "transaction_index", "amount_hex", "amount_overflow", "dbt_loaded_at",
 )
 FCT_TRANSFER_SCHEMA = _schema(
     "transaction_hash", "log_index", "date_key", "block_number", "block_hash",
     "contract_address", "from_address", "to_address", "amount_raw", "amount", "event_name",
-    "transaction_index", "dbt_loaded_at",
+    "transaction_index", "amount_hex", "amount_overflow", "dbt_loaded_at",
+)
+DIM_EVENT_SCHEMA = T.StructType(
+    [
+        T.StructField(name, T.StringType())
+        for name in (
+            "topic0_hash", "event_name", "event_signature", "event_base_name",
+            "event_parameters", "event_category",
+        )
+    ]
 )
 
 

@@ -14,6 +14,7 @@ from logtide.functions.hexnum import (
     topic_to_address,
 )
 from logtide.operators.joins import lookup_join
+from logtide.operators.quality import duplicate_keys
 from logtide.plans.staging import LINEAGE, int_event, log_columns
 
 MAX_LITERAL_TOPICS = 1000
@@ -52,8 +53,9 @@ def int_all_transfer(
 ) -> DataFrame:
     """Decoded transfers.
 
-    ``amount_raw`` is NULL for values of 10^38 and more in exact mode; those rows
-    have ``amount_overflow`` set and keep all digits in ``amount_hex``.
+    ``amount_raw`` is NULL for values of 10^38 and more in exact mode, and
+    ``amount`` also where fewer decimals take it out of range; such rows have
+    ``amount_overflow`` set and keep all digits in ``amount_hex``.
     """
     transfers = event_logs(logs, signatures, TRANSFER_EVENT, data_encoding)
     # Digits, value and amount one after the other: each is computed once.
@@ -71,7 +73,8 @@ def int_all_transfer(
         *[c for c in LINEAGE if c in transfers.columns],
     )
     valued = digits.withColumn("amount_raw", amount_value(F.col("amount_hex"), mode, trusted=True))
-    return valued.select(
+    amount = token_amount(F.col("amount_raw"), decimals)
+    return valued.withColumn("amount", amount).select(
         "transaction_hash",
         "log_index",
         "block_number",
@@ -80,23 +83,41 @@ def int_all_transfer(
         "from_address",
         "to_address",
         "amount_raw",
-        token_amount(F.col("amount_raw"), decimals).alias("amount"),
+        "amount",
         "event_name",
         "transaction_index",
         "amount_hex",
-        F.col("amount_raw").isNull().alias("amount_overflow"),
+        F.col("amount").isNull().alias("amount_overflow"),
         *[c for c in LINEAGE if c in valued.columns],
     )
 
 
 def with_token_amount(
     transfers: DataFrame, tokens: DataFrame, precision: int = 8,
-    default_decimals: int = DEFAULT_TOKEN_DECIMALS,
+    default_decimals: int = DEFAULT_TOKEN_DECIMALS, chain: str | None = None,
 ) -> DataFrame:
-    """``token_amount`` by the decimals of each token; unknown tokens get the default."""
-    known = tokens.select("contract_address", F.col("decimals").alias("token_decimals"))
-    joined = lookup_join(transfers, known, "contract_address", "left")
+    """``token_amount`` by the decimals of each token; unknown tokens get the default.
+
+    A token is a contract on a chain. Tokens with a ``chain`` meet the ``chain`` of
+    the transfers, or that of the parameter, by which all transfers are of one
+    chain. Two rows for a token are an error, so a transfer stays one row.
+    ``token_amount_overflow`` marks amounts that do not fit.
+    """
+    keys = ["contract_address"]
+    if "chain" in tokens.columns:
+        if chain is not None:
+            tokens = tokens.where(F.col("chain") == chain)
+        elif "chain" in transfers.columns:
+            keys.append("chain")
+        else:
+            raise ValueError("tokens are on several chains: name the chain of the transfers")
+    known = tokens.select(*keys, F.col("decimals").alias("token_decimals"))
+    twice = duplicate_keys(known, keys).first()
+    if twice:
+        raise ValueError(f"token metadata repeats {twice.asDict()}")
+    joined = lookup_join(transfers, known, keys, "left")
     decimals = F.coalesce("token_decimals", F.lit(default_decimals))
-    return joined.withColumn(
-        "token_amount", convert_token_amount(F.col("amount_raw"), decimals, precision)
+    amount = convert_token_amount(F.col("amount_raw"), decimals, precision)
+    return joined.withColumn("token_amount", amount).withColumn(
+        "token_amount_overflow", F.col("token_amount").isNull()
     ).drop("token_decimals")

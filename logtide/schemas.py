@@ -21,6 +21,12 @@ RAW_LOGS = T.StructType(
     ]
 )
 
+# The stored raw table: a log, the file it came from, and an id of its load.
+STORED_LOGS = T.StructType(
+    RAW_LOGS.fields
+    + [T.StructField("_dlt_load_id", T.StringType()), T.StructField("_dlt_id", T.StringType())]
+)
+
 EVENT_SIGNATURES = T.StructType(
     [
         T.StructField("topic0", T.StringType()),

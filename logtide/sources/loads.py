@@ -10,7 +10,7 @@ from logtide.sources.tables import KeyedTable, hash_buckets
 DISPOSITIONS = ("append", "replace", "merge")
 
 
-def with_load_lineage(df: DataFrame, load_id: str, key: list[str]) -> DataFrame:
+def with_load_lineage(df: DataFrame, load_id: str | Column, key: list[str]) -> DataFrame:
     """``_dlt_load_id`` of the load and a ``_dlt_id`` per row, from its key.
 
     Parts are joined with their lengths, so that different keys never run
@@ -20,8 +20,9 @@ def with_load_lineage(df: DataFrame, load_id: str, key: list[str]) -> DataFrame:
     for name in key:
         text = F.coalesce(_as_text(df, name), F.lit(""))
         parts += [F.length(text).cast("string"), text]
-    return df.withColumn("_dlt_load_id", F.lit(load_id)).withColumn(
-        "_dlt_id", F.sha2(F.concat_ws(":", F.lit(load_id), *parts), 256)
+    load_id = load_id if isinstance(load_id, Column) else F.lit(load_id)
+    return df.withColumn("_dlt_load_id", load_id).withColumn(
+        "_dlt_id", F.sha2(F.concat_ws(":", F.col("_dlt_load_id"), *parts), 256)
     )
 
 

@@ -64,3 +64,9 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, from_path = _resolve(spark, source)
     if not fs.rename(from_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
         raise OSError(f"cannot rename {source} to {target}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or a folder; nothing happens when there is none."""
+    fs, target = _resolve(spark, path)
+    fs.delete(target, True)

@@ -7,8 +7,11 @@ bucket of the rows (a block range, or a key hash)::
     versions/<number>.json        which generations are live, per bucket
 
 A write adds one generation and publishes the next version file. Rows are only
-rewritten in the buckets that hold a key of the batch, so a write costs the
-batch plus those buckets, not the table; readers keep the version they opened.
+rewritten in the buckets that hold a key of the batch; readers keep the version
+they opened. Finding those buckets reads the key columns of every bucket in the
+scope of the write: the whole table by default, a range of buckets, or those of
+the batch. Incremental jobs name a range, so that a write costs the batch and
+the buckets near it.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from logtide.schemas import check_schema
 from logtide.sources import storage
 
 BUCKET = "bucket"
+Scope = str | tuple[int | None, int | None]
 
 
 def block_buckets(blocks_per_bucket: int, column: str = "block_number") -> Column:
@@ -89,11 +93,14 @@ class KeyedTable:
         reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/data")
         return reader.parquet(*paths).select(*stored.fieldNames())
 
-    def read(self, version: int | None = None, from_bucket: int | None = None) -> DataFrame:
-        """All rows, or those of the buckets from ``from_bucket`` on."""
+    def read(
+        self, version: int | None = None, from_bucket: int | None = None,
+        to_bucket: int | None = None,
+    ) -> DataFrame:
+        """All rows, or those of a range of buckets, either end open."""
         live = self.live(version)
-        if from_bucket is not None:
-            live = {b: g for b, g in live.items() if _is_number(b) and int(b) >= from_bucket}
+        if from_bucket is not None or to_bucket is not None:
+            live = self._scope(live, (from_bucket, to_bucket), [])
         return self._open(live).select(*self.schema.fieldNames())
 
     def high_water(self, column: str) -> int:
@@ -151,21 +158,27 @@ class KeyedTable:
         self._publish(base, {bucket: [generation] for bucket in buckets})
         return written
 
-    def upsert(self, batch: DataFrame, scope: str = "table") -> int:
+    def upsert(
+        self, batch: DataFrame, scope: Scope = "table", also_delete: DataFrame | None = None
+    ) -> int:
         """Delete every row with a key of the batch, then insert the batch.
 
         Rows of the batch that share a key all stay, as in a delete followed by
-        an insert. NULL keys match nothing. ``scope="batch_buckets"`` looks for
-        old rows only in the buckets of the batch, for keys that cannot change
-        their bucket. Returns the rows inserted.
+        an insert. NULL keys match nothing. ``also_delete`` holds further keys
+        whose rows go. ``scope`` says where old rows are looked for: in the whole
+        ``"table"``, in the ``"batch_buckets"``, or in a range of buckets with
+        either end open, for keys that cannot move further. Returns the rows
+        inserted.
         """
         base = self.version()
         live = self.live(base)
         generation, buckets, added = self._write(self._bucketed(batch))
         searched = self._scope(live, scope, buckets)
-        if searched and added:
-            batch_keys = self._open({b: [generation] for b in buckets}).select(*self.keys)
-            live = self._without(live, searched, batch_keys.distinct())
+        keys = self._open({b: [generation] for b in buckets}).select(*self.keys)
+        if also_delete is not None:
+            keys = keys.unionByName(also_delete.select(*self.keys))
+        if searched and (added or also_delete is not None):
+            live = self._without(live, searched, keys.distinct())
         for bucket in buckets:
             live.setdefault(bucket, []).append(generation)
         self._publish(base, live)
@@ -204,13 +217,20 @@ class KeyedTable:
 
     @staticmethod
     def _scope(
-        live: dict[str, list[str]], scope: str, buckets: Iterable[str]
+        live: dict[str, list[str]], scope: Scope, buckets: Iterable[str]
     ) -> dict[str, list[str]]:
+        if isinstance(scope, tuple):
+            first, last = scope
+            return {
+                b: g for b, g in live.items()
+                if _is_number(b) and (first is None or int(b) >= first)
+                and (last is None or int(b) <= last)
+            }
         if scope not in ("table", "batch_buckets"):
             raise ValueError(f"unknown scope {scope!r}")
         return live if scope == "table" else {b: live[b] for b in buckets if b in live}
 
-    def insert_absent(self, batch: DataFrame, scope: str = "table") -> int:
+    def insert_absent(self, batch: DataFrame, scope: Scope = "table") -> int:
         """Insert the rows whose key is not in the table; the rows inserted.
 
         The batch must hold each key once (see ``first_by_key``). ``scope`` is

@@ -196,31 +196,96 @@ def scd2_snapshot(spark, sf):
     return as_text(result, "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
 
-def daily_run_facts(spark, sf):
-    """Two daily runs over overlapping files, then a third with nothing new."""
-    base = new_run_dir(spark, "daily")
-    folder, root = f"{base}/files", f"{base}/tables"
-    raw, sigs, last = logs(spark, sf), signatures(spark, sf), _last_block(spark, sf)
-    size = BLOCKS_PER_BUCKET
-    first = files.block_range(raw, 0, last // 2)
-    files.range_stamped_write(first, folder, "open_logs", date(2024, 3, 1))
-    daily_run.run(spark, folder, "open_logs", sigs, root, RUN_TS, size)
-    rest = files.block_range(raw, last // 2 - 5, last)
-    files.range_stamped_write(rest, folder, "open_logs", date(2024, 3, 2))
-    daily_run.run(spark, folder, "open_logs", sigs, root, SECOND_RUN_TS, size)
-    third = daily_run.run(spark, folder, "open_logs", sigs, root, "2024-03-03 12:00:00", size)
-
+def _fact_totals(spark, root):
+    """Rows and total of every fact and day of the stored facts."""
     amounts = {"fct_mint": "minted_amount", "fct_burn": "burned_amount", "fct_transfer": "amount"}
     reports = []
     for name, amount in amounts.items():
-        fact = fact_table(spark, root, name, size).read()
+        fact = fact_table(spark, root, name, BLOCKS_PER_BUCKET).read()
         reports.append(
             fact.groupBy("date_key")
             .agg(F.count("*").alias("row_count"), F.sum(amount).cast("string").alias("total"))
             .select(F.lit(name).alias("fact"), "date_key", "row_count", "total")
         )
-    merged = reports[0].unionByName(reports[1]).unionByName(reports[2])
-    return merged.withColumn("last_status", F.lit(third["status"]))
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+class _Daily:
+    """A folder of stamped files and the tables of the daily job beside it."""
+
+    def __init__(self, spark, sf, name):
+        base = new_run_dir(spark, name)
+        self.spark, self.folder, self.root = spark, f"{base}/files", f"{base}/tables"
+        self.raw, self.signatures = logs(spark, sf), signatures(spark, sf)
+        self.last = _last_block(spark, sf)
+
+    def put(self, rows, day):
+        files.range_stamped_write(rows, self.folder, "open_logs", date(2024, 3, day))
+
+    def run(self, day):
+        return daily_run.run(
+            self.spark, self.folder, "open_logs", self.signatures, self.root,
+            f"2024-03-{day:02d} 12:00:00", BLOCKS_PER_BUCKET,
+        )["status"]
+
+
+def daily_run_facts(spark, sf):
+    """Two daily runs over overlapping files, then a third with nothing new."""
+    job = _Daily(spark, sf, "daily")
+    job.put(files.block_range(job.raw, 0, job.last // 2), 1)
+    job.run(1)
+    job.put(files.block_range(job.raw, job.last // 2 - 5, job.last), 2)
+    job.run(2)
+    return _fact_totals(spark, job.root).withColumn("last_status", F.lit(job.run(3)))
+
+
+def daily_run_resumed(spark, sf):
+    """Files loaded by a run that got no further; the next run takes up the rest,
+    though there is no new file."""
+    job = _Daily(spark, sf, "resumed")
+    job.put(job.raw, 1)
+    raw = daily_run.raw_table(spark, job.root, BLOCKS_PER_BUCKET)
+    record = daily_run.JobRecord(spark, job.root)
+    daily_run.load_new_files(raw, job.folder, "open_logs", record, BLOCKS_PER_BUCKET)
+    statuses = [job.run(2), job.run(3)]
+    return _fact_totals(spark, job.root).withColumn("statuses", F.lit(",".join(statuses)))
+
+
+def daily_run_late_file(spark, sf):
+    """The upper half of the blocks first, the lower half a day later."""
+    job = _Daily(spark, sf, "late")
+    job.put(files.block_range(job.raw, job.last // 2 + 1, job.last), 2)
+    first = job.run(1)
+    job.put(files.block_range(job.raw, 0, job.last // 2), 1)
+    statuses = f"{first},{job.run(2)}"
+    return _fact_totals(spark, job.root).withColumn("statuses", F.lit(statuses))
+
+
+def daily_run_reorg(spark, sf):
+    """A later file brings logs as removed (log index 3) and in the next block (log
+    index 4): both files in one run, in two runs, and in two runs the other way."""
+    found = []
+    for mode in ("together", "in_order", "late"):
+        job = _Daily(spark, sf, f"reorg-{mode}")
+        index = F.col("log_index")
+        moved = job.raw.where(index.isin(3, 4)).withColumns(
+            {"removed": (index == 3) | F.col("removed"), "block_number": F.col("block_number") + (index - 3)}
+        )
+        puts = [(job.raw, 1), (moved, 2)]
+        for number, (rows, day) in enumerate(reversed(puts) if mode == "late" else puts):
+            job.put(rows, day)
+            if mode != "together" or number:
+                job.run(number + 1)
+        raw = daily_run.raw_table(spark, job.root, BLOCKS_PER_BUCKET).read()
+        hashes = bytes_to_hex(F.col("transaction_hash")).alias("transaction_hash")
+        rows = raw.select(F.lit("open_logs").alias("fact"), hashes, "log_index", "block_number")
+        for name in ("fct_mint", "fct_burn", "fct_transfer"):
+            fact = fact_table(spark, job.root, name, BLOCKS_PER_BUCKET).read()
+            rows = rows.unionByName(
+                fact.select(F.lit(name).alias("fact"), "transaction_hash", "log_index", "block_number")
+            )
+        found.append(rows.select(F.lit(mode).alias("mode"), "*"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 QUERIES = {
@@ -242,6 +307,9 @@ QUERIES = {
     "dedup_logs": dedup_logs,
     "scd2_snapshot": scd2_snapshot,
     "daily_run": daily_run_facts,
+    "daily_run_resumed": daily_run_resumed,
+    "daily_run_late_file": daily_run_late_file,
+    "daily_run_reorg": daily_run_reorg,
 }
 
 _LAST = "(SELECT max(event_id // 10) FROM events)"
@@ -258,11 +326,24 @@ _PARTS = f"""parts AS (
 _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice"
 _MINT_RUNS = f"""SELECT transaction_hash, log_index, block_number, contract_address,
     to_address AS minting_address, {tokens_sql('raw')} AS minted_amount,
+    ltrim(substr(event_data, 3), '0') AS amount_hex, false AS amount_overflow,
     CASE WHEN block_number > {_LAST} // 2 THEN 20240302 ELSE 20240301 END AS date_key,
     CASE WHEN block_number > {_LAST} // 2 THEN '{SECOND_RUN_TS}' ELSE '{RUN_TS}' END
       AS dbt_loaded_at
   FROM transfers WHERE event_type = 'click'"""
 
+
+
+def _runs_sql(second: str) -> str:
+    """Rows and total per fact and run, the second one where ``second`` holds."""
+    return f"""runs AS (
+          SELECT CASE event_type WHEN 'click' THEN 'fct_mint' WHEN 'purchase' THEN 'fct_burn'
+              ELSE 'fct_transfer' END AS fact,
+            CASE WHEN {second} THEN 20240302 ELSE 20240301 END AS date_key,
+            count(*) AS row_count, CAST(sum(raw) AS HUGEINT) AS total
+          FROM transfers GROUP BY 1, 2)"""
+
+
 ORACLES = {
     "high_water_mark": f"""WITH {EV} SELECT max(block_number) AS max_block FROM transfers
         WHERE event_type = 'click'""",
@@ -316,12 +397,22 @@ ORACLES = {
           md5(length(CAST(c_custkey AS VARCHAR)) || '|' || c_custkey || '|' || opened) AS dbt_scd_id,
           opened AS dbt_updated_at, opened AS dbt_valid_from, closed AS dbt_valid_to
         FROM versions""",
-    "daily_run": f"""WITH {EV}, runs AS (
-          SELECT CASE event_type WHEN 'click' THEN 'fct_mint' WHEN 'purchase' THEN 'fct_burn'
-              ELSE 'fct_transfer' END AS fact,
-            CASE WHEN block_number > {_LAST} // 2 THEN 20240302 ELSE 20240301 END AS date_key,
-            count(*) AS row_count, CAST(sum(raw) AS HUGEINT) AS total
-          FROM transfers GROUP BY 1, 2)
+    "daily_run": f"""WITH {EV}, {_runs_sql('block_number > ' + _LAST + ' // 2')}
         SELECT fact, date_key, row_count, {tokens_sql('total')} AS total,
           'no_data' AS last_status FROM runs""",
+    "daily_run_resumed": f"""WITH {EV}, {_runs_sql('true')}
+        SELECT fact, date_key, row_count, {tokens_sql('total')} AS total,
+          'success,no_data' AS statuses FROM runs""",
+    "daily_run_late_file": f"""WITH {EV}, {_runs_sql('block_number <= ' + _LAST + ' // 2')}
+        SELECT fact, date_key, row_count, {tokens_sql('total')} AS total,
+          'success,success' AS statuses FROM runs""",
+    "daily_run_reorg": f"""WITH {EV}, rows AS (
+          SELECT 'open_logs' AS fact, transaction_hash, log_index, block_number FROM ev
+          UNION ALL
+          SELECT CASE event_type WHEN 'click' THEN 'fct_mint' WHEN 'purchase' THEN 'fct_burn'
+              ELSE 'fct_transfer' END, transaction_hash, log_index, block_number
+          FROM transfers WHERE log_index <> 3)
+        SELECT mode, fact, transaction_hash, log_index,
+          block_number + CASE WHEN log_index = 4 THEN 1 ELSE 0 END AS block_number
+        FROM rows, (SELECT unnest(['together', 'in_order', 'late']) AS mode)""",
 }

@@ -20,7 +20,7 @@ from logtide.operators.event_catalog import event_catalog
 from logtide.operators.metrics import MINT_MODEL, metric_query, top_minters
 from logtide.plans.marts import dim_event, fct_burn, fct_mint, fct_transfer
 from logtide.plans.staging import stg_event_signature, stg_open_logs
-from logtide.plans.transfers import with_token_amount
+from logtide.plans.transfers import int_all_transfer, with_token_amount
 from suite.common import EV, RUN_TS, as_text, logs, signatures, table, tokens_sql, transfers
 from suite.event_fixture import abi_rows, token_rows
 
@@ -94,8 +94,14 @@ def q_token_amount(spark, sf):
 
 def q_convert_token_amount(spark, sf):
     raw = logs(spark, sf)
-    converted = with_token_amount(transfers(spark, sf), token_rows(raw))
-    return as_text(converted.select(*KEY, "contract_address", "token_amount"), "token_amount")
+    tokens = token_rows(raw).withColumn("chain", F.lit("ethereum"))
+    # The same contracts on another chain, with other decimals.
+    others = tokens.withColumns({"chain": F.lit("polygon"), "decimals": F.col("decimals") - 3})
+    converted = with_token_amount(transfers(spark, sf), tokens.unionByName(others), chain="ethereum")
+    return as_text(
+        converted.select(*KEY, "contract_address", "token_amount", "token_amount_overflow"),
+        "token_amount",
+    )
 
 
 def q_date_key(spark, sf):
@@ -151,6 +157,16 @@ def q_top_minters(spark, sf):
     return as_text(top_minters(mint(spark, sf), 3), "total_minted")
 
 
+def q_top_minters_large(spark, sf):
+    """The largest mints when every amount is 2^160 times as large, past 10^38."""
+    zeros = F.unhex(F.lit("00" * 20))
+    raised = logs(spark, sf).withColumn(
+        "data", F.when(F.length("data") == 32, F.concat(F.substring("data", 21, 12), zeros)).otherwise(F.col("data"))
+    )
+    decoded = int_all_transfer(raised, signatures(spark, sf))
+    return as_text(top_minters(fct_mint(decoded, RUN_TS), 3), "total_minted")
+
+
 def q_metric_query(spark, sf):
     """Minted amount and mints by contract and day, of the larger mints."""
     result = metric_query(
@@ -193,6 +209,7 @@ QUERIES = {
     "fct_burn": q_fct_burn,
     "fct_transfer": q_fct_transfer,
     "top_minters": q_top_minters,
+    "top_minters_large": q_top_minters_large,
     "metric_query": q_metric_query,
 }
 
@@ -219,6 +236,22 @@ sig AS (
 _TRANSFER_AMOUNTS = f"CAST(raw AS VARCHAR) AS amount_raw, {tokens_sql('raw')} AS amount"
 _RUN = f"20240301 AS date_key, '{RUN_TS}' AS dbt_loaded_at"
 
+_DIGITS = "ltrim(substr(event_data, 3), '0') AS amount_hex, false AS amount_overflow"
+_TOP_MINTED = """summed AS (
+    SELECT to_address, sum(raw) AS total, count(*) AS n, count(*) FILTER (raw = 0) AS zeros
+    FROM transfers WHERE event_type = 'click'
+    GROUP BY to_address ORDER BY total DESC, to_address LIMIT 3)"""
+
+
+def _hex_sql(number: str) -> str:
+    """Hex digits of a HUGEINT, from two parts that fit a BIGINT."""
+    part = "1152921504606846976"
+    return (
+        f"(printf('%x', CAST(CAST({number} AS HUGEINT) // {part} AS BIGINT))"
+        f" || lpad(printf('%x', CAST(CAST({number} AS HUGEINT) % {part} AS BIGINT)), 15, '0'))"
+    )
+
+
 ORACLES = {
     "scan_logs": f"""WITH {EV} SELECT is_removed AS removed, log_index, transaction_index,
         block_number, 32 AS hash_bytes, CASE WHEN event_data = '0x' THEN 0 ELSE 32 END AS data_bytes
@@ -251,7 +284,8 @@ ORACLES = {
           FROM (SELECT *, CAST([1000000, 100000000, 1000000000000000000][user_id % 3 + 1]
                   AS HUGEINT) AS unit FROM transfers))
         SELECT block_number, log_index, contract_address,
-          (n // 100000000) || '.' || lpad(CAST(n % 100000000 AS VARCHAR), 8, '0') AS token_amount
+          (n // 100000000) || '.' || lpad(CAST(n % 100000000 AS VARCHAR), 8, '0') AS token_amount,
+          false AS token_amount_overflow
         FROM scaled""",
     "date_key": """SELECT event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key
         FROM events""",
@@ -287,20 +321,24 @@ ORACLES = {
           CAST(CASE WHEN n <= 16 THEN raw ELSE raw // CAST(power(16, n - 16) AS HUGEINT) END
             AS VARCHAR) AS amount_raw FROM hexed""",
     "fct_mint": f"""WITH {EV} SELECT transaction_hash, log_index, block_number, contract_address,
-        to_address AS minting_address, {tokens_sql('raw')} AS minted_amount, {_RUN}
+        to_address AS minting_address, {tokens_sql('raw')} AS minted_amount, {_DIGITS}, {_RUN}
         FROM transfers WHERE event_type = 'click'""",
     "fct_burn": f"""WITH {EV} SELECT transaction_hash, log_index, block_number, block_hash,
         contract_address, from_address AS burned_from_address, CAST(raw AS VARCHAR) AS amount_raw,
-        {tokens_sql('raw')} AS burned_amount, 'Transfer' AS event_name, transaction_index, {_RUN}
-        FROM transfers WHERE event_type = 'purchase'""",
+        {tokens_sql('raw')} AS burned_amount, 'Transfer' AS event_name, transaction_index,
+        {_DIGITS}, {_RUN} FROM transfers WHERE event_type = 'purchase'""",
     "fct_transfer": f"""WITH {EV} SELECT transaction_hash, log_index, block_number, block_hash,
         contract_address, from_address, to_address, {_TRANSFER_AMOUNTS}, 'Transfer' AS event_name,
-        transaction_index, {_RUN} FROM transfers WHERE event_type = 'view'""",
-    "top_minters": f"""WITH {EV}, summed AS (
-          SELECT to_address, sum(raw) AS total, count(*) AS n FROM transfers
-          WHERE event_type = 'click' GROUP BY to_address ORDER BY total DESC, to_address LIMIT 3)
+        transaction_index, {_DIGITS}, {_RUN} FROM transfers WHERE event_type = 'view'""",
+    "top_minters": f"""WITH {EV}, {_TOP_MINTED}
         SELECT to_address AS minting_address, {tokens_sql('CAST(total AS HUGEINT)')} AS total_minted,
-          n AS mint_count FROM summed""",
+          lpad({_hex_sql('total')}, 72, '0') AS total_hex, n AS mint_count,
+          CAST(0 AS BIGINT) AS overflow_count FROM summed""",
+    "top_minters_large": f"""WITH {EV}, {_TOP_MINTED}
+        SELECT to_address AS minting_address,
+          CASE WHEN zeros > 0 THEN '0.000000000000000000' END AS total_minted,
+          lpad({_hex_sql('total')} || repeat('0', 40), 72, '0') AS total_hex, n AS mint_count,
+          n - zeros AS overflow_count FROM summed""",
     "metric_query": f"""WITH {EV}, summed AS (
           SELECT contract_address, sum(raw) AS total, max(raw) AS largest, count(*) AS n
           FROM transfers WHERE event_type = 'click' AND raw >= 1000000000000000000

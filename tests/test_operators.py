@@ -1,6 +1,7 @@
 """Quality checks, metrics, history and the event catalog."""
 
 import json
+import random
 from decimal import Decimal
 
 import pytest
@@ -92,13 +93,37 @@ def mint(spark):
     rows = [("0xa", 20240101, "0x1", "5.5"), ("0xa", 20240101, "0x2", "1"), ("0xb", 20240102, "0x1", "2.25"),
             ("0xb", 20240102, "0x3", "7.75"), ("0xb", 20240102, "0x4", None)]
     df = spark.createDataFrame(rows, "contract_address string, date_key int, minting_address string, m string")
-    return df.withColumn("minted_amount", F.col("m").cast("decimal(38,18)")).drop("m")
+    raw = (F.col("m").cast("decimal(38,2)") * 100).cast("long")
+    return df.withColumns(
+        {
+            "minted_amount": F.col("m").cast("decimal(38,18)"),
+            "amount_hex": F.when(raw.isNull(), "f" * 64).otherwise(F.lower(F.hex(raw))),
+            "amount_overflow": F.col("m").isNull(),
+        }
+    ).drop("m")
 
 
 def test_top_minters_break_ties_by_address(spark):
-    assert [(r.minting_address, r.total_minted) for r in top_minters(mint(spark), 2).collect()] == [
-        ("0x1", Decimal("7.75")), ("0x3", Decimal("7.75"))
-    ]
+    found = [(r.minting_address, r.total_minted) for r in top_minters(mint(spark), 3).collect()]
+    assert found == [("0x4", None), ("0x1", Decimal("7.75")), ("0x3", Decimal("7.75"))]
+
+
+def test_totals_are_exact_past_every_decimal(spark):
+    rng = random.Random(3)
+    numbers = [rng.randrange(2**256) for _ in range(50)] + [2**256 - 1] * 3 + [9 * 10**37] * 2 + [0, 1]
+    rows = [(f"0x{i % 4}", f"{n:x}" if n else "") for i, n in enumerate(numbers)]
+    df = spark.createDataFrame(rows, "minting_address string, amount_hex string").withColumns(
+        {"minted_amount": F.lit(None).cast("decimal(38,18)"), "amount_overflow": F.lit(True)}
+    )
+    totals = {}
+    for (who, _), n in zip(rows, numbers, strict=True):
+        totals[who] = totals.get(who, 0) + n
+    found = top_minters(df, 4).collect()
+    assert [(r.minting_address, int(r.total_hex, 16)) for r in found] == sorted(
+        totals.items(), key=lambda x: -x[1]
+    )
+    assert all(len(r.total_hex) == 72 and r.overflow_count == r.mint_count for r in found)
+    assert top_minters(df.where("false")).count() == 0
 
 
 def test_metric_query(spark):

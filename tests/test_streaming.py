@@ -1,10 +1,13 @@
+import datetime
 import json
 
 import pytest
 
 from logtide.plans import daily_run
+from logtide.plans.incremental import fact_table
 from logtide.session import build_session, new_run_dir, shared_dir
 from logtide.sources import files
+from logtide.sources.tables import KeyedTable
 from logtide.streaming import messages, producer, sink
 from tests.helpers import ZERO, log, logs, signatures, tuples
 
@@ -197,6 +200,103 @@ def test_daily_run(spark, run_dir):
     assert daily_run.raw_table(spark, root, 10).read().count() == 15 + 6
 
 
+def daily(spark, run_dir, day=1, **options):
+    folder, root = f"{run_dir}/files", f"{run_dir}/tables"
+    run_ts = f"2024-03-{day:02d} 00:00:00"
+    return daily_run.run(spark, folder, "open_logs", signatures(spark), root, run_ts, 10, **options)
+
+
+def put(spark, run_dir, rows, day=None):
+    stamp = None if day is None else datetime.date(2024, 3, day)
+    files.range_stamped_write(logs(spark, rows), f"{run_dir}/files", "open_logs", stamp)
+
+
+def blocks_of(spark, run_dir, name="fct_mint"):
+    fact = fact_table(spark, f"{run_dir}/tables", name, 10).read()
+    return sorted((r.block_number, r.date_key) for r in fact.collect())
+
+
+def test_a_failed_run_is_finished_by_the_next(spark, run_dir, monkeypatch):
+    put(spark, run_dir, [log(0, block=b, sender=ZERO) for b in (1, 2)])
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(daily_run, "replace_blocks", broken)
+        with pytest.raises(RuntimeError):
+            daily(spark, run_dir)
+    assert blocks_of(spark, run_dir) == []
+    with monkeypatch.context() as patch:
+        patch.setattr(daily_run, "check_blocks", broken)
+        with pytest.raises(RuntimeError):
+            daily(spark, run_dir, 2)
+    again = daily(spark, run_dir, 3)
+    assert again["status"] == "success" and again["loaded"] == 0
+    assert blocks_of(spark, run_dir) == [(1, 20240302), (2, 20240302)]
+    assert daily(spark, run_dir, 4)["status"] == "no_data"
+
+
+def test_late_files_and_lookback(spark, run_dir):
+    put(spark, run_dir, [log(0, block=25, sender=ZERO)], 2)
+    daily(spark, run_dir, 1)
+    put(spark, run_dir, [log(0, block=b, sender=ZERO) for b in (3, 4)], 1)
+    assert daily(spark, run_dir, 2)["facts"]["fct_mint"] == 2
+    assert blocks_of(spark, run_dir) == [(3, 20240302), (4, 20240302), (25, 20240301)]
+    # A row that went missing from a fact comes back with the blocks around it.
+    fact = fact_table(spark, f"{run_dir}/tables", "fct_mint", 10)
+    fact.replace(fact.read().where("block_number <> 4"))
+    put(spark, run_dir, [log(0, block=6, sender=ZERO)], 3)
+    daily(spark, run_dir, 3, lookback_blocks=5)
+    assert [b for b, _ in blocks_of(spark, run_dir)] == [3, 4, 6, 25]
+
+
+@pytest.mark.parametrize("together", [True, False])
+@pytest.mark.parametrize("late", [True, False])
+def test_newest_file_wins_however_files_are_loaded(spark, run_dir, together, late):
+    first = [log(0, block=9, tx=1, sender=ZERO), log(0, block=8, tx=2, sender=ZERO), log(0, block=5, tx=3, sender=ZERO)]
+    second = [log(0, block=10, tx=1, sender=ZERO), log(0, block=8, tx=2, sender=ZERO, removed=True)]
+    puts = [(first, 1), (second, 2)]
+    for number, (rows, day) in enumerate(reversed(puts) if late else puts):
+        put(spark, run_dir, rows, day)
+        if number or not together:
+            assert daily(spark, run_dir, number + 1)["status"] == "success"
+    raw = daily_run.raw_table(spark, f"{run_dir}/tables", 10).read().collect()
+    assert sorted((r.block_number, r.removed) for r in raw) == [(5, False), (8, True), (10, False)]
+    assert [b for b, _ in blocks_of(spark, run_dir)] == [5, 10]
+    assert len({r._dlt_id for r in raw}) == 3 and all(r._dlt_load_id.endswith(".parquet") for r in raw)
+
+
+def test_a_run_reads_only_the_buckets_near_its_files(spark, run_dir, monkeypatch):
+    put(spark, run_dir, [log(0, block=b, sender=ZERO) for b in range(0, 5000, 500)], 1)
+    daily(spark, run_dir, 1)
+    put(spark, run_dir, [log(1, block=4990, sender=ZERO)], 2)
+    opened = []
+    plain = KeyedTable._open
+
+    def watched(self, live):
+        opened.extend(int(b) for b in live)
+        return plain(self, live)
+
+    monkeypatch.setattr(KeyedTable, "_open", watched)
+    assert daily(spark, run_dir, 2, reorg_blocks=100)["status"] == "success"
+    assert opened and min(opened) >= (4990 - 100) // 10
+
+
+def test_job_record_is_published_once(spark, run_dir):
+    one, two = daily_run.JobRecord(spark, run_dir), daily_run.JobRecord(spark, run_dir)
+    one.loaded = ["a"]
+    one.publish()
+    with pytest.raises(FileExistsError):
+        two.publish()
+    assert daily_run.JobRecord(spark, run_dir).loaded == ["a"]
+
+
+def test_ranges_are_merged():
+    assert daily_run.merged_ranges([(5, 9), (1, 4), (20, 21), (8, 12)]) == [(1, 12), (20, 21)]
+    assert daily_run.merged_ranges([(5, 9), (20, 21)], 15) == [(-10, 21)]
+
+
 def test_failed_checks_are_reported(spark, run_dir):
     folder = f"{run_dir}/files"
     same_key = [log(0, block=b, tx=1, sender=ZERO) for b in (1, 2)] + [log(5, block=2 * 10**9, sender=ZERO)]
@@ -204,6 +304,8 @@ def test_failed_checks_are_reported(spark, run_dir):
     result = daily_run.run(spark, folder, "open_logs", signatures(spark), f"{run_dir}/t", RUN, 10)
     assert result["status"] == "failed_checks"
     assert {c["check_name"] for c in result["failed_checks"]} == {"block_range:block_number"}
+    again = daily_run.run(spark, folder, "open_logs", signatures(spark), f"{run_dir}/t", RUN, 10)
+    assert again["status"] == "failed_checks" and again["loaded"] == 0
 
 
 def test_work_folder_comes_from_the_session(spark):

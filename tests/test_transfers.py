@@ -85,6 +85,33 @@ def test_token_decimals(spark):
     assert transfers.with_token_amount(decoded, none).first().token_amount == Decimal("0E-8")
 
 
+def test_tokens_of_several_chains(spark):
+    tokens = spark.createDataFrame(
+        [(address(7), "a", 6), (address(7), "b", 3)], "contract_address string, chain string, decimals int"
+    )
+    decoded = decode(spark, [log(i, value=1_500_000) for i in range(5)])
+    on_a = transfers.with_token_amount(decoded, tokens, chain="a")
+    assert [r.token_amount for r in on_a.collect()] == [Decimal("1.5")] * 5
+    both = decoded.withColumn("chain", F.when(F.col("log_index") == 0, "b").otherwise("c"))
+    found = {r.log_index: r.token_amount for r in transfers.with_token_amount(both, tokens).collect()}
+    assert found[0] == 1500 and found[1] == Decimal("0E-8")
+    with pytest.raises(ValueError, match="chain"):
+        transfers.with_token_amount(decoded, tokens)
+    with pytest.raises(ValueError, match="repeats"):
+        transfers.with_token_amount(decoded, tokens.drop("chain"))
+
+
+def test_amounts_that_do_not_fit_are_marked(spark):
+    raw = 9 * 10**37
+    row = decode(spark, [log(value=raw)], decimals=6).first()
+    assert (row.amount, row.amount_overflow, int(row.amount_hex, 16), int(row.amount_raw)) == (None, True, raw, raw)
+    tokens = spark.createDataFrame([(address(7), 6)], "contract_address string, decimals int")
+    converted = transfers.with_token_amount(decode(spark, [log(value=raw), log(1, value=5)]), tokens)
+    assert {r.log_index: r.token_amount_overflow for r in converted.collect()} == {0: True, 1: False}
+    fact = marts.fct_mint(decode(spark, [log(sender=ZERO, value=10**40)]), RUN).first()
+    assert fact.minted_amount is None and fact.amount_overflow and int(fact.amount_hex, 16) == 10**40
+
+
 def test_fact_schemas_and_run_time(spark):
     decoded = decode(spark, [log(sender=ZERO), log(1, receiver=ZERO), log(2)])
     for build, schema in marts.FACTS.values():
