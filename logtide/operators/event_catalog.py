@@ -8,9 +8,8 @@ from pyspark.sql import types as T
 
 from logtide.operators.joins import lookup_join
 
-# Tuples may nest; deeper ones than this fail the job rather than give a wrong
-# signature.
-MAX_TUPLE_DEPTH = 4
+# Tuples may nest this deep; events with deeper ones are set aside.
+MAX_TUPLE_DEPTH = 8
 
 
 def _parameter(depth: int) -> T.StructType:
@@ -35,32 +34,56 @@ ABI = T.ArrayType(
 
 
 def _canonical_type(parameter: Column, depth: int = MAX_TUPLE_DEPTH) -> Column:
-    """Type text with tuples spelled out: ``tuple[]`` -> ``(address,uint256)[]``."""
+    """Type text with tuples spelled out: ``tuple[]`` -> ``(address,uint256)[]``.
+
+    NULL for a missing type, and for tuples nested too deep.
+    """
     kind = parameter["type"]
     if depth == 0:
-        too_deep = F.raise_error(F.lit(f"tuple nested deeper than {MAX_TUPLE_DEPTH} levels"))
-        return F.when(kind.startswith("tuple"), too_deep.cast("string")).otherwise(kind)
+        return F.when(~kind.startswith("tuple"), kind)
     members = F.transform(
         F.coalesce(parameter["components"], F.array()),
         lambda c: _canonical_type(c, depth - 1),
     )
-    spelled = F.concat(F.lit("("), F.concat_ws(",", members), F.lit(")"), F.substring(kind, 6, 100))
+    suffix = F.substring(kind, 6, 1 << 30)
+    spelled = F.concat(F.lit("("), _joined(members), F.lit(")"), suffix)
     return F.when(kind.startswith("tuple"), spelled).otherwise(kind)
 
 
-def abi_events(abis: DataFrame, columns: tuple[str, ...] = ("abi", "implementation_abi")) -> DataFrame:
-    """One row per event of each contract, its ABI and its implementation's joined."""
+def _joined(members: Column) -> Column:
+    """Members with commas; NULL if one of them is."""
+    return F.when(~F.exists(members, lambda m: m.isNull()), F.array_join(members, ","))
+
+
+def _events(abis: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     parsed = [F.coalesce(F.from_json(F.col(c), ABI), F.array()) for c in columns if c in abis.columns]
     events = F.filter(F.concat(*parsed), lambda e: e["type"] == "event")
     rows = abis.select(F.explode(events).alias("event"))
-    types = F.transform("event.inputs", lambda p: _canonical_type(p))
+    types = F.transform(F.coalesce("event.inputs", F.array()), lambda p: _canonical_type(p))
     return rows.select(
         F.col("event.name").alias("event_name"),
-        F.concat("event.name", F.lit("("), F.concat_ws(",", types), F.lit(")")).alias("signature"),
+        F.concat("event.name", F.lit("("), _joined(types), F.lit(")")).alias("signature"),
         F.to_json("event.inputs").alias("inputs"),
     )
 
 
+def abi_events(abis: DataFrame, columns: tuple[str, ...] = ("abi", "implementation_abi")) -> DataFrame:
+    """One row per event of each contract, its ABI and its implementation's joined.
+
+    Events that have no signature are in ``refused_events``.
+    """
+    return _events(abis, columns).where(F.col("signature").isNotNull())
+
+
+def refused_events(abis: DataFrame, columns: tuple[str, ...] = ("abi", "implementation_abi")) -> DataFrame:
+    """Events without a signature, and why: one bad ABI does not stop the others."""
+    reason = F.when(F.col("event_name").isNull(), "event without a name").otherwise(
+        f"parameter without a type, or tuple nested deeper than {MAX_TUPLE_DEPTH} levels"
+    )
+    found = _events(abis, columns).where(F.col("signature").isNull())
+    return found.select("event_name", reason.alias("reason"), "inputs")
+
+
 def event_catalog(abis: DataFrame, topics: DataFrame) -> DataFrame:
     """Distinct events with their topic, looked up by signature text.
 

@@ -69,9 +69,12 @@ def source_report(logs: DataFrame, signatures: DataFrame) -> list[DataFrame]:
 
 
 def transfer_report(transfers: DataFrame) -> list[DataFrame]:
-    """Decoded transfers: required columns and plausible blocks, in one pass."""
+    """Decoded transfers: required columns and plausible blocks in one pass, and keys."""
     block = ("int_all_transfer", "block_range:block_number", quality.implausible_block("block_number"))
-    return [quality.checks_report(transfers, [*_not_null("int_all_transfer"), block])]
+    return [
+        quality.checks_report(transfers, [*_not_null("int_all_transfer"), block]),
+        quality.unique_report(transfers, "int_all_transfer", FACT_KEY),
+    ]
 
 
 def mart_report(facts: dict[str, DataFrame], signatures: DataFrame) -> list[DataFrame]:
@@ -90,13 +93,19 @@ def mart_report(facts: dict[str, DataFrame], signatures: DataFrame) -> list[Data
 
 
 def quality_suite(
-    logs: DataFrame, signatures: DataFrame, facts: dict[str, DataFrame]
+    logs: DataFrame, signatures: DataFrame, facts: dict[str, DataFrame],
+    transfers: DataFrame | None = None,
 ) -> DataFrame:
-    """Failed rows and status of every declared check."""
+    """Failed rows and status of every declared check.
+
+    ``transfers`` are the decoded logs, where they are at hand.
+    """
+    if transfers is None:
+        transfers = int_all_transfer(logs, signatures)
     return quality.combine_reports(
         [
             *source_report(logs, signatures),
-            *transfer_report(int_all_transfer(logs, signatures)),
+            *transfer_report(transfers),
             *mart_report(facts, signatures),
         ]
     )

@@ -9,7 +9,9 @@ outstanding, whether or not there is a new file.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
@@ -134,9 +136,25 @@ def _logs_of(table: KeyedTable, blocks: Range, blocks_per_bucket: int) -> DataFr
     return found.where(F.col("block_number").between(*blocks))
 
 
+@contextmanager
+def decoded_transfers(logs: DataFrame, signatures: DataFrame) -> Iterator[DataFrame]:
+    """Transfers of the logs, decoded once for facts and checks.
+
+    They are written to the shared folder, so that a lost executor costs no second
+    decode; the copy goes when the block ends.
+    """
+    path = new_run_dir(logs.sparkSession, "transfers")
+    int_all_transfer(logs, signatures).write.parquet(path)
+    try:
+        yield logs.sparkSession.read.parquet(path)
+    finally:
+        storage.delete(logs.sparkSession, path)
+
+
 def refresh_facts(
-    raw: KeyedTable,
-    signatures: DataFrame,
+    spark: SparkSession,
+    logs: DataFrame,
+    transfers: DataFrame,
     root: str,
     run_ts: datetime | str,
     blocks: Range,
@@ -145,17 +163,9 @@ def refresh_facts(
 ) -> dict[str, int]:
     """Make the facts agree with the raw logs of a block range; rows inserted.
 
-    Only raw buckets of the range are opened, whichever fact has rows there. The
-    transfers are decoded once and written to the shared folder, so that three
-    facts read three projections of a small table and a lost executor costs no
-    second decode; the copy goes when the facts are done.
+    Only buckets near the range are opened, whichever fact has rows there.
     """
-    spark = raw.spark
-    logs = _logs_of(raw, blocks, blocks_per_bucket)
     scope = near_buckets(*blocks, blocks_per_bucket, reorg_blocks)
-    decoded = new_run_dir(spark, "transfers")
-    int_all_transfer(logs, signatures).write.parquet(decoded)
-    transfers = spark.read.parquet(decoded)
     # The facts do not depend on each other; side by side they fill the cluster.
     with ThreadPoolExecutor(len(FACTS)) as pool:
         jobs = {
@@ -165,24 +175,32 @@ def refresh_facts(
             )
             for name in FACTS
         }
-        inserted = {name: job.result() for name, job in jobs.items()}
-    storage.delete(spark, decoded)
-    return inserted
+        return {name: job.result() for name, job in jobs.items()}
 
 
 def check_blocks(
     raw: KeyedTable,
     signatures: DataFrame,
+    transfers: DataFrame,
     root: str,
-    blocks: Range | None = None,
+    blocks: Range,
     blocks_per_bucket: int = BLOCKS_PER_BUCKET,
 ) -> DataFrame:
-    """Report of every declared check over a block range, or over everything."""
-    facts = {name: fact_table(raw.spark, root, name, blocks_per_bucket) for name in FACTS}
-    if blocks is None:
-        return quality_suite(raw.read(), signatures, {name: t.read() for name, t in facts.items()})
-    stored = {name: _logs_of(table, blocks, blocks_per_bucket) for name, table in facts.items()}
-    return quality_suite(_logs_of(raw, blocks, blocks_per_bucket), signatures, stored)
+    """Report of every declared check over a block range."""
+    facts = {
+        name: _logs_of(fact_table(raw.spark, root, name, blocks_per_bucket), blocks, blocks_per_bucket)
+        for name in FACTS
+    }
+    return quality_suite(_logs_of(raw, blocks, blocks_per_bucket), signatures, facts, transfers)
+
+
+def check_everything(
+    spark: SparkSession, signatures: DataFrame, root: str, blocks_per_bucket: int = BLOCKS_PER_BUCKET
+) -> DataFrame:
+    """Report of every declared check over whole tables, by request."""
+    raw = raw_table(spark, root, blocks_per_bucket).read()
+    stored = {name: fact_table(spark, root, name, blocks_per_bucket).read() for name in FACTS}
+    return quality_suite(raw, signatures, stored)
 
 
 def run(
@@ -200,8 +218,8 @@ def run(
 
     ``status`` is ``no_data`` when there is no new file and nothing outstanding,
     else ``success``, or ``failed_checks`` when a check found rows in the blocks
-    not yet passed; those stay outstanding. ``lookback_blocks`` builds that many
-    more blocks of the facts again.
+    not yet passed; those stay outstanding. Facts and checks cost the blocks of
+    the new files; ``lookback_blocks`` takes in that many more before them.
     """
     raw = raw_table(spark, root, blocks_per_bucket)
     record = JobRecord(spark, root)
@@ -209,25 +227,32 @@ def run(
     facts = {name: 0 for name in FACTS}
     if not record.unchecked:
         return {"status": "no_data", "loaded": 0, "facts": facts}
-    for blocks in merged_ranges(record.pending, lookback_blocks):
-        inserted = refresh_facts(
-            raw, signatures, root, run_ts, blocks, blocks_per_bucket, reorg_blocks
-        )
-        facts = {name: facts[name] + inserted[name] for name in FACTS}
-    if record.pending:
+    if record.pending or not dimension_table(spark, root).version():
         dimension_table(spark, root).replace(dim_event(signatures))
-        record.pending = []
-        record.publish()
     failed = []
-    for blocks in merged_ranges(record.unchecked):
-        report = check_blocks(raw, signatures, root, blocks, blocks_per_bucket)
-        failed += [row.asDict() for row in report.where(F.col("failed_rows") > 0).collect()]
-    if not failed:
-        record.unchecked = []
-        record.publish()
+    for blocks in merged_ranges(record.unchecked, lookback_blocks):
+        logs = _logs_of(raw, blocks, blocks_per_bucket)
+        with decoded_transfers(logs, signatures) as transfers:
+            if any(_meets(blocks, r) for r in record.pending):
+                inserted = refresh_facts(
+                    spark, logs, transfers, root, run_ts, blocks, blocks_per_bucket, reorg_blocks
+                )
+                facts = {name: facts[name] + inserted[name] for name in FACTS}
+                record.pending = [r for r in record.pending if not _meets(blocks, r)]
+                record.publish()
+            report = check_blocks(raw, signatures, transfers, root, blocks, blocks_per_bucket)
+            found = [row.asDict() for row in report.where(F.col("failed_rows") > 0).collect()]
+        failed += found
+        if not found:
+            record.unchecked = [r for r in record.unchecked if not _meets(blocks, r)]
+            record.publish()
     return {
         "status": "failed_checks" if failed else "success",
         "loaded": loaded,
         "facts": facts,
         "failed_checks": failed,
     }
+
+
+def _meets(a: Range, b: Range) -> bool:
+    return a[0] <= b[1] and b[0] <= a[1]

@@ -19,8 +19,15 @@ def _required(name: str) -> str:
     return value
 
 
+# Polls of the topic that make one step of a stream.
+POLLS_PER_STEP = 100
+
+
 @dataclass
 class KafkaSettings:
+    """A topic. A step of a stream takes ``POLLS_PER_STEP`` polls of ``batch_size``
+    messages at most, and never more than ``max_records``, the limit of a run."""
+
     bootstrap_servers: str
     topic: str
     batch_size: int = 100
@@ -43,8 +50,8 @@ class KafkaSettings:
             "subscribe": self.topic,
             "startingOffsets": "earliest",
         }
-        if self.max_records:
-            options["maxOffsetsPerTrigger"] = str(self.max_records)
+        step = self.batch_size * POLLS_PER_STEP
+        options["maxOffsetsPerTrigger"] = str(min(step, self.max_records or step))
         return options
 
     def sink_options(self) -> dict[str, str]:

@@ -256,19 +256,31 @@ def doc_catalog(metadata: DataFrame) -> DataFrame:
     return metadata.withColumn("file_size", megabytes_text(F.col("file_size")))
 
 
-def read_doc_metadata(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Document metadata below ``path``: one JSON file per document, or JSON lines.
-
-    Unreadable records give no row.
-    """
-    schema = (
+def _doc_records(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """Parsed documents with ``readable``; an unreadable record keeps its text."""
+    fields = T.StructType.fromDDL(
         "title string, id string, language string, file_path string, "
         "file_size long, created_at string"
     )
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", multi_line)
-        .option("mode", "DROPMALFORMED")
-        .option("recursiveFileLookup", "true")
-        .json(path)
+    with_text = T.StructType([*fields.fields, T.StructField("_corrupt_record", T.StringType())])
+    lines = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=multi_line)
+    parsed = F.from_json(
+        "value", with_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     )
+    return lines.where(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("record"), parsed.alias("doc")
+    ).withColumn("readable", F.col("doc._corrupt_record").isNull())
+
+
+def read_doc_metadata(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Document metadata below ``path``: one JSON file per document, or JSON lines.
+
+    Unreadable records are in ``unreadable_doc_metadata``.
+    """
+    records = _doc_records(spark, path, multi_line).where("readable")
+    return records.select("doc.*").drop("_corrupt_record")
+
+
+def unreadable_doc_metadata(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """File and text of the records that ``read_doc_metadata`` leaves out."""
+    return _doc_records(spark, path, multi_line).where("NOT readable").select("file", "record")

@@ -113,9 +113,15 @@ def insert_first(
 
 
 def start(
-    messages: DataFrame, sink: TransferSink, checkpoint: str, interval: str | None = None
+    messages: DataFrame, sink: TransferSink, checkpoint: str, interval: str | None = None,
+    max_messages: int | None = None,
 ) -> StreamingQuery:
-    """Run the sink continuously, or over what is there when no interval is given."""
+    """Run the sink continuously, or over what is there when no interval is given.
+
+    After ``max_messages`` the query ends before its next batch.
+    """
+    if max_messages is not None:
+        sink.enough = lambda: sink.totals["consumed"] >= max_messages
     writer = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if interval:
         return writer.trigger(processingTime=interval).start()
@@ -128,12 +134,14 @@ def drain(
     checkpoint: str,
     max_messages: int | None = None,
     max_seconds: float = DRAIN_SECONDS,
+    grace_seconds: float = DRAIN_SECONDS,
 ) -> dict:
     """Consume what is there, up to a number of messages or a time, and report.
 
-    The source's own batch limit sets the step: a batch that has started is
-    finished, and the limits are looked at before the next. What is left waits
-    for the next run with the same checkpoint.
+    The source's own batch limit sets the step: the limits are looked at before
+    each batch. One that has started may take ``grace_seconds`` over the time;
+    then it is stopped, and comes again, whole, in the next run with the same
+    checkpoint, like everything that is left.
     """
     began = time.monotonic()
 
@@ -145,7 +153,10 @@ def drain(
     sink.enough, sink.stopped = enough, False
     failure = None
     try:
-        start(messages, sink, checkpoint).awaitTermination()
+        query = start(messages, sink, checkpoint)
+        if not query.awaitTermination(max_seconds + grace_seconds):
+            sink.stopped = True
+            query.stop()
     except StreamingQueryException as error:
         failure = None if sink.stopped else str(error)
     return drain_stats(sink.totals, time.monotonic() - began, failure)

@@ -83,6 +83,31 @@ def dq_report(spark, sf):
     return quality_suite(logs(spark, sf), signatures(spark, sf), stored)
 
 
+def dq_report_broken(spark, sf):
+    """Every declared check on inputs that break it: every tenth raw log loses its
+    required columns, every transfer comes twice with a block out of range, facts
+    lose their columns and come twice, and signatures lose their topic."""
+    raw, sigs = logs(spark, sf), signatures(spark, sf)
+    tenth = F.col("block_number") % 10 == 0
+    columns = ["log_index", "transaction_hash", "address"]
+    broken_logs = raw.withColumns(
+        {c: F.when(~tenth, F.col(c)) for c in columns}
+        | {"block_number": F.when(~tenth, F.col("block_number"))}
+    )
+    decoded = transfers(spark, sf)
+    facts = {}
+    for name, (build, _) in FACTS.items():
+        fact = build(decoded, RUN_TS)
+        gone = fact.withColumns({c: F.lit(None).cast(fact.schema[c].dataType) for c in fact.columns})
+        # Each row once as it is, once more, and once with nothing in it.
+        facts[name] = fact.unionByName(fact).unionByName(gone)
+    far = decoded.withColumn("block_number", F.lit(-1).cast("long"))
+    empty = decoded.withColumns({c: F.lit(None).cast(decoded.schema[c].dataType) for c in decoded.columns})
+    no_topic = sigs.where("event_name = 'Transfer'").withColumn("topic0", F.lit(None).cast("string"))
+    twice = sigs.unionByName(sigs).unionByName(no_topic)
+    return quality_suite(broken_logs, twice, facts, far.unionByName(far).unionByName(empty))
+
+
 QUERIES = {
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
@@ -91,6 +116,7 @@ QUERIES = {
     "dq_valid_address": dq_valid_address,
     "dq_block_range": dq_block_range,
     "dq_report": dq_report,
+    "dq_report_broken": dq_report_broken,
 }
 
 _LOG_COLUMNS = ["transaction_hash", "log_index", "block_number"]
@@ -132,6 +158,8 @@ def _report_sql() -> str:
             add(f"not_null:{column}", model, f"count(*) FILTER ({expression} IS NULL)")
     add("block_range:block_number", "int_all_transfer",
         "count(*) FILTER (block_number < 0 OR block_number > 999999999)")
+    add("unique:transaction_hash,log_index", "int_all_transfer",
+        "count(*) - count(DISTINCT (transaction_hash, log_index))")
     for fact in ("fct_mint", "fct_burn", "fct_transfer"):
         add("valid_address:contract_address", fact,
             "count(*) FILTER (length(contract_address) <> 42 OR left(contract_address, 2) <> '0x')")
@@ -162,6 +190,37 @@ def _not_null_sql() -> str:
     return " UNION ALL ".join(lines)
 
 
+def _broken_sql() -> str:
+    """Failed rows per check of ``dq_report_broken``."""
+    kinds = {"fct_mint": "click", "fct_burn": "purchase", "fct_transfer": "view"}
+    lines = []
+
+    def add(check, model, number, source):
+        lines.append(f"SELECT '{check}', '{model}', CAST({number} AS BIGINT) FROM {source}")
+
+    for model, (_, columns) in _REQUIRED.items():
+        for column in columns:
+            check = f"not_null:{column}"
+            if model in ("open_logs", "stg_open_logs"):
+                add(check, model, "count(*)", "ev WHERE block_number % 10 = 0")
+            elif model == "int_all_transfer":
+                add(check, model, "count(*)", "transfers")
+            elif model in kinds:
+                add(check, model, "count(*)", f"transfers WHERE event_type = '{kinds[model]}'")
+            else:
+                add(check, model, "1", "(SELECT 1)")
+    add("block_range:block_number", "int_all_transfer", "2 * count(*)", "transfers")
+    add("unique:transaction_hash,log_index", "int_all_transfer", "count(*)", "transfers")
+    for model, kind in kinds.items():
+        source = f"transfers WHERE event_type = '{kind}'"
+        add("valid_address:contract_address", model, "count(*)", source)
+        add("unique:transaction_hash,log_index", model, "count(*)", source)
+    add("accepted_values:event_category", "dim_event", "0", "(SELECT 1)")
+    for model in ("stg_event_signature", "dim_event"):
+        add("unique:topic0_hash", model, "count(*) + 2", "part")
+    return " UNION ALL ".join(lines)
+
+
 _STATUS = "CASE WHEN failed_rows > 0 THEN 'fail' ELSE 'pass' END AS status"
 
 ORACLES = {
@@ -183,4 +242,6 @@ ORACLES = {
         FROM transfers WHERE event_type = 'view' OR (event_type = 'click' AND block_number > 0)""",
     "dq_report": f"""WITH {EV}, report(check_name, table_name, failed_rows) AS (
         {_report_sql()}) SELECT *, {_STATUS} FROM report""",
+    "dq_report_broken": f"""WITH {EV}, report(check_name, table_name, failed_rows) AS (
+        {_broken_sql()}) SELECT *, {_STATUS} FROM report""",
 }

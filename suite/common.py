@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+def once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     """Write a derived input once per application and table folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
@@ -34,7 +34,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw logs of all events, scanned from Parquet."""
-    path = _once(
+    path = once(
         spark, sf_dir, "open_logs",
         lambda p: log_rows(table(spark, sf_dir, "events")).write.parquet(p),
     )
@@ -43,7 +43,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The signature catalog, scanned from CSV."""
-    path = _once(
+    path = once(
         spark, sf_dir, "event_signature",
         lambda p: signature_rows(table(spark, sf_dir, "part")).write.csv(p, header=True, escape='"'),
     )

@@ -152,7 +152,9 @@ def fct_mint_incremental(spark, sf):
     fact = fact_table(spark, new_run_dir(spark, "incremental"), "fct_mint", BLOCKS_PER_BUCKET)
     decoded, middle = transfers(spark, sf), _last_block(spark, sf) // 2
     refresh_fact(fact, "fct_mint", decoded.where(F.col("block_number") <= middle), RUN_TS)
-    refresh_fact(fact, "fct_mint", decoded, SECOND_RUN_TS)
+    refresh_fact(
+        fact, "fct_mint", decoded, SECOND_RUN_TS, blocks_per_bucket=BLOCKS_PER_BUCKET
+    )
     return as_text(fact.read(), "minted_amount", "dbt_loaded_at")
 
 

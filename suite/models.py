@@ -21,7 +21,7 @@ from logtide.operators.metrics import MINT_MODEL, metric_query, top_minters
 from logtide.plans.marts import dim_event, fct_burn, fct_mint, fct_transfer
 from logtide.plans.staging import stg_event_signature, stg_open_logs
 from logtide.plans.transfers import int_all_transfer, with_token_amount
-from suite.common import EV, RUN_TS, as_text, logs, signatures, table, tokens_sql, transfers
+from suite.common import EV, RUN_TS, as_text, logs, once, signatures, table, tokens_sql, transfers
 from suite.event_fixture import abi_rows, token_rows
 
 KEY = ["block_number", "log_index"]
@@ -117,7 +117,8 @@ def q_optional_column(spark, sf):
 
 def q_event_catalog(spark, sf):
     part = table(spark, sf, "part")
-    return event_catalog(abi_rows(part), signatures(spark, sf)).select(
+    path = once(spark, sf, "abi", lambda p: abi_rows(part).write.parquet(p))
+    return event_catalog(spark.read.parquet(path), signatures(spark, sf)).select(
         "topic0", "event_name", "signature",
         F.size(F.from_json("inputs", "array<struct<name string>>")).alias("n_inputs"),
     )

@@ -17,7 +17,7 @@ from logtide.schemas import INDEXER_FIELDS
 from logtide.session import new_run_dir
 from logtide.sources import files
 from logtide.streaming import messages, producer, sink
-from suite.common import EV, RUN_TS, SECOND_RUN_TS, as_text, logs
+from suite.common import EV, RUN_TS, SECOND_RUN_TS, as_text, logs, once
 from suite.event_fixture import UNKNOWN_TOPIC, transfer_events
 from suite.loads import RECORD
 
@@ -36,7 +36,8 @@ def json_records(spark, sf):
     renamed = [F.col(column).alias(name) for name, column in INDEXER_FIELDS.items()]
     body = F.struct(F.struct(F.array(F.struct(*renamed)).alias("transfers")).alias("data"))
     responses = events.select(F.to_json(F.struct(body["data"].alias("data"))).alias("value"))
-    return files.rename_indexer_fields(files.json_records(responses, "transfers"))
+    path = once(spark, sf, "responses", responses.write.text)
+    return files.rename_indexer_fields(files.json_records(spark.read.text(path), "transfers"))
 
 
 def encode_messages(spark, sf):
@@ -88,10 +89,11 @@ def _sent(spark, sf) -> DataFrame:
 def _drained(spark, sf, name):
     """All messages through the stream, in files of about equal size."""
     base = new_run_dir(spark, name)
-    sent = _sent(spark, sf).repartition(DRAIN_FILES)
-    sent.write.text(f"{base}/in")
+    path = once(
+        spark, sf, "messages", lambda p: _sent(spark, sf).repartition(DRAIN_FILES).write.text(p)
+    )
     target = sink.TransferSink(spark, f"{base}/out", THRESHOLD_TOKENS, RUN_TS)
-    stats = sink.drain(_stream(spark, f"{base}/in"), target, f"{base}/checkpoint")
+    stats = sink.drain(_stream(spark, path), target, f"{base}/checkpoint")
     return base, stats
 
 
@@ -102,8 +104,8 @@ def _stream(spark, path, files_per_batch=2):
 def stream_decode(spark, sf):
     """The decode step as a stream, without a sink table."""
     base = new_run_dir(spark, "decode")
-    _sent(spark, sf).write.text(f"{base}/in")
-    good = messages.good_messages(messages.decode_messages(_stream(spark, f"{base}/in")))
+    path = once(spark, sf, "decode_messages", lambda p: _sent(spark, sf).write.text(p))
+    good = messages.good_messages(messages.decode_messages(_stream(spark, path)))
     query = (
         good.writeStream.format("parquet")
         .option("checkpointLocation", f"{base}/checkpoint")
@@ -124,9 +126,12 @@ def stream_sink(spark, sf):
     """The sink after all messages came, and came again with other values."""
     base, _ = _drained(spark, sf, "sink")
     again = _events(spark, sf).withColumn("value", F.lit("7"))
-    files.encode_messages(again).select("value").repartition(2).write.mode("append").text(f"{base}/in")
+    path = once(
+        spark, sf, "messages_again",
+        lambda p: files.encode_messages(again).select("value").repartition(DRAIN_FILES).write.text(p),
+    )
     target = sink.TransferSink(spark, f"{base}/out", THRESHOLD_TOKENS, SECOND_RUN_TS)
-    sink.drain(_stream(spark, f"{base}/in"), target, f"{base}/checkpoint")
+    sink.drain(_stream(spark, path), target, f"{base}/checkpoint-again")
     return as_text(sink.sink_table(spark, f"{base}/out").read(), "created_at")
 
 

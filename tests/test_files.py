@@ -134,6 +134,9 @@ def test_doc_metadata_one_file_each(spark, run_dir):
     storage.publish_text(spark, f"{run_dir}/b/metadata.json", "{ broken")
     found = files.doc_catalog(files.read_doc_metadata(spark, run_dir))
     assert tuples(found.select("id", "file_size")) == [("1", "1.50 MB")]
+    bad = files.unreadable_doc_metadata(spark, run_dir).collect()
+    assert [(r.file.rsplit("/", 2)[1], r.record) for r in bad] == [("b", "{ broken")]
+    assert bad and files.unreadable_doc_metadata(spark, f"{run_dir}/a").count() == 0
 
 
 def test_kafka_options(monkeypatch):
@@ -143,6 +146,10 @@ def test_kafka_options(monkeypatch):
     source = settings.source_options()
     assert source["startingOffsets"] == "earliest" and source["maxOffsetsPerTrigger"] == "500"
     assert settings.sink_options()["kafka.acks"] == "all" and settings.batch_size == 100
+    monkeypatch.delenv("KAFKA_MAX_RECORDS")
+    assert KafkaSettings.from_env().source_options()["maxOffsetsPerTrigger"] == "10000"
+    monkeypatch.setenv("KAFKA_BATCH_SIZE", "7")
+    assert KafkaSettings.from_env().source_options()["maxOffsetsPerTrigger"] == "700"
 
 
 def test_jdbc_options(monkeypatch):

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from logtide.operators import event_catalog as event_catalog_module
 from logtide.operators import quality
 from logtide.operators.event_catalog import event_catalog
 from logtide.operators.metrics import MINT_MODEL, SemanticModel, metric_query, top_minters
@@ -218,11 +219,19 @@ def test_event_catalog(spark):
     assert rows["Empty()"].topic0 is None
 
 
-def test_tuples_that_are_too_deep_fail(spark):
+def test_events_without_a_signature_are_set_aside(spark):
     inner = {"name": "x", "type": "uint256"}
-    for _ in range(6):
+    for _ in range(event_catalog_module.MAX_TUPLE_DEPTH + 2):
         inner = {"name": "x", "type": "tuple", "components": [inner]}
-    abis = spark.createDataFrame([(abi(event("Deep", inner)),)], "abi string")
+    long_suffix = {"name": "s", "type": "tuple" + "[3]" * 60, "components": [{"name": "a", "type": "address"}]}
+    abis = spark.createDataFrame(
+        [(abi(event("Deep", inner), event("Fine", {"name": "a", "type": "bool"})),),
+         (abi(event("Long", long_suffix), event("Untyped", {"name": "a"})),)],
+        "abi string",
+    )
     topics = spark.createDataFrame([], "topic0 string, signature string")
-    with pytest.raises(Exception, match="nested deeper"):
-        event_catalog(abis, topics).collect()
+    found = {r.signature for r in event_catalog(abis, topics).collect()}
+    assert found == {"Fine(bool)", "Long((address)" + "[3]" * 60 + ")"}
+    refused = {r.event_name: r.reason for r in event_catalog_module.refused_events(abis).collect()}
+    assert sorted(refused) == ["Deep", "Untyped"] and "nested deeper" in refused["Deep"]
+

@@ -1,5 +1,6 @@
 import datetime
 import json
+import time
 
 import pytest
 
@@ -148,6 +149,28 @@ def test_bounded_drain_goes_on_later(spark, stream):
     assert stored().count() == 12
 
 
+def test_a_batch_that_overruns_is_stopped_and_comes_again(spark, stream, monkeypatch):
+    write, drain, stored, _ = stream
+    write(text(1), text(2))
+    plain = sink.insert_first
+
+    def wait(batches):
+        time.sleep(40)
+        yield from batches
+
+    def slow(*args):
+        spark.range(1).mapInPandas(wait, "id long").count()
+        return plain(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sink, "insert_first", slow)
+        began = time.monotonic()
+        stats = drain(max_seconds=2, grace_seconds=2)
+        assert time.monotonic() - began < 30
+    assert stats["rows_inserted"] == 0 and stored().count() == 0
+    assert drain()["rows_inserted"] == 2 and stored().count() == 2
+
+
 def test_only_bad_messages_is_an_error(stream):
     write, drain, _, _ = stream
     write("{", "}")
