@@ -24,8 +24,8 @@ from logtide.llm.words import WordHashes, arrow_map, utf8
 WINDOW = 10
 SHARD_WORDS = 1 << 20
 SAMPLE = 16
-# Benchmark words that one broadcast holds, at 16 bytes each.
-PASS_WORDS = 4_000_000
+# Benchmark words that one broadcast holds at most, at about 24 bytes each.
+PASS_WORDS = 2_000_000
 # Fixed rule: words are runs of 0-9, a-z and everything from 0x80 on, A-Z lowered.
 _WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
@@ -137,24 +137,29 @@ class FMIndex:
 
 
 def phrases_of(items: list[tuple[int, bytes | None]], window: int) -> SimpleNamespace:
-    """Distinct windows of the items by length, the items of each, and all words."""
-    memo, by_length = WordHashes(), {}
+    """The words of the items one after the other, and the windows in them.
+
+    ``starts`` and ``items`` have, per window length, where each window begins and
+    whose it is, so the size does not depend on the window.
+    """
+    memo, parts, starts, owners, at = WordHashes(), [], {}, {}, 0
     for item_id, text in items:
         words = memo.of(bench_words(text))
-        if not len(words):
-            continue
-        width = min(window, len(words))
-        for at in range(len(words) - width + 1):
-            phrase = words[at : at + width].tobytes()
-            by_length.setdefault(width, {}).setdefault(phrase, set()).add(item_id)
-    lengths = sorted(by_length)
-    words = {n: np.frombuffer(b"".join(by_length[n]), np.uint64).reshape(-1, n) for n in lengths}
-    every = [w.ravel() for w in words.values()]
+        if len(words):
+            width = min(window, len(words))
+            found = np.arange(at, at + len(words) - width + 1)
+            starts.setdefault(width, []).append(found)
+            owners.setdefault(width, []).append(np.full(len(found), item_id, np.int64))
+            parts.append(words)
+            at += len(words)
+    words = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+    vocabulary, numbers = np.unique(words, return_inverse=True)
     return SimpleNamespace(
-        lengths=lengths,
-        words=words,
-        items={n: [sorted(x) for x in by_length[n].values()] for n in lengths},
-        vocabulary=np.unique(np.concatenate(every)) if every else np.empty(0, np.uint64),
+        lengths=sorted(starts),
+        numbers=numbers.astype(np.int32),
+        starts={n: np.concatenate(x) for n, x in starts.items()},
+        items={n: np.concatenate(x) for n, x in owners.items()},
+        vocabulary=vocabulary,
     )
 
 
@@ -166,8 +171,8 @@ def _runs(known: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[long_enough], ends[long_enough]
 
 
-def shard_hits(docs: list[np.ndarray], phrases: SimpleNamespace) -> Iterator[tuple[int, int, int, list]]:
-    """Occurrences in a shard: document number, first word, length, items."""
+def shard_hits(docs: list[np.ndarray], phrases: SimpleNamespace) -> Iterator[tuple[int, int, int, int]]:
+    """Occurrences in a shard: document number, first word, length, item."""
     if not phrases.lengths or not docs:
         return
     vocabulary = phrases.vocabulary
@@ -195,21 +200,25 @@ def shard_hits(docs: list[np.ndarray], phrases: SimpleNamespace) -> Iterator[tup
     occurring = np.unique(text)
     text = np.searchsorted(occurring, text)
     index = FMIndex(text, len(occurring))
+    # Dense numbers of the benchmark's words, and how many before each are not here.
+    wanted = phrases.numbers + 1
+    dense = np.minimum(np.searchsorted(occurring, wanted), len(occurring) - 1)
+    absent = np.concatenate([[0], np.cumsum(occurring[dense] != wanted)])
     for n in phrases.lengths:
-        wanted = np.searchsorted(vocabulary, phrases.words[n]) + 1
-        dense = np.minimum(np.searchsorted(occurring, wanted), len(occurring) - 1)
-        present = np.flatnonzero((occurring[dense] == wanted).all(axis=1))
-        if not len(present):
+        starts, items = phrases.starts[n], phrases.items[n]
+        present = absent[starts + n] == absent[starts]
+        starts, items = starts[present], items[present]
+        if not len(starts):
             continue
-        low, high = index.search(dense[present])
+        low, high = index.search(dense[starts[:, None] + np.arange(n)])
         counts = high - low
-        phrase = np.repeat(present, counts)
         rows = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
         located = source[index.locate(rows)]
         number = np.searchsorted(gap, located, "right") - 1
         first = located - gap[number]
-        for d, f, p in zip(number.tolist(), first.tolist(), phrase.tolist(), strict=True):
-            yield d, f, n, phrases.items[n][p]
+        hit = np.repeat(items, counts)
+        for d, f, item in zip(number.tolist(), first.tolist(), hit.tolist(), strict=True):
+            yield d, f, n, item
 
 
 def merged(spans: list[tuple[int, int]]) -> list[dict]:
@@ -229,8 +238,8 @@ def _passes(benchmark: DataFrame, item_col: str, text_col: str, window: int, pas
         F.col(f"`{text_col}`").cast("string").alias("text"),
     ).where("item_id IS NOT NULL AND text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # A word takes two bytes of text at least, and stands in up to ``window`` windows.
-    blocks = max(1, -(-size * window // (2 * pass_words)))
+    # A word takes two bytes of text at least.
+    blocks = max(1, -(-size // (2 * pass_words)))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for block in range(blocks):
         rows = items.where(part == block).collect() if blocks > 1 else items.collect()
@@ -278,9 +287,9 @@ def find_contamination(
             def flush() -> Iterator[dict]:
                 spans: dict[int, list] = {}
                 items: dict[int, set] = {}
-                for d, first, n, hit in shard_hits([w for _, ws in held for w in ws], phrases):
+                for d, first, n, item in shard_hits([w for _, ws in held for w in ws], phrases):
                     spans.setdefault(d, []).append((first, first + n))
-                    items.setdefault(d, set()).update(hit)
+                    items.setdefault(d, set()).add(item)
                 base = 0
                 for batch, words in held:
                     old_spans, old_items = batch.column(-2).to_pylist(), batch.column(-1).to_pylist()

@@ -288,7 +288,7 @@ def found_hits(spark, rows, items, **options):
     )
 
 
-@pytest.mark.parametrize("seed,options", [(1, {}), (2, {"shard_words": 500}), (3, {"pass_words": 400})])
+@pytest.mark.parametrize("seed,options", [(1, {}), (2, {"shard_words": 500}), (3, {"pass_words": 150})])
 def test_passages_match_brute_force(spark, seed, options):
     rows = bench_rows(seed)
     assert found_hits(spark, rows, ITEMS, **options) == hits_by_hand(rows, ITEMS)
