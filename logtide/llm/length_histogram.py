@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from logtide.llm.tokens import Encoder, tokenizer_path
 from logtide.llm.words import arrow_map
+from logtide.llm.workspace import Workspace
 
 BLOCK = 1024
 
@@ -30,7 +31,9 @@ def token_lengths(docs: DataFrame, text_col: str = "text", tokenizer: str | None
     return arrow_map(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")), lengths, "n_tokens long")
 
 
-def length_histogram(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
+def length_histogram(
+    lengths: DataFrame, work: Workspace, column: str = "n_tokens"
+) -> DataFrame:
     """One row per length that occurs: the exact histogram and its suffix sums.
 
     ``n_docs`` and ``n_tokens`` count the documents of that length.
@@ -39,9 +42,10 @@ def length_histogram(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
     ``truncated_tokens`` is the total when every document is cut at this length.
     Lengths are summed in blocks of 1,024 first, so that no task holds more than
     one block or one row per block. Null lengths are left out; no documents give
-    no rows.
+    no rows. The counts are written, as two steps read them and making them means
+    encoding every document.
     """
-    rows = (
+    counted = (
         lengths.where(F.col(f"`{column}`").isNotNull())
         .groupBy(F.col(f"`{column}`").cast("long").alias("length"))
         .agg(F.count("*").alias("n_docs"))
@@ -52,6 +56,7 @@ def length_histogram(lengths: DataFrame, column: str = "n_tokens") -> DataFrame:
             F.floor(F.col("length") / BLOCK).alias("block"),
         )
     )
+    rows = work.saved(counted, "lengths")
     blocks = rows.groupBy("block").agg(
         F.sum("n_docs").alias("block_docs"), F.sum("n_tokens").alias("block_tokens")
     )

@@ -54,7 +54,7 @@ def q_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = length_histogram.token_lengths(_table(spark, sf_dir, "documents"))
-    return length_histogram.length_histogram(lengths)
+    return length_histogram.length_histogram(lengths, Workspace(spark, "op3"))
 
 
 def q_content_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

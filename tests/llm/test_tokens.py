@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from logtide.llm import frame_store, length_histogram, two_fit_packing
 from logtide.llm.tokens import Encoder, tokenizer_path
+from logtide.llm.workspace import Workspace
 from tests.llm.data import frame, odd_rows, prose
 
 
@@ -39,10 +40,10 @@ def test_units_give_the_ids_of_whole_texts(tokenizer, alphabet):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole(tokenizer, text), ascii(text)
 
 
-def test_length_sums(spark):
+def test_length_sums(spark, work):
     lengths = [0, 0, 3, 5, 5, 1500, 1500, 9000]
     df = spark.createDataFrame([(x,) for x in [*lengths, None]], "n_tokens long")
-    histogram = length_histogram.length_histogram(df)
+    histogram = length_histogram.length_histogram(df, work)
     rows = {r.length: r for r in histogram.collect()}
     assert sorted(rows) == sorted(set(lengths))
     for length, row in rows.items():
@@ -61,12 +62,13 @@ def test_length_sums(spark):
     assert found == {0.0: 0, 0.5: 5, 1.0: 9000}
 
 
-def test_histogram_of_odd_documents(spark, tokenizer):
+def test_histogram_of_odd_documents(spark, tokenizer, work):
     rows = odd_rows()
-    found = length_histogram.length_histogram(length_histogram.token_lengths(frame(spark, rows)))
+    found = length_histogram.length_histogram(length_histogram.token_lengths(frame(spark, rows)), work)
     wanted = [len(whole(tokenizer, t)) for _, t in rows]
     assert {r.length: r.n_docs for r in found.collect()} == {n: wanted.count(n) for n in wanted}
-    assert length_histogram.length_histogram(length_histogram.token_lengths(frame(spark, []))).count() == 0
+    none = length_histogram.token_lengths(frame(spark, []))
+    assert length_histogram.length_histogram(none, Workspace(spark, "none")).count() == 0
 
 
 def check_bins(rows, size):
