@@ -23,7 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.words import BASE_1, BASE_2, WindowHashes, WordHashes, arrow_map, keyed, utf8
+from logtide.llm.words import (
+    BASE_1,
+    BASE_2,
+    WindowHashes,
+    WordHashes,
+    arrow_map,
+    keyed,
+    mixed,
+    utf8,
+)
 from logtide.llm.workspace import Workspace
 
 WINDOW = 50
@@ -36,6 +45,7 @@ _BLOCK = (
     "bucket int, key1 binary, key2 binary, doc binary, place binary,"
     " known_doc binary, known_place binary, doc_ids binary, row_fps binary"
 )
+_REPLY = "block int, doc_ids binary, row_fps binary, counts binary, places binary"
 _PLACES = "doc_id long, row_fp long, places binary"
 
 
@@ -103,13 +113,14 @@ class _Sender:
         known_bucket = (
             (doc_ids[known_doc].astype(np.uint64) * np.uint64(BASE_1)) >> np.uint64(20)
         ) % np.uint64(self._buckets)
+        known_bucket = known_bucket.astype(np.int64)
         by, by_known = np.argsort(bucket, kind="stable"), np.argsort(known_bucket, kind="stable")
-        edges = np.arange(self._buckets + 1)
-        cut, cut_known = np.searchsorted(bucket[by], edges), np.searchsorted(known_bucket[by_known], edges)
-        for b in range(self._buckets):
-            mine, theirs = by[cut[b] : cut[b + 1]], by_known[cut_known[b] : cut_known[b + 1]]
-            if not len(mine) and not len(theirs):
-                continue
+        filled = np.unique(np.r_[bucket, known_bucket])
+        cut, cut_known = (
+            np.searchsorted(x, np.r_[filled, self._buckets]) for x in (bucket[by], known_bucket[by_known])
+        )
+        for n, b in enumerate(filled.tolist()):
+            mine, theirs = by[cut[n] : cut[n + 1]], by_known[cut_known[n] : cut_known[n + 1]]
             used = np.unique(np.r_[doc_out[mine], known_doc[theirs]])
             yield {
                 "bucket": [b],
@@ -125,8 +136,20 @@ class _Sender:
         self._clear()
 
 
-def _compare(blocks: DataFrame, later: bool) -> DataFrame:
-    """Places with the verdict, per document and bucket."""
+def _runs(ids: np.ndarray, fps: np.ndarray) -> np.ndarray:
+    """Where each document begins in sorted columns, and the end."""
+    if not len(ids):
+        return np.zeros(1, np.int64)
+    fresh = (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1])
+    return np.flatnonzero(np.r_[True, fresh, True])
+
+
+def _compare(blocks: DataFrame, buckets: int, later: bool) -> DataFrame:
+    """Places with the verdict, one row per document that has some.
+
+    Buckets answer in blocks of documents, so that what goes back is as compact as
+    what came.
+    """
 
     def bucket(table: pa.Table) -> pa.Table:
         columns = {name: table[name].to_pylist() for name in table.column_names if name != "bucket"}
@@ -150,24 +173,45 @@ def _compare(blocks: DataFrame, later: bool) -> DataFrame:
             hit = hit[place[hit] >= 0]
             known_doc, known_place = np.r_[known_doc, doc[hit]], np.r_[known_place, place[hit]]
         ids, fps = doc_ids[known_doc], row_fps[known_doc]
-        order = np.lexsort((known_place, fps, ids))
-        ids, fps, places = ids[order], fps[order], known_place[order]
-        fresh = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (fps[1:] != fps[:-1])]) if len(ids) else []
+        number = (mixed(ids.astype(np.uint64) ^ mixed(fps.astype(np.uint64))) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((known_place, fps, ids, number))
+        number, ids, fps, places = number[order], ids[order], fps[order], known_place[order]
+        out: dict[str, list] = {name.split()[0]: [] for name in _REPLY.split(", ")}
+        edges = np.flatnonzero(np.r_[True, number[1:] != number[:-1], True]) if len(number) else []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            runs = _runs(ids[a:b], fps[a:b])
+            values = (
+                int(number[a]), ids[a:b][runs[:-1]].tobytes(), fps[a:b][runs[:-1]].tobytes(),
+                np.diff(runs).astype(np.uint32).tobytes(), places[a:b].tobytes(),
+            )
+            for name, value in zip(out, values, strict=True):
+                out[name].append(value)
+        return pa.table(
+            {n: pa.array(v, pa.int32() if n == "block" else pa.binary()) for n, v in out.items()}
+        )
+
+    def block(table: pa.Table) -> pa.Table:
+        def joined(name: str, kind) -> np.ndarray:
+            return np.frombuffer(b"".join(table[name].to_pylist()), kind)
+
+        counts = joined("counts", np.uint32).astype(np.int64)
+        ids, fps = (np.repeat(joined(n, np.int64), counts) for n in ("doc_ids", "row_fps"))
+        places = joined("places", np.int32)
+        order = np.lexsort((places, fps, ids))
+        ids, fps, places = ids[order], fps[order], places[order]
+        runs = _runs(ids, fps)
         return pa.table(
             {
-                "doc_id": pa.array(ids[fresh], pa.int64()) if len(ids) else pa.array([], pa.int64()),
-                "row_fp": pa.array(fps[fresh], pa.int64()) if len(ids) else pa.array([], pa.int64()),
+                "doc_id": pa.array(ids[runs[:-1]], pa.int64()),
+                "row_fp": pa.array(fps[runs[:-1]], pa.int64()),
                 "places": pa.array(
-                    [np.unique(x).tobytes() for x in np.split(places, fresh[1:])] if len(ids) else [],
-                    pa.binary(),
+                    [np.unique(x).tobytes() for x in np.split(places, runs[1:-1])], pa.binary()
                 ),
             }
         )
 
-    return (
-        blocks.groupBy("bucket").applyInArrow(bucket, _PLACES)
-        .groupBy("doc_id", "row_fp").agg(F.collect_list("places").alias("places"))
-    )
+    answers = blocks.groupBy("bucket").applyInArrow(bucket, _REPLY)
+    return answers.groupBy("block").applyInArrow(block, _PLACES)
 
 
 def _anchors(docs: DataFrame, buckets: int, window: int) -> DataFrame:
@@ -205,7 +249,7 @@ def _extended(candidates: DataFrame, buckets: int, window: int) -> DataFrame:
             rows = zip(ids, fps, utf8(batch.column(2)), batch.column(3).to_pylist(), strict=True)
             for doc_id, row_fp, text, places in rows:
                 words = memo.of(text.split())
-                anchors = np.frombuffer(b"".join(places), np.int32)
+                anchors = np.frombuffer(places, np.int32)
                 # A window holds an anchor that starts up to window - width after it.
                 change = np.zeros(len(words) + 1, np.int32)
                 np.add.at(change, np.maximum(anchors - (window - width), 0), 1)
@@ -263,9 +307,9 @@ def repeated_spans(
     rows = keyed(docs, id_col, text_col)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size * len(COVER) // (6 * PERIOD * BUCKET_KEYS)))
-    shared = _compare(_anchors(rows, buckets, window), later=False)
+    shared = _compare(_anchors(rows, buckets, window), buckets, later=False)
     candidates = work.saved(_with_places(rows, shared), "candidates")
-    starts = _compare(_extended(candidates, buckets, window), later=True)
+    starts = _compare(_extended(candidates, buckets, window), buckets, later=True)
 
     def spans(batches) -> Iterator[dict]:
         for batch in batches:
@@ -275,7 +319,7 @@ def repeated_spans(
                     [
                         {"first": a, "last": b}
                         for a, b in covered_spans(
-                            np.unique(np.frombuffer(b"".join(places), np.int32)).astype(np.int64), window
+                            np.frombuffer(places, np.int32).astype(np.int64), window
                         )
                     ]
                     for places in batch.column(3).to_pylist()
