@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 500_000
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE_1, BASE_2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
