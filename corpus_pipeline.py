@@ -60,20 +60,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of ``benchmark``."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = fm_decontaminate.find_contamination(docs, benchmark, prefix="_bench_")
-    text_at, spans_at = found.columns.index("text"), found.columns.index("_bench_spans")
-
-    def cut(batches):
-        for batch in batches:
-            texts = zip(utf8(batch.column(text_at)), batch.column(spans_at).to_pylist(), strict=True)
-            yield dict(zip(batch.schema.names, batch.columns, strict=True)) | {
-                "_cut": [fm_decontaminate.without_spans(t, s).decode() if s else None for t, s in texts]
-            }
-
-    return _shortened(
-        arrow_map(found, cut, found.withColumn("_cut", F.lit(None).cast("string")).schema),
-        docs.columns, F.col("_cut"),
-    )
+    found = fm_decontaminate.find_contamination(docs, benchmark, prefix="_bench_", cut_col="_cut")
+    return _shortened(found, docs.columns, F.col("_cut"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

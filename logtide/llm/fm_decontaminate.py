@@ -256,6 +256,7 @@ def find_contamination(
     pass_words: int = PASS_WORDS,
     shard_words: int = SHARD_WORDS,
     prefix: str = "bench_",
+    cut_col: str | None = None,
 ) -> DataFrame:
     """``docs`` with ``n_words``, merged hit ``spans`` and the sorted ``items`` that hit.
 
@@ -264,16 +265,18 @@ def find_contamination(
     are word numbers, end exclusive. Null and empty texts have no words. Repeated
     rows and ids are independent. Nothing is shuffled. Test phrases go out in blocks
     of bounded size; with more than one, each block is a further step over the same
-    shards in the same task.
+    shards in the same task. ``cut_col`` names one more column: the text without the
+    spans where there are some, else null.
     """
     spark = docs.sparkSession
     names = [f"{prefix}n_words", f"{prefix}spans", f"{prefix}items"]
-    clash = {c.lower() for c in docs.columns} & set(names)
+    clash = {c.lower() for c in docs.columns} & {*names, cut_col}
     if clash:
         raise ValueError(f"columns {sorted(clash)} are there already; choose another prefix")
     text_at = docs.columns.index(text_col)
+    cut = [F.lit(None).cast("string").alias(cut_col)] if cut_col else []
     found = docs.select(
-        "*", F.lit(0).cast("long").alias(names[0]),
+        "*", *cut, F.lit(0).cast("long").alias(names[0]),
         F.array().cast(_SPANS).alias(names[1]), F.array().cast("array<long>").alias(names[2]),
     )
     for phrases in _passes(benchmark, item_col, item_text_col, window, pass_words):
@@ -304,6 +307,11 @@ def find_contamination(
                         sorted(items.get(d, set()).union(old))
                         for d, old in zip(numbers, old_items, strict=True)
                     ]
+                    if cut_col:
+                        out[cut_col] = [
+                            without_spans(t, s).decode() if s else None
+                            for t, s in zip(utf8(batch.column(text_at)), out[names[1]], strict=True)
+                        ]
                     base += len(words)
                     yield out
 
