@@ -16,7 +16,7 @@ import types
 from array import array
 
 # Entries of either memo; the largest take about 150 bytes each.
-MEMO_UNITS = 1_200_000
+MEMO_UNITS = 400_000
 _UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s")
 # Letters, digits and apostrophes between them; white space; other characters.
 _FINE_UNIT = re.compile(
