@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 from logtide.llm.words import arrow_map
 
 DATE = "1970-01-01T00:00:00Z"
+# A tag's name ends at white space, a slash or the end of the tag: <title-bar> is another tag.
 _HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|title)\b[^>]*>.*?(?:</\1\s*>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<(script|style|template|noscript|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)",
     re.S | re.I,
 )
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+_TITLE = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)(?:</title(?=[\s/>])[^>]*>|\Z)", re.S | re.I)
 _LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 _TAG_END = r"(?>[^<>\"']+|\"[^\"]*\"|'[^']*')*+>"
 _BLOCK_TAG = re.compile(

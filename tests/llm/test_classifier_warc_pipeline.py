@@ -88,6 +88,27 @@ def test_derivatives_round_trip(spark, run_dir):
     assert {r.headers["WARC-Record-ID"] for r in back} == {r.record_id for r in records.values()}
 
 
+CUSTOM_PAGE = (
+    "<html><head><title-bar>bar</title-bar><title>T</title></head><body><p>first</p>"
+    "<title-bar>Hi</title-bar><template-card x='1'>card</template-card><style-guide/>"
+    "<script-x>a</script-x><noscript-y>b</noscript-y><script>hidden</script-x></script data-x><p>rest of the page</p></body></html>"
+)
+
+
+def test_custom_elements_hide_nothing(spark):
+    page = "<body><p>first</p><title-bar>Hi</title-bar><p>rest of the page</p></body>"
+    assert warc_derivatives.plain_text(page) == "first\nHi\nrest of the page"
+    assert warc_derivatives.plain_text("a<!-->b<!--->c<!-- d --!>e<!-- f -->g") == "a b c e g"
+    assert warc_derivatives.title_of(page) == "" and warc_derivatives.title_of(CUSTOM_PAGE) == "T"
+    text = "bar\nfirst\nHicardab\nrest of the page"
+    made = warc_derivatives.derivatives(warc_derivatives.responses(pages(spark, [(1, "u", CUSTOM_PAGE)])))
+    records = {r.warc_type: r for r in made.collect()}
+    assert records["conversion"].record.split("\r\n\r\n", 1)[1] == text
+    assert records["conversion"].content_length == len(text)
+    assert records["conversion"].block_digest == warc_derivatives.digest(text.encode())
+    assert f"text-characters: {len(text)}\r\n" in records["metadata"].record
+
+
 def test_no_pages(spark):
     assert warc_derivatives.derivatives(warc_derivatives.responses(pages(spark, []))).count() == 0
 
