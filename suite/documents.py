@@ -153,6 +153,14 @@ def vector_top_k_batch(spark, sf):
     return hits.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
+def vector_top_k_batch_ids(spark, sf):
+    """The vectors closest to every embedding whose id is divisible by 20."""
+    vectors = _vectors(spark, sf)
+    queries = vectors.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), "vector")
+    hits = vector_search.vector_top_k_batch(vectors, queries, 5, row_id="vec_id")
+    return hits.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
+
+
 QUERIES = {
     "doc_content_id": doc_content_id,
     "chunk_documents": chunk_documents,
@@ -165,6 +173,7 @@ QUERIES = {
     "vector_top_k": vector_top_k,
     "vector_top_k_filtered": vector_top_k_filtered,
     "vector_top_k_batch": vector_top_k_batch,
+    "vector_top_k_batch_ids": vector_top_k_batch_ids,
 }
 
 
@@ -271,4 +280,13 @@ ORACLES = {
           FROM (SELECT m.label, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), v) AS s
                 FROM embeddings CROSS JOIN means m) m)
         SELECT query_id, vec_id, rank, round(s, 6) AS score FROM ranked WHERE rank <= 5""",
+    "vector_top_k_batch_ids": """WITH scored AS (
+          SELECT q.vec_id AS query_id, e.vec_id, list_cosine_similarity(
+              CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS s
+          FROM embeddings e JOIN embeddings q ON q.vec_id % 20 = 0),
+        ranked AS (
+          SELECT query_id, vec_id, s, CAST(row_number() OVER (
+              PARTITION BY query_id ORDER BY round(s, 12) DESC, vec_id) AS INTEGER) AS rank
+          FROM scored)
+        SELECT query_id, vec_id, rank, round(s, 6) AS score FROM ranked WHERE rank <= 5""",
 }

@@ -9,6 +9,7 @@ from logtide.constants import SPACE_CHARS
 from logtide.functions import text
 from logtide.operators import chunking, vector_search
 from logtide.plans import knowledge
+from suite import documents
 from tests.helpers import plan, tuples
 
 DOCS = "id string, title string, language string, content string"
@@ -218,6 +219,19 @@ def test_many_queries_in_blocks(spark, monkeypatch):
     assert {(r.query_id, r["rank"]): r.chunk_id for r in found.collect()} == wanted
 
 
+def test_registered_batch_search_asks_with_every_20th_id(spark, run_dir):
+    made = np.random.default_rng(6).normal(size=(20_600, 4))
+    rows = [(i + 1, v, i % 10) for i, v in enumerate(made.tolist())]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(f"{run_dir}/embeddings.parquet")
+    found = documents.QUERIES["vector_top_k_batch_ids"](spark, run_dir).collect()
+    unit = made / np.linalg.norm(made, axis=1, keepdims=True)
+    asked = np.arange(20, len(made) + 1, 20)
+    assert len(asked) > vector_search.QUERY_BLOCK
+    best = np.argsort(-(unit[asked - 1] @ unit.T), axis=1)[:, :5] + 1
+    wanted = {(int(q), n + 1): int(i) for q, ids in zip(asked, best, strict=True) for n, i in enumerate(ids)}
+    assert len(found) == len(wanted) and {(r.query_id, r["rank"]): r.vec_id for r in found} == wanted
+
+
 def test_a_vector_of_another_length_is_named(spark):
     corpus = spark.createDataFrame([("a", [1.0, 2.0]), ("odd", [1.0])], "chunk_id string, vector array<double>")
     with pytest.raises(Exception, match="odd"):
