@@ -60,7 +60,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of ``benchmark``."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = fm_decontaminate.find_contamination(docs, benchmark, prefix="_bench_", cut_col="_cut")
+    found = fm_decontaminate.find_contamination(
+        docs, benchmark, prefix="_bench_", cut_col="_cut", null_ids=True
+    )
     return _shortened(found, docs.columns, F.col("_cut"))
 
 

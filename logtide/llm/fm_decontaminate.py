@@ -136,20 +136,20 @@ class FMIndex:
         return found
 
 
-def phrases_of(items: list[tuple[int, bytes | None]], window: int) -> SimpleNamespace:
+def phrases_of(items: list[tuple[int | None, bytes | None]], window: int) -> SimpleNamespace:
     """The words of the items one after the other, and the windows in them.
 
     ``starts`` and ``items`` have, per window length, where each window begins and
-    whose it is, so the size does not depend on the window.
+    the place in ``ids`` of whose it is, so the size does not depend on the window.
     """
     memo, parts, starts, owners, at = WordHashes(), [], {}, {}, 0
-    for item_id, text in items:
+    for number, (_, text) in enumerate(items):
         words = memo.of(bench_words(text))
         if len(words):
             width = min(window, len(words))
             found = np.arange(at, at + len(words) - width + 1)
             starts.setdefault(width, []).append(found)
-            owners.setdefault(width, []).append(np.full(len(found), item_id, np.int64))
+            owners.setdefault(width, []).append(np.full(len(found), number, np.int64))
             parts.append(words)
             at += len(words)
     words = np.concatenate(parts) if parts else np.empty(0, np.uint64)
@@ -159,6 +159,7 @@ def phrases_of(items: list[tuple[int, bytes | None]], window: int) -> SimpleName
         numbers=numbers.astype(np.int32),
         starts={n: np.concatenate(x) for n, x in starts.items()},
         items={n: np.concatenate(x) for n, x in owners.items()},
+        ids=[item_id for item_id, _ in items],
         vocabulary=vocabulary,
     )
 
@@ -172,7 +173,7 @@ def _runs(known: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shard_hits(docs: list[np.ndarray], phrases: SimpleNamespace) -> Iterator[tuple[int, int, int, int]]:
-    """Occurrences in a shard: document number, first word, length, item."""
+    """Occurrences in a shard: document number, first word, length, place of the item."""
     if not phrases.lengths or not docs:
         return
     vocabulary = phrases.vocabulary
@@ -231,12 +232,14 @@ def merged(spans: list[tuple[int, int]]) -> list[dict]:
     return out
 
 
-def _passes(benchmark: DataFrame, item_col: str, text_col: str, window: int, pass_words: int):
+def _passes(
+    benchmark: DataFrame, item_col: str, text_col: str, window: int, pass_words: int, null_ids: bool
+):
     """The benchmark in blocks whose phrases fit a broadcast."""
     items = benchmark.select(
         F.col(f"`{item_col}`").cast("long").alias("item_id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
-    ).where("item_id IS NOT NULL AND text IS NOT NULL")
+    ).where("text IS NOT NULL" if null_ids else "item_id IS NOT NULL AND text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A word takes two bytes of text at least.
     blocks = max(1, -(-size // (2 * pass_words)))
@@ -257,12 +260,14 @@ def find_contamination(
     shard_words: int = SHARD_WORDS,
     prefix: str = "bench_",
     cut_col: str | None = None,
+    null_ids: bool = False,
 ) -> DataFrame:
     """``docs`` with ``n_words``, merged hit ``spans`` and the sorted ``items`` that hit.
 
     The new columns carry ``prefix``. A window is ``window`` consecutive words of an
-    item, or all words of a shorter one; items without words or id are left out. Spans
-    are word numbers, end exclusive. Null and empty texts have no words. Repeated
+    item, or all words of a shorter one; items without words are left out. Those without
+    an id are searched only with ``null_ids``; together they are one null, the last of
+    ``items``. Spans are word numbers, end exclusive. Null and empty texts have no words. Repeated
     rows and ids are independent. Nothing is shuffled. Test phrases go out in blocks
     of bounded size; with more than one, each block is a further step over the same
     shards in the same task. ``cut_col`` names one more column: the text without the
@@ -279,7 +284,7 @@ def find_contamination(
         "*", *cut, F.lit(0).cast("long").alias(names[0]),
         F.array().cast(_SPANS).alias(names[1]), F.array().cast("array<long>").alias(names[2]),
     )
-    for phrases in _passes(benchmark, item_col, item_text_col, window, pass_words):
+    for phrases in _passes(benchmark, item_col, item_text_col, window, pass_words, null_ids):
         shared = spark.sparkContext.broadcast(phrases)
 
         def search(batches, shared=shared) -> Iterator[dict]:
@@ -292,7 +297,7 @@ def find_contamination(
                 items: dict[int, set] = {}
                 for d, first, n, item in shard_hits([w for _, ws in held for w in ws], phrases):
                     spans.setdefault(d, []).append((first, first + n))
-                    items.setdefault(d, set()).add(item)
+                    items.setdefault(d, set()).add(phrases.ids[item])
                 base = 0
                 for batch, words in held:
                     old_spans, old_items = batch.column(-2).to_pylist(), batch.column(-1).to_pylist()
@@ -304,7 +309,7 @@ def find_contamination(
                         for d, old in zip(numbers, old_spans, strict=True)
                     ]
                     out[names[2]] = [
-                        sorted(items.get(d, set()).union(old))
+                        sorted(items.get(d, set()).union(old), key=lambda i: (i is None, i or 0))
                         for d, old in zip(numbers, old_items, strict=True)
                     ]
                     if cut_col:

@@ -87,7 +87,8 @@ def q_content_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_decontaminate.find_contamination(
-        _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
+        _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"),
+        null_ids=True,
     )
     items = F.array_sort(F.transform("bench_items", lambda i: i.cast("string")))
     n_hit = F.aggregate(

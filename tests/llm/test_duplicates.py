@@ -3,12 +3,15 @@
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from logtide.llm import bayes_minhash, cover_dedup, fm_decontaminate
 from logtide.llm.components import components
+from logtide.llm.queries import ORACLES, QUERIES
 from logtide.llm.words import BASE_1, WindowHashes, WordHashes
 from tests.llm.data import WORDS, frame, odd_rows, prose
 
@@ -307,6 +310,36 @@ def test_passages_in_odd_rows(spark):
     assert found_hits(spark, rows, []) == hits_by_hand(rows, [])
 
 
+@pytest.mark.parametrize("options", [{}, {"pass_words": 150}])
+def test_passages_of_items_without_id(spark, options):
+    rows = bench_rows(1)
+    numbered = [(99 if i is None else i, t) for i, t in ITEMS]
+    wanted = [
+        (d, n, hit, [None if i == 99 else i for i in items]) for d, n, hit, items in hits_by_hand(rows, numbered)
+    ]
+    assert any(None in items for _, _, _, items in wanted)
+    assert found_hits(spark, rows, ITEMS, null_ids=True, **options) == sorted(wanted, key=str)
+
+
+def test_query_and_pipeline_search_items_without_id(spark, run_dir):
+    passage, other, lead = prose(52, 12), prose(53, 12), prose(70, 20)
+    rows = [(1, f"{lead} {passage}"), (2, f"{lead} {passage} {other}"), (3, lead)]
+    docs = frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    docs.write.parquet(f"{run_dir}/documents.parquet")
+    bench = spark.createDataFrame([(None, passage), (None, passage), (7, other)], "item_id long, text string")
+    bench.write.parquet(f"{run_dir}/benchmark.parquet")
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    found = QUERIES["op5_fm_decontaminate"](spark, run_dir).select(columns).collect()
+    duck = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{run_dir.removeprefix('file:')}/{name}.parquet/*.parquet'")
+    wanted = duck.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES['op5_fm_decontaminate']})").fetchall()
+    assert sorted(map(tuple, found)) == sorted(wanted)
+    assert [(r.n_hit, r.n_items) for r in sorted(found)] == [(12, 1), (24, 2), (0, 0)]
+    texts = {r.doc_id: r.text.strip() for r in corpus_pipeline.decontaminate(spark, docs, run_dir).collect()}
+    assert texts == {1: lead, 2: lead, 3: lead}
+
+
 def test_clashing_result_columns_are_refused(spark):
     docs = frame(spark, [(1, "a")]).withColumn("bench_items", F.lit(1))
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
