@@ -27,14 +27,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id.
+    """One document of each group of near-duplicates: the one with the smallest id,
+    and of texts that share it the one with the smallest hash.
 
-    Of rows that are equal in id and text one stays.
+    Of rows that are equal in id and text one stays. Texts that are not near-duplicates
+    all stay, also under one id.
     """
     found = bayes_minhash.near_duplicates(docs, Workspace(spark, "stage-near"))
-    kept = found.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("row_fp").alias("kept_fp"))
+    # A text without words is a group of its own.
+    alone = [F.when(F.col("group_no").isNull(), F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "row_fp")]
+    kept = (
+        found.where("kept").groupBy("group_no", *alone)
+        .agg(F.min(F.struct("doc_id", "row_fp")).alias("first"))
+        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.row_fp").alias("kept_fp"))
+    )
     same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (_fingerprint() == F.col("kept_fp"))
-    rows = docs.join(kept.distinct(), same, "left_semi")
+    rows = docs.join(kept, same, "left_semi")
     return rows.withColumn("_row_fp", _fingerprint()).dropDuplicates(["doc_id", "_row_fp"]).drop("_row_fp")
 
 

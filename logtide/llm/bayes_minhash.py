@@ -215,15 +215,16 @@ def near_duplicates(
     miss: float = MISS_PROBABILITY,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """One row per document: ``doc_id, row_fp, n_shingles, component_id, kept``.
+    """One row per document: ``doc_id, row_fp, n_shingles, component_id, kept, group_no``.
 
     Words are runs of characters other than white space (0x20, 0x09-0x0D), A-Z in
     lower case. Documents are linked if ``100 * intersection >= threshold_percent *
     union`` of their distinct shingles; a text with fewer words is one shingle, one
     without words is empty and linked with nothing. ``component_id`` is the smallest
     id reachable over links, ``kept`` marks the document that has it. Rows that
-    share an id with other texts are documents of their own; equal rows all have a
-    row here. A row without
+    share an id with other texts are documents of their own, and may have one
+    ``component_id`` without being linked; ``group_no`` tells groups of linked texts
+    apart and is null without words. Equal rows all have a row here. A row without
     an id has its own place: its ``component_id`` is null unless a row with an id is
     reachable, and it is kept only if there is none. A pair at the threshold misses
     every bucket with probability ``(1 - threshold^rows)^bands``.
@@ -327,11 +328,13 @@ def near_duplicates(
         F.col("node").alias("first_node"), F.coalesce("component", "cls").alias("component"),
     )
     smallest = labels.groupBy("component").agg(F.min("first_node").alias("least_node"))
-    labels = labels.join(smallest, "component").select("class_1", "class_2", "least_node")
+    labels = labels.join(smallest, "component").select(
+        "class_1", "class_2", "least_node", F.col("component").alias("group_no")
+    )
     same = (documents.k1 == labels.class_1) & (documents.k2 == labels.class_2) & (documents.n > 0)
     component = F.coalesce("least_node", "node")
     return documents.join(labels, same, "left").select(
         "doc_id", "row_fp", F.col("n").alias("n_shingles"),
         F.when(component < _NO_ID, component).alias("component_id"),
-        (F.col("node") == component).alias("kept"),
+        (F.col("node") == component).alias("kept"), "group_no",
     )

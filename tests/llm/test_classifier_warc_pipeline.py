@@ -157,6 +157,19 @@ def test_stages_take_effect(spark, corpus):
     assert sum(r.length for r in packed) <= 2048 * len({r.sequence_id for r in packed})
 
 
+def test_one_of_near_copies_under_one_id_stays(spark, run_dir):
+    same, unlike, more = clean(50), clean(51), clean(52)
+    rows = [(7, same + " first"), (7, same + " second"), (9, same + " third"), (7, unlike), (8, unlike + " x")]
+    rows += [(None, more + " a"), (None, more + " b"), (5, ""), (5, None), (6, ""), (None, "")]
+    docs = frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, run_dir).collect()]
+    assert len([1 for i, t in out if (t or "").startswith(same)]) == 1
+    assert {i for i, t in out if (t or "").startswith(same)} == {7}
+    assert [(i, t) for i, t in out if (t or "").startswith(unlike)] == [(7, unlike)]
+    assert len([1 for i, t in out if (t or "").startswith(more)]) == 1
+    assert sorted([i for i, t in out if t == ""], key=str) == [5, 6, None] and (5, None) in out
+
+
 def test_run_gives_the_last_stage(spark, corpus):
     found = corpus_pipeline.run(spark, corpus[0])
     assert found.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
