@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logtide.llm.tokens import Encoder, tokenizer_path
+from logtide.llm.tokens import Encoder, largest_id, tokenizer_path
 from logtide.llm.words import arrow_map, keyed
 
 FRAME_IDS = 1 << 16
@@ -49,6 +49,8 @@ class FrameWriter:
         self._frames: list[tuple[int, int, int]] = []
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        if len(ids) and ids.max() > np.iinfo(self._dtype).max:
+            raise ValueError(f"id {ids.max()} does not fit {self._dtype.itemsize} bytes")
         self._doc_ids.append(doc_id)
         self.n_ids += len(ids)
         self._ends.append(self.n_ids)
@@ -146,7 +148,7 @@ def write_token_files(
     text_col: str = "text",
     tokenizer: str | None = None,
     end_id: int = 2,
-    width: int = 2,
+    width: int | None = None,
     file_ids: int = FILE_IDS,
 ) -> DataFrame:
     """Encode, append ``end_id``, and write files in ascending order of the id.
@@ -156,9 +158,13 @@ def write_token_files(
     first, rows with the same id follow each other in the order of their text
     hash, a null or empty text has the end id alone. A task writes under a new
     name each time it runs and only files of tasks that ended are in the
-    manifest, so a repeated task does no harm. ``width`` is 2 or 4 bytes an id.
+    manifest, so a repeated task does no harm. ``width`` is 2 or 4 bytes an id: by
+    default 2 if every id of the tokenizer and ``end_id`` fit. One that does not fit a
+    given width is refused.
     """
     spark, path = docs.sparkSession, tokenizer or tokenizer_path()
+    if width is None:
+        width = 2 if max(largest_id(path), end_id) < 1 << 16 else 4
     ordered = (
         keyed(docs, id_col, text_col)
         .repartitionByRange("doc_id", "row_fp")

@@ -34,6 +34,12 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def largest_id(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0)
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that byte-level tokenizers write for each byte: printable Latin-1
     as it is, the other bytes from U+0100 on."""

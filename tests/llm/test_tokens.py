@@ -1,5 +1,6 @@
 """Token ids, length sums, packing and frame files against brute force."""
 
+import io
 import random
 import zlib
 
@@ -177,6 +178,15 @@ def test_files_of_nothing(spark, run_dir):
     assert manifest.count() == 0 and frame_store.read_tokens(manifest).count() == 0
 
 
+def test_width_follows_the_ids(spark, run_dir):
+    docs = frame(spark, [(1, prose(1, 20))])
+    manifest = frame_store.write_token_files(docs, run_dir, end_id=70000)
+    assert frame_store.read_tokens(manifest).first().ids[-1] == 70000
+    with pytest.raises(ValueError, match="65536 does not fit 2 bytes"):
+        frame_store.FrameWriter(io.BytesIO()).add(1, np.array([3, 1 << 16], "<u4"))
+    frame_store.FrameWriter(io.BytesIO()).add(1, np.array([3, (1 << 16) - 1], "<u4"))
+
+
 def test_wide_ids(spark, run_dir):
     manifest = frame_store.write_token_files(frame(spark, [(1, prose(1, 20))]), run_dir, end_id=70000, width=4)
     assert frame_store.read_tokens(manifest).first().ids[-1] == 70000
