@@ -12,8 +12,11 @@ from logtide.llm import (
     bayes_minhash,
     content_parts,
     cover_dedup,
+    feistel_shards,
+    fill_middle,
     fm_decontaminate,
     frame_store,
+    hard_negatives,
     length_histogram,
     ordinal_quality,
     rule_ledger,
@@ -160,6 +163,30 @@ def q_frame_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame_store.read_tokens(manifest, with_ids=False)
 
 
+def q_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(
+        _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, Workspace(spark, "op11"), label=label
+    )
+
+
+def q_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = feistel_shards.shard_documents(_table(spark, sf_dir, "documents"), Workspace(spark, "op12"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "row_no",
+    )
+
+
+def q_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_middle(_table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ordinal_quality": q_ordinal_quality,
     "op2_rule_ledger": q_rule_ledger,
@@ -171,5 +198,8 @@ QUERIES = {
     "op8_frame_store": q_frame_store,
     "op9_warc_derivatives": q_warc_derivatives,
     "op10_bayes_minhash": q_bayes_minhash,
+    "op11_hard_negatives": q_hard_negatives,
+    "op12_feistel_shards": q_feistel_shards,
+    "op13_fill_middle": q_fill_middle,
 }
 
