@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.components import components
-from logtide.llm.words import BASE_1, WindowHashes, WordHashes, arrow_map, mixed, utf8
+from logtide.llm.words import BASE_1, WindowHashes, arrow_map, mixed, released, utf8, word_hashes
 from logtide.llm.workspace import Workspace
 
 BANDS, ROWS = 25, 4
@@ -38,14 +38,14 @@ def _factors(count: int) -> np.ndarray:
     return mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(BASE_1)) | np.uint64(1)
 
 
-def shingle_set(words: list[bytes], width: int, memo: WordHashes, hashes: WindowHashes) -> np.ndarray:
+def shingle_set(words: list[bytes], width: int, hashes: WindowHashes) -> np.ndarray:
     """Sorted distinct hashes of the windows of ``width`` words, or of all words if
     there are fewer; none without words."""
     if not words:
         return np.empty(0, np.uint64)
     if len(words) < width:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    return np.unique(hashes.at(memo.of(words), width, np.arange(len(words) - width + 1)))
+    return np.unique(hashes.at(word_hashes(words), width, np.arange(len(words) - width + 1)))
 
 
 def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -170,7 +170,7 @@ def _in_blocks(rows: DataFrame, key: str, size: int, config: dict, exact: bool)
         )
 
     dealt = _blocks(rows, key, config["block_rows"])
-    return dealt.groupBy(key, "block_1", "block_2").applyInArrow(compare, "a long, b long")
+    return dealt.groupBy(key, "block_1", "block_2").applyInArrow(released(compare), "a long, b long")
 
 
 def _exact(sets: list[np.ndarray], sizes: np.ndarray, percent: int):
@@ -242,9 +242,9 @@ def near_duplicates(
     )
 
     def sets_of(texts) -> Iterator[tuple[np.ndarray, int, int]]:
-        memo, hashes = WordHashes(), WindowHashes(BASE_1)
+        hashes = WindowHashes(BASE_1)
         for value in texts:
-            shingles = shingle_set(value.lower().split() if value else [], shingle_words, memo, hashes)
+            shingles = shingle_set(value.lower().split() if value else [], shingle_words, hashes)
             digest = xxhash.xxh3_128_digest(shingles.tobytes())
             yield (
                 shingles,

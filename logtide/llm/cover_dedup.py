@@ -27,11 +27,12 @@ from logtide.llm.words import (
     BASE_1,
     BASE_2,
     WindowHashes,
-    WordHashes,
     arrow_map,
     keyed,
     mixed,
+    released,
     utf8,
+    word_hashes,
 )
 from logtide.llm.workspace import Workspace
 
@@ -210,15 +211,15 @@ def _compare(blocks: DataFrame, buckets: int, later: bool) -> DataFrame:
             }
         )
 
-    answers = blocks.groupBy("bucket").applyInArrow(bucket, _REPLY)
-    return answers.groupBy("block").applyInArrow(block, _PLACES)
+    answers = blocks.groupBy("bucket").applyInArrow(released(bucket), _REPLY)
+    return answers.groupBy("block").applyInArrow(released(block), _PLACES)
 
 
 def _anchors(docs: DataFrame, buckets: int, window: int) -> DataFrame:
     width = window - PERIOD + 1
 
     def send(batches) -> Iterator[dict]:
-        memo, hashes, sender = WordHashes(), WindowHashes(BASE_1), _Sender(buckets, later=False)
+        hashes, sender = WindowHashes(BASE_1), _Sender(buckets, later=False)
         none = np.empty(0, np.uint64)
         cover = np.zeros(PERIOD, bool)
         cover[list(COVER)] = True
@@ -230,7 +231,7 @@ def _anchors(docs: DataFrame, buckets: int, window: int) -> DataFrame:
                     continue
                 at = np.arange(len(words) - width + 1)
                 at = at[cover[at % PERIOD]]
-                sender.add(doc_id, row_fp, hashes.at(memo.of(words), width, at), none, at)
+                sender.add(doc_id, row_fp, hashes.at(word_hashes(words), width, at), none, at)
                 if sender.held >= FLUSH_KEYS:
                     yield from sender.rows()
         yield from sender.rows()
@@ -242,13 +243,13 @@ def _extended(candidates: DataFrame, buckets: int, window: int) -> DataFrame:
     width = window - PERIOD + 1
 
     def send(batches) -> Iterator[dict]:
-        memo, sender = WordHashes(), _Sender(buckets, later=True)
+        sender = _Sender(buckets, later=True)
         first, second = WindowHashes(BASE_1), WindowHashes(BASE_2)
         for batch in batches:
             ids, fps = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = zip(ids, fps, utf8(batch.column(2)), batch.column(3).to_pylist(), strict=True)
             for doc_id, row_fp, text, places in rows:
-                words = memo.of(text.split())
+                words = word_hashes(text.split())
                 anchors = np.frombuffer(places, np.int32)
                 # A window holds an anchor that starts up to window - width after it.
                 change = np.zeros(len(words) + 1, np.int32)

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.words import WordHashes, arrow_map, utf8
+from logtide.llm.words import arrow_map, utf8, word_hashes
+from logtide.llm.workspace import Workspace
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
@@ -136,15 +137,15 @@ class FMIndex:
         return found
 
 
-def phrases_of(items: list[tuple[int | None, bytes | None]], window: int) -> SimpleNamespace:
+def phrases_of(items: list[tuple[str | None, bytes | None]], window: int) -> SimpleNamespace:
     """The words of the items one after the other, and the windows in them.
 
     ``starts`` and ``items`` have, per window length, where each window begins and
     the place in ``ids`` of whose it is, so the size does not depend on the window.
     """
-    memo, parts, starts, owners, at = WordHashes(), [], {}, {}, 0
+    parts, starts, owners, at = [], {}, {}, 0
     for number, (_, text) in enumerate(items):
-        words = memo.of(bench_words(text))
+        words = word_hashes(bench_words(text))
         if len(words):
             width = min(window, len(words))
             found = np.arange(at, at + len(words) - width + 1)
@@ -235,9 +236,9 @@ def merged(spans: list[tuple[int, int]]) -> list[dict]:
 def _passes(
     benchmark: DataFrame, item_col: str, text_col: str, window: int, pass_words: int, null_ids: bool
 ):
-    """The benchmark in blocks whose phrases fit a broadcast."""
+    """The benchmark in blocks whose phrases fit a broadcast, and whether more follow."""
     items = benchmark.select(
-        F.col(f"`{item_col}`").cast("long").alias("item_id"),
+        F.col(f"`{item_col}`").cast("string").alias("item_id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     ).where("text IS NOT NULL" if null_ids else "item_id IS NOT NULL AND text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -246,7 +247,7 @@ def _passes(
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     for block in range(blocks):
         rows = items.where(part == block).collect() if blocks > 1 else items.collect()
-        yield phrases_of([(r.item_id, r.text.encode()) for r in rows], window)
+        yield phrases_of([(r.item_id, r.text.encode()) for r in rows], window), block + 1 < blocks
 
 
 def find_contamination(
@@ -261,16 +262,17 @@ def find_contamination(
     prefix: str = "bench_",
     cut_col: str | None = None,
     null_ids: bool = False,
+    work: Workspace | None = None,
 ) -> DataFrame:
     """``docs`` with ``n_words``, merged hit ``spans`` and the sorted ``items`` that hit.
 
     The new columns carry ``prefix``. A window is ``window`` consecutive words of an
     item, or all words of a shorter one; items without words are left out. Those without
     an id are searched only with ``null_ids``; together they are one null, the last of
-    ``items``. Spans are word numbers, end exclusive. Null and empty texts have no words. Repeated
+    ``items``, which are strings. Spans are word numbers, end exclusive. Null and empty texts have no words. Repeated
     rows and ids are independent. Nothing is shuffled. Test phrases go out in blocks
-    of bounded size; with more than one, each block is a further step over the same
-    shards in the same task. ``cut_col`` names one more column: the text without the
+    of bounded size, one at a time: with more than one, what a block found is written
+    to ``work`` and its phrases are dropped before the next goes out. ``cut_col`` names one more column: the text without the
     spans where there are some, else null.
     """
     spark = docs.sparkSession
@@ -282,13 +284,14 @@ def find_contamination(
     cut = [F.lit(None).cast("string").alias(cut_col)] if cut_col else []
     found = docs.select(
         "*", *cut, F.lit(0).cast("long").alias(names[0]),
-        F.array().cast(_SPANS).alias(names[1]), F.array().cast("array<long>").alias(names[2]),
+        F.array().cast(_SPANS).alias(names[1]), F.array().cast("array<string>").alias(names[2]),
     )
-    for phrases in _passes(benchmark, item_col, item_text_col, window, pass_words, null_ids):
+    passes = _passes(benchmark, item_col, item_text_col, window, pass_words, null_ids)
+    for number, (phrases, more) in enumerate(passes):
         shared = spark.sparkContext.broadcast(phrases)
 
         def search(batches, shared=shared) -> Iterator[dict]:
-            phrases, memo = shared.value, WordHashes()
+            phrases = shared.value
             held: list[tuple[pa.RecordBatch, list[np.ndarray]]] = []
             size = 0
 
@@ -309,7 +312,7 @@ def find_contamination(
                         for d, old in zip(numbers, old_spans, strict=True)
                     ]
                     out[names[2]] = [
-                        sorted(items.get(d, set()).union(old), key=lambda i: (i is None, i or 0))
+                        sorted(items.get(d, set()).union(old), key=lambda i: (i is None, i or ""))
                         for d, old in zip(numbers, old_items, strict=True)
                     ]
                     if cut_col:
@@ -323,7 +326,7 @@ def find_contamination(
             for batch in batches:
                 for lo in range(0, batch.num_rows, 1000):
                     part = batch.slice(lo, 1000)
-                    words = [memo.of(bench_words(t)) for t in utf8(part.column(text_at))]
+                    words = [word_hashes(bench_words(t)) for t in utf8(part.column(text_at))]
                     held.append((part, words))
                     size += sum(map(len, words))
                     if size >= shard_words:
@@ -332,6 +335,12 @@ def find_contamination(
             yield from flush()
 
         found = arrow_map(found, search, found.schema)
+        if more:
+            work = work or Workspace(spark, "decontaminate")
+            found = work.saved(found, f"pass-{number}")
+            shared.unpersist()
+            if number:
+                work.drop(f"pass-{number - 1}")
     return found
 
 

@@ -18,10 +18,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.words import MEMO_WORDS, arrow_map, utf8
+from logtide.llm.words import arrow_map, utf8
 
 FEATURES = 1 << 18
 SAMPLE_ROWS = 10_000
+MEMO_WORDS = 200_000
 _REPEATED, _FIRST = 0, 1
 _MARKS = bytes(range(0x21, 0x30)) + b":;<=>?@[\\]^_`{|}~"
 

@@ -2,20 +2,18 @@
 
 The tokenizers library makes every id. A byte-level tokenizer joins text neither
 across the ends of a run of white space nor between words and punctuation, so a
-text is cut there and the ids of each distinct unit are asked for once per worker.
-Outside the common alphabets it is cut at white space only, and a text with
-characters on whose kind libraries differ is encoded whole.
+text is cut there and the ids of each distinct unit are asked for once per task.
+Outside the common alphabets it is cut at white space only; a text with characters on
+whose kind libraries differ, or with the string of a special token, is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import sys
-import types
 from array import array
 
-# Entries of either memo; the largest take about 150 bytes each.
+# Entries of either memo of a task; the largest take about 150 bytes each.
 MEMO_UNITS = 400_000
 _UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s")
 # Letters, digits and apostrophes between them; white space; other characters.
@@ -55,7 +53,7 @@ class _Ids(dict):
     is asked; what else there is goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -63,7 +61,10 @@ class _Ids(dict):
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        strings = [re.escape(t.content) for t in added if not (special_as_text and t.special)]
+        self.added = re.compile("|".join(strings)) if strings else None
         self._model = self.tokenizer.model
         self._letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self._bare = (
@@ -104,23 +105,22 @@ class _SpacedIds(dict):
 
 
 class Encoder:
-    """``encode`` gives the id bytes of a text; strings of special tokens in it are
-    ordinary text. A missing or empty text has no ids.
+    """``encode`` gives the id bytes of a text, as the library does with
+    ``add_special_tokens=False``: the string of a special token has that token's id.
 
-    The ids of units and pieces stay in the Python worker for its next tasks.
+    With ``special_as_text`` such strings are ordinary text. A missing or empty text
+    has no ids. The ids of units and pieces are remembered as long as the encoder is.
     """
 
-    def __init__(self, path: str):
-        kept = sys.modules.setdefault("_token_units", types.ModuleType("_token_units"))
-        if path not in kept.__dict__:
-            units = _Ids(path)
-            setattr(kept, path, (units, _SpacedIds(units)))
-        self._units, self._pieces = getattr(kept, path)
+    def __init__(self, path: str, special_as_text: bool = False):
+        self._units = _Ids(path, special_as_text)
+        self._pieces = _SpacedIds(self._units)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _UNSAFE.search(text):
+        added = self._units.added
+        if _UNSAFE.search(text) or (added is not None and added.search(text)):
             return self._units.plain(text)
         for memo in (self._units, self._pieces):
             if len(memo) > MEMO_UNITS:

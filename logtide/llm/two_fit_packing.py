@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.tokens import Encoder, tokenizer_path
-from logtide.llm.words import arrow_map, keyed
+from logtide.llm.words import arrow_map, keyed, released
 
 SEQUENCE_TOKENS = 2048
 GROUP_PIECES = 100_000
@@ -177,4 +177,4 @@ def pack(pieces: DataFrame, size: int = SEQUENCE_TOKENS, group_pieces: int = GRO
             names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
         )
 
-    return dealt.groupBy("pack_group").applyInArrow(place, _PLACED)
+    return dealt.groupBy("pack_group").applyInArrow(released(place), _PLACED)

@@ -7,7 +7,8 @@ words by a polynomial over those hashes modulo 2^64.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,22 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MEMO_WORDS = 500_000
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE_1, BASE_2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
 
-class WordHashes(dict):
-    """Hash of a word's bytes, remembered for up to ``MEMO_WORDS`` words."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """Hash of each word's bytes. Hashing anew is faster than looking words up."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -82,6 +74,37 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def unused(columns: list[str], stem: str) -> str:
+    """A beginning that no column name has, whatever its case."""
+    while any(c.lower().startswith(stem) for c in columns):
+        stem = f"_{stem}"
+    return stem
+
+
+def release_memory() -> None:
+    """Gives what a task has freed back to the system.
+
+    Python workers outlive their tasks, and the allocators keep freed memory: without
+    this an idle worker holds a few hundred megabytes beside the next stage.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(function: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """A function of one group that gives freed memory back when it ends."""
+
+    def run(table: pa.Table) -> pa.Table:
+        result = function(table)
+        del table
+        release_memory()
+        return result
+
+    return run
+
+
 def arrow_map(df: DataFrame, function, schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` with a generator of plain column dictionaries.
 
@@ -99,5 +122,7 @@ def arrow_map(df: DataFrame, function, schema: T.StructType | str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[field.name], type=field.type) for field in arrow], schema=arrow
             )
+            columns = None
+        release_memory()
 
     return df.mapInArrow(run, schema)

@@ -12,7 +12,7 @@ import corpus_pipeline
 from logtide.llm import bayes_minhash, cover_dedup, fm_decontaminate
 from logtide.llm.components import components
 from logtide.llm.queries import ORACLES, QUERIES
-from logtide.llm.words import BASE_1, WindowHashes, WordHashes
+from logtide.llm.words import BASE_1, WindowHashes, word_hashes
 from tests.llm.data import WORDS, frame, odd_rows, prose
 
 
@@ -159,9 +159,9 @@ def test_every_shift_meets_an_anchor():
 
 
 def test_window_hashes_depend_on_the_window_alone():
-    memo, hashes = WordHashes(), WindowHashes(BASE_1)
-    words = memo.of(prose(1, 300).encode().split())
-    again = np.r_[memo.of(b"a b c".split()), words]
+    hashes = WindowHashes(BASE_1)
+    words = word_hashes(prose(1, 300).encode().split())
+    again = np.r_[word_hashes(b"a b c".split()), words]
     at = np.arange(250)
     assert np.array_equal(hashes.at(words, 50, at), hashes.at(again, 50, at + 3))
     assert len(np.unique(hashes.at(words, 50, at))) == 250
@@ -279,12 +279,16 @@ def bench_rows(seed):
     return rows + [(80, "only three WORDS"), (81, "only"), (82, "Only THREE words. é only three words")]
 
 
+def numbers(items):
+    return sorted((None if i is None else int(i) for i in items), key=lambda i: (i is None, i or 0))
+
+
 def found_hits(spark, rows, items, **options):
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("label", F.lit(1))
     found = fm_decontaminate.find_contamination(frame(spark, rows), bench, **options).collect()
     return sorted(
         [
-            (r.doc_id, r.bench_n_words, sum(s.last - s.first for s in r.bench_spans), list(r.bench_items))
+            (r.doc_id, r.bench_n_words, sum(s.last - s.first for s in r.bench_spans), numbers(r.bench_items))
             for r in found
         ],
         key=str,
@@ -303,6 +307,15 @@ def test_passages_of_long_items_only(spark):
     assert found_hits(spark, rows, items) == hits_by_hand(rows, items)
 
 
+def test_items_with_names(spark):
+    """Ids of any kind, in order as strings; found over several passes too."""
+    first, second = prose(71, 12), prose(72, 14)
+    bench = spark.createDataFrame([("b-10", first), ("a", second), ("b-9", first)], "item_id string, text string")
+    for options in ({}, {"pass_words": 10}):
+        found = fm_decontaminate.find_contamination(frame(spark, [(1, f"{first} {second}"), (2, "x")]), bench, **options)
+        assert {r.doc_id: list(r.bench_items) for r in found.collect()} == {1: ["a", "b-10", "b-9"], 2: []}
+
+
 def test_passages_in_odd_rows(spark):
     rows = odd_rows()
     assert found_hits(spark, rows, ITEMS) == hits_by_hand(rows, ITEMS)
