@@ -39,7 +39,7 @@ from logtide.llm.workspace import Workspace
 WINDOW = 50
 # A perfect difference set modulo 31.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
-FLUSH_KEYS = 1_000_000
+FLUSH_KEYS = 500_000
 BUCKET_KEYS = 500_000
 NO_ID = (1 << 63) - 1
 _BLOCK = (
@@ -50,6 +50,16 @@ _REPLY = "block int, doc_ids binary, row_fps binary, counts binary, places binar
 _PLACES = "doc_id long, row_fp long, places binary"
 
 
+def _small(values: np.ndarray) -> bytes:
+    """Numbers of 0 and more in as few bytes each as hold them; the first byte says how many."""
+    size = next(n for n in (1, 2, 4) if not len(values) or int(values.max()) < 1 << 8 * n)
+    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+
+
+def _large(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 def _group_starts(order: np.ndarray, key1: np.ndarray, key2: np.ndarray) -> np.ndarray:
     a, b = key1[order], key2[order]
     return np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
@@ -82,6 +92,8 @@ class _Sender:
     def add(self, doc_id, row_fp, key1, key2, places) -> None:
         number = len(self._docs)
         self._docs.append((NO_ID if doc_id is None else doc_id, row_fp))
+        # 96 bits of a window's hashes go out.
+        key2 = key2.astype(np.uint32)
         self._parts.append((key1, key2, np.full(len(key1), number, np.uint32), places.astype(np.int32)))
         self.held += len(key1)
 
@@ -127,10 +139,10 @@ class _Sender:
                 "bucket": [b],
                 "key1": [key1_out[mine].tobytes()],
                 "key2": [key2_out[mine].tobytes() if len(key2) else b""],
-                "doc": [np.searchsorted(used, doc_out[mine]).astype(np.uint32).tobytes()],
-                "place": [place_out[mine].tobytes()],
-                "known_doc": [np.searchsorted(used, known_doc[theirs]).astype(np.uint32).tobytes()],
-                "known_place": [known_place[theirs].tobytes()],
+                "doc": [_small(np.searchsorted(used, doc_out[mine]))],
+                "place": [_small(place_out[mine] + 1)],
+                "known_doc": [_small(np.searchsorted(used, known_doc[theirs]))],
+                "known_place": [_small(known_place[theirs])],
                 "doc_ids": [doc_ids[used].tobytes()],
                 "row_fps": [row_fps[used].tobytes()],
             }
@@ -161,14 +173,14 @@ def _compare(blocks: DataFrame, buckets: int, later: bool) -> DataFrame:
         doc_ids, row_fps = joined("doc_ids", np.int64), joined("row_fps", np.int64)
         base = np.cumsum([0] + [len(x) // 8 for x in columns["doc_ids"]])[:-1]
 
-        def numbers(name: str) -> np.ndarray:
-            parts = [np.frombuffer(x, np.uint32) + b for x, b in zip(columns[name], base, strict=True)]
-            return np.concatenate(parts).astype(np.int64)
+        def numbers(name: str, first=base) -> np.ndarray:
+            return np.concatenate([_large(x) + b for x, b in zip(columns[name], first, strict=True)])
 
-        doc, place = numbers("doc"), joined("place", np.int32)
-        known_doc, known_place = numbers("known_doc"), joined("known_place", np.int32)
+        doc, place = numbers("doc"), numbers("place", [-1] * len(base)).astype(np.int32)
+        known_doc = numbers("known_doc")
+        known_place = numbers("known_place", [0] * len(base)).astype(np.int32)
         if len(doc):
-            key1, key2 = joined("key1", np.uint64), joined("key2", np.uint64)
+            key1, key2 = joined("key1", np.uint64), joined("key2", np.uint32)
             order, *_, verdict = _decide(key1, key2, doc_ids[doc], later)
             hit = order[verdict]
             hit = hit[place[hit] >= 0]
