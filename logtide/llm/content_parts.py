@@ -7,8 +7,9 @@ counts that placeholders expand to are recorded beside the text. A turn is
 
     <|turn|>role<|text|>parts<|end|>
 
-Control strings start with ``<|`` and a letter. In texts and roles ``<|`` becomes
-``<||``, which no control string contains, so the change can be undone.
+Control strings start with ``<|``. In texts and roles every ``<`` becomes ``<~``, so no
+``<|`` can arise there, also not where two parts or a part and a placeholder meet, and
+the change can be undone in any stretch of text.
 """
 
 from __future__ import annotations
@@ -24,11 +25,11 @@ PART_TYPE = "array<struct<type:string,text:string,ref:string,tokens:bigint>>"
 
 
 def escaped(text: Column) -> Column:
-    return F.replace(text, F.lit("<|"), F.lit("<||"))
+    return F.replace(text, F.lit("<"), F.lit("<~"))
 
 
 def unescaped(text: Column) -> Column:
-    return F.replace(text, F.lit("<||"), F.lit("<|"))
+    return F.replace(text, F.lit("<~"), F.lit("<"))
 
 
 @dataclass(frozen=True)
@@ -97,8 +98,10 @@ def format_conversations(
     in order; ``placeholder_tokens`` is their sum. Turns go by turn number, ties by
     role and text, nulls first; repeated rows are turns of their own. Null content
     has no parts, a null role is empty, a part of an unknown type becomes
-    ``<|other|>``. Rows with a null conversation form one. Turns meet in one shuffle
-    on the conversation, which becomes one text.
+    ``<|other|>``. A row without a conversation is one of its own, so such rows spread
+    over tasks. Whole texts of any length; other columns are left out, so no name
+    clashes; no rows give no rows. Turns meet in one shuffle on the conversation, which
+    becomes one text and so has to fit a row.
     """
     visitors = VISITORS if visitors is None else visitors
     content = F.col(parts) if isinstance(parts, str) else parts
@@ -106,6 +109,7 @@ def format_conversations(
     role = F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit(""))
     rows = turns.select(
         F.col(f"`{conv_col}`").alias("conv_id"),
+        F.when(F.col(f"`{conv_col}`").isNull(), F.monotonically_increasing_id()).alias("alone"),
         F.struct(
             F.col(f"`{turn_col}`").alias("turn"),
             role.alias("role"),
@@ -126,7 +130,7 @@ def format_conversations(
             ).alias("attached"),
         ).alias("t"),
     )
-    ordered = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    ordered = rows.groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     attachments = F.flatten(
         F.transform(
             "turns",
@@ -158,35 +162,40 @@ def format_conversations(
     )
 
 
-def read_turns(formatted: Column) -> Column:
+_PLACEHOLDER = r"<\|[a-z]+\|>"
+
+
+def _bodies(formatted: Column) -> Column:
+    pieces = F.split(formatted, r"<\|end\|>", -1)
+    return F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+
+
+def read_turns(formatted: Column, placeholders: bool = True) -> Column:
     """Array of role and text per turn, read back from a formatted conversation.
 
-    Placeholders stay in the text as they are.
+    Placeholders stay in the text as they are, or are left out.
     """
-    pieces = F.split(formatted, r"<\|end\|>", -1)
-    bodies = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
 
     def turn(piece: Column) -> Column:
         role = F.substring_index(piece, TEXT, 1)
+        body = F.substring_index(piece, TEXT, -1)
+        if not placeholders:
+            body = F.regexp_replace(body, _PLACEHOLDER, "")
         return F.struct(
             unescaped(F.substring(role, len(TURN) + 1, 1 << 30)).alias("role"),
-            unescaped(F.substring_index(piece, TEXT, -1)).alias("text"),
+            unescaped(body).alias("text"),
         )
 
-    return F.transform(bodies, turn)
+    return F.transform(_bodies(formatted), turn)
 
 
 def read_loss_text(formatted: Column, loss_mask: Column) -> Column:
     """All text under the loss mask, unescaped, without placeholders."""
-    pieces = F.split(formatted, r"<\|end\|>", -1)
     texts = F.zip_with(
-        F.slice(pieces, F.lit(1), F.size(pieces) - 1),
+        _bodies(formatted),
         loss_mask,
         lambda piece, loss: F.when(
-            loss,
-            unescaped(
-                F.regexp_replace(F.substring_index(piece, TEXT, -1), r"<\|[a-z]+\|>", "")
-            ),
+            loss, unescaped(F.regexp_replace(F.substring_index(piece, TEXT, -1), _PLACEHOLDER, ""))
         ).otherwise(""),
     )
     return F.array_join(texts, "")

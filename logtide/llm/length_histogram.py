@@ -42,8 +42,9 @@ def length_histogram(
     ``truncated_tokens`` is the total when every document is cut at this length.
     Lengths are summed in blocks of 1,024 first, so that no task holds more than
     one block or one row per block. Null lengths are left out; no documents give
-    no rows. The counts are written, as two steps read them and making them means
-    encoding every document.
+    no rows; documents of one length are one row, however many; other columns are not
+    read. The counts are written, as two steps read them and making them means encoding
+    every document.
     """
     counted = (
         lengths.where(F.col(f"`{column}`").isNotNull())
@@ -98,28 +99,59 @@ def length_histogram(
     )
 
 
-def answers_at_limits(histogram: DataFrame, limits: list[int]) -> DataFrame:
-    """Per context limit: documents that fit, all tokens, and tokens left when cut."""
-    spark = histogram.sparkSession
-    wanted = F.broadcast(spark.createDataFrame([(int(x),) for x in limits], "context_limit long"))
+def at_limits(histogram: DataFrame, limits: list[int]) -> DataFrame:
+    """A row of the histogram's columns per context limit, whether its length occurs or not.
 
-    def over(value: Column) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0))
+    ``docs_up_to`` documents fit the limit, and ``truncated_tokens`` are left when every
+    document is cut at it. Both follow from the row next below the limit: its sums up
+    to it, and the limit for each document above. One pass finds these rows for all
+    limits; a limit below every length takes the sums of nothing. Without documents
+    all counts are 0. A limit asked for twice has two rows.
+    """
 
-    fits = F.col("length") <= F.col("context_limit")
-    return histogram.join(wanted, F.lit(True)).groupBy("context_limit").agg(
-        over(F.when(fits, F.col("n_docs")).otherwise(0)).alias("docs_that_fit"),
-        over(F.col("n_tokens")).alias("total_tokens"),
-        over(F.least("length", "context_limit") * F.col("n_docs")).alias("tokens_left"),
+    def below(limit: int) -> Column:
+        row = F.struct("length", "n_docs", "n_tokens", "docs_at_least", "tokens_at_least", "docs_up_to", "tokens_up_to")
+        return F.max(F.when(F.col("length") <= limit, row))
+
+    found = histogram.agg(
+        F.coalesce(F.sum("n_docs"), F.lit(0)).alias("all_docs"),
+        F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("all_tokens"),
+        F.array(
+            *(F.struct(F.lit(int(x)).cast("long").alias("limit"), below(int(x)).alias("row")) for x in limits)
+        ).alias("asked"),
+    ).select("all_docs", "all_tokens", F.explode("asked").alias("a")).select(
+        "all_docs", "all_tokens", F.col("a.limit").alias("length"), F.col("a.row").alias("row")
     )
+    here = F.col("row.length") == F.col("length")
 
+    def of(name: str) -> Column:
+        return F.coalesce(F.col(f"row.{name}"), F.lit(0))
 
-def length_quantiles(histogram: DataFrame, quantiles: list[float]) -> DataFrame:
-    """The smallest length that at least a share ``quantile`` of documents does not pass."""
-    spark = histogram.sparkSession
-    wanted = F.broadcast(spark.createDataFrame([(float(q),) for q in quantiles], "quantile double"))
-    total = F.col("docs_up_to") + F.col("docs_at_least") - F.col("n_docs")
-    return (
-        histogram.join(wanted, F.col("docs_up_to") >= F.col("quantile") * total)
-        .groupBy("quantile").agg(F.min("length").alias("length"))
+    above = F.col("all_docs") - of("docs_up_to")
+    return found.select(
+        "length",
+        F.when(here, of("n_docs")).otherwise(0).alias("n_docs"),
+        F.when(here, of("n_tokens")).otherwise(0).alias("n_tokens"),
+        F.when(here, of("docs_at_least")).otherwise(above).alias("docs_at_least"),
+        F.when(here, of("tokens_at_least")).otherwise(F.col("all_tokens") - of("tokens_up_to"))
+        .alias("tokens_at_least"),
+        of("docs_up_to").alias("docs_up_to"),
+        of("tokens_up_to").alias("tokens_up_to"),
+        (of("tokens_up_to") + F.col("length") * above).alias("truncated_tokens"),
     )
+
+
+def at_quantiles(histogram: DataFrame, quantiles: list[float]) -> DataFrame:
+    """The histogram row, with its ``quantile``, of the smallest length that at least
+    that share of documents does not pass. Without documents there are none."""
+    total = F.col("docs_up_to") + F.col("docs_at_least") - F.col("n_docs")
+    row = F.struct(*histogram.columns)
+
+    def first(quantile: float) -> Column:
+        return F.struct(
+            F.lit(float(quantile)).alias("quantile"),
+            F.min(F.when(F.col("docs_up_to") >= F.lit(float(quantile)) * total, row)).alias("row"),
+        )
+
+    found = histogram.agg(F.explode(F.array(*(first(q) for q in quantiles))).alias("a"))
+    return found.where("a.row IS NOT NULL").select("a.quantile", "a.row.*")

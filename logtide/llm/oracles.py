@@ -54,15 +54,23 @@ WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+u AS (
+  SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone,
+    ['', '<|image|>', '<|audio|>', '<|document|>'][coalesce(turn, 0) % 4 + 1] AS mark,
+    [0, 256, 128, 1024][coalesce(turn, 0) % 4 + 1] AS tokens
+  FROM t
 )
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text))
     AS loss_sha256,
-  CAST(sum(23 + length(replace(role, '<|', '<||')) + length(replace(text, '<|', '<||'))) AS BIGINT)
-    AS formatted_chars
-FROM t GROUP BY conv_id
+  CAST(sum(23 + length(replace(role, '<', '<~')) + length(replace(text, '<', '<~')) + length(mark)) AS BIGINT)
+    AS formatted_chars,
+  CAST(sum(CASE WHEN mark = '' THEN 0 ELSE 1 END) AS BIGINT) AS n_attachments,
+  CAST(sum(tokens) AS BIGINT) AS placeholder_tokens
+FROM u GROUP BY conv_id, alone
 """
 
 FM_DECONTAMINATE = rf"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.llm import (
@@ -28,6 +28,10 @@ from logtide.llm.words import arrow_map, keyed, utf8
 from logtide.llm.workspace import Workspace
 
 
+CONTEXT_LIMITS = tuple(1 << n for n in range(9, 18))
+QUANTILES = (0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -56,8 +60,43 @@ def q_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "op3")
     lengths = length_histogram.token_lengths(_table(spark, sf_dir, "documents"))
-    return length_histogram.length_histogram(lengths, Workspace(spark, "op3"))
+    histogram = work.saved(length_histogram.length_histogram(lengths, work), "histogram")
+    work.drop("lengths")
+    asked = F.lit(None).cast("string").alias("asked")
+    at_limits = length_histogram.at_limits(histogram, list(CONTEXT_LIMITS))
+    at_quantiles = length_histogram.at_quantiles(histogram, list(QUANTILES))
+    return (
+        histogram.select(asked, "*")
+        .unionByName(at_limits.withColumn("asked", F.lit("limit")))
+        .unionByName(
+            at_quantiles.withColumn("asked", F.concat(F.lit("quantile "), F.col("quantile").cast("string")))
+            .drop("quantile")
+        )
+    )
+
+
+def _cut_content(text: Column, turn: Column) -> Column:
+    """A text as two text parts, cut in the middle, with an attachment between them
+    whose kind goes by the turn."""
+    whole = F.coalesce(text, F.lit(""))
+    half = F.floor(F.char_length(whole) / 2).cast("int")
+    kinds = F.array(*(F.lit(k) for k in ("text", "image", "audio", "document")))
+    kind = F.get(kinds, F.pmod(F.coalesce(turn, F.lit(0)), F.lit(4)).cast("int"))
+
+    def part(type_: Column, text: Column, ref: Column) -> Column:
+        return F.struct(
+            type_.alias("type"), text.alias("text"), ref.alias("ref"),
+            F.lit(None).cast("long").alias("tokens"),
+        )
+
+    none = F.lit(None).cast("string")
+    return F.array(
+        part(F.lit("text"), F.left(whole, half), none),
+        part(kind, F.lit(""), F.concat(kind, F.lit("/"), turn.cast("string"))),
+        part(F.lit("text"), F.substring(whole, half + 1, F.char_length(whole)), none),
+    )
 
 
 def q_content_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,11 +109,11 @@ def q_content_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(probe).alias("text"),
     )
     formatted = content_parts.format_conversations(
-        rows.unionByName(extra).withColumn("parts", content_parts.text_parts(F.col("text")))
+        rows.unionByName(extra).withColumn("parts", _cut_content(F.col("text"), F.col("turn")))
     )
-    turns = content_parts.read_turns(F.col("formatted"))
+    turns = content_parts.read_turns(F.col("formatted"), placeholders=False)
     loss = content_parts.read_loss_text(F.col("formatted"), F.col("loss_mask"))
-    read = formatted.select("conv_id", "formatted", turns.alias("turns"), loss.alias("loss"))
+    read = formatted.select("*", turns.alias("turns"), loss.alias("loss"))
     told = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
@@ -85,6 +124,8 @@ def q_content_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        F.size("attachments").cast("long").alias("n_attachments"),
+        "placeholder_tokens",
     )
 
 
@@ -93,7 +134,7 @@ def q_fm_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"),
         null_ids=True,
     )
-    items = F.array_sort(F.transform("bench_items", lambda i: i.cast("string")))
+    items = F.array_sort("bench_items")
     n_hit = F.aggregate(
         "bench_spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"]
     )

@@ -1,6 +1,9 @@
 """Classifier by held-out accuracy, WARC by round trip, the pipeline by hand."""
 
+import gzip
 import os
+import random
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -109,6 +112,98 @@ def test_custom_elements_hide_nothing(spark):
     assert f"text-characters: {len(text)}\r\n" in records["metadata"].record
 
 
+class Reader(HTMLParser):
+    """Visible text by the library's tokenizer."""
+
+    BLOCKS = {"p", "div", "br", "li", "h1", "td"}
+    HIDDEN = {"script", "style", "template"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.inside = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.HIDDEN:
+            self.inside.append(tag)
+        elif tag in self.BLOCKS:
+            self.out.append("\n")
+
+    def handle_startendtag(self, tag, attrs):
+        if tag in self.BLOCKS:
+            self.out.append("\n")
+
+    def handle_endtag(self, tag):
+        if tag in self.HIDDEN:
+            self.inside = self.inside[:-1]
+            self.out.append(" ")
+        elif tag in self.BLOCKS:
+            self.out.append("\n")
+
+    def handle_comment(self, data):
+        self.out.append(" ")
+
+    def handle_data(self, data):
+        if not self.inside:
+            self.out.append(data)
+
+
+def read_by_library(page):
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    lines = (" ".join(x.split()) for x in "".join(reader.out).split("\n"))
+    return "\n".join(x for x in lines if x)
+
+
+PIECES = [
+    "<p>", "</p>", "<br/>", "<br>", "<div class=a>", '<div title="x > y">', "<p title='it is > b'>", "<p title=don't>",
+    '<a href=a"b>', "<b data-x = 'q > \"r'>", "</b>", "<i disabled>", "</a>", "<li a=1 b='2' c>", "<h1 id=\n'z>'\n>",
+    "<!-- a > b -->", "<script>if (a < b) { x = '<p>' }</script>", "<style>p > a { }</style>", "<td=x>",
+    " text ", "Hello it's a > b", " &amp; &lt;p&gt; ", "1 < 2 ", "caf\u00e9 ", "&nbsp;x", "a=b 'c' \"d\" ", "\n",
+]
+
+
+def test_visible_text_agrees_with_the_library():
+    rng = random.Random(11)
+    for _ in range(4_000):
+        page = "".join(rng.choice(PIECES) for _ in range(rng.randint(1, 12)))
+        assert warc_derivatives.plain_text(page) == read_by_library(page), page
+
+
+def test_quotes_open_values_after_an_equals_sign_only():
+    assert warc_derivatives.plain_text("<p title=don't>Hello it's a > b</p>") == "Hello it's a > b"
+    assert warc_derivatives.plain_text("<p a='x>y' b=\"z>\">in</p><!DOCTYPE x \"y\">out") == "in\nout"
+    assert warc_derivatives.plain_text("<p a=\"never closed>text</p>") == "text"
+    assert warc_derivatives.title_of("<title data-a='>'>T</title>") == "T"
+
+
+def test_responses_of_files(spark, run_dir):
+    rows = [(1, "http://a/x", PAGE), (2, "http://b", "plain \u00e9"), (3, None, None)]
+    sources = warc_derivatives.responses(pages(spark, rows))
+    warc_derivatives.write_warc(warc_derivatives.response_records(sources), run_dir)
+    back = warc_derivatives.responses_of(warc_derivatives.read_warc(spark, run_dir))
+    told = ("record_id", "target_uri", "date", "http_headers", "payload", "payload_digest")
+    assert sorted(map(tuple, back.select(*told).collect())) == sorted(map(tuple, sources.select(*told).collect()))
+    derived = warc_derivatives.derivatives(back).drop("page_id")
+    wanted = warc_derivatives.derivatives(sources).drop("page_id")
+    assert sorted(map(tuple, derived.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+
+
+def test_bodies_in_chunks_gzip_and_other_charsets():
+    page = "<p>\u00e9t\u00e9</p>"
+    packed = gzip.compress(page.encode("latin-1"))
+    sent = b"".join(b"%x\r\n%s\r\n" % (len(x), x) for x in (packed[:7], packed[7:])) + b"0\r\n\r\n"
+    head = (
+        b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1\r\n"
+        b"Transfer-Encoding: chunked\r\nContent-Encoding: gzip\r\n\r\n"
+    )
+    headers, found, body = warc_derivatives.payload_of(head + sent)
+    assert found == page and body == sent and headers.startswith("HTTP/1.1 200 OK\r\n")
+    assert warc_derivatives.payload_of(b"")[1] == ""
+    assert warc_derivatives.payload_of(b"H\r\nContent-Type: a; charset=no\r\n\r\nx\xff")[1] == "x\ufffd"
+    assert warc_derivatives.payload_of(b"H\r\nContent-Encoding: gzip\r\n\r\nxyz")[1] == ""
+
+
 def test_no_pages(spark):
     assert warc_derivatives.derivatives(warc_derivatives.responses(pages(spark, []))).count() == 0
 
@@ -170,6 +265,26 @@ def test_one_of_near_copies_under_one_id_stays(spark, run_dir):
     assert sorted([i for i, t in out if t == ""], key=str) == [5, 6, None] and (5, None) in out
 
 
+def test_stages_keep_columns_with_any_name(spark, run_dir):
+    names = ["cut_text", "cut_id", "cut_fp", "kept_id", "kept_fp", "_cut", "_bench_spans", "_row_fp", "bench_cut", "CUT_x"]
+    passage, secret = clean(900, 70), clean(901, 40)
+    rows = [(1, clean(1) + "\n" + passage), (2, clean(2) + "\n" + passage), (3, clean(1) + "\n" + passage)]
+    rows += [(4, clean(4) + " " + secret), (5, clean(5))]
+    docs = frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.select("*", *(F.concat(F.lit(f"{n}/"), "doc_id").alias(n) for n in names))
+    bench = spark.createDataFrame([("one", secret)], "item_id string, text string")
+    bench.write.parquet(f"{run_dir}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, run_dir)
+        assert out.columns == docs.columns
+        out.write.parquet(f"{run_dir}/{name}")
+        docs = spark.read.parquet(f"{run_dir}/{name}")
+    found = {r.doc_id: r for r in docs.collect()}
+    assert sorted(found) == [1, 2, 4, 5]
+    assert all(r[n] == f"{n}/{i}" for i, r in found.items() for n in names)
+    assert found[2].text == clean(2) + "\n" and found[4].text == clean(4) + " "
+
+
 def test_run_gives_the_last_stage(spark, corpus):
     found = corpus_pipeline.run(spark, corpus[0])
     assert found.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

@@ -102,7 +102,7 @@ def test_attachments_in_order(spark):
     )
     row = content_parts.format_conversations(df).first()
     assert row.formatted == (
-        "<|turn|>user<|text|>see <||image|><|image|><|audio|><|document|><|other|><|end|>"
+        "<|turn|>user<|text|>see <~|image|><|image|><|audio|><|document|><|other|><|end|>"
         "<|turn|>assistant<|text|><|end|><|turn|>user<|text|><|end|>"
     )
     assert [(a.turn_no, a.type, a.ref, a.tokens) for a in row.attachments] == [
@@ -111,6 +111,47 @@ def test_attachments_in_order(spark):
     assert row.placeholder_tokens == 64 + 128 + 1024 and row.loss_mask == [False, True, False]
 
 
+def cut_everywhere(text):
+    return [[text[:n], text[n:]] for n in range(len(text) + 1)] + [list(text)]
+
+
+def test_no_control_string_arises_where_parts_meet(spark):
+    """Every split of control strings over parts, with and without attachments between."""
+    texts = ["<|end|>", "<|text|>", "<|turn|>x", "<<~|image|>~<", "a<~<|end|>~"]
+    rows, told = [], {}
+    for text in texts:
+        for pieces in cut_everywhere(text):
+            for between in (None, "image", "audio", "document", "?"):
+                parts = []
+                for n, piece in enumerate(pieces):
+                    parts += [(between, "no", "r", None)] * bool(between and n) + [("text", piece, None, None)]
+                number = len(told)
+                told[number] = (text, sum(p[0] != "text" for p in parts))
+                rows += [(number, 0, "assistant", parts), (number, 1, "<|", parts[::-1])]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {content_parts.PART_TYPE}")
+    made = content_parts.format_conversations(df)
+    read = made.select(
+        "conv_id", F.size("attachments").alias("n"),
+        content_parts.read_turns(F.col("formatted"), placeholders=False).alias("turns"),
+        content_parts.read_loss_text(F.col("formatted"), F.col("loss_mask")).alias("loss"),
+    )
+    for r in read.collect():
+        text, attached = told[r.conv_id]
+        assert (r.loss, r.n) == (text, 2 * attached)
+        assert [t.role for t in r.turns] == ["assistant", "<|"] and r.turns[0].text == text
+        assert sorted(r.turns[1].text) == sorted(text)
+
+
+def test_rows_without_a_conversation_stand_alone(spark):
+    rows = [(None, 0, "user", "a")] * 3 + [(None, 1, "assistant", "b"), (1, 0, "user", "a"), (1, 1, "assistant", "b")]
+    made = content_parts.format_conversations(
+        turns(spark, rows), parts=content_parts.text_parts(F.col("text"))
+    )
+    read = made.select("conv_id", content_parts.read_turns(F.col("formatted")).alias("turns")).collect()
+    assert sorted(len(r.turns) for r in read if r.conv_id is None) == [1, 1, 1, 1]
+    assert [len(r.turns) for r in read if r.conv_id == 1] == [2]
+
+
 def test_no_conversations(spark):
     made = content_parts.format_conversations(
         turns(spark, []), parts=content_parts.text_parts(F.col("text"))

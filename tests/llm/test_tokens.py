@@ -10,17 +10,16 @@ import pytest
 import zstandard
 from tokenizers import Tokenizer
 
-from logtide.llm import frame_store, length_histogram, two_fit_packing
+from logtide.llm import frame_store, length_histogram, queries, two_fit_packing
 from logtide.llm.tokens import Encoder, tokenizer_path
 from logtide.llm.workspace import Workspace
+from tests.helpers import plan
 from tests.llm.data import frame, odd_rows, prose
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def whole(tokenizer, text):
@@ -41,6 +40,29 @@ def test_units_give_the_ids_of_whole_texts(tokenizer, alphabet):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole(tokenizer, text), ascii(text)
 
 
+SPECIAL = "a <|endoftext|> b<|endoftext|>"
+
+
+def test_special_strings_as_the_library_has_them(spark, tokenizer):
+    assert np.frombuffer(Encoder(tokenizer_path()).encode(SPECIAL), "<u4").tolist() == whole(tokenizer, SPECIAL)
+    plain = Tokenizer.from_file(tokenizer_path())
+    plain.encode_special_tokens = True
+    found = np.frombuffer(Encoder(tokenizer_path(), special_as_text=True).encode(SPECIAL), "<u4").tolist()
+    assert found == whole(plain, SPECIAL) != whole(tokenizer, SPECIAL)
+    docs = frame(spark, [(1, SPECIAL), (2, "x")])
+    assert {r.n_tokens for r in length_histogram.token_lengths(docs).collect()} == {
+        len(whole(tokenizer, t)) for t in (SPECIAL, "x")
+    }
+    pieces = two_fit_packing.token_pieces(docs, with_ids=True).where("doc_id = 1").first()
+    assert list(pieces.ids) == [*whole(tokenizer, SPECIAL), 0]
+
+
+def test_special_strings_in_files(spark, tokenizer, run_dir):
+    manifest = frame_store.write_token_files(frame(spark, [(1, SPECIAL), (2, "x")]), f"{run_dir}/files")
+    ids = {r.doc_id: list(r.ids) for r in frame_store.read_tokens(manifest).collect()}
+    assert ids == {1: [*whole(tokenizer, SPECIAL), 2], 2: [*whole(tokenizer, "x"), 2]}
+
+
 def test_length_sums(spark, work):
     lengths = [0, 0, 3, 5, 5, 1500, 1500, 9000]
     df = spark.createDataFrame([(x,) for x in [*lengths, None]], "n_tokens long")
@@ -54,13 +76,44 @@ def test_length_sums(spark, work):
         assert row.docs_up_to == sum(x <= length for x in lengths)
         assert row.tokens_up_to == sum(x for x in lengths if x <= length)
         assert row.truncated_tokens == sum(min(x, length) for x in lengths)
-    limits = [0, 4, 1500, 10_000]
-    for row in length_histogram.answers_at_limits(histogram, limits).collect():
-        assert row.docs_that_fit == sum(x <= row.context_limit for x in lengths)
-        assert row.total_tokens == sum(lengths)
-        assert row.tokens_left == sum(min(x, row.context_limit) for x in lengths)
-    found = {r.quantile: r.length for r in length_histogram.length_quantiles(histogram, [0.0, 0.5, 1.0]).collect()}
+    limits = [0, 1, 4, 5, 1500, 1501, 9000, 10_000]
+    found = length_histogram.at_limits(histogram, limits)
+    assert found.columns == histogram.columns
+    asked = {r.length: r for r in found.collect()}
+    assert sorted(asked) == limits
+    for limit, row in asked.items():
+        assert (row.n_docs, row.n_tokens) == (lengths.count(limit), limit * lengths.count(limit))
+        assert row.docs_at_least == sum(x >= limit for x in lengths)
+        assert row.tokens_at_least == sum(x for x in lengths if x >= limit)
+        assert row.docs_up_to == sum(x <= limit for x in lengths)
+        assert row.tokens_up_to == sum(x for x in lengths if x <= limit)
+        assert row.truncated_tokens == sum(min(x, limit) for x in lengths)
+    found = {r.quantile: r.length for r in length_histogram.at_quantiles(histogram, [0.0, 0.5, 1.0]).collect()}
     assert found == {0.0: 0, 0.5: 5, 1.0: 9000}
+    alone = spark.createDataFrame(histogram.collect(), histogram.schema)
+    assert "Join" not in plan(length_histogram.at_limits(alone, limits))
+
+
+def test_answers_of_no_documents(spark, work):
+    histogram = length_histogram.length_histogram(spark.createDataFrame([], "n_tokens long"), work)
+    assert [tuple(r) for r in length_histogram.at_limits(histogram, [5]).collect()] == [(5, 0, 0, 0, 0, 0, 0, 0)]
+    assert length_histogram.at_quantiles(histogram, [0.5]).count() == 0
+
+
+def test_length_query_answers_limits_and_quantiles(spark, tokenizer):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    lengths = sorted(len(whole(tokenizer, t)) for t in texts)
+    rows = queries.q_length_histogram(spark, sf_dir).collect()
+    assert {r.length: r.n_docs for r in rows if r.asked is None} == {n: lengths.count(n) for n in lengths}
+    for r in rows:
+        if r.asked == "limit":
+            assert r.truncated_tokens == sum(min(n, r.length) for n in lengths)
+            assert r.docs_up_to == sum(n <= r.length for n in lengths)
+        elif r.asked:
+            share = float(r.asked.split()[1])
+            assert r.length == next(n for n in lengths if sum(x <= n for x in lengths) >= share * len(lengths))
+    assert sum(r.asked is not None for r in rows) == len(queries.CONTEXT_LIMITS) + len(queries.QUANTILES)
 
 
 def test_histogram_of_odd_documents(spark, tokenizer, work):
