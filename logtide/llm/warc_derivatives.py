@@ -14,6 +14,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,21 +23,27 @@ from pyspark.sql import functions as F
 from logtide.llm.words import arrow_map
 
 DATE = "1970-01-01T00:00:00Z"
-# A tag's name ends at white space, a slash or the end of the tag: <title-bar> is another tag.
+# A tag's name ends at white space, a slash or the end of the tag: <title-bar> is another
+# tag. Quotes open a value only after the equals sign of an attribute.
+_REST = (
+    r"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|(?=>)))?+)*+>"
+)
 _HIDDEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"
-    r"|<(script|style|template|noscript|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)",
+    r"|<(script|style|template|noscript|title)(?=[\s/>])" + _REST + r".*?(?:</\1(?=[\s/>])[^>]*>|\Z)",
     re.S | re.I,
 )
-_TITLE = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)(?:</title(?=[\s/>])[^>]*>|\Z)", re.S | re.I)
+_TITLE = re.compile(
+    r"<title(?=[\s/>])" + _REST + r"(.*?)(?:</title(?=[\s/>])[^>]*>|\Z)", re.S | re.I
+)
 _LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-_TAG_END = r"(?>[^<>\"']+|\"[^\"]*\"|'[^']*')*+>"
 _BLOCK_TAG = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr"
-    r"|html|li|main|nav|ol|option|p|pre|section|table|td|th|tr|ul)\b" + _TAG_END,
+    r"|html|li|main|nav|ol|option|p|pre|section|table|td|th|tr|ul)(?=[\s/>])" + _REST,
     re.I,
 )
-_TAG = re.compile(r"<[!/?a-zA-Z]" + _TAG_END)
+_TAG = re.compile(r"<(?:[!?]|/[^a-zA-Z>])[^>]*>|</>|</?[a-zA-Z][^\s/>]*+" + _REST)
+_CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 _RESPONSES = (
     "page_id long, record_id string, target_uri string, date string, http_headers string,"
     " payload string, payload_digest string"
@@ -120,7 +127,8 @@ def derivatives(found: DataFrame) -> DataFrame:
 
     ``record`` is the whole record but for the two line ends that close it. Repeated
     responses give repeated records with the same ids. Missing values count as
-    empty. One row in, two rows out; nothing is shuffled.
+    empty. Whole pages of any length are read; other columns are left out, so no name
+    clashes; no rows give no rows. One row in, two rows out; nothing is shuffled.
     """
 
     def derive(batches) -> Iterator[dict]:
@@ -202,3 +210,97 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").load(path).select("content")
     return arrow_map(files, parse, "headers map<string,string>, block binary")
+
+
+def _unchunked(body: bytes) -> bytes:
+    """A body without the sizes of its chunks; one that is cut short ends early."""
+    out, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        try:
+            size = int(body[at:end].split(b";")[0], 16)
+        except ValueError:
+            break
+        if not size:
+            break
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+    return b"".join(out)
+
+
+def payload_of(block: bytes) -> tuple[str, str, bytes]:
+    """HTTP headers, decoded page and body of a response block.
+
+    Chunks and gzip are undone. The page is read in the charset of its content type,
+    UTF-8 without one or with an unknown one; bytes that do not fit it become U+FFFD.
+    """
+    head, _, body = block.partition(b"\r\n\r\n")
+    headers = head.decode("utf-8", "replace") + "\r\n"
+    fields = {
+        name.strip().lower(): value.strip()
+        for name, _, value in (line.partition(":") for line in headers.split("\r\n")[1:])
+    }
+    raw = body
+    if "chunked" in fields.get("transfer-encoding", "").lower():
+        raw = _unchunked(raw)
+    if "gzip" in fields.get("content-encoding", "").lower():
+        opened = zlib.decompressobj(31)
+        try:
+            raw = opened.decompress(raw)
+        except zlib.error:
+            raw = b""
+    charset = _CHARSET.search(fields.get("content-type", ""))
+    try:
+        page = raw.decode(charset[1] if charset else "utf-8", "replace")
+    except LookupError:
+        page = raw.decode("utf-8", "replace")
+    return headers, page, body
+
+
+def responses_of(records: DataFrame) -> DataFrame:
+    """Response rows of WARC records as ``read_warc`` gives them; other records are left out.
+
+    Record id, target URI and date are those of the record; a payload digest that it
+    lacks is made from the body as it was sent. ``page_id`` is null.
+    """
+
+    def build(batches) -> Iterator[dict]:
+        for batch in batches:
+            out: dict[str, list] = {field.split()[0]: [] for field in _RESPONSES.split(", ")}
+            for pairs, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                told = {name.lower(): value for name, value in pairs}
+                if told.get("warc-type") != "response":
+                    continue
+                headers, page, body = payload_of(block)
+                values = (
+                    None, told.get("warc-record-id", ""), told.get("warc-target-uri", ""),
+                    told.get("warc-date", DATE), headers, page,
+                    told.get("warc-payload-digest") or digest(body),
+                )
+                for name, value in zip(out, values, strict=True):
+                    out[name].append(value)
+            yield out
+
+    return arrow_map(records.select("headers", "block"), build, _RESPONSES)
+
+
+def response_records(found: DataFrame) -> DataFrame:
+    """Response rows as the ``record`` text that ``write_warc`` writes."""
+
+    def build(batches) -> Iterator[dict]:
+        for batch in batches:
+            records = []
+            for name, uri, date, headers, payload, told in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
+            ):
+                block = f"{headers or ''}\r\n{payload or ''}"
+                head = [
+                    ("WARC-Type", "response"), ("WARC-Record-ID", name or ""), ("WARC-Date", date or DATE),
+                    ("WARC-Target-URI", uri or ""), ("WARC-Payload-Digest", told or ""),
+                    ("Content-Type", "application/http; msgtype=response"),
+                    ("Content-Length", str(len(block.encode()))),
+                ]
+                records.append(record_text(head, block))
+            yield {"record": records}
+
+    columns = ("record_id", "target_uri", "date", "http_headers", "payload", "payload_digest")
+    return arrow_map(found.select(*columns), build, "record string")
