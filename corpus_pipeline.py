@@ -17,12 +17,16 @@ from logtide.llm import (
     rule_ledger,
     two_fit_packing,
 )
-from logtide.llm.words import arrow_map, utf8
+from logtide.llm.words import arrow_map, unused, utf8
 from logtide.llm.workspace import Workspace
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the default policy, as they are."""
+    """Documents that pass the default policy, as they are.
+
+    Null and empty texts fail it. Repeated rows and ids are judged each by itself; no
+    rows give no rows.
+    """
     return docs.where(rule_ledger.accepted(F.col("text")))
 
 
@@ -36,19 +40,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = bayes_minhash.near_duplicates(docs, Workspace(spark, "stage-near"))
     # A text without words is a group of its own.
     alone = [F.when(F.col("group_no").isNull(), F.col(c)).alias(f"alone_{c}") for c in ("doc_id", "row_fp")]
+    own = unused(docs.columns, "kept_")
     kept = (
         found.where("kept").groupBy("group_no", *alone)
         .agg(F.min(F.struct("doc_id", "row_fp")).alias("first"))
-        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.row_fp").alias("kept_fp"))
+        .select(F.col("first.doc_id").alias(f"{own}id"), F.col("first.row_fp").alias(f"{own}fp"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (_fingerprint() == F.col("kept_fp"))
-    rows = docs.join(kept, same, "left_semi")
-    return rows.withColumn("_row_fp", _fingerprint()).dropDuplicates(["doc_id", "_row_fp"]).drop("_row_fp")
+    rows = docs.join(kept, _same_row(own), "left_semi").withColumn(f"{own}fp", _fingerprint())
+    return rows.dropDuplicates(["doc_id", f"{own}fp"]).drop(f"{own}fp")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the word windows that an earlier document has."""
-    found = cover_dedup.repeated_spans(docs, Workspace(spark, "stage-substring"))
+    """Texts without the word windows that an earlier document has.
+
+    Null texts, empty ones and such without a repeated window are as they were; a text
+    of which no word is left goes.
+    """
+    work = Workspace(spark, "stage-substring")
+    found = cover_dedup.repeated_spans(docs, work)
 
     def cut(batches):
         for batch in batches:
@@ -58,28 +67,42 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
                 "cut_text": [cover_dedup.without_spans(t, s).decode() for t, s in texts],
             }
 
+    own = unused(docs.columns, "cut_")
     shorter = arrow_map(found, cut, "cut_id long, cut_fp long, cut_text string")
-    shorter = shorter.dropDuplicates(["cut_id", "cut_fp"])
-    same = F.col("doc_id").eqNullSafe(F.col("cut_id")) & (_fingerprint() == F.col("cut_fp"))
-    joined = docs.join(shorter, same, "left")
-    return _shortened(joined, docs.columns, F.col("cut_text"))
+    shorter = shorter.dropDuplicates(["cut_id", "cut_fp"]).toDF(f"{own}id", f"{own}fp", f"{own}text")
+    joined = docs.join(shorter, _same_row(own), "left")
+    return _shortened(joined, docs.columns, F.col(f"{own}text"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of ``benchmark``."""
+    """Texts without the passages of ``benchmark``.
+
+    Null and empty texts and those without a passage are as they were; a text of which
+    no word is left goes. Repeated rows and ids are searched each by itself.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    own = unused(docs.columns, "bench_")
     found = fm_decontaminate.find_contamination(
-        docs, benchmark, prefix="_bench_", cut_col="_cut", null_ids=True
+        docs, benchmark, prefix=own, cut_col=f"{own}cut", null_ids=True
     )
-    return _shortened(found, docs.columns, F.col("_cut"))
+    return _shortened(found, docs.columns, F.col(f"{own}cut"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and place there."""
+    """Every piece of every document with its sequence and place there.
+
+    A null or empty text is one piece of the end id; repeated rows and ids are packed
+    each by itself; no rows give no rows.
+    """
     work = Workspace(spark, "stage-packing")
     return two_fit_packing.pack(work.saved(two_fit_packing.token_pieces(docs), "pieces"))
 
 
+def _same_row(own: str) -> Column:
+    """Whether a row of the documents is the one named by an operator's answer."""
+    return F.col("doc_id").eqNullSafe(F.col(f"{own}id")) & (_fingerprint() == F.col(f"{own}fp"))
+
+
 def _fingerprint() -> Column:
     return F.xxhash64(F.col("text"))
 
