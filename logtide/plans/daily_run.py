@@ -1,15 +1,15 @@
 """The daily job: new files -> raw logs -> facts and dimension -> checks.
 
-The job keeps a record of what is done: the files in the raw table, and the block
-ranges that the facts and the checks have yet to take up. Every step is published
-when it ends and can be repeated, so a run after a failure goes on with what is
+The job keeps a log of what is done, a Parquet folder that each step appends to when it
+ends: the files in the raw table, and the block ranges that facts and checks have taken
+up. Every step can be repeated, so a run after a failure goes on with what is
 outstanding, whether or not there is a new file.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime
@@ -19,13 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.operators.dedup import LOG_KEY, dedup_logs, newest_first
-from logtide.operators.joins import broadcast_if_small
 from logtide.plans.checks import quality_suite
 from logtide.plans.incremental import (
     BLOCKS_PER_BUCKET,
-    REORG_BLOCKS,
     fact_table,
-    near_buckets,
     replace_blocks,
 )
 from logtide.plans.marts import DIM_EVENT_SCHEMA, FACTS, dim_event
@@ -39,28 +36,43 @@ from logtide.sources.storage import layer_path
 from logtide.sources.tables import KeyedTable, block_buckets, hash_buckets
 
 Range = tuple[int, int]
+JOB_LOG = "what string, extent string, file string, from_block long, to_block long"
+STEPS = ("facts", "checks")
 
 
-class JobRecord:
-    """What the job has done below ``root``, one small file per change."""
+class JobLog:
+    """What the job has done below ``root``: one row per loaded file, per block range
+    that files brought, and per step that took a range up."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.folder = spark, f"{root.rstrip('/')}/job"
-        names = storage.list_names(spark, self.folder)
-        self._number = max((int(n[:-5]) for n in names if n.endswith(".json") and n[0] != "."), default=0)
-        done = json.loads(storage.read_text(spark, self._path())) if self._number else {}
-        self.loaded: list[str] = done.get("loaded", [])
-        self.pending: list[Range] = [tuple(r) for r in done.get("pending", [])]
-        self.unchecked: list[Range] = [tuple(r) for r in done.get("unchecked", [])]
 
-    def _path(self) -> str:
-        return f"{self.folder}/{self._number:012d}.json"
+    def read(self) -> DataFrame:
+        if not storage.exists(self.spark, self.folder):
+            return self.spark.createDataFrame([], JOB_LOG)
+        return self.spark.read.schema(JOB_LOG).parquet(self.folder)
 
-    def publish(self) -> None:
-        """Make the record as it is now the latest; fails if another run was faster."""
-        self._number += 1
-        done = {"loaded": self.loaded, "pending": self.pending, "unchecked": self.unchecked}
-        storage.publish_text(self.spark, self._path(), json.dumps(done))
+    def _add(self, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, JOB_LOG).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def loaded(self, files: list[str], blocks: Range) -> None:
+        """Files are in the raw table; their range is outstanding for every step."""
+        extent = uuid.uuid4().hex
+        self._add([("file", extent, f, *blocks) for f in files] + [(s, extent, None, *blocks) for s in STEPS])
+
+    def done(self, step: str, extents: Iterable[str]) -> None:
+        self._add([(f"{step} done", extent, None, None, None) for extent in extents])
+
+    def new_files(self, found: DataFrame) -> DataFrame:
+        """Files of an inventory that are not in the raw table."""
+        return found.join(self.read().where("what = 'file'").select("file"), "file", "left_anti")
+
+    def outstanding(self, step: str) -> dict[str, Range]:
+        """Ranges that a step has yet to take up, by their extent."""
+        log = self.read()
+        done = log.where(F.col("what") == f"{step} done").select("extent")
+        rows = log.where(F.col("what") == step).join(done, "extent", "left_anti").collect()
+        return {r.extent: (r.from_block, r.to_block) for r in rows}
 
 
 def raw_table(
@@ -78,44 +90,39 @@ def raw_table(
 
 
 def dimension_table(spark: SparkSession, root: str) -> KeyedTable:
-    """The event dimension; readers keep the version they opened."""
+    """The event dimension, replaced whole."""
     path = layer_path(root, "dim_event", "mart")
     return KeyedTable(spark, path, DIM_EVENT_SCHEMA, ["topic0_hash"], hash_buckets(["topic0_hash"], 1))
 
 
-def load_new_files(
-    raw: KeyedTable, folder: str, prefix: str, record: JobRecord,
-    blocks_per_bucket: int = BLOCKS_PER_BUCKET, reorg_blocks: int = REORG_BLOCKS,
-) -> int:
-    """Merge every stamped file that is not on record; the rows written.
+def load_new_files(raw: KeyedTable, folder: str, prefix: str, log: JobLog) -> int:
+    """Merge every stamped file that is not in the log; the rows written.
 
     A log may come in several files, also with another block or flag after a
     reorganisation. The copy of the newest file stays, in whatever order files are
-    loaded; old copies are looked for ``reorg_blocks`` around the files.
+    loaded and however far apart its blocks are.
     """
-    known = set(record.loaded)
-    found = file_inventory(raw.spark, folder, prefix).collect()
-    new = {r.file: (r.from_block, r.to_block) for r in found if r.file not in known}
+    found = log.new_files(file_inventory(raw.spark, folder, prefix)).collect()
+    new = {r.file: (r.from_block, r.to_block) for r in found}
     written = 0
     for extent in merged_ranges(list(new.values())):
         files = sorted(f for f, (a, b) in new.items() if extent[0] <= a and b <= extent[1])
-        written += _load_files(raw, folder, files, near_buckets(*extent, blocks_per_bucket, reorg_blocks))
-        record.loaded = [*record.loaded, *files]
-        record.pending = [*record.pending, extent]
-        record.unchecked = [*record.unchecked, extent]
-        record.publish()
+        written += _load_files(raw, folder, files)
+        log.loaded(files, extent)
     return written
 
 
-def _load_files(raw: KeyedTable, folder: str, files: list[str], scope: Range) -> int:
+def _load_files(raw: KeyedTable, folder: str, files: list[str]) -> int:
     # A stamped name may be a file or a folder of part files; it names the load.
     name = F.regexp_extract("_metadata.file_path", r"/([^/]+_\d+_\d+\.parquet)(?:/|$)", 1)
     logs = scan_logs(raw.spark, *[f"{folder}/{file}" for file in files])
     logs = logs.select(*RAW_LOGS.fieldNames(), name.alias("from_file"))
     batch = with_load_lineage(logs, F.col("from_file"), LOG_KEY).select(*STORED_LOGS.fieldNames())
-    stored = raw.read(from_bucket=scope[0], to_bucket=scope[1])
-    met = stored.join(broadcast_if_small(batch.select(*LOG_KEY).distinct()), LOG_KEY, "left_semi")
-    return raw.upsert(dedup_logs(batch.unionByName(met), newest_first()), scope)
+
+    def newest(new: DataFrame, old: DataFrame) -> DataFrame:
+        return dedup_logs(new.unionByName(old), newest_first())
+
+    return raw.merge(dedup_logs(batch, newest_first()), newest)
 
 
 def merged_ranges(ranges: list[Range], before: int = 0) -> list[Range]:
@@ -157,21 +164,18 @@ def refresh_facts(
     transfers: DataFrame,
     root: str,
     run_ts: datetime | str,
-    blocks: Range,
     blocks_per_bucket: int = BLOCKS_PER_BUCKET,
-    reorg_blocks: int = REORG_BLOCKS,
 ) -> dict[str, int]:
     """Make the facts agree with the raw logs of a block range; rows inserted.
 
-    Only buckets near the range are opened, whichever fact has rows there.
+    Only buckets that may hold one of the logs are opened.
     """
-    scope = near_buckets(*blocks, blocks_per_bucket, reorg_blocks)
     # The facts do not depend on each other; side by side they fill the cluster.
     with ThreadPoolExecutor(len(FACTS)) as pool:
         jobs = {
             name: pool.submit(
                 inheritable_thread_target(spark)(replace_blocks),
-                fact_table(spark, root, name, blocks_per_bucket), name, transfers, logs, run_ts, scope,
+                fact_table(spark, root, name, blocks_per_bucket), name, transfers, logs, run_ts,
             )
             for name in FACTS
         }
@@ -212,7 +216,6 @@ def run(
     run_ts: datetime | str,
     blocks_per_bucket: int = BLOCKS_PER_BUCKET,
     lookback_blocks: int = 0,
-    reorg_blocks: int = REORG_BLOCKS,
 ) -> dict:
     """One run of the whole job; any failing step stops it, the next run goes on.
 
@@ -222,30 +225,28 @@ def run(
     the new files; ``lookback_blocks`` takes in that many more before them.
     """
     raw = raw_table(spark, root, blocks_per_bucket)
-    record = JobRecord(spark, root)
-    loaded = load_new_files(raw, folder, prefix, record, blocks_per_bucket, reorg_blocks)
+    log = JobLog(spark, root)
+    loaded = load_new_files(raw, folder, prefix, log)
     facts = {name: 0 for name in FACTS}
-    if not record.unchecked:
+    pending, unchecked = (log.outstanding(step) for step in STEPS)
+    if not unchecked:
         return {"status": "no_data", "loaded": 0, "facts": facts}
-    if record.pending or not dimension_table(spark, root).version():
+    if pending or not dimension_table(spark, root).exists():
         dimension_table(spark, root).replace(dim_event(signatures))
     failed = []
-    for blocks in merged_ranges(record.unchecked, lookback_blocks):
+    for blocks in merged_ranges(list(unchecked.values()), lookback_blocks):
+        met, met_facts = ([x for x, r in step.items() if _meets(blocks, r)] for step in (unchecked, pending))
         logs = _logs_of(raw, blocks, blocks_per_bucket)
         with decoded_transfers(logs, signatures) as transfers:
-            if any(_meets(blocks, r) for r in record.pending):
-                inserted = refresh_facts(
-                    spark, logs, transfers, root, run_ts, blocks, blocks_per_bucket, reorg_blocks
-                )
+            if met_facts:
+                inserted = refresh_facts(spark, logs, transfers, root, run_ts, blocks_per_bucket)
                 facts = {name: facts[name] + inserted[name] for name in FACTS}
-                record.pending = [r for r in record.pending if not _meets(blocks, r)]
-                record.publish()
+                log.done("facts", met_facts)
             report = check_blocks(raw, signatures, transfers, root, blocks, blocks_per_bucket)
             found = [row.asDict() for row in report.where(F.col("failed_rows") > 0).collect()]
         failed += found
         if not found:
-            record.unchecked = [r for r in record.unchecked if not _meets(blocks, r)]
-            record.publish()
+            log.done("checks", met)
     return {
         "status": "failed_checks" if failed else "success",
         "loaded": loaded,

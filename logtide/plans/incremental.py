@@ -14,18 +14,6 @@ from logtide.sources.storage import layer_path
 from logtide.sources.tables import KeyedTable, block_buckets
 
 BLOCKS_PER_BUCKET = 100_000
-# A reorganisation moves a log by at most this many blocks.
-REORG_BLOCKS = 1_000
-
-
-def near_buckets(
-    from_block: int, to_block: int, blocks_per_bucket: int, reorg_blocks: int = REORG_BLOCKS
-) -> tuple[int, int]:
-    """Buckets in which a log of these blocks may stand under another block."""
-    return (
-        (from_block - reorg_blocks) // blocks_per_bucket,
-        (to_block + reorg_blocks) // blocks_per_bucket,
-    )
 
 
 def fact_table(
@@ -42,7 +30,7 @@ def start_after(table: KeyedTable, lookback_blocks: int = 0) -> int | None:
 
     ``lookback_blocks`` reads that many blocks again, for late rows.
     """
-    if table.version() == 0:
+    if not table.exists():
         return None
     return table.high_water("block_number") - lookback_blocks
 
@@ -58,19 +46,13 @@ def refresh_fact(
     transfers: DataFrame,
     run_ts: datetime | str | None = None,
     lookback_blocks: int = 0,
-    blocks_per_bucket: int | None = None,
-    reorg_blocks: int = REORG_BLOCKS,
 ) -> int:
     """Upsert the transfers newer than the fact into it; the rows inserted.
 
-    With ``blocks_per_bucket`` old rows are looked for from ``reorg_blocks`` before
-    the first new block on, else in the whole fact.
+    A log that stood under another block before loses that row, however far away.
     """
     start = start_after(table, lookback_blocks)
-    scope = "table"
-    if blocks_per_bucket and start is not None:
-        scope = (near_buckets(start + 1, start + 1, blocks_per_bucket, reorg_blocks)[0], None)
-    return table.upsert(FACTS[name][0](newer_than(transfers, start), run_ts), scope)
+    return table.upsert(FACTS[name][0](newer_than(transfers, start), run_ts))
 
 
 def replace_blocks(
@@ -79,23 +61,20 @@ def replace_blocks(
     transfers: DataFrame,
     logs: DataFrame,
     run_ts: datetime | str | None,
-    scope: tuple[int, int],
 ) -> int:
     """Make the fact hold ``transfers`` for the keys of ``logs``; the rows inserted.
 
     Rows that are there already, but for their run, stay as they are. Keys that
     have no transfer of this fact any more, such as logs that a reorganisation
-    removed, lose their rows. Rows are looked for in the buckets of ``scope``.
+    removed, lose their rows. Rows are looked for wherever the keys stand.
     """
     built = FACTS[name][0](transfers, run_ts)
+    keys = logs.select(bytes_to_hex(F.col("transaction_hash")).alias("transaction_hash"), "log_index")
     content = [c for c in built.columns if c not in ("date_key", "dbt_loaded_at")]
-    stored = table.read(from_bucket=scope[0], to_bucket=scope[1]).select(
-        *[F.col(c).alias(f"stored_{c}") for c in content]
-    )
+    stored = table.matching(keys).select(*[F.col(c).alias(f"stored_{c}") for c in content])
     same = reduce(
         lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"stored_{c}")) for c in content]
     )
     fresh = built.join(stored, same, "left_anti")
-    keys = logs.select(bytes_to_hex(F.col("transaction_hash")).alias("transaction_hash"), "log_index")
     gone = keys.join(built.select(*FACT_KEY), FACT_KEY, "left_anti")
-    return table.upsert(fresh, scope, also_delete=gone)
+    return table.upsert(fresh, also_delete=gone)

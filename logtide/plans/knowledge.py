@@ -61,18 +61,20 @@ def load_collection(
     named = documents.withColumnRenamed("title", "document_title")
     chunk_documents(named, separator=separator).write.parquet(path)
     chunks = spark.read.parquet(path)
-    stored = collection.read().select("chunk_id")
-    if not resume:
-        stored = stored.limit(0)
+    if resume:
+        stored = collection.matching(chunks).select("chunk_id")
+    else:
+        stored = spark.createDataFrame([], "chunk_id string")
     wanted = resume_chunks(chunks, stored)
     rows = embed_chunks(wanted, embed, embed_batch).select(*COLLECTION.fieldNames())
-    # The report names the version that was there before.
-    results = load_results(documents, chunks, stored)
+    # The report is of the collection as it was before, so it is written first.
+    results_path = new_run_dir(spark, "load-results")
+    load_results(documents, chunks, stored).write.parquet(results_path)
     if resume:
         collection.append(rows)
     else:
         collection.upsert(rows)
-    return results
+    return spark.read.parquet(results_path)
 
 
 def search_text(

@@ -1,36 +1,39 @@
-"""Keyed Parquet tables with delete+insert and insert-if-absent.
-
-A table is a folder of immutable Parquet *generations*, each partitioned by a
-bucket of the rows (a block range, or a key hash)::
-
-    data/generation=<id>/bucket=<n>/part-....parquet
-    versions/<number>.json        which generations are live, per bucket
-
-A write adds one generation and publishes the next version file. Rows are only
-rewritten in the buckets that hold a key of the batch; readers keep the version
-they opened. Finding those buckets reads the key columns of every bucket in the
-scope of the write: the whole table by default, a range of buckets, or those of
-the batch. Incremental jobs name a range, so that a write costs the batch and
-the buckets near it.
+"""Keyed Parquet tables: delete+insert and insert-if-absent by partition overwrite.
+
+A table is two plain Parquet folders::
+
+    rows/bucket=<n>/part-....parquet       the rows, by block range or key hash
+    places/<key>/part-....parquet          key hash and bucket of every row
+
+``places`` tells where a key may stand: 16 bytes per row, read instead of the key
+columns of the table. Every write adds its places before its rows, and none are taken
+away but by ``compact``, so the buckets found for a key are always all that hold it,
+however far apart, and at worst a few more. A write that replaces rows reads these
+buckets and those of the batch, and puts them back with Spark's dynamic partition
+overwrite; a write of new keys only appends. Spark moves the new partitions in when all
+tasks have ended: a write that dies before leaves the old rows, and a write that is
+repeated gives the same table. Places are of the key that the table is opened with: a
+write under another key drops them, and they are made anew from the rows when needed.
+One writer per table; readers open it between writes.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logtide.operators.joins import broadcast_if_small
 from logtide.schemas import check_schema
+from logtide.session import new_run_dir
 from logtide.sources import storage
 
 BUCKET = "bucket"
-Scope = str | tuple[int | None, int | None]
+_HASH = "key_hash"
+_PLACES = T.StructType([T.StructField(_HASH, T.LongType()), T.StructField(BUCKET, T.LongType())])
+_NO_BUCKET = "__HIVE_DEFAULT_PARTITION__"
 
 
 def block_buckets(blocks_per_bucket: int, column: str = "block_number") -> Column:
@@ -41,6 +44,13 @@ def hash_buckets(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
 
+def _in_buckets(buckets: Iterable[int | None]) -> Column:
+    """A condition on partitions alone, so that only their files are listed and read."""
+    numbers = [b for b in buckets if b is not None]
+    found = F.col(BUCKET).isin(numbers) if numbers else F.lit(False)
+    return found | F.col(BUCKET).isNull() if None in buckets else found
+
+
 class KeyedTable:
     def __init__(
         self,
@@ -57,225 +67,210 @@ class KeyedTable:
         self.keys = list(keys)
         self.bucket = bucket
         self.sort_by = list(sort_by)
+        self._stored = T.StructType(self.schema.fields + [T.StructField(BUCKET, T.LongType())])
+        self._rows = f"{self.root}/rows"
+        self._places = f"{self.root}/places/{'+'.join(self.keys)}"
 
-    # --- versions ----------------------------------------------------------
-
-    def version(self) -> int:
-        names = storage.list_names(self.spark, f"{self.root}/versions")
-        numbers = [int(n[:-5]) for n in names if n.endswith(".json") and n[0] != "."]
-        return max(numbers, default=0)
+    # --- reading -----------------------------------------------------------
 
-    def live(self, version: int | None = None) -> dict[str, list[str]]:
-        """Bucket -> live generations, oldest first."""
-        number = self.version() if version is None else version
-        if number == 0:
-            return {}
-        path = f"{self.root}/versions/{number:012d}.json"
-        return json.loads(storage.read_text(self.spark, path))
+    def exists(self) -> bool:
+        """Whether the table was ever written, be it without rows."""
+        return storage.exists(self.spark, self._rows)
 
-    def _publish(self, base: int, live: dict[str, list[str]]) -> None:
-        """Make ``live`` the next version; fails if another writer was faster."""
-        path = f"{self.root}/versions/{base + 1:012d}.json"
-        storage.publish_text(self.spark, path, json.dumps(live, sort_keys=True))
+    def buckets(self) -> list[int | None]:
+        """Buckets that have rows, in order; rows without one come last."""
+        prefix = f"{BUCKET}="
+        names = [n[len(prefix):] for n in storage.list_names(self.spark, self._rows) if n.startswith(prefix)]
+        return sorted((None if n == _NO_BUCKET else int(n) for n in names), key=lambda b: (b is None, b))
 
-    # --- reading -----------------------------------------------------------
+    def _open(self) -> DataFrame:
+        """All rows with their bucket."""
+        if not self.exists():
+            return self.spark.createDataFrame([], self._stored)
+        return self.spark.read.schema(self._stored).parquet(self._rows)
 
-    def _open(self, live: dict[str, list[str]]) -> DataFrame:
-        """All live rows with their bucket."""
-        stored = T.StructType(self.schema.fields + [T.StructField(BUCKET, T.LongType())])
-        paths = [
-            f"{self.root}/data/generation={generation}/{BUCKET}={bucket}"
-            for bucket, generations in sorted(live.items())
-            for generation in generations
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], stored)
-        reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/data")
-        return reader.parquet(*paths).select(*stored.fieldNames())
-
-    def read(
-        self, version: int | None = None, from_bucket: int | None = None,
-        to_bucket: int | None = None,
-    ) -> DataFrame:
+    def read(self, from_bucket: int | None = None, to_bucket: int | None = None) -> DataFrame:
         """All rows, or those of a range of buckets, either end open."""
-        live = self.live(version)
-        if from_bucket is not None or to_bucket is not None:
-            live = self._scope(live, (from_bucket, to_bucket), [])
-        return self._open(live).select(*self.schema.fieldNames())
+        rows = self._open()
+        if from_bucket is not None:
+            rows = rows.where(F.col(BUCKET) >= from_bucket)
+        if to_bucket is not None:
+            rows = rows.where(F.col(BUCKET) <= to_bucket)
+        return rows.select(*self.schema.fieldNames())
 
     def high_water(self, column: str) -> int:
         """Largest value of a column that grows with the bucket, 0 when empty.
 
         Only the last bucket is read.
         """
-        live = self.live()
-        numbered = [b for b in live if _is_number(b)]
+        numbered = [b for b in self.buckets() if b is not None]
         if not numbered:
             return 0
-        last = max(numbered, key=int)
-        rows = self._open({last: live[last]})
+        rows = self._open().where(F.col(BUCKET) == numbered[-1])
         return rows.agg(F.coalesce(F.max(column), F.lit(0))).first()[0]
 
-    # --- writing -----------------------------------------------------------
-
-    def _write(self, rows: DataFrame) -> tuple[str, list[str], int]:
-        """Write rows as a new generation: its id, its buckets, its row count.
+    def holding(self, keys: DataFrame) -> list[int | None]:
+        """Buckets that hold one of the keys, and at worst a few more.
 
-        The rebalance hint lets adaptive execution cut a bucket that holds most
-        of the batch into several tasks and join the small ones. Rows are counted
-        in the writing tasks themselves.
+        Eight bytes per key make a broadcast of millions of keys small, and a shuffle,
+        where there are more, narrow. Bucket numbers come to the driver, no keys.
         """
-        generation = f"g{uuid.uuid4().hex}"
-        path = f"{self.root}/data/generation={generation}"
-        written = Observation()
-        rows = rows.select(*self.schema.fieldNames(), BUCKET).hint("rebalance", BUCKET)
-        rows = rows.observe(written, F.count(F.lit(1)).alias("row_count"))
-        if self.sort_by:
-            rows = rows.sortWithinPartitions(BUCKET, *self.sort_by)
-        rows.write.partitionBy(BUCKET).parquet(path)
-        prefix = f"{BUCKET}="
-        names = storage.list_names(self.spark, path)
-        buckets = [n[len(prefix):] for n in names if n.startswith(prefix)]
-        return generation, buckets, written.get["row_count"] if buckets else 0
+        if not self.keys or not self.exists():
+            return []
+        self._ready_places()
+        wanted = broadcast_if_small(keys.select(F.xxhash64(*self.keys).alias(_HASH)).distinct())
+        places = self.spark.read.schema(_PLACES).parquet(self._places)
+        return [r[0] for r in places.join(wanted, _HASH, "left_semi").select(BUCKET).distinct().collect()]
+
+    def matching(self, keys: DataFrame) -> DataFrame:
+        """Rows whose key is among the keys, from the buckets that may hold them."""
+        rows = self._open().where(_in_buckets(self.holding(keys)))
+        wanted = broadcast_if_small(keys.select(*self.keys).distinct())
+        return rows.join(wanted, self.keys, "left_semi").select(*self.schema.fieldNames())
+
+    # --- writing -----------------------------------------------------------
 
     def _bucketed(self, batch: DataFrame) -> DataFrame:
         return check_schema(batch, self.schema).withColumn(BUCKET, self.bucket.cast("long"))
 
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows by bucket. The rebalance hint lets adaptive execution cut a bucket that
+        holds most of the batch into several tasks and join the small ones."""
+        rows = rows.select(*self._stored.fieldNames()).hint("rebalance", BUCKET)
+        return rows.sortWithinPartitions(BUCKET, *self.sort_by) if self.sort_by else rows
+
+    def _put(self, rows: DataFrame, mode: str) -> None:
+        """``append`` rows, or ``overwrite`` the buckets that they are in."""
+        writer = self._dealt(rows).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(BUCKET).parquet(self._rows)
+
+    def _add_places(self, rows: DataFrame, mode: str = "append") -> None:
+        for name in storage.list_names(self.spark, f"{self.root}/places"):
+            if name != "+".join(self.keys):
+                storage.delete(self.spark, f"{self.root}/places/{name}")
+        if self.keys:
+            if mode == "append":
+                self._ready_places()
+            self._write_places(rows, mode)
+
+    def _write_places(self, rows: DataFrame, mode: str) -> None:
+        found = rows.select(F.xxhash64(*self.keys).alias(_HASH), BUCKET).distinct()
+        found.write.mode(mode).parquet(self._places)
+
+    def _ready_places(self) -> None:
+        """Places of the rows that are there, if a write under another key left none."""
+        if self.exists() and not storage.exists(self.spark, f"{self._places}/_SUCCESS"):
+            self._write_places(self._open(), "overwrite")
+
+    def _staged(self, batch: DataFrame) -> tuple[DataFrame, str, int]:
+        """The batch written beside the table, so that the steps of a write see the same
+        rows and compute them once; where, and how many."""
+        path = new_run_dir(self.spark, "batch")
+        self._bucketed(batch).write.parquet(path)
+        rows = self.spark.read.schema(self._stored).parquet(path)
+        return rows, path, rows.count()
+
     def append(self, batch: DataFrame) -> int:
         """Add rows without looking at keys; the rows added."""
-        base = self.version()
-        live = self.live(base)
-        generation, buckets, added = self._write(self._bucketed(batch))
-        for bucket in buckets:
-            live.setdefault(bucket, []).append(generation)
-        self._publish(base, live)
+        rows, path, added = self._staged(batch)
+        if added or not self.exists():
+            self._add_places(rows)
+            self._put(rows, "append")
+        storage.delete(self.spark, path)
         return added
 
     def replace(self, batch: DataFrame) -> int:
         """Make the batch the whole table; the rows written."""
-        base = self.version()
-        generation, buckets, written = self._write(self._bucketed(batch))
-        self._publish(base, {bucket: [generation] for bucket in buckets})
+        rows, path, written = self._staged(batch)
+        # First the places of old and new rows, at last those of the new ones alone.
+        self._add_places(rows)
+        self._dealt(rows).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            BUCKET
+        ).parquet(self._rows)
+        self._add_places(rows, "overwrite")
+        storage.delete(self.spark, path)
         return written
 
-    def upsert(
-        self, batch: DataFrame, scope: Scope = "table", also_delete: DataFrame | None = None
-    ) -> int:
+    def upsert(self, batch: DataFrame, also_delete: DataFrame | None = None) -> int:
         """Delete every row with a key of the batch, then insert the batch.
 
         Rows of the batch that share a key all stay, as in a delete followed by
         an insert. NULL keys match nothing. ``also_delete`` holds further keys
-        whose rows go. ``scope`` says where old rows are looked for: in the whole
-        ``"table"``, in the ``"batch_buckets"``, or in a range of buckets with
-        either end open, for keys that cannot move further. Returns the rows
-        inserted.
+        whose rows go. Returns the rows inserted.
         """
-        base = self.version()
-        live = self.live(base)
-        generation, buckets, added = self._write(self._bucketed(batch))
-        searched = self._scope(live, scope, buckets)
-        keys = self._open({b: [generation] for b in buckets}).select(*self.keys)
-        if also_delete is not None:
-            keys = keys.unionByName(also_delete.select(*self.keys))
-        if searched and (added or also_delete is not None):
-            live = self._without(live, searched, keys.distinct())
-        for bucket in buckets:
-            live.setdefault(bucket, []).append(generation)
-        self._publish(base, live)
-        return added
+        return self.merge(batch, lambda new, old: new, also_delete)
 
-    def _without(
-        self, live: dict[str, list[str]], searched: dict[str, list[str]], keys: DataFrame
-    ) -> dict[str, list[str]]:
-        """``live`` with the given keys taken out of the searched buckets.
+    def merge(
+        self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame],
+        also_delete: DataFrame | None = None,
+    ) -> int:
+        """Put ``combine(new, old)`` in the place of the rows with a key of the batch.
 
-        Key columns alone tell which buckets may hold such rows; only those are
-        rewritten, by comparing the keys themselves.
-        """
-        hits = self._candidates(searched, keys).select(BUCKET).distinct()
-        touched = {_bucket_name(row[0]) for row in hits.collect()}
-        if not touched:
-            return live
-        kept = self._open({b: live[b] for b in touched})
-        kept = kept.join(broadcast_if_small(keys), self.keys, "left_anti")
-        survivors, filled, _ = self._write(kept)
-        untouched = {b: generations for b, generations in live.items() if b not in touched}
-        return {**untouched, **{b: [survivors] for b in filled}}
-
-    def _candidates(self, live: dict[str, list[str]], keys: DataFrame) -> DataFrame:
-        """Keys and buckets of the rows whose key hash is among those of ``keys``.
-
-        Eight bytes per key make a broadcast of millions of keys small, and a
-        shuffle, where there are more, narrow. Different keys may share a hash,
-        so this is a superset.
+        ``new`` is the batch and ``old`` the rows with its keys, wherever they stand;
+        what comes back has to be rows of either. Rows of ``also_delete`` go. The touched
+        buckets are read once and written once. Returns the rows of the batch.
         """
-        key_hash = F.xxhash64(*self.keys).alias("key_hash")
-        wanted = broadcast_if_small(keys.select(key_hash).distinct())
-        return self._open(live).select(*self.keys, BUCKET, key_hash).join(
-            wanted, "key_hash", "left_semi"
-        )
-
-    @staticmethod
-    def _scope(
-        live: dict[str, list[str]], scope: Scope, buckets: Iterable[str]
-    ) -> dict[str, list[str]]:
-        if isinstance(scope, tuple):
-            first, last = scope
-            return {
-                b: g for b, g in live.items()
-                if _is_number(b) and (first is None or int(b) >= first)
-                and (last is None or int(b) <= last)
-            }
-        if scope not in ("table", "batch_buckets"):
-            raise ValueError(f"unknown scope {scope!r}")
-        return live if scope == "table" else {b: live[b] for b in buckets if b in live}
-
-    def insert_absent(self, batch: DataFrame, scope: Scope = "table") -> int:
+        new, path, added = self._staged(batch)
+        keys = new.select(*self.keys).distinct()
+        gone = keys if also_delete is None else keys.unionByName(also_delete.select(*self.keys)).distinct()
+        touched = self.holding(gone)
+        if touched:
+            filled = [r[0] for r in new.select(BUCKET).distinct().collect()]
+            self._add_places(new)
+            self._rewrite(list({*touched, *filled}), new, keys, gone, combine)
+        elif added or not self.exists():
+            self._add_places(new)
+            none = self.spark.createDataFrame([], self._stored)
+            self._put(combine(new, none), "append")
+        storage.delete(self.spark, path)
+        return added
+
+    def _rewrite(
+        self, buckets: list[int | None], new: DataFrame, keys: DataFrame, gone: DataFrame,
+        combine: Callable[[DataFrame, DataFrame], DataFrame],
+    ) -> None:
+        stored = self._open().where(_in_buckets(buckets))
+        kept = stored.join(broadcast_if_small(gone), self.keys, "left_anti")
+        old = stored.join(broadcast_if_small(keys), self.keys, "left_semi")
+        names = self._stored.fieldNames()
+        before = {b: self._files(b) for b in buckets}
+        self._put(kept.select(*names).unionByName(combine(new, old.select(*names))), "overwrite")
+        for bucket, files in before.items():
+            # A bucket that has no rows left is not overwritten.
+            if files and self._files(bucket) == files:
+                storage.delete(self.spark, self._folder(bucket))
+
+    def _folder(self, bucket: int | None) -> str:
+        return f"{self._rows}/{BUCKET}={_NO_BUCKET if bucket is None else bucket}"
+
+    def _files(self, bucket: int | None) -> list[str]:
+        return storage.list_names(self.spark, self._folder(bucket))
+
+    def insert_absent(self, batch: DataFrame) -> int:
         """Insert the rows whose key is not in the table; the rows inserted.
 
-        The batch must hold each key once (see ``first_by_key``). ``scope`` is
-        that of ``upsert``.
+        The batch must hold each key once (see ``first_by_key``). The key columns are
+        read only where a key of the batch may stand.
         """
-        base = self.version()
-        live = self.live(base)
-        rows = self._bucketed(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            searched = live
-            if live and scope != "table":
-                held = {_bucket_name(r[0]) for r in rows.select(BUCKET).distinct().collect()}
-                searched = self._scope(live, scope, held)
-            if searched:
-                # The table's keys are filtered down to those like the batch's
-                # first, so the table is scanned for its key columns but not
-                # shuffled.
-                known = self._candidates(searched, rows.select(*self.keys)).select(*self.keys)
-                fresh = rows.join(known, self.keys, "left_anti")
-            else:
-                fresh = rows
-            generation, buckets, added = self._write(fresh)
-        finally:
-            rows.unpersist()
-        for bucket in buckets:
-            live.setdefault(bucket, []).append(generation)
+        rows, path, added = self._staged(batch)
+        buckets = self.holding(rows)
         if buckets:
-            self._publish(base, live)
+            known = self._open().where(_in_buckets(buckets)).select(*self.keys)
+            known = known.join(broadcast_if_small(rows.select(*self.keys)), self.keys, "left_semi")
+            fresh, fresh_path, added = self._staged(rows.join(known, self.keys, "left_anti").drop(BUCKET))
+        else:
+            fresh, fresh_path = rows, path
+        if added or not self.exists():
+            self._add_places(fresh)
+            self._put(fresh, "append")
+        for used in {path, fresh_path}:
+            storage.delete(self.spark, used)
         return added
 
     def compact(self) -> int:
-        """Merge buckets that are spread over several generations; how many."""
-        base = self.version()
-        live = self.live(base)
-        spread = {b: g for b, g in live.items() if len(g) > 1}
+        """Merge the files of buckets that have several, and the places; how many buckets."""
+        spread = [b for b in self.buckets() if sum(n.endswith(".parquet") for n in self._files(b)) > 1]
         if spread:
-            generation, buckets, _ = self._write(self._open(spread))
-            live.update({bucket: [generation] for bucket in buckets})
-            self._publish(base, live)
+            self._put(self._open().where(_in_buckets(spread)), "overwrite")
+            self._add_places(self._open(), "overwrite")
         return len(spread)
-
-
-def _is_number(bucket: str) -> bool:
-    return bucket.lstrip("-").isdigit()
-
-
-def _bucket_name(value: int | None) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)

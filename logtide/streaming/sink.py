@@ -47,10 +47,9 @@ class TransferSink:
     """Handles one micro-batch: the first message of an id wins, for good.
 
     Replaying a batch changes nothing: known ids are skipped, and alerts and dead
-    letters go to a folder named after the batch. Ids are looked up in the whole
-    table; where an id cannot come with another block, ``scope="batch_buckets"``
-    reads only the blocks of the batch. The small files of many batches are
-    merged every ``compact_every`` batches.
+    letters go to a folder named after the batch. Ids are looked up in the places of
+    the table's keys, so its rows are read only where an id of the batch may stand. The
+    small files of many batches are merged every ``compact_every`` batches.
     """
 
     spark: SparkSession
@@ -58,7 +57,6 @@ class TransferSink:
     threshold: int = ALERT_THRESHOLD_TOKENS
     run_ts: datetime | str | None = None
     order: tuple[str, ...] = ("partition", "offset")
-    scope: str = "table"
     compact_every: int = COMPACT_EVERY
     totals: dict[str, int] = field(default_factory=lambda: dict.fromkeys(COUNTED, 0))
     enough: Callable[[], bool] | None = None
@@ -86,7 +84,7 @@ class TransferSink:
                 alerts = large_transfers(good, self.threshold).select(*FIELDS)
                 self._write_side(alerts, "alerts", batch_id)
             table = sink_table(self.spark, self.root)
-            inserted = insert_first(table, good, self.order, self.run_ts, self.scope)
+            inserted = insert_first(table, good, self.order, self.run_ts)
         finally:
             decoded.unpersist()
         attempted, errors = consumed - rejected, malformed + rejected
@@ -104,12 +102,11 @@ def insert_first(
     transfers: DataFrame,
     order: tuple[str, ...] = (),
     run_ts: datetime | str | None = None,
-    scope: str = "table",
 ) -> int:
     """Insert transfers whose id is new, the first of equal ids; the rows inserted."""
     known_order = [c for c in order if c in transfers.columns]
     first = first_by_key(transfers, ["id"], known_order).select(*FIELDS)
-    return table.insert_absent(first.withColumn("created_at", run_timestamp(run_ts)), scope)
+    return table.insert_absent(first.withColumn("created_at", run_timestamp(run_ts)))
 
 
 def start(

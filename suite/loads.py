@@ -34,6 +34,7 @@ from suite.event_fixture import transfer_events
 KEY = ["block_number", "log_index"]
 BLOCKS_PER_BUCKET = 500
 LOAD_BUCKETS = 8
+FAR = 1_000_000
 
 
 def _last_block(spark, sf) -> int:
@@ -152,9 +153,17 @@ def fct_mint_incremental(spark, sf):
     fact = fact_table(spark, new_run_dir(spark, "incremental"), "fct_mint", BLOCKS_PER_BUCKET)
     decoded, middle = transfers(spark, sf), _last_block(spark, sf) // 2
     refresh_fact(fact, "fct_mint", decoded.where(F.col("block_number") <= middle), RUN_TS)
-    refresh_fact(
-        fact, "fct_mint", decoded, SECOND_RUN_TS, blocks_per_bucket=BLOCKS_PER_BUCKET
-    )
+    refresh_fact(fact, "fct_mint", decoded, SECOND_RUN_TS)
+    return as_text(fact.read(), "minted_amount", "dbt_loaded_at")
+
+
+def fct_mint_moved(spark, sf):
+    """The mint fact, then a third of its logs once more, a million blocks further on."""
+    fact = fact_table(spark, new_run_dir(spark, "moved"), "fct_mint", BLOCKS_PER_BUCKET)
+    decoded = transfers(spark, sf)
+    fact.upsert(fct_mint(decoded, RUN_TS))
+    moved = decoded.where("log_index % 3 = 1").withColumn("block_number", F.col("block_number") + FAR)
+    fact.upsert(fct_mint(moved, SECOND_RUN_TS))
     return as_text(fact.read(), "minted_amount", "dbt_loaded_at")
 
 
@@ -247,8 +256,7 @@ def daily_run_resumed(spark, sf):
     job = _Daily(spark, sf, "resumed")
     job.put(job.raw, 1)
     raw = daily_run.raw_table(spark, job.root, BLOCKS_PER_BUCKET)
-    record = daily_run.JobRecord(spark, job.root)
-    daily_run.load_new_files(raw, job.folder, "open_logs", record, BLOCKS_PER_BUCKET)
+    daily_run.load_new_files(raw, job.folder, "open_logs", daily_run.JobLog(spark, job.root))
     statuses = [job.run(2), job.run(3)]
     return _fact_totals(spark, job.root).withColumn("statuses", F.lit(",".join(statuses)))
 
@@ -305,6 +313,7 @@ QUERIES = {
     "load_lineage": load_lineage,
     "upsert_delete_insert": upsert_delete_insert,
     "fct_mint_incremental": fct_mint_incremental,
+    "fct_mint_moved": fct_mint_moved,
     "insert_if_absent": insert_if_absent,
     "dedup_logs": dedup_logs,
     "scd2_snapshot": scd2_snapshot,
@@ -376,6 +385,13 @@ ORACLES = {
         FROM orders""",
     "upsert_delete_insert": f"WITH {EV} {_MINT_RUNS}",
     "fct_mint_incremental": f"WITH {EV} {_MINT_RUNS}",
+    "fct_mint_moved": f"""WITH {EV} SELECT transaction_hash, log_index,
+        block_number + CASE WHEN log_index % 3 = 1 THEN {FAR} ELSE 0 END AS block_number, contract_address,
+        to_address AS minting_address, {tokens_sql('raw')} AS minted_amount,
+        ltrim(substr(event_data, 3), '0') AS amount_hex, false AS amount_overflow,
+        CASE WHEN log_index % 3 = 1 THEN 20240302 ELSE 20240301 END AS date_key,
+        CASE WHEN log_index % 3 = 1 THEN '{SECOND_RUN_TS}' ELSE '{RUN_TS}' END AS dbt_loaded_at
+        FROM transfers WHERE event_type = 'click'""",
     "insert_if_absent": f"""WITH {EV}, {RECORD} SELECT id, block_number, timestamp,
         contract_address, from_address, to_address,
         CASE WHEN from_address = '{ZERO_ADDRESS}' THEN value ELSE value || '1' END AS value,

@@ -8,7 +8,6 @@ from logtide.plans import daily_run
 from logtide.plans.incremental import fact_table
 from logtide.session import build_session, new_run_dir, shared_dir
 from logtide.sources import files
-from logtide.sources.tables import KeyedTable
 from logtide.streaming import messages, producer, sink
 from tests.helpers import ZERO, log, logs, signatures, tuples
 
@@ -130,11 +129,11 @@ def test_replayed_batch_changes_nothing(spark, run_dir):
 
 
 def test_small_files_are_merged_along_the_way(spark, run_dir):
-    target = sink.TransferSink(spark, run_dir, 100, RUN, scope="batch_buckets", compact_every=3)
+    target = sink.TransferSink(spark, run_dir, 100, RUN, compact_every=3)
     for number in range(3):
         target(frame(spark, [text(number), text(0, value="9")]), number)
     table = sink.sink_table(spark, run_dir)
-    assert [len(g) for g in table.live().values()] == [1]
+    assert [sum(n.endswith(".parquet") for n in table._files(b)) for b in table.buckets()] == [1]
     assert tuples(table.read().select("id", "value")) == [("e0", "5"), ("e1", "5"), ("e2", "5")]
 
 
@@ -290,29 +289,37 @@ def test_newest_file_wins_however_files_are_loaded(spark, run_dir, together, lat
     assert len({r._dlt_id for r in raw}) == 3 and all(r._dlt_load_id.endswith(".parquet") for r in raw)
 
 
-def test_a_run_reads_only_the_buckets_near_its_files(spark, run_dir, monkeypatch):
+def test_a_run_reads_only_buckets_with_its_logs(spark, run_dir):
     put(spark, run_dir, [log(0, block=b, sender=ZERO) for b in range(0, 5000, 500)], 1)
     daily(spark, run_dir, 1)
+    far = [daily_run.raw_table(spark, f"{run_dir}/tables", 10), fact_table(spark, f"{run_dir}/tables", "fct_mint", 10)]
+    for table in far:
+        for name in table._files(0):
+            with open(f"{table._folder(0).removeprefix('file:')}/{name}", "w") as file:
+                file.write("broken")
     put(spark, run_dir, [log(1, block=4990, sender=ZERO)], 2)
-    opened = []
-    plain = KeyedTable._open
+    assert daily(spark, run_dir, 2)["status"] == "success"
 
-    def watched(self, live):
-        opened.extend(int(b) for b in live)
-        return plain(self, live)
 
-    monkeypatch.setattr(KeyedTable, "_open", watched)
-    assert daily(spark, run_dir, 2, reorg_blocks=100)["status"] == "success"
-    assert opened and min(opened) >= (4990 - 100) // 10
-
-
-def test_job_record_is_published_once(spark, run_dir):
-    one, two = daily_run.JobRecord(spark, run_dir), daily_run.JobRecord(spark, run_dir)
-    one.loaded = ["a"]
-    one.publish()
-    with pytest.raises(FileExistsError):
-        two.publish()
-    assert daily_run.JobRecord(spark, run_dir).loaded == ["a"]
+def test_a_log_moved_far_away_leaves_its_old_place(spark, run_dir):
+    put(spark, run_dir, [log(0, block=9, tx=1, sender=ZERO), log(0, block=8, tx=2, sender=ZERO)], 1)
+    daily(spark, run_dir, 1)
+    put(spark, run_dir, [log(0, block=1_000_009, tx=1, sender=ZERO)], 2)
+    assert daily(spark, run_dir, 2)["status"] == "success"
+    assert [b for b, _ in blocks_of(spark, run_dir)] == [8, 1_000_009]
+
+
+def test_job_log_is_appended(spark, run_dir):
+    log_ = daily_run.JobLog(spark, run_dir)
+    log_.loaded(["a", "b"], (1, 5))
+    log_.loaded(["c"], (7, 9))
+    files_ = spark.createDataFrame([("a",), ("c",), ("d",)], "file string")
+    assert [r.file for r in daily_run.JobLog(spark, run_dir).new_files(files_).collect()] == ["d"]
+    first = next(x for x, r in log_.outstanding("facts").items() if r == (1, 5))
+    log_.done("facts", [first])
+    again = daily_run.JobLog(spark, run_dir)
+    assert list(again.outstanding("facts").values()) == [(7, 9)]
+    assert sorted(again.outstanding("checks").values()) == [(1, 5), (7, 9)]
 
 
 def test_ranges_are_merged():

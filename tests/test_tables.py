@@ -25,7 +25,7 @@ def rows(spark, *pairs):
 
 
 def test_empty_table(table):
-    assert table.read().count() == 0 and table.high_water("k") == 0 and table.version() == 0
+    assert table.read().count() == 0 and table.high_water("k") == 0 and not table.exists()
 
 
 def test_upsert_replaces_keys_and_keeps_copies_in_the_batch(spark, table):
@@ -46,36 +46,110 @@ def test_upsert_twice_is_the_same(spark, table):
     assert tuples(table.read()) == once and len(once) == 55
 
 
+def files_of(spark, table):
+    return {b: table._files(b) for b in table.buckets()}
+
+
 def test_upsert_rewrites_only_touched_buckets(spark, table):
     table.append(rows(spark, *[(i, "a") for i in range(50)]))
-    before = table.live()
+    before = files_of(spark, table)
     table.upsert(rows(spark, (12, "b")))
-    after = table.live()
-    assert [b for b in before if before[b] != after[b]] == ["1"]
+    after = files_of(spark, table)
+    assert [b for b in before if before[b] != after[b]] == [1]
 
 
-def test_upsert_finds_keys_in_other_buckets(spark, run_dir):
-    schema = T.StructType(SCHEMA.fields + [T.StructField("block", T.LongType())])
-    moved = KeyedTable(spark, run_dir, schema, ["k"], F.col("block"))
-    moved.append(spark.createDataFrame([(1, "a", 1), (2, "b", 1)], schema))
-    moved.upsert(spark.createDataFrame([(1, "c", 9)], schema))
-    assert tuples(moved.read()) == [(1, "c", 9), (2, "b", 1)]
-    moved.upsert(spark.createDataFrame([(2, "d", 9)], schema), scope="batch_buckets")
-    assert moved.read().where("k = 2").count() == 2
+def test_new_keys_only_add_files(spark, table):
+    table.append(rows(spark, (1, "a"), (15, "b")))
+    before = files_of(spark, table)
+    table.upsert(rows(spark, (2, "c"), (25, "d")))
+    after = files_of(spark, table)
+    assert set(before[0]) < set(after[0]) and before[1] == after[1] and set(after) == {0, 1, 2}
 
 
-def test_readers_keep_their_version(spark, table):
-    table.append(rows(spark, (1, "a")))
-    opened = table.read()
-    table.upsert(rows(spark, (1, "b")))
-    assert opened.first().v == "a" and table.read().first().v == "b"
-    assert table.read(version=1).first().v == "a"
+BLOCKS = T.StructType(SCHEMA.fields + [T.StructField("block", T.LongType())])
+
+
+@pytest.fixture
+def moved(spark, run_dir):
+    return KeyedTable(spark, run_dir, BLOCKS, ["k"], F.floor(F.col("block") / 100))
+
+
+def test_upsert_finds_keys_however_far_away(spark, moved):
+    moved.append(spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 5_000)], BLOCKS))
+    moved.upsert(spark.createDataFrame([(1, "A", 1_000_001)], BLOCKS))
+    assert tuples(moved.read()) == [(1, "A", 1_000_001), (2, "b", 1), (3, "c", 5_000)]
+    # The bucket whose last row went has no folder left.
+    moved.upsert(spark.createDataFrame([(3, "C", 7)], BLOCKS))
+    assert tuples(moved.read()) == [(1, "A", 1_000_001), (2, "b", 1), (3, "C", 7)]
+    assert moved.buckets() == [0, 10_000]
+    assert moved.insert_absent(spark.createDataFrame([(1, "z", 3), (4, "d", 3)], BLOCKS)) == 1
+
+
+def test_only_buckets_that_may_hold_a_key_are_opened(spark, moved):
+    moved.append(spark.createDataFrame([(n, "a", 100 * n) for n in range(20)], BLOCKS))
+    for n in range(20):
+        if n not in (3, 7):
+            for name in moved._files(n):
+                with open(f"{moved._folder(n).removeprefix('file:')}/{name}", "w") as file:
+                    file.write("broken")
+    batch = spark.createDataFrame([(3, "new", 700), (99, "new", 700)], BLOCKS)
+    assert moved.holding(batch) == [3]
+    assert tuples(moved.matching(batch)) == [(3, "a", 300)]
+    moved.upsert(batch)
+    assert tuples(moved.read(7, 7)) == [(3, "new", 700), (7, "a", 700), (99, "new", 700)]
+    assert moved.insert_absent(spark.createDataFrame([(3, "x", 0), (50, "x", 2_500)], BLOCKS)) == 1
+
+
+def test_a_write_that_dies_leaves_the_old_rows(spark, table):
+    table.append(rows(spark, *[(i, "old") for i in range(40)]))
+    before = tuples(table.read())
+    batch = rows(spark, *[(i, "new") for i in range(5, 60)])
+
+    def dies(new, old):
+        broken = F.when(F.col("k") == 33, F.raise_error(F.lit("lost"))).otherwise(F.col("v"))
+        return new.withColumn("v", broken.cast("string"))
 
+    with pytest.raises(Exception, match="lost"):
+        table.merge(batch, dies)
+    assert tuples(table.read()) == before
+    table.upsert(batch)
+    once = tuples(table.read())
+    assert once == sorted([(i, "old") for i in range(5)] + [(i, "new") for i in range(5, 60)], key=str)
+    table.upsert(batch)
+    assert tuples(table.read()) == once
+
+
+def test_merge_sees_old_rows_wherever_they_stand(spark, moved):
+    moved.append(spark.createDataFrame([(1, "b", 900), (2, "x", 100), (3, "y", 100)], BLOCKS))
+
+    def larger(new, old):
+        return new.unionByName(old).groupBy("k").agg(F.max_by(F.struct(*new.columns), "v").alias("r")).select("r.*")
+
+    moved.merge(spark.createDataFrame([(1, "a", 50), (2, "z", 50)], BLOCKS), larger)
+    assert tuples(moved.read()) == [(1, "b", 900), (2, "z", 50), (3, "y", 100)]
+
+
+def test_places_follow_the_key(spark, run_dir):
+    """Writes under one key, another and none; each finds all rows."""
+    by = {name: KeyedTable(spark, run_dir, SCHEMA, [name] if name else [], F.col("k")) for name in ("k", "v", "")}
+    by["k"].append(rows(spark, (1, "a"), (2, "b")))
+    by["v"].upsert(rows(spark, (9, "b"), (3, "c")))
+    assert tuples(by["k"].read()) == [(1, "a"), (3, "c"), (9, "b")]
+    by[""].append(rows(spark, (5, "e")))
+    by["k"].upsert(rows(spark, (9, "B"), (5, "E")))
+    assert tuples(by["k"].read()) == [(1, "a"), (3, "c"), (5, "E"), (9, "B")]
+    by["v"].replace(rows(spark, (7, "g")))
+    assert by["k"].insert_absent(rows(spark, (7, "x"), (1, "y"))) == 1
+
+
+def test_there_are_no_files_but_rows_and_places(spark, table):
+    from logtide.sources import storage
 
-def test_two_writers_cannot_both_publish(spark, table):
     table.append(rows(spark, (1, "a")))
-    with pytest.raises(FileExistsError):
-        table._publish(0, {})
+    table.upsert(rows(spark, (1, "b"), (None, "c")))
+    assert storage.list_names(spark, table.root) == ["places", "rows"]
+    names = [n for b in table.buckets() for n in table._files(b)]
+    assert names and all(n.endswith(".parquet") or n.endswith(".crc") for n in names)
 
 
 def test_insert_absent(spark, table):
@@ -91,14 +165,6 @@ def test_insert_absent_when_the_batch_is_too_large_to_broadcast(spark, table, mo
     assert table.insert_absent(rows(spark, (2, "x"), (3, "c"))) == 1
 
 
-def test_insert_absent_by_bucket(spark, table):
-    table.insert_absent(rows(spark, (1, "a"), (15, "b")))
-    batch = rows(spark, (1, "x"), (2, "c"), (25, "d"))
-    assert table.insert_absent(batch, scope="batch_buckets") == 2
-    with pytest.raises(ValueError):
-        table.insert_absent(batch, scope="nowhere")
-
-
 @pytest.mark.parametrize("seed", range(3))
 def test_random_writes_match_a_plain_list(spark, table, seed):
     rng, model = random.Random(seed), []
@@ -128,7 +194,10 @@ def test_compact_changes_no_rows(spark, table):
         table.append(rows(spark, (i, "a"), (i + 100, "b")))
     before = tuples(table.read())
     assert table.compact() == 2
-    assert tuples(table.read()) == before and all(len(g) == 1 for g in table.live().values())
+    assert tuples(table.read()) == before
+    assert all(sum(n.endswith(".parquet") for n in names) == 1 for names in files_of(spark, table).values())
+    table.upsert(rows(spark, (1, "z")))
+    assert table.read().where("k = 1").first().v == "z"
 
 
 def test_schema_drift_is_refused(spark, table):
