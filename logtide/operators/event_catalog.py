@@ -4,67 +4,86 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from logtide.operators.joins import lookup_join
 
-# Tuples may nest this deep; events with deeper ones are set aside.
-MAX_TUPLE_DEPTH = 8
+# Inputs stay JSON text, so tuples may nest as deep as JSON does.
+_ABI = "array<struct<type string, name string, inputs string>>"
+_PARAMETER = "type string, components array<string>"
+# A string, or an object without objects in it; braces inside strings do not count.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_INNERMOST = rf'{_STRING}|\{{[^{{}}"]*+(?:{_STRING}[^{{}}"]*+)*+\}}'
 
 
-def _parameter(depth: int) -> T.StructType:
-    fields = [
-        T.StructField("name", T.StringType()),
-        T.StructField("type", T.StringType()),
-        T.StructField("indexed", T.BooleanType()),
-    ]
-    inner = T.ArrayType(_parameter(depth - 1)) if depth else T.StringType()
-    return T.StructType([*fields, T.StructField("components", inner)])
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
 
 
-ABI = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("type", T.StringType()),
-            T.StructField("name", T.StringType()),
-            T.StructField("inputs", T.ArrayType(_parameter(MAX_TUPLE_DEPTH))),
-        ]
-    )
-)
+def _joined(members: Column) -> Column:
+    """Members with commas; NULL if one of them is."""
+    return F.when(~F.exists(members, lambda m: m.isNull()), F.array_join(members, ","))
 
 
-def _canonical_type(parameter: Column, depth: int = MAX_TUPLE_DEPTH) -> Column:
+def _spelled(parameter: Column) -> Column:
     """Type text with tuples spelled out: ``tuple[]`` -> ``(address,uint256)[]``.
 
-    NULL for a missing type, and for tuples nested too deep.
+    Components are spelled out already. NULL for a missing type, here or in them.
     """
-    kind = parameter["type"]
-    if depth == 0:
-        return F.when(~kind.startswith("tuple"), kind)
-    members = F.transform(
-        F.coalesce(parameter["components"], F.array()),
-        lambda c: _canonical_type(c, depth - 1),
-    )
-    suffix = F.substring(kind, 6, 1 << 30)
-    spelled = F.concat(F.lit("("), _joined(members), F.lit(")"), suffix)
-    return F.when(kind.startswith("tuple"), spelled).otherwise(kind)
+    kind, members = parameter["type"], F.coalesce(parameter["components"], F.array().cast("array<string>"))
+    tuple_ = F.concat(F.lit("("), _joined(members), F.lit(")"), F.substring(kind, 6, 1 << 30))
+    return F.when(kind.startswith("tuple"), tuple_).otherwise(kind)
 
 
-def _joined(members: Column) -> Column:
-    """Members with commas; NULL if one of them is."""
-    return F.when(~F.exists(members, lambda m: m.isNull()), F.array_join(members, ","))
+def _as_json(text: Column) -> Column:
+    """A JSON string, or ``null``."""
+    quoted = F.to_json(F.array(text))
+    return F.coalesce(F.when(text.isNotNull(), F.substring(quoted, F.lit(2), F.length(quoted) - 2)), F.lit("null"))
+
+
+def _innermost_spelled(text: Column) -> Column:
+    """JSON text with every innermost object replaced by its type as a string."""
+
+    def replaced(token: Column) -> Column:
+        spelled = _bound(F.from_json(token, _PARAMETER), lambda p: _as_json(_spelled(p)))
+        return F.when(token.startswith("{"), spelled).otherwise(token)
+
+    tokens = F.regexp_extract_all(text, F.lit(_INNERMOST), F.lit(0))
+    between = F.split(text, _INNERMOST, -1)
+    rest = F.slice(between, F.lit(2), F.size(between))
+    pairs = F.zip_with(tokens, rest, lambda token, gap: F.concat(replaced(token), gap))
+    return F.concat(between[0], F.array_join(pairs, ""))
+
+
+def _types(inputs: Column) -> Column:
+    """Types of an event's parameters, from the JSON text of its inputs.
+
+    Tuples are resolved from the inside out, a level a step, in as many steps as there
+    are levels; a step costs the length of what is left.
+    """
+    flat = F.transform(F.from_json(inputs, "array<struct<type string>>"), lambda p: p["type"])
+    levels = F.regexp_count(inputs, F.lit('"components"')) + 1
+    resolved = F.aggregate(
+        F.sequence(F.lit(1), levels), inputs,
+        lambda text, _: F.when(F.contains(text, F.lit("{")), _innermost_spelled(text)).otherwise(text),
+    )
+    return F.when(F.contains(inputs, F.lit("tuple")), F.from_json(resolved, "array<string>")).otherwise(flat)
 
 
 def _events(abis: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    parsed = [F.coalesce(F.from_json(F.col(c), ABI), F.array()) for c in columns if c in abis.columns]
+    parsed = [F.coalesce(F.from_json(F.col(c), _ABI), F.array()) for c in columns if c in abis.columns]
     events = F.filter(F.concat(*parsed), lambda e: e["type"] == "event")
-    rows = abis.select(F.explode(events).alias("event"))
-    types = F.transform(F.coalesce("event.inputs", F.array()), lambda p: _canonical_type(p))
-    return rows.select(
-        F.col("event.name").alias("event_name"),
-        F.concat("event.name", F.lit("("), _joined(types), F.lit(")")).alias("signature"),
-        F.to_json("event.inputs").alias("inputs"),
-    )
+
+    def with_signature(event: Column) -> Column:
+        inputs = F.coalesce(event["inputs"], F.lit("[]"))
+        return F.struct(
+            event["name"].alias("event_name"),
+            F.concat(event["name"], F.lit("("), _bound(_types(inputs), _joined), F.lit(")")).alias("signature"),
+            inputs.alias("inputs"),
+        )
+
+    # Exploded with the signature, so that filters on it do not compute it again.
+    return abis.select(F.explode(F.transform(events, with_signature)).alias("event")).select("event.*")
 
 
 def abi_events(abis: DataFrame, columns: tuple[str, ...] = ("abi", "implementation_abi")) -> DataFrame:
@@ -78,7 +97,7 @@ def abi_events(abis: DataFrame, columns: tuple[str, ...] = ("abi", "implementati
 def refused_events(abis: DataFrame, columns: tuple[str, ...] = ("abi", "implementation_abi")) -> DataFrame:
     """Events without a signature, and why: one bad ABI does not stop the others."""
     reason = F.when(F.col("event_name").isNull(), "event without a name").otherwise(
-        f"parameter without a type, or tuple nested deeper than {MAX_TUPLE_DEPTH} levels"
+        "parameter without a type"
     )
     found = _events(abis, columns).where(F.col("signature").isNull())
     return found.select("event_name", reason.alias("reason"), "inputs")

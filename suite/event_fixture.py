@@ -100,6 +100,23 @@ def signature_rows(part: DataFrame) -> DataFrame:
     return real.unionByName(made_up)
 
 
+def nested_abi_rows(part: DataFrame) -> DataFrame:
+    """One contract per part with an event of one parameter: a tuple as deep as the
+    part's size, at most 30, of arrays as long, with an address beside each level."""
+    depth = F.least(F.greatest(F.col("p_size"), F.lit(1)), F.lit(30))
+    head = F.concat(
+        F.lit('{"name":"t","type":"tuple['), depth, F.lit(']","components":[{"name":"a","type":"address"},')
+    )
+    inputs = F.concat(
+        F.repeat(head, depth), F.lit('{"name":"v","type":"uint256"}'), F.repeat(F.lit("]}"), depth)
+    )
+    name = F.concat(F.lit("Nested"), F.col("p_partkey"))
+    return part.select(
+        F.concat(F.lit('[{"type":"event","name":"'), name, F.lit('","inputs":['), inputs, F.lit("]}]")).alias("abi"),
+        F.lit(None).cast("string").alias("implementation_abi"),
+    )
+
+
 def abi_rows(part: DataFrame) -> DataFrame:
     """One contract per part: its event, a function, and the Transfer event that
     every implementation shares; the event comes again in the implementation."""

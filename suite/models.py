@@ -22,7 +22,7 @@ from logtide.plans.marts import dim_event, fct_burn, fct_mint, fct_transfer
 from logtide.plans.staging import stg_event_signature, stg_open_logs
 from logtide.plans.transfers import int_all_transfer, with_token_amount
 from suite.common import EV, RUN_TS, as_text, logs, once, signatures, table, tokens_sql, transfers
-from suite.event_fixture import abi_rows, token_rows
+from suite.event_fixture import abi_rows, nested_abi_rows, token_rows
 
 KEY = ["block_number", "log_index"]
 
@@ -124,6 +124,15 @@ def q_event_catalog(spark, sf):
     )
 
 
+def q_event_catalog_nested(spark, sf):
+    """Signatures of tuples nested up to 30 deep."""
+    part = table(spark, sf, "part")
+    path = once(spark, sf, "nested_abi", lambda p: nested_abi_rows(part).write.parquet(p))
+    return event_catalog(spark.read.parquet(path), signatures(spark, sf)).select(
+        "event_name", "signature", F.col("topic0").isNull().alias("unknown")
+    )
+
+
 def decode_transfers(spark, sf):
     return as_text(transfers(spark, sf), "amount_raw", "amount")
 
@@ -203,6 +212,7 @@ QUERIES = {
     "optional_column": q_optional_column,
     "dim_event": lambda spark, sf: dim_event(signatures(spark, sf)),
     "event_catalog": q_event_catalog,
+    "event_catalog_nested": q_event_catalog_nested,
     "decode_transfers": decode_transfers,
     "decode_transfers_low64": q_decode_low64,
     "decode_transfers_high16": q_decode_high16,
@@ -308,6 +318,10 @@ ORACLES = {
     "event_catalog": f"""WITH {SIG} SELECT topic0, event_name, signature,
           CAST(length(signature) - length(replace(signature, ',', '')) + 1 AS INTEGER) AS n_inputs
         FROM sig WHERE event_name <> 'Approval'""",
+    "event_catalog_nested": """WITH p AS (
+          SELECT 'Nested' || p_partkey AS event_name, least(greatest(p_size, 1), 30) AS n FROM part)
+        SELECT event_name, event_name || '(' || repeat('(address,', n) || 'uint256'
+          || repeat(')[' || n || ']', n) || ')' AS signature, true AS unknown FROM p""",
     "decode_transfers": f"""WITH {EV} SELECT transaction_hash, log_index, block_number, block_hash,
         contract_address, from_address, to_address, {_TRANSFER_AMOUNTS}, 'Transfer' AS event_name,
         transaction_index, ltrim(substr(event_data, 3), '0') AS amount_hex,
