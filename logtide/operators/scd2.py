@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logtide.functions.columns import run_timestamp
@@ -81,3 +81,54 @@ def scd2_snapshot(
     )
     decided = paired.select(F.inline(versions))
     return closed.select(*columns, *VALIDITY).unionByName(decided)
+
+
+def scd2_replay(
+    snapshots: DataFrame,
+    keys: list[str],
+    check_columns: list[str],
+    taken_at: str = "taken_at",
+    times: DataFrame | None = None,
+    close_deleted: bool = True,
+) -> DataFrame:
+    """The history that ``scd2_snapshot`` gives when it takes in all snapshots in turn.
+
+    ``snapshots`` holds the rows of every snapshot with the time it was taken, each key
+    once a snapshot; ``times`` names the times where a snapshot may have had no row. One
+    sort per key decides all versions, instead of a join of the whole table per
+    snapshot: a version begins where a key is new, comes back, or differs from the
+    snapshot before, and ends at the snapshot after its last one. Only the times, one
+    row per snapshot, are broadcast.
+    """
+    columns = [c for c in snapshots.columns if c != taken_at]
+    in_turn = Window.orderBy("_at")
+    known = snapshots.select(F.col(taken_at).alias("_at")) if times is None else times.toDF("_at")
+    turns = known.distinct().select(
+        "_at", F.row_number().over(in_turn).alias("_turn"), F.lead("_at").over(in_turn).alias("_next")
+    )
+    rows = snapshots.withColumnRenamed(taken_at, "_at").join(F.broadcast(turns), "_at")
+    by_key = Window.partitionBy(*keys).orderBy("_turn")
+    before = F.lag(F.struct("_turn", *check_columns)).over(by_key)
+    changed = reduce(
+        lambda a, b: a | b, [~F.col(f"_before.{c}").eqNullSafe(F.col(c)) for c in check_columns]
+    )
+    new = F.col("_before").isNull() | changed
+    if close_deleted:
+        new = new | (F.col("_before._turn") < F.col("_turn") - 1)
+    marked = rows.withColumn("_before", before).withColumn("_begins", new)
+    numbered = marked.withColumn("_version", F.sum(F.col("_begins").cast("int")).over(by_key))
+    # What a version says is what its first row said; the rows after it only prolong it.
+    if close_deleted:
+        ends = F.last("_next").over(
+            Window.partitionBy(*keys, "_version").orderBy("_turn").rowsBetween(0, Window.unboundedFollowing)
+        )
+        versions = numbered.withColumn("_ends", ends).where("_begins")
+    else:
+        versions = numbered.where("_begins").withColumn("_ends", F.lead("_at").over(by_key))
+    return versions.select(
+        *columns,
+        _version_id(keys, F.col("_at")).alias("dbt_scd_id"),
+        F.col("_at").alias("dbt_updated_at"),
+        F.col("_at").alias("dbt_valid_from"),
+        F.col("_ends").alias("dbt_valid_to"),
+    )

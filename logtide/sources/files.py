@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,7 +70,7 @@ def json_records(
             errors.isNotNull(),
             F.raise_error(F.concat(F.lit("response with errors: "), errors)),
         )
-        .when(rows.isNull(), F.raise_error(F.lit(f"table '{table}' not found in response")))
+        .when(rows.isNull(), F.raise_error(F.lit(f"the response has no list '{table}'")))
         .otherwise(rows)
     )
     return parsed.select(F.inline(checked))
@@ -141,6 +144,50 @@ def block_extent(df: DataFrame, column: str = "block_number") -> DataFrame:
     )
 
 
+def block_extent_of_files(spark: SparkSession, *paths: str, column: str = "block_number") -> DataFrame:
+    """``block_extent`` of Parquet files from their footers alone; no row is read.
+
+    Spark answers smallest, largest and count from footer statistics with the second
+    version of its Parquet reader, which is asked for in a session of its own. Files
+    without rows have no statistics; where the footers do not tell, rows are read.
+    """
+    own = spark.newSession()
+    others = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in others if x.strip() != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        low, high, rows = block_extent(own.read.parquet(*paths), column).first()
+    except PySparkException:
+        return block_extent(spark.read.parquet(*paths), column)
+    return spark.createDataFrame([(low, high, rows or 0)], "min_block long, max_block long, row_count long")
+
+
+def schema_drift(spark: SparkSession, paths: list[str], expected: T.StructType, threads: int = 16) -> DataFrame:
+    """How the columns of stored files differ from a schema, one row per difference.
+
+    ``problem`` is ``missing``, ``unexpected`` or ``changed``. The schema of each path, a
+    file or a folder written at once, is read from one footer; columns go by name,
+    whatever their order or nullability. Paths that agree give no row.
+    """
+    wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
+
+    def differences(path: str) -> list[tuple]:
+        stored = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema.fields}
+        found = []
+        for name in sorted({*wanted, *stored}):
+            told, real = wanted.get(name), stored.get(name)
+            if told != real:
+                problem = "missing" if real is None else "unexpected" if told is None else "changed"
+                found.append((path.rsplit("/", 1)[-1], name, problem, told, real))
+        return found
+
+    with ThreadPoolExecutor(threads) as pool:
+        rows = [row for found in pool.map(inheritable_thread_target(spark)(differences), paths) for row in found]
+    return spark.createDataFrame(
+        rows, "file string, column_name string, problem string, expected_type string, found_type string"
+    )
+
+
 # --- range-stamped files ---------------------------------------------------
 
 
@@ -169,6 +216,7 @@ def range_stamped_write(
     ).write.parquet(draft)
     extent = seen.get
     if not extent.get("row_count"):
+        storage.delete(spark, draft)
         return None
     name = stamped_name(prefix, extent["from_block"], extent["to_block"], day)
     if storage.exists(spark, f"{folder}/{name}"):

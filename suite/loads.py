@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from logtide.constants import ZERO_ADDRESS
 from logtide.functions.hexnum import bytes_to_hex
 from logtide.operators.dedup import dedup_logs as first_logs
+from logtide.operators.scd2 import scd2_replay as replay
 from logtide.operators.scd2 import scd2_snapshot as next_history
 from logtide.operators.scd2 import start_history
 from logtide.plans import daily_run
 from logtide.plans.incremental import fact_table, refresh_fact
 from logtide.plans.marts import fct_mint
+from logtide.schemas import RAW_LOGS
 from logtide.session import new_run_dir
 from logtide.sources import files
 from logtide.sources.loads import load, with_load_lineage
@@ -35,6 +37,8 @@ KEY = ["block_number", "log_index"]
 BLOCKS_PER_BUCKET = 500
 LOAD_BUCKETS = 8
 FAR = 1_000_000
+# 2024-03-01 00:00:00 UTC.
+FIRST_DAY = 1_709_251_200
 
 
 def _last_block(spark, sf) -> int:
@@ -55,6 +59,27 @@ def block_extent(spark, sf):
     return files.block_extent(logs(spark, sf))
 
 
+def block_extent_footers(spark, sf):
+    """The extent of three stamped files and an empty one, from their footers."""
+    folder, written = _stamped_parts(spark, sf)
+    logs(spark, sf).limit(0).write.parquet(f"{folder}/open_logs_240104_0_0.parquet")
+    paths = [w["path"] for w in written]
+    return files.block_extent_of_files(spark, *paths, f"{folder}/open_logs_240104_0_0.parquet")
+
+
+def schema_drift(spark, sf):
+    """Files of the logs as they should be, and with columns left out, added and changed."""
+    folder, raw = new_run_dir(spark, "drift"), logs(spark, sf)
+    made = {
+        "open_logs_1_1.parquet": raw,
+        "open_logs_2_2.parquet": raw.drop("topic2").withColumn("chain", F.lit("x")),
+        "open_logs_3_3.parquet": raw.withColumn("log_index", F.col("log_index").cast("string")),
+    }
+    for name, rows in made.items():
+        rows.write.parquet(f"{folder}/{name}")
+    return files.schema_drift(spark, [f"{folder}/{name}" for name in made], RAW_LOGS)
+
+
 def block_range_filter(spark, sf):
     last = _last_block(spark, sf)
     found = files.block_range(logs(spark, sf), last // 4, last // 2)
@@ -207,6 +232,20 @@ def scd2_snapshot(spark, sf):
     return as_text(result, "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
 
 
+def scd2_replay(spark, sf):
+    """Customers on five days: each is missing on one day in four, and its balance
+    changes on one day in three."""
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    key, day = F.col("c_custkey"), F.col("day")
+    days = customers.withColumn("day", F.explode(F.sequence(F.lit(0), F.lit(4)).cast("array<long>")))
+    snapshots = days.where((key + day) % 4 != 0).select(
+        "c_custkey", "c_name", (F.col("c_acctbal") + F.floor((key + day) / 3)).alias("c_acctbal"),
+        F.timestamp_seconds(F.lit(FIRST_DAY) + day * 86_400).alias("taken_at"),
+    )
+    result = replay(snapshots, ["c_custkey"], ["c_name", "c_acctbal"])
+    return as_text(result, "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")
+
+
 def _fact_totals(spark, root):
     """Rows and total of every fact and day of the stored facts."""
     amounts = {"fct_mint": "minted_amount", "fct_burn": "burned_amount", "fct_transfer": "amount"}
@@ -301,6 +340,8 @@ def daily_run_reorg(spark, sf):
 QUERIES = {
     "high_water_mark": high_water_mark,
     "block_extent": block_extent,
+    "block_extent_footers": block_extent_footers,
+    "schema_drift": schema_drift,
     "block_range_filter": block_range_filter,
     "incremental_poll": incremental_poll,
     "latest_event": latest_event,
@@ -317,6 +358,7 @@ QUERIES = {
     "insert_if_absent": insert_if_absent,
     "dedup_logs": dedup_logs,
     "scd2_snapshot": scd2_snapshot,
+    "scd2_replay": scd2_replay,
     "daily_run": daily_run_facts,
     "daily_run_resumed": daily_run_resumed,
     "daily_run_late_file": daily_run_late_file,
@@ -360,6 +402,14 @@ ORACLES = {
         WHERE event_type = 'click'""",
     "block_extent": f"""WITH {EV} SELECT min(block_number) AS min_block,
         max(block_number) AS max_block, count(*) AS row_count FROM ev""",
+    "block_extent_footers": f"""WITH {EV} SELECT min(block_number) AS min_block,
+        max(block_number) AS max_block, count(*) AS row_count FROM ev""",
+    "schema_drift": """SELECT * FROM (VALUES
+          ('open_logs_2_2.parquet', 'chain', 'unexpected', NULL, 'string'),
+          ('open_logs_2_2.parquet', 'topic2', 'missing', 'binary', NULL),
+          ('open_logs_3_3.parquet', 'log_index', 'changed', 'bigint', 'string'))
+        AS t(file, column_name, problem, expected_type, found_type)
+        WHERE EXISTS (SELECT 1 FROM events)""",
     "block_range_filter": f"""WITH {EV} SELECT block_number, log_index, transaction_hash FROM ev
         WHERE block_number BETWEEN {_LAST} // 4 AND {_LAST} // 2""",
     "incremental_poll": f"""WITH {EV}, {RECORD}, newer AS (
@@ -415,6 +465,24 @@ ORACLES = {
           md5(length(CAST(c_custkey AS VARCHAR)) || '|' || c_custkey || '|' || opened) AS dbt_scd_id,
           opened AS dbt_updated_at, opened AS dbt_valid_from, closed AS dbt_valid_to
         FROM versions""",
+    "scd2_replay": """WITH days AS (
+          SELECT c_custkey, c_name, c_acctbal + (c_custkey + d) // 3 AS c_acctbal, d
+          FROM customer, (SELECT unnest(range(5)) AS d) WHERE (c_custkey + d) % 4 <> 0),
+        marked AS (
+          SELECT *, CASE WHEN lag(d) OVER w = d - 1 AND lag(c_acctbal) OVER w IS NOT DISTINCT FROM c_acctbal
+            THEN 0 ELSE 1 END AS begins FROM days WINDOW w AS (PARTITION BY c_custkey ORDER BY d)),
+        numbered AS (
+          SELECT *, sum(begins) OVER (PARTITION BY c_custkey ORDER BY d) AS version FROM marked),
+        versions AS (
+          SELECT c_custkey, c_name, arg_min(c_acctbal, d) AS c_acctbal, min(d) AS first, max(d) AS last
+          FROM numbered GROUP BY c_custkey, c_name, version),
+        stamped AS (
+          SELECT *, strftime(TIMESTAMP '2024-03-01' + first * INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS opened,
+            CASE WHEN last < 4 THEN strftime(TIMESTAMP '2024-03-01' + (last + 1) * INTERVAL 1 DAY,
+              '%Y-%m-%d %H:%M:%S') END AS closed FROM versions)
+        SELECT c_custkey, c_name, c_acctbal,
+          md5(length(CAST(c_custkey AS VARCHAR)) || '|' || c_custkey || '|' || opened) AS dbt_scd_id,
+          opened AS dbt_updated_at, opened AS dbt_valid_from, closed AS dbt_valid_to FROM stamped""",
     "daily_run": f"""WITH {EV}, {_runs_sql('block_number > ' + _LAST + ' // 2')}
         SELECT fact, date_key, row_count, {tokens_sql('total')} AS total,
           'no_data' AS last_status FROM runs""",

@@ -183,6 +183,39 @@ def stream_drain(spark, sf):
     )
 
 
+class _FailsOnce(sink.TransferSink):
+    """Dies in the second batch, after its alerts and dead letters were written."""
+
+    def _write_side(self, rows, name, batch_id):
+        super()._write_side(rows, name, batch_id)
+        if batch_id == 1 and name == "dead_letters":
+            raise RuntimeError("lost in the middle of a batch")
+
+
+def stream_restart(spark, sf):
+    """A drain that dies within a batch, and one that goes on from its checkpoint: all
+    stored ids, alerts and dead letters."""
+    base = new_run_dir(spark, "restart")
+    path = once(
+        spark, sf, "messages", lambda p: _sent(spark, sf).repartition(DRAIN_FILES).write.text(p)
+    )
+    statuses = []
+    for target in (_FailsOnce, sink.TransferSink):
+        stats = sink.drain(
+            _stream(spark, path), target(spark, f"{base}/out", THRESHOLD_TOKENS, RUN_TS), f"{base}/checkpoint"
+        )
+        statuses.append("died" if "failure" in stats else "ended")
+    stored = sink.sink_table(spark, f"{base}/out").read()
+    alerts = spark.read.parquet(f"{base}/out/alerts")
+    letters = spark.read.parquet(f"{base}/out/dead_letters")
+    found = (
+        stored.select(F.lit("stored").alias("what"), F.md5("id").alias("told"))
+        .unionByName(alerts.select(F.lit("alert").alias("what"), F.md5("id").alias("told")))
+        .unionByName(letters.select(F.lit("dead letter").alias("what"), F.md5("raw").alias("told")))
+    )
+    return found.withColumn("runs", F.lit(",".join(statuses)))
+
+
 QUERIES = {
     "json_records": json_records,
     "encode_messages": encode_messages,
@@ -194,6 +227,7 @@ QUERIES = {
     "large_transfers": large_transfers,
     "drain_stats": drain_stats,
     "stream_drain": stream_drain,
+    "stream_restart": stream_restart,
 }
 
 _LIMIT = f"{THRESHOLD_TOKENS}000000000000000000"
@@ -208,6 +242,16 @@ _JSON = """'{"id":"' || id || '","block_number":' || block_number || ',"timestam
   || '","contract_address":"' || contract_address || '","from_address":"' || from_address
   || '","to_address":"' || to_address || '"'"""
 
+_LETTERS = f"""texts AS (
+  SELECT problem, {_JSON} AS head, ',"value":"' || value || '"' AS tail
+  FROM sent WHERE problem IS NOT NULL),
+letters AS (
+  SELECT problem AS decode_error, md5(CASE problem
+    WHEN 'malformed_json' THEN head || tail
+    WHEN 'missing_field' THEN head || '}}'
+    WHEN 'not_an_object' THEN '[' || head || tail || '}}]'
+    ELSE head || tail || ',"chain":"x"}}' END) AS raw_md5 FROM texts)"""
+
 ORACLES = {
     "json_records": f"WITH {EV}, {RECORD} SELECT * FROM record",
     "encode_messages": f"""WITH {EV}, {RECORD} SELECT id AS key, id,
@@ -216,14 +260,12 @@ ORACLES = {
     "produce_messages": f"""WITH {_SENT} SELECT id AS key, CAST(1 AS BIGINT) AS times_sent,
         md5({_JSON} || ',"value":"' || value || '"}}') AS message_md5 FROM sent""",
     "stream_decode": f"WITH {_SENT} SELECT {_COLUMNS} FROM sent WHERE problem IS NULL",
-    "stream_dead_letter": f"""WITH {_SENT}, texts AS (
-          SELECT problem, {_JSON} AS head, ',"value":"' || value || '"' AS tail
-          FROM sent WHERE problem IS NOT NULL)
-        SELECT problem AS decode_error, md5(CASE problem
-            WHEN 'malformed_json' THEN head || tail
-            WHEN 'missing_field' THEN head || '}}'
-            WHEN 'not_an_object' THEN '[' || head || tail || '}}]'
-            ELSE head || tail || ',"chain":"x"}}' END) AS raw_md5 FROM texts""",
+    "stream_dead_letter": f"WITH {_SENT}, {_LETTERS} SELECT decode_error, raw_md5 FROM letters",
+    "stream_restart": f"""WITH {_SENT}, {_LETTERS}, told AS (
+          SELECT 'stored' AS what, md5(id) AS told FROM sent WHERE problem IS NULL
+          UNION ALL SELECT 'alert', md5(id) FROM sent WHERE problem IS NULL AND raw >= {_LIMIT}
+          UNION ALL SELECT 'dead letter', raw_md5 FROM letters)
+        SELECT what, told, 'died,ended' AS runs FROM told""",
     "stream_sink": f"""WITH {_SENT} SELECT id, block_number, timestamp, contract_address,
         from_address, to_address, CASE WHEN problem IS NULL THEN value ELSE '7' END AS value,
         CASE WHEN problem IS NULL THEN '{RUN_TS}' ELSE '{SECOND_RUN_TS}' END AS created_at

@@ -106,7 +106,7 @@ def test_json_records(spark):
     assert tuples(found)[0] == ("a", 5, "t", "c", "f", "g", "9")
     assert files.json_records(responses(spark, '{"data":{"transfers":[]}}'), "transfers").count() == 0
     for bad in ('{"data":{"other":[]}}', '{"errors":[{"message":"no"}],"data":null}', "{"):
-        with pytest.raises(Exception, match="not found in response|with errors"):
+        with pytest.raises(Exception, match="has no list|with errors"):
             files.json_records(responses(spark, bad), "transfers").collect()
 
 
@@ -169,3 +169,33 @@ def test_snowflake_options():
     settings = SnowflakeSettings("acct", "u", "/k", "w", "d", "r")
     options = settings.options("raw", "logs", "KEY")
     assert options["sfURL"].startswith("acct.") and options["dbtable"] == "logs"
+
+
+def test_extent_of_files_reads_footers(spark, run_dir):
+    rows = spark.range(100).select(F.col("id").alias("block_number"), F.lit("x").alias("v"))
+    rows.write.parquet(run_dir)
+    rows.where("block_number < 0").coalesce(1).write.mode("append").parquet(run_dir)
+    assert tuple(files.block_extent_of_files(spark, run_dir).first()) == (0, 99, 100)
+    rows.limit(0).write.parquet(f"{run_dir}-empty")
+    assert tuple(files.block_extent_of_files(spark, f"{run_dir}-empty").first()) == (None, None, 0)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_schema_drift_is_reported_per_file(spark, run_dir):
+    wanted = "a long, b string"
+    schema = spark.createDataFrame([], wanted).schema
+    made = {"same": "b string, a long", "typed": "a int, b string", "fewer": "a long", "more": "a long, b string, c int"}
+    for name, ddl in made.items():
+        spark.createDataFrame([], ddl).write.parquet(f"{run_dir}/{name}")
+    found = files.schema_drift(spark, [f"{run_dir}/{n}" for n in made], schema)
+    assert sorted(map(tuple, found.collect()), key=str) == [
+        ("fewer", "b", "missing", "string", None), ("more", "c", "unexpected", None, "int"),
+        ("typed", "a", "changed", "bigint", "int"),
+    ]
+    assert files.schema_drift(spark, [], schema).count() == 0
+
+
+def test_empty_stamped_write_leaves_nothing(spark, run_dir):
+    empty = spark.range(0).withColumnRenamed("id", "block_number")
+    assert files.range_stamped_write(empty, run_dir, "open_logs") is None
+    assert storage.list_names(spark, run_dir) == []

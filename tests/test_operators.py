@@ -11,7 +11,7 @@ from logtide.operators import event_catalog as event_catalog_module
 from logtide.operators import quality
 from logtide.operators.event_catalog import event_catalog
 from logtide.operators.metrics import MINT_MODEL, SemanticModel, metric_query, top_minters
-from logtide.operators.scd2 import scd2_snapshot, start_history
+from logtide.operators.scd2 import scd2_replay, scd2_snapshot, start_history
 from logtide.constants import TRANSFER_TOPIC
 from logtide.plans.checks import quality_suite, source_report
 from logtide.plans.marts import fct_transfer
@@ -259,3 +259,36 @@ def test_events_without_a_signature_are_set_aside(spark):
     assert found == {"Fine(bool)", "Long((address)" + "[3]" * 60 + ")", "None(())", "Odd(bool)"}
     refused = {r.event_name: r.reason for r in event_catalog_module.refused_events(abis).collect()}
     assert set(refused) == {"Deep", "Untyped", None} and "without a type" in refused["Deep"]
+
+
+@pytest.mark.parametrize("close_deleted", [True, False])
+@pytest.mark.parametrize("seed", range(3))
+def test_replay_is_snapshots_in_turn(spark, seed, close_deleted):
+    rng = random.Random(seed)
+    days = [f"2024-03-{d:02d} 12:00:00" for d in range(1, 8)]
+    rows = [
+        (day, k, rng.choice(["a", "b", None]), rng.randint(0, 9))
+        for day in days for k in range(12) if rng.random() < 0.7
+    ]
+    schema = "taken_at string, k long, v string, note long"
+    found = spark.createDataFrame(rows, schema).withColumn("taken_at", F.to_timestamp("taken_at"))
+    replayed = scd2_replay(found, ["k"], ["v"], close_deleted=close_deleted)
+    history = None
+    for day in days:
+        one = found.where(F.col("taken_at") == F.to_timestamp(F.lit(day))).drop("taken_at")
+        history = start_history(one, ["k"], day) if history is None else scd2_snapshot(
+            history, one, ["k"], ["v"], day, close_deleted
+        )
+        history = spark.createDataFrame(history.collect(), history.schema)
+    assert replayed.columns == history.columns
+    assert tuples(replayed) == tuples(history)
+
+
+def test_replay_of_a_day_without_rows(spark):
+    found = spark.createDataFrame([(1, 5, "a"), (3, 5, "a")], "d int, k long, v string")
+    found = found.select(F.timestamp_seconds("d").alias("taken_at"), "k", "v")
+    times = spark.range(1, 5).select(F.timestamp_seconds("id").alias("t"))
+    rows = scd2_replay(found, ["k"], ["v"], times=times).collect()
+    ends = sorted((r.dbt_valid_from.second, r.dbt_valid_to and r.dbt_valid_to.second) for r in rows)
+    assert ends == [(1, 2), (3, 4)]
+    assert scd2_replay(found.limit(0), ["k"], ["v"]).count() == 0
