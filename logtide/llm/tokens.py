@@ -2,7 +2,8 @@
 
 The tokenizers library makes every id. A byte-level tokenizer joins text neither
 across the ends of a run of white space nor between words and punctuation, so a
-text is cut there and the ids of each distinct unit are asked for once per task.
+text is cut there and the ids of each distinct unit are asked for once; the tasks of one
+stage in a Python worker share what they know.
 Outside the common alphabets it is cut at white space only; a text with characters on
 whose kind libraries differ, or with the string of a special token, is encoded whole.
 """
@@ -13,8 +14,10 @@ import os
 import re
 from array import array
 
-# Entries of either memo of a task; the largest take about 150 bytes each.
-MEMO_UNITS = 400_000
+from logtide.llm.words import stage_memo
+
+# Entries of either memo; the largest take about 150 bytes each.
+MEMO_UNITS = 300_000
 _UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s")
 # Letters, digits and apostrophes between them; white space; other characters.
 _FINE_UNIT = re.compile(
@@ -67,7 +70,8 @@ class _Ids(dict):
         self.added = re.compile("|".join(strings)) if strings else None
         self._model = self.tokenizer.model
         self._letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
-        self._bare = (
+        self._space = _byte_letters()[0x20]
+        self.bare = (
             self.tokenizer.normalizer is None
             and isinstance(self._model, BPE)
             and isinstance(self.tokenizer.pre_tokenizer, ByteLevel)
@@ -75,14 +79,18 @@ class _Ids(dict):
         )
 
     def __missing__(self, unit: str) -> bytes:
-        if self._bare and unit.lstrip(" ").isalpha():
-            word = unit.encode().decode("latin-1").translate(self._letters)
-            ids = array("I", [token.id for token in self._model.tokenize(word)]).tobytes()
-        else:
-            ids = self.plain(unit)
-        self[unit] = ids
+        ids = self[unit] = self.word(unit) if self.bare and unit.lstrip(" ").isalpha() else self.plain(unit)
         return ids
 
+    def word(self, word: str) -> bytes:
+        """Ids of letters, perhaps after one space."""
+        letters = word.encode().decode("latin-1").translate(self._letters)
+        return array("I", [token.id for token in self._model.tokenize(letters)]).tobytes()
+
+    def spaced_ascii(self, word: str) -> bytes:
+        """Ids of a space and letters that stand for themselves."""
+        return array("I", [token.id for token in self._model.tokenize(self._space + word)]).tobytes()
+
     def plain(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -95,11 +103,14 @@ class _SpacedIds(dict):
         self.units = units
 
     def __missing__(self, piece: str) -> bytes:
-        unit = " " + piece
-        if piece.isalpha():
-            ids = self.units[unit]
+        if not piece.isalpha():
+            ids = b"".join(map(self.units.__getitem__, _FINE_UNIT.findall(" " + piece)))
+        elif not self.units.bare:
+            ids = self.units.plain(" " + piece)
+        elif piece.isascii():
+            ids = self.units.spaced_ascii(piece)
         else:
-            ids = b"".join(map(self.units.__getitem__, _FINE_UNIT.findall(unit)))
+            ids = self.units.word(" " + piece)
         self[piece] = ids
         return ids
 
@@ -109,12 +120,15 @@ class Encoder:
     ``add_special_tokens=False``: the string of a special token has that token's id.
 
     With ``special_as_text`` such strings are ordinary text. A missing or empty text
-    has no ids. The ids of units and pieces are remembered as long as the encoder is.
+    has no ids. The ids of units and pieces stay in a worker for the tasks of a stage.
     """
 
     def __init__(self, path: str, special_as_text: bool = False):
-        self._units = _Ids(path, special_as_text)
-        self._pieces = _SpacedIds(self._units)
+        def made() -> _SpacedIds:
+            return _SpacedIds(_Ids(path, special_as_text))
+
+        self._pieces = stage_memo((path, special_as_text), made)
+        self._units = self._pieces.units
 
     def encode(self, text: str | None) -> bytes:
         if not text:

@@ -8,11 +8,14 @@ words by a polynomial over those hashes modulo 2^64.
 from __future__ import annotations
 
 import ctypes
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,6 +84,33 @@ def unused(columns: list[str], stem: str) -> str:
     return stem
 
 
+def _stage() -> int | None:
+    context = TaskContext.get()
+    return None if context is None else context.stageId()
+
+
+def stage_memo(name, make: Callable):
+    """An object that the tasks of one stage share in a Python worker.
+
+    The package comes to tasks by value, anew each time, so the object is kept under a
+    module name of its own.
+    """
+    if _stage() is None:
+        return make()
+    forget_other_stages()
+    kept = sys.modules["_stage_memo"].__dict__["objects"]
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
+def forget_other_stages() -> None:
+    """Lets go of what tasks of another stage left in this worker."""
+    module = sys.modules.setdefault("_stage_memo", types.ModuleType("_stage_memo"))
+    if module.__dict__.get("stage") != _stage():
+        module.stage, module.objects = _stage(), {}
+
+
 def release_memory() -> None:
     """Gives what a task has freed back to the system.
 
@@ -97,6 +127,7 @@ def released(function: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], p
     """A function of one group that gives freed memory back when it ends."""
 
     def run(table: pa.Table) -> pa.Table:
+        forget_other_stages()
         result = function(table)
         del table
         release_memory()
@@ -118,6 +149,7 @@ def arrow_map(df: DataFrame, function, schema: T.StructType | str) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_other_stages()
         for columns in function(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[field.name], type=field.type) for field in arrow], schema=arrow
