@@ -20,7 +20,7 @@ from logtide.sources import storage
 
 POLL_SLOTS = 1000
 # Fixed format: prefix[_yymmdd]_<from block>_<to block>.parquet
-_STAMP = r"(?:_(\d{6}))?_(\d+)_(\d+)\.parquet"
+STAMP = r"(?:_(\d{6}))?_(\d+)_(\d+)\.parquet"
 
 
 # --- scans -----------------------------------------------------------------
@@ -233,10 +233,10 @@ def file_inventory(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
     """
     schema = "file string, file_date string, from_block long, to_block long"
     names = storage.list_names(spark, folder)
-    if not any(re.fullmatch(re.escape(prefix) + _STAMP, n) for n in names):
+    if not any(re.fullmatch(re.escape(prefix) + STAMP, n) for n in names):
         return spark.createDataFrame([], schema)
-    name = F.regexp_extract("path", rf"/({re.escape(prefix)}{_STAMP})(?:/|$)", 1)
-    pattern = f"^{re.escape(prefix)}{_STAMP}$"
+    name = F.regexp_extract("path", rf"/({re.escape(prefix)}{STAMP})(?:/|$)", 1)
+    pattern = f"^{re.escape(prefix)}{STAMP}$"
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

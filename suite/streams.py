@@ -16,7 +16,9 @@ from logtide.constants import APPROVAL_TOPIC
 from logtide.schemas import INDEXER_FIELDS
 from logtide.session import new_run_dir
 from logtide.sources import files
+from logtide.sources.block_polls import BlockPolls
 from logtide.streaming import messages, producer, sink
+from logtide.streaming.copies import drop_recent_copies
 from suite.common import EV, RUN_TS, SECOND_RUN_TS, as_text, logs, once
 from suite.event_fixture import UNKNOWN_TOPIC, transfer_events
 from suite.loads import RECORD
@@ -216,6 +218,57 @@ def stream_restart(spark, sf):
     return found.withColumn("runs", F.lit(",".join(statuses)))
 
 
+def stream_dedup_state(spark, sf):
+    """All messages, all of them again, and again with other values after a restart:
+    what is stored, and how many messages got past the state to the table."""
+    base = new_run_dir(spark, "copies")
+    for sent in (_sent(spark, sf), _sent(spark, sf)):
+        sent.repartition(DRAIN_FILES).write.mode("append").text(f"{base}/in")
+    passed = 0
+    for ts, values in ((RUN_TS, None), (SECOND_RUN_TS, "7")):
+        if values:
+            other = _events(spark, sf).withColumn("value", F.lit(values))
+            changed = files.encode_messages(other).select("value")
+            changed.unionByName(_sent(spark, sf)).repartition(DRAIN_FILES).write.mode("append").text(f"{base}/in")
+        target = sink.TransferSink(spark, f"{base}/out", THRESHOLD_TOKENS, ts)
+        stats = sink.drain(drop_recent_copies(_stream(spark, f"{base}/in", 6)), target, f"{base}/checkpoint")
+        passed += stats["rows_attempted"] + stats["total_errors"]
+    stored = sink.sink_table(spark, f"{base}/out").read()
+    letters = spark.read.parquet(f"{base}/out/dead_letters")
+    return stored.groupBy("created_at").agg(
+        F.count("*").alias("rows_stored"), F.count_distinct("id").alias("ids_stored"),
+        F.sum(F.col("value").cast("decimal(38,0)")).cast("string").alias("total"),
+    ).select(
+        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"), "rows_stored",
+        "ids_stored", "total", F.lit(passed).cast("long").alias("messages_passed"),
+        F.lit(letters.count()).cast("long").alias("dead_letters"),
+    )
+
+
+def stream_poll(spark, sf):
+    """Events polled from overlapping stamped files, by a stream that is restarted
+    when more files have come; ``poll`` is the run that brought an event."""
+    spark.dataSource.register(BlockPolls)
+    base, events = new_run_dir(spark, "polls"), _events(spark, sf)
+    last = events.agg(F.max("block_number")).first()[0]
+    # Each part starts before the one before it ended, the third within the second.
+    parts = [(0, last // 2), (last // 3, 2 * last // 3), (last // 2, 3 * last // 5), (3 * last // 5, last)]
+    for run, cuts in enumerate((parts[:3], parts[3:])):
+        for low, high in cuts:
+            files.range_stamped_write(files.block_range(events, low, high), f"{base}/files", "transfers")
+        polled = (
+            spark.readStream.format("block_polls").schema(events.schema)
+            .option("prefix", "transfers").option("from_block", last // 10).load(f"{base}/files")
+        )
+
+        def keep(rows, batch_id, run=run):
+            rows.withColumn("poll", F.lit(run)).write.mode("overwrite").parquet(f"{base}/out/batch_{batch_id}")
+
+        query = polled.writeStream.foreachBatch(keep).option("checkpointLocation", f"{base}/checkpoint")
+        query.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out/batch_*")
+
+
 QUERIES = {
     "json_records": json_records,
     "encode_messages": encode_messages,
@@ -228,6 +281,8 @@ QUERIES = {
     "drain_stats": drain_stats,
     "stream_drain": stream_drain,
     "stream_restart": stream_restart,
+    "stream_dedup_state": stream_dedup_state,
+    "stream_poll": stream_poll,
 }
 
 _LIMIT = f"{THRESHOLD_TOKENS}000000000000000000"
@@ -266,6 +321,17 @@ ORACLES = {
           UNION ALL SELECT 'alert', md5(id) FROM sent WHERE problem IS NULL AND raw >= {_LIMIT}
           UNION ALL SELECT 'dead letter', raw_md5 FROM letters)
         SELECT what, told, 'died,ended' AS runs FROM told""",
+    "stream_dedup_state": f"""WITH {_SENT}, {_LETTERS}, held AS (
+          SELECT id, CASE WHEN problem IS NULL THEN '{RUN_TS}' ELSE '{SECOND_RUN_TS}' END AS created_at,
+            CASE WHEN problem IS NULL THEN raw ELSE 7 END AS amount FROM sent)
+        SELECT created_at, count(*) AS rows_stored, count(DISTINCT id) AS ids_stored,
+          CAST(CAST(sum(amount) AS HUGEINT) AS VARCHAR) AS total,
+          (SELECT count(*) FROM sent) * 2 AS messages_passed,
+          (SELECT count(*) FROM letters) AS dead_letters
+        FROM held GROUP BY created_at""",
+    "stream_poll": f"""WITH {EV}, {RECORD}, top AS (SELECT max(block_number) AS m FROM record)
+        SELECT record.*, CAST(block_number > 2 * m // 3 AS INTEGER) AS poll
+        FROM record, top WHERE block_number >= m // 10""",
     "stream_sink": f"""WITH {_SENT} SELECT id, block_number, timestamp, contract_address,
         from_address, to_address, CASE WHEN problem IS NULL THEN value ELSE '7' END AS value,
         CASE WHEN problem IS NULL THEN '{RUN_TS}' ELSE '{SECOND_RUN_TS}' END AS created_at
