@@ -27,7 +27,10 @@ from logtide.llm.workspace import Workspace
 BANDS, ROWS = 25, 4
 BATCH = 20
 MISS_PROBABILITY = 1e-9
-BLOCK_ROWS = 2048
+# A block of a bucket or cluster: rows, and bytes of what its task holds of them.
+BLOCK_ROWS, BLOCK_BYTES = 2048, 32 << 20
+# One row in so many of a block represents its key in all blocks.
+REPRESENTATIVE = 16
 # Rows without an id get numbers from here on.
 _NO_ID = 1 << 62
 _CHUNK = 1 << 14
@@ -105,18 +108,18 @@ class PairTest:
         return others[np.argsort(-matches, kind="stable")]
 
 
-def _tie(groups, labels, side, test: PairTest, signatures, sizes, verify) -> Iterator[tuple[int, int]]:
+def _tie(crossing, labels, side, test: PairTest, signatures, sizes, verify) -> Iterator[tuple[int, int]]:
     """Ties between rows of different components, until no pair can join more.
 
-    ``side`` holds the block of each row; with two blocks, pairs inside one block
-    belong to other tasks. ``verify`` tells which survivors are links.
+    ``crossing`` compares rows of different ``side`` only. ``verify`` tells which
+    survivors are links.
     """
     forest = _Forest(labels)
     rows = np.arange(len(labels))
     for row in rows:
         others = rows[row + 1 :]
         others = others[(forest.label[others] != forest.label[row])]
-        if groups > 1:
+        if crossing:
             others = others[side[others] != side[row]]
         if not len(others):
             continue
@@ -126,25 +129,17 @@ def _tie(groups, labels, side, test: PairTest, signatures, sizes, verify) -> Ite
                 yield row, other
 
 
-def _blocks(rows: DataFrame, key: str, block_rows: int) -> DataFrame:
-    """Rows of a key dealt to pairs of blocks of bounded size.
+def _with_blocks(counts: DataFrame, config: dict) -> DataFrame:
+    """``n_blocks`` for ``key_rows`` rows of ``key_bytes`` bytes in all."""
+    fill = F.greatest(F.col("key_rows") / config["block_rows"], F.col("key_bytes") / config["block_bytes"])
+    return counts.withColumn("n_blocks", F.ceil(fill).cast("int"))
 
-    A key with up to ``block_rows`` rows is one block. A larger one is cut by a hash,
-    and every two blocks meet in one task.
-    """
-    counts = rows.groupBy(key).agg(F.count("*").alias("key_rows"))
-    dealt = rows.join(counts, key).where("key_rows > 1").withColumn(
-        "n_blocks", F.ceil(F.col("key_rows") / block_rows).cast("int")
-    ).withColumn("side", F.pmod(F.xxhash64("cls"), F.col("n_blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
-    return dealt.select("*", other).select(
-        *rows.columns, "side",
-        F.least("side", "other").alias("block_1"), F.greatest("side", "other").alias("block_2"),
-    )
 
+def _compared(rows: DataFrame, key: str, size: int, config: dict, exact: bool) -> DataFrame:
+    """Ties found within each (key, part, other): tentative, or verified on sets.
 
-def _in_blocks(rows: DataFrame, key: str, size: int, config: dict, exact: bool) -> DataFrame:
-    """Ties found in each pair of blocks of a key: tentative, or verified on sets."""
+    Rows with ``side`` 0 are compared with rows of ``side`` 1; those with -1 with each other.
+    """
     percent = config["threshold_percent"]
 
     def compare(table: pa.Table) -> pa.Table:
@@ -153,15 +148,13 @@ def _in_blocks(rows: DataFrame, key: str, size: int, config: dict, exact: bool)
         sizes = table["n"].to_numpy()
         signatures = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(-1, size)
         side = table["side"].to_numpy()
-        labels = table["label"].to_numpy() if exact else cls
         test = PairTest(size, config["batch"], percent, config["miss"])
         if exact:
             sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
             check = _exact(sets, sizes, percent)
         else:
             check = lambda row, survivors, forest: survivors.tolist()
-        groups = len(np.unique(side)) if table["block_1"][0] != table["block_2"][0] else 1
-        ties = list(_tie(groups, labels, side, test, signatures, sizes, check))
+        ties = list(_tie(side[0] >= 0, table["label"].to_numpy(), side, test, signatures, sizes, check))
         return pa.table(
             {
                 "a": pa.array([cls[a] for a, _ in ties], pa.int64()),
@@ -169,8 +162,66 @@ def _in_blocks(rows: DataFrame, key: str, size: int, config: dict, exact: bool)
             }
         )
 
-    dealt = _blocks(rows, key, config["block_rows"])
-    return dealt.groupBy(key, "block_1", "block_2").applyInArrow(released(compare), "a long, b long")
+    return rows.groupBy(key, "part", "other").applyInArrow(released(compare), "a long, b long")
+
+
+def _in_blocks(
+    rows: DataFrame, counts: DataFrame, key: str, size: int, config: dict, work: Workspace, exact: bool
+) -> DataFrame:
+    """Edges that connect what ties between any two rows of a key connect.
+
+    ``counts`` tells the ``n_blocks`` of each key. A key of one block is one task. A
+    larger one is dealt to blocks by a hash. Each block first meets itself and the
+    representatives of the key, one row in ``REPRESENTATIVE`` of a block, so copies of
+    one text are joined in proportion to their number. What these ties connect to the
+    key's main component is not compared again; the rest, and only the rest, then meets
+    all rows of the key, block by block.
+    """
+    held = ["cls", "n", "sig", "label", *(["shingles"] if exact else [])]
+    whole = rows.join(counts.where("n_blocks = 1 AND key_rows > 1"), key).select(
+        key, *held, F.lit(0).alias("part"), F.lit(0).alias("other"), F.lit(-1).alias("side")
+    )
+    ties = _compared(whole, key, size, config, exact)
+    hot_keys = counts.where("n_blocks > 1")
+    if hot_keys.isEmpty():
+        return ties
+    own = F.pmod(F.xxhash64("cls"), F.col("n_blocks")).cast("int")
+    hot = work.saved(
+        rows.join(hot_keys, key).select(key, *held, "key_rows", "n_blocks", own.alias("own")), f"{key}-hot"
+    )
+    every = F.sequence(F.lit(0), F.col("n_blocks") - 1)
+    stands_for = F.pmod(F.xxhash64("cls", F.lit(REPRESENTATIVE)), F.col("n_blocks") * REPRESENTATIVE) == 0
+    met = hot.select(
+        key, *held, F.explode(F.when(stands_for, every).otherwise(F.array("own"))).alias("part"),
+        F.lit(0).alias("other"), F.lit(-1).alias("side"),
+    )
+    first = ties.unionByName(_compared(met, key, size, config, exact))
+    joined = components(first, work, f"{key}-first")
+    edges = joined.select(F.col("node").alias("a"), F.col("label").alias("b"))
+
+    known = joined.select(F.col("node").alias("cls"), F.col("label").alias("joined"))
+    labelled = hot.join(known, "cls", "left").withColumn("label", F.coalesce("joined", "label")).drop("joined")
+    by_label = labelled.groupBy(key, "label").agg(F.count("*").alias("n_label"))
+    main = work.saved(
+        by_label.groupBy(key).agg(
+            F.max(F.struct("n_label", "label"))["label"].alias("main"),
+            (F.sum("n_label") - F.max("n_label")).alias("n_rest"),
+        ).where("n_rest > 0"),
+        f"{key}-main",
+    )
+    if main.isEmpty():
+        return edges
+    n_parts = F.ceil(F.col("n_rest") * F.col("n_blocks") / F.col("key_rows")).cast("int")
+    left_open = labelled.join(main, key).withColumn("n_parts", n_parts)
+    rest = left_open.where("label <> main").select(
+        key, *held, F.pmod(F.xxhash64("cls"), F.col("n_parts")).cast("int").alias("part"),
+        F.explode(every).alias("other"), F.lit(0).alias("side"),
+    )
+    against = left_open.select(
+        key, *held, F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)).alias("part"),
+        F.col("own").alias("other"), F.lit(1).alias("side"),
+    )
+    return edges.unionByName(_compared(rest.unionByName(against), key, size, config, exact))
 
 
 def _exact(sets: list[np.ndarray], sizes: np.ndarray, percent: int):
@@ -214,6 +265,7 @@ def near_duplicates(
     rows: int = ROWS,
     miss: float = MISS_PROBABILITY,
     block_rows: int = BLOCK_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per document: ``doc_id, row_fp, n_shingles, component_id, kept, group_no``.
 
@@ -231,7 +283,8 @@ def near_duplicates(
     """
     size = bands * rows
     config = {
-        "threshold_percent": threshold_percent, "miss": miss, "block_rows": block_rows,
+        "threshold_percent": threshold_percent, "miss": miss,
+        "block_rows": block_rows, "block_bytes": block_bytes,
         "batch": max(b for b in range(1, BATCH + 1) if size % b == 0),
     }
     text = F.col(f"`{text_col}`").cast("string")
@@ -287,10 +340,13 @@ def near_duplicates(
     placed = arrow_map(classes.select("cls", "sig"), banded, "cls long, buckets array<long>").select(
         "cls", F.explode("buckets").alias("bucket")
     )
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("n_placed")).where("n_placed > 1")
-    met = placed.join(shared, "bucket").select("bucket", "cls")
-    members = met.join(classes.select("cls", "n", "sig"), "cls")
-    tentative = _in_blocks(members, "bucket", size, config, exact=False)
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("key_rows")).where("key_rows > 1")
+    buckets = work.saved(
+        _with_blocks(shared.withColumn("key_bytes", F.col("key_rows") * (4 * size)), config), "buckets"
+    )
+    met = placed.join(buckets.select("bucket"), "bucket", "left_semi")
+    members = met.join(classes.select("cls", "n", "sig", F.col("cls").alias("label")), "cls")
+    tentative = _in_blocks(members, buckets, "bucket", size, config, work, exact=False)
     clusters = work.saved(components(tentative, work, "clusters"), "clusters")
 
     wanted = classes.join(clusters.withColumnRenamed("node", "cls"), "cls").select(
@@ -314,12 +370,17 @@ def near_duplicates(
                         out[name].append(value)
             yield out
 
-    verified_rows = (
+    sets = work.saved(
         arrow_map(texts, full, "cls long, cluster long, n long, sig binary, shingles binary")
         .dropDuplicates(["cls"])
-        .withColumn("label", F.col("cls"))
+        .withColumn("label", F.col("cls")),
+        "sets",
+    )
+    totals = sets.groupBy("cluster").agg(
+        F.count("*").alias("key_rows"), F.sum(F.col("n") * 8).alias("key_bytes")
     )
-    links = _in_blocks(verified_rows, "cluster", size, config, exact=True)
+    totals = work.saved(_with_blocks(totals, config), "totals")
+    links = _in_blocks(sets, totals, "cluster", size, config, work, exact=True)
     joined = components(links, work, "links").select(
         F.col("node").alias("cls"), F.col("label").alias("component")
     )

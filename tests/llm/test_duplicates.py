@@ -13,6 +13,7 @@ from logtide.llm import bayes_minhash, cover_dedup, fm_decontaminate
 from logtide.llm.components import components
 from logtide.llm.queries import ORACLES, QUERIES
 from logtide.llm.words import BASE_1, WindowHashes, word_hashes
+from logtide.llm.workspace import Workspace
 from tests.llm.data import WORDS, frame, odd_rows, prose
 
 
@@ -380,3 +381,26 @@ def test_index_finds_all_places(seed):
 def test_spans_are_cut_from_texts():
     text = "É one, TWO-three\nfour. five".encode()
     assert fm_decontaminate.without_spans(text, [{"first": 1, "last": 4}]) == "É \nfour. five".encode()
+
+
+@pytest.mark.parametrize("limits", [{"block_rows": 4}, {"block_bytes": 700}, {"block_rows": 1}])
+def test_large_clusters_meet_representatives_first(spark, work, limits):
+    """One group of many near copies, a chain through it, and unlike texts that share
+    most words with it."""
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for n in range(30):
+        words = list(base)
+        words[n] = f"x{n}"
+        rows.append((n, " ".join(words)))
+    for n in range(4):
+        rows.append((40 + n, " ".join(base[: 60 - 3 * n] + [f"y{n}{i}" for i in range(3 * n)])))
+    rows += [(50, " ".join(base[30:] + base[:30])), (51, None), (52, "")]
+    found = bayes_minhash.near_duplicates(frame(spark, rows), work, shingle_words=4, **limits)
+    once = bayes_minhash.near_duplicates(
+        frame(spark, rows), Workspace(spark, "whole"), shingle_words=4
+    )
+    columns = ["doc_id", "n_shingles", "component_id", "kept"]
+    answer = sorted(map(tuple, once.select(columns).collect()), key=str)
+    assert sorted(map(tuple, found.select(columns).collect()), key=str) == answer
+    assert len({r[2] for r in answer}) < len(rows) - 20
