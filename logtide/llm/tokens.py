@@ -16,8 +16,9 @@ from array import array
 
 from logtide.llm.words import stage_memo
 
-# Entries of either memo; the largest take about 150 bytes each.
-MEMO_UNITS = 300_000
+# Entries of the memo of pieces and of that of other units; the largest take about 150
+# bytes each. Words, most of what is remembered, are in the first alone.
+MEMO_PIECES, MEMO_UNITS = 500_000, 100_000
 _UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s")
 # Letters, digits and apostrophes between them; white space; other characters.
 _FINE_UNIT = re.compile(
@@ -104,7 +105,12 @@ class _SpacedIds(dict):
 
     def __missing__(self, piece: str) -> bytes:
         if not piece.isalpha():
-            ids = b"".join(map(self.units.__getitem__, _FINE_UNIT.findall(" " + piece)))
+            word, mark = piece[:-1], piece[-1:]
+            if word.isalpha() and mark in ".,":
+                ids = self[word] + self.units[mark]
+            else:
+                first, *rest = _FINE_UNIT.findall(" " + piece)
+                ids = self.spaced(first) + b"".join(map(self.units.__getitem__, rest))
         elif not self.units.bare:
             ids = self.units.plain(" " + piece)
         elif piece.isascii():
@@ -114,6 +120,11 @@ class _SpacedIds(dict):
         self[piece] = ids
         return ids
 
+    def spaced(self, unit: str) -> bytes:
+        """Ids of the first unit of a text that begins with a space."""
+        word = unit[1:]
+        return self[word] if word.isalpha() else self.units[unit]
+
 
 class Encoder:
     """``encode`` gives the id bytes of a text, as the library does with
@@ -136,8 +147,8 @@ class Encoder:
         added = self._units.added
         if _UNSAFE.search(text) or (added is not None and added.search(text)):
             return self._units.plain(text)
-        for memo in (self._units, self._pieces):
-            if len(memo) > MEMO_UNITS:
+        for memo, most in ((self._pieces, MEMO_PIECES), (self._units, MEMO_UNITS)):
+            if len(memo) > most:
                 memo.clear()
         if not text.isascii() and _UNCOMMON.search(text):
             return b"".join(map(self._units.__getitem__, _UNIT.findall(text)))
