@@ -10,7 +10,7 @@ import pytest
 import zstandard
 from tokenizers import Tokenizer
 
-from logtide.llm import frame_store, length_histogram, queries, two_fit_packing
+from logtide.llm import frame_store, length_histogram, queries, tokens, two_fit_packing
 from logtide.llm.tokens import Encoder, tokenizer_path
 from logtide.llm.workspace import Workspace
 from tests.helpers import plan
@@ -40,6 +40,16 @@ def test_units_give_the_ids_of_whole_texts(tokenizer, alphabet):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole(tokenizer, text), ascii(text)
 
 
+def test_memos_that_are_full_give_the_same_ids(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 5)
+    monkeypatch.setattr(tokens, "MEMO_UNITS", 3)
+    rng, encoder = random.Random(5), Encoder(tokenizer_path())
+    words = ["then", "then,", "then.", "Größe,", "it's", "it's.", "a.\nThe", ",", ",,", "x²,", "日.", "_a,", "9."]
+    for _ in range(500):
+        text = " ".join(rng.choices(words, k=rng.randint(1, 12)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole(tokenizer, text), text
+
+
 SPECIAL = "a <|endoftext|> b<|endoftext|>"
 
 
