@@ -245,6 +245,22 @@ def test_the_plan_of_the_catalog_does_not_grow_with_depth(spark):
     assert len(event_catalog_module.abi_events(abis)._jdf.queryExecution().analyzed().toString()) < 20_000
 
 
+def test_braces_in_strings_stand_for_nothing(spark):
+    odd = {"name": "}{", "type": "tuple", "components": [{"name": "{", "type": 'odd{"}\\'}, {"type": "bool"}]}
+    abis = spark.createDataFrame([(abi(event("B", odd, {"type": "{}"})),)], "abi string")
+    assert [r.signature for r in event_catalog_module.abi_events(abis).collect()] == ['B((odd{"}\\,bool),{})']
+
+
+def test_abis_of_one_file_are_spelled_in_many_tasks(spark, run_dir, monkeypatch):
+    monkeypatch.setattr(event_catalog_module, "TASK_BYTES", 20_000)
+    rows = [(abi(event(f"E{n}", nested(30)), event("Same", nested(2))), None) for n in range(50)]
+    spark.createDataFrame(rows, "abi string, implementation_abi string").coalesce(1).write.parquet(run_dir)
+    found = event_catalog_module.abi_events(spark.read.parquet(run_dir))
+    per_task = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(per_task) > 3 and max(r["count"] for r in per_task) < 60
+    assert sum(r["count"] for r in per_task) == 100
+
+
 def test_events_without_a_signature_are_set_aside(spark):
     untyped = {"name": "x", "type": "tuple", "components": [{"name": "y"}]}
     long_suffix = {"name": "s", "type": "tuple" + "[3]" * 60, "components": [{"name": "a", "type": "address"}]}
