@@ -261,6 +261,15 @@ def test_abis_of_one_file_are_spelled_in_many_tasks(spark, run_dir, monkeypatch)
     assert sum(r["count"] for r in per_task) == 100
 
 
+def test_an_abi_that_all_contracts_share_fills_no_task(spark, run_dir, monkeypatch):
+    monkeypatch.setattr(event_catalog_module, "TASK_BYTES", 1_000)
+    one = abi(event("Same", {"name": "a", "type": "address"}))
+    spark.createDataFrame([(one,)] * 400, "implementation_abi string").coalesce(1).write.parquet(run_dir)
+    found = event_catalog_module.abi_events(spark.read.parquet(run_dir))
+    per_task = found.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in per_task) == 400 and max(r["count"] for r in per_task) < 60
+
+
 def test_events_without_a_signature_are_set_aside(spark):
     untyped = {"name": "x", "type": "tuple", "components": [{"name": "y"}]}
     long_suffix = {"name": "s", "type": "tuple" + "[3]" * 60, "components": [{"name": "a", "type": "address"}]}
