@@ -3,7 +3,9 @@ import json
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
+from logtide.operators import joins
 from logtide.plans import daily_run
 from logtide.plans.incremental import fact_table
 from logtide.session import build_session, new_run_dir, shared_dir
@@ -289,6 +291,19 @@ def test_newest_file_wins_however_files_are_loaded(spark, run_dir, together, lat
     assert len({r._dlt_id for r in raw}) == 3 and all(r._dlt_load_id.endswith(".parquet") for r in raw)
 
 
+@pytest.mark.parametrize("rows_held", [None, 0])
+def test_one_of_each_log_with_copies_here_and_there(spark, monkeypatch, rows_held):
+    if rows_held is not None:
+        monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", rows_held)
+    found = [log(0, block=b, tx=b // 2, sender=ZERO) for b in range(8)] + [log(0, block=40, tx=40, sender=ZERO)]
+    batch = logs(spark, found).withColumn("_dlt_load_id", F.concat(F.lit("x_"), "block_number", F.lit("_9.parquet")))
+    no_key = batch.withColumn("transaction_hash", F.lit(None).cast("binary"))
+    batch = batch.unionByName(no_key)
+    kept = daily_run._one_each(batch).collect()
+    wanted = daily_run.dedup_logs(batch, daily_run.newest_first()).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, wanted)) and len(kept) == 5 + 9
+
+
 def test_a_run_reads_only_buckets_with_its_logs(spark, run_dir):
     put(spark, run_dir, [log(0, block=b, sender=ZERO) for b in range(0, 5000, 500)], 1)
     daily(spark, run_dir, 1)

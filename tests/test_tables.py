@@ -129,6 +129,17 @@ def test_merge_sees_old_rows_wherever_they_stand(spark, moved):
     assert tuples(moved.read()) == [(1, "b", 900), (2, "z", 50), (3, "y", 100)]
 
 
+def test_only_keys_that_are_stored_are_combined(spark, table):
+    table.append(rows(spark, (1, "old"), (31, "far")))
+
+    def newer(new, old):
+        strange = F.when(F.col("k") != 1, F.raise_error(F.lit("not stored"))).otherwise(F.col("v"))
+        return new.withColumn("v", strange.cast("string"))
+
+    assert table.merge(rows(spark, (1, "new"), (5, "a"), (5, "b"), (None, "n"), (32, "c")), newer) == 5
+    assert tuples(table.read()) == [(1, "new"), (31, "far"), (32, "c"), (5, "a"), (5, "b"), (None, "n")]
+
+
 def test_places_follow_the_key(spark, run_dir):
     """Writes under one key, another and none; each finds all rows."""
     by = {name: KeyedTable(spark, run_dir, SCHEMA, [name] if name else [], F.col("k")) for name in ("k", "v", "")}
