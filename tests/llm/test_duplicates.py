@@ -5,11 +5,13 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from logtide.llm import bayes_minhash, cover_dedup, fm_decontaminate
+from logtide.llm import words as words_module
 from logtide.llm.components import components
 from logtide.llm.queries import ORACLES, QUERIES
 from logtide.llm.words import BASE_1, WindowHashes, word_hashes
@@ -149,6 +151,18 @@ def test_miss_probability_of_the_sequential_test():
 # --- repeated windows -------------------------------------------------------------
 
 
+def test_small_groups_give_memory_back_together(monkeypatch):
+    calls = []
+    monkeypatch.setattr(words_module, "release_memory", lambda: calls.append(1))
+    monkeypatch.setattr(words_module, "RELEASE_BYTES", 8_000)
+    same = words_module.released(lambda table: table)
+    tables = [pa.table({"x": pa.array(range(n, n + 100), pa.int64())}) for n in range(25)]
+    assert [same(t).equals(t) for t in tables] == [True] * 25
+    assert len(calls) == 2
+    same(pa.table({"x": pa.array(range(1000), pa.int64())}))
+    assert len(calls) == 3
+
+
 def test_every_shift_meets_an_anchor():
     cover = set(cover_dedup.COVER)
     for i in range(cover_dedup.PERIOD):
