@@ -1,6 +1,7 @@
 import datetime
 import json
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from logtide.plans.incremental import fact_table
 from logtide.session import build_session, new_run_dir, shared_dir
 from logtide.sources import files
 from logtide.streaming import messages, producer, sink
+from suite import streams
 from tests.helpers import ZERO, log, logs, signatures, tuples
 
 RUN = "2024-03-01 12:00:00"
@@ -304,6 +306,16 @@ def test_one_of_each_log_with_copies_here_and_there(spark, monkeypatch, rows_hel
     assert sorted(map(str, kept)) == sorted(map(str, wanted)) and len(kept) == 5 + 9
 
 
+def test_messages_are_sent_in_few_bytes(spark, run_dir):
+    rows = spark.range(3000).select(F.concat(F.lit('{"id":"'), "id", F.lit('","to":"0x' + "0" * 40 + '"}')).alias("value"))
+    for _ in range(2):
+        streams._send(rows, run_dir)
+    found = spark.read.text(run_dir)
+    assert sorted(map(tuple, found.collect())) == sorted([tuple(r) for r in rows.collect()] * 2)
+    size = sum(p.stat().st_size for p in Path(run_dir).glob("part-*"))
+    assert len(list(Path(run_dir).glob("part-*"))) == 2 * streams.DRAIN_FILES and size < 6000 * 20
+
+
 def test_a_run_reads_only_buckets_with_its_logs(spark, run_dir):
     put(spark, run_dir, [log(0, block=b, sender=ZERO) for b in range(0, 5000, 500)], 1)
     daily(spark, run_dir, 1)
