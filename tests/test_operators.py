@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logtide.operators import event_catalog as event_catalog_module
+from logtide.operators import joins
 from logtide.operators import quality
 from logtide.operators.event_catalog import event_catalog
 from logtide.operators.metrics import MINT_MODEL, SemanticModel, metric_query, top_minters
@@ -270,6 +271,22 @@ def test_an_abi_that_all_contracts_share_fills_no_task(spark, run_dir, monkeypat
     assert sum(r["count"] for r in per_task) == 400 and max(r["count"] for r in per_task) < 60
 
 
+@pytest.mark.parametrize("rows_held", [None, 0])
+def test_signatures_are_dealt_by_their_text_not_by_shuffled_bytes(spark, run_dir, monkeypatch, rows_held):
+    monkeypatch.setattr(event_catalog_module, "TASK_BYTES", 20_000)
+    if rows_held is not None:
+        monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", rows_held)
+    long_ = [{"name": "a", "type": "uint256"}] * 40
+    rows = [(abi(event(f"E{n}", *long_), event("Same", *long_)),) for n in range(200)]
+    spark.createDataFrame(rows, "abi string").coalesce(1).write.parquet(run_dir)
+    known = [(f"0x{n}{i}", f"E{n}({','.join(['uint256'] * 40)})") for n in range(150) for i in (1, 0)]
+    topics = spark.createDataFrame([*known, ("0xff", None)], "topic0 string, signature string")
+    found = event_catalog(spark.read.parquet(run_dir), topics).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in found}) > 20
+    assert sorted(r.event_name for r in found) == sorted([f"E{n}" for n in range(200)] + ["Same"])
+    assert {r.topic0 for r in found} == {f"0x{n}0" for n in range(150)} | {None}
+
+
 def test_events_without_a_signature_are_set_aside(spark):
     untyped = {"name": "x", "type": "tuple", "components": [{"name": "y"}]}
     long_suffix = {"name": "s", "type": "tuple" + "[3]" * 60, "components": [{"name": "a", "type": "address"}]}
