@@ -194,6 +194,13 @@ def abi(*items):
     return json.dumps(list(items))
 
 
+def test_keys_are_counted_by_their_hashes(spark):
+    rows = [("a" * 66, 1), ("a" * 66, 1), ("a" * 66, 2), ("b", 1), (None, 1), (None, 1), ("c", None), ("c", None), ("b", 1)]
+    report = quality.unique_report(spark.createDataFrame(rows, "tx string, at long"), "t", ["tx", "at"])
+    assert [tuple(r) for r in report.collect()] == [("unique:tx,at", "t", 2)]
+    assert "hashpartitioning(key_hash" in plan(report) and "hashpartitioning(tx" not in plan(report)
+
+
 def event(name, *inputs):
     return {"type": "event", "name": name, "inputs": list(inputs)}
 

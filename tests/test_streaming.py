@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from logtide.operators import joins
 from logtide.plans import daily_run
-from logtide.plans.incremental import fact_table
+from logtide.plans.transfers import int_all_transfer
+from logtide.plans.incremental import fact_table, replace_blocks
 from logtide.session import build_session, new_run_dir, shared_dir
 from logtide.sources import files
 from logtide.streaming import messages, producer, sink
@@ -336,6 +337,25 @@ def test_a_log_moved_far_away_leaves_its_old_place(spark, run_dir):
     assert [b for b, _ in blocks_of(spark, run_dir)] == [8, 1_000_009]
 
 
+def test_a_refresh_deletes_by_stored_keys_not_by_all_of_the_logs(spark, run_dir, monkeypatch):
+    fact = fact_table(spark, f"{run_dir}/tables", "fct_mint", 10)
+    rows = [log(0, block=b, tx=b, sender=ZERO) for b in (1, 2, 3)] + [log(1, block=b, tx=b) for b in range(40)]
+    first = logs(spark, rows)
+    decoded = int_all_transfer(first, signatures(spark))
+    assert replace_blocks(fact, "fct_mint", decoded, first, RUN) == 3
+    wanted, upsert = [], fact.upsert
+
+    def seen(batch, also_delete):
+        wanted.append(also_delete.count())
+        return upsert(batch, also_delete)
+
+    monkeypatch.setattr(fact, "upsert", seen)
+    second = logs(spark, [log(0, block=1, tx=1, sender=ZERO, removed=True), log(0, block=4, tx=2, sender=ZERO), *rows[2:]])
+    assert replace_blocks(fact, "fct_mint", int_all_transfer(second, signatures(spark)), second, RUN) == 1
+    assert wanted == [1]
+    assert sorted(r.block_number for r in fact.read().collect()) == [3, 4]
+
+
 def test_job_log_is_appended(spark, run_dir):
     log_ = daily_run.JobLog(spark, run_dir)
     log_.loaded(["a", "b"], (1, 5))
