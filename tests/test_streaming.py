@@ -1,6 +1,8 @@
 import datetime
+import itertools
 import json
 import time
+import types
 from pathlib import Path
 
 import pytest
@@ -189,6 +191,34 @@ def test_failures_are_reported(spark, stream, monkeypatch):
     assert stats["status"] == "error" and "ZeroDivisionError" in stats["failure"]
 
 
+def event_rows(spark, run_dir, number=40):
+    kinds = ["click", "purchase", "view", "signup", "error"]
+    rows = [(i, kinds[i % 5], i % 7, i + 0.5) for i in range(number)]
+    found = spark.createDataFrame(rows, "event_id long, event_type string, user_id long, value double")
+    found.write.parquet(f"{run_dir}/events.parquet")
+
+
+def test_a_failed_drain_is_no_result_of_the_dedup_query(spark, run_dir, monkeypatch):
+    event_rows(spark, run_dir)
+    plain = sink.insert_first
+
+    def insert(table, transfers, order, run_ts):
+        return 1 / 0 if run_ts == streams.SECOND_RUN_TS else plain(table, transfers, order, run_ts)
+
+    monkeypatch.setattr(sink, "insert_first", insert)
+    with pytest.raises(RuntimeError, match="ZeroDivisionError"):
+        streams.stream_dedup_state(spark, run_dir)
+
+
+def test_the_dedup_query_drains_all_however_long_it_takes(spark, run_dir, monkeypatch):
+    event_rows(spark, run_dir)
+    hours = itertools.count(step=3600)
+    monkeypatch.setattr(sink, "time", types.SimpleNamespace(monotonic=lambda: next(hours)))
+    found = streams.stream_dedup_state(spark, run_dir).collect()
+    assert sum(r.rows_stored for r in found) == 40 and len(found) == 2
+    assert {r.messages_passed for r in found} == {80}
+
+
 def test_producer_goes_on_where_it_stopped(spark):
     rows = [(f"e{b}{i}", b) for b in (1, 2, 5) for i in range(3)]
     events = spark.createDataFrame(rows, "id string, block_number long")
