@@ -66,6 +66,43 @@ def test_new_keys_only_add_files(spark, table):
     assert set(before[0]) < set(after[0]) and before[1] == after[1] and set(after) == {0, 1, 2}
 
 
+def test_many_touched_buckets_are_listed_at_once(spark, table, monkeypatch):
+    table.append(rows(spark, *[(i, "a") for i in range(0, 500, 10)], (None, "n")))
+    wanted = {b: [n for n in table._files(b) if n.endswith(".parquet")] for b in table.buckets()}
+    assert len(wanted) == 51 and table._files_of([*wanted, 900]) == {**wanted, 900: []}
+    # The rows move into one bucket; the others go, and no folder is listed by itself.
+    monkeypatch.setattr(table, "_files", None)
+    table.bucket = F.lit(0)
+    table.upsert(rows(spark, *[(i, "b") for i in range(0, 500, 10)]))
+    assert table.buckets() == [0, None] and table.read().count() == 51
+
+
+def test_listing_puts_the_setting_back(spark, table):
+    from logtide.sources import tables
+
+    before = spark.conf.get(tables._LISTING_TASKS)
+    table.append(rows(spark, *[(i, "a") for i in range(0, 900, 10)]))
+    assert table.read().count() == 90 and spark.conf.get(tables._LISTING_TASKS) == before
+
+
+def test_a_new_table_is_written_without_a_copy(spark, table, monkeypatch):
+    monkeypatch.setattr(table, "_staged", None)
+    assert table.append(rows(spark, (1, "a"), (1, "b"), (25, "c"), (None, "n"))) == 4
+    monkeypatch.undo()
+    assert table.holding(rows(spark, (1, "x"), (25, "x"), (7, "x"))) == [0, 2]
+    assert table.upsert(rows(spark, (1, "z"))) == 1
+    assert tuples(table.read()) == [(1, "z"), (25, "c"), (None, "n")]
+
+
+def test_neighbouring_buckets_are_told_by_their_ends(spark):
+    from logtide.sources.tables import _in_buckets
+
+    numbers = [*range(-3, 30), *range(50, 60), None]
+    found = spark.createDataFrame([(n,) for n in [*range(-5, 70), None]], "bucket long")
+    kept = [r.bucket for r in found.where(_in_buckets(numbers)).collect()]
+    assert kept == numbers and "IN (" not in str(_in_buckets(numbers))
+
+
 BLOCKS = T.StructType(SCHEMA.fields + [T.StructField("block", T.LongType())])
 
 
@@ -288,3 +325,11 @@ def test_new_blocks_are_filtered_at_the_scan(spark, run_dir):
     decoded = transfers.int_all_transfer(raw, signatures(spark))
     text = marts.fct_mint(incremental.newer_than(decoded, 7), "2024-01-01 00:00:00")
     assert "GreaterThan(block_number,7)" in text._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_null_is_a_value_of_its_own_in_hashes(spark):
+    from logtide.plans.incremental import _HASHES, _hashed
+
+    pairs = [("a", None), (None, "a"), (None, None), ("a", "a"), ("a", None)]
+    found = _hashed(spark.createDataFrame(pairs, "x string, y string"), ["x", "y"]).collect()
+    assert [len({tuple(r[h] for h in hashes) for r in found}) for hashes in (_HASHES, _HASHES[:1])] == [4, 4]
